@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+
+# Tasks get this code with the job, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+FOUND = pa.schema([("query_id", pa.int64()), ("neighbor_id", pa.int64()), ("dist", pa.float64())])
 
 # Rows of the distance table held at once: queries x members.
 QUERY_ROWS, MEMBER_ROWS = 512, 4096
@@ -18,6 +26,12 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
 
 
+def id_array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.to_numpy(zero_copy_only=False)
+
+
 class Nearest:
     """Keeps the ``k`` nearest members of each query while members stream by.
 
@@ -88,5 +102,10 @@ class Nearest:
         self.bound[query[full]] = self.dist[order[full]]
         self.query, self.member, self.dist = self.query[kept], self.member[kept], self.dist[kept]
 
-    def result(self) -> dict[str, np.ndarray]:
-        return {"query_id": self.ids[self.query], "neighbor_id": self.member, "dist": self.dist}
+    def result(self) -> list[pa.Array]:
+        """The columns of :data:`FOUND`."""
+        return [
+            pa.array(self.ids[self.query], pa.int64()),
+            pa.array(self.member, pa.int64()),
+            pa.array(self.dist, pa.float64()),
+        ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions import columns
-from earshot.functions.nearest import Nearest, matrix
+from earshot.functions.nearest import FOUND, Nearest, id_array, matrix
 from earshot.operators import skew
 from earshot.sources import schemas
 
@@ -20,9 +22,6 @@ MAX_BROADCAST_QUERIES = 8192
 ROWS_PER_CELL = 8192
 
 _FOUND = "query_id long, neighbor_id long, dist double"
-_ARROW_FOUND = pa.schema(
-    [("query_id", pa.int64()), ("neighbor_id", pa.int64()), ("dist", pa.float64())]
-)
 
 
 def fit_index(
@@ -135,21 +134,12 @@ def similar_users(
     return _named(_ranked(found, k), users)
 
 
-def _arrays(found: Nearest) -> list[pa.Array]:
-    rows = found.result()
-    return [pa.array(rows[f.name], f.type) for f in _ARROW_FOUND]
-
-
-def _ids(column) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
-
-
 def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | None) -> DataFrame:
     """Few queries: every partition keeps the ``k`` best of its own members, without a shuffle."""
     hashed = "codes" in queries.column_names
     shared = members.sparkSession.sparkContext.broadcast(
         (
-            _ids(queries["id"]),
+            id_array(queries["id"]),
             matrix(queries["features"]),
             matrix(queries["codes"]).astype(np.int64) if hashed else None,
         )
@@ -161,11 +151,11 @@ def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | N
         for batch in batches:
             if batch.num_rows:
                 best.add(
-                    _ids(batch.column("id")),
+                    id_array(batch.column("id")),
                     matrix(batch.column("features")),
                     matrix(batch.column("codes")).astype(np.int64) if hashed else None,
                 )
-        yield pa.RecordBatch.from_arrays(_arrays(best), schema=_ARROW_FOUND)
+        yield pa.RecordBatch.from_arrays(best.result(), schema=FOUND)
 
     return members.mapInArrow(search, _FOUND)
 
@@ -180,45 +170,51 @@ def _by_cells(
     of any size is spread over many tasks, and a cell passes on ``k`` rows per query
     instead of its pairs.
     """
-    bucket = ["table", "bucket"]
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        if "codes" in df.columns:
-            return df.select("id", "features", F.posexplode("codes").alias(*bucket))
-        return df.select(
-            "id", "features", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket")
+    bucket, hashed = ["table", "bucket"], "codes" in members.columns
+
+    def cut(df: DataFrame) -> DataFrame:
+        """Adds the bucket, and into how many blocks and slices it is cut."""
+        if not hashed:
+            return df.select(
+                "id", "features", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"),
+                F.lit(one_blocks).alias("_blocks"), F.lit(one_slices).alias("_slices"),
+            )
+        rows = df.select("id", "features", F.posexplode("codes").alias(*bucket))
+        return (
+            rows.join(blocks, bucket, "left").join(slices, bucket, "left").fillna(1, ["_blocks", "_slices"])
         )
 
-    def cuts(df: DataFrame, name: str) -> DataFrame:
-        sizes = df.groupBy(*bucket).agg(F.count("*").alias("_n"))
+    def hot(df: DataFrame, name: str) -> DataFrame:
+        sizes = df.select(F.posexplode("codes").alias(*bucket)).groupBy(*bucket).agg(F.count("*").alias("_n"))
         return F.broadcast(skew.hot_keys(sizes, bucket, "_n", rows_per_cell, name))
 
-    left, right = bucketed(queries), bucketed(members)
-    blocks, slices = cuts(left, "_blocks"), cuts(right, "_slices")
+    if hashed:
+        blocks, slices = hot(queries, "_blocks"), hot(members, "_slices")
+    else:
+        one_blocks, one_slices = (max(1, math.ceil(df.count() / rows_per_cell)) for df in (queries, members))
 
     def placed(df: DataFrame, own: str, own_cut: str, other: str, other_cut: str) -> DataFrame:
-        cut = df.join(blocks, bucket, "left").join(slices, bucket, "left").fillna(1, ["_blocks", "_slices"])
-        return cut.select(
+        return cut(df).select(
             *bucket, "id", "features",
             F.pmod(F.xxhash64("id"), F.col(own_cut)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.col(other_cut) - 1)).alias(other),
         )
 
     cell = [*bucket, "block", "slice"]
-    left = placed(left, "block", "_blocks", "slice", "_slices")
-    right = placed(right, "slice", "_slices", "block", "_blocks")
+    left = placed(queries, "block", "_blocks", "slice", "_slices")
+    right = placed(members, "slice", "_slices", "block", "_blocks")
     # Both sides come from the same table: give one its own column identities.
     right = right.toDF(*right.columns)
 
     def search(asked: pa.Table, offered: pa.Table) -> pa.Table:
         if not asked.num_rows or not offered.num_rows:
-            return _ARROW_FOUND.empty_table()
-        best = Nearest(_ids(asked["id"]), matrix(asked["features"]), k, digits)
-        best.add(_ids(offered["id"]), matrix(offered["features"]))
-        return pa.Table.from_arrays(_arrays(best), schema=_ARROW_FOUND)
+            return FOUND.empty_table()
+        best = Nearest(id_array(asked["id"]), matrix(asked["features"]), k, digits)
+        best.add(id_array(offered["id"]), matrix(offered["features"]))
+        return pa.Table.from_arrays(best.result(), schema=FOUND)
 
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(search, _FOUND)
-    if "codes" not in members.columns:
+    if not hashed:
         return found
     # A pair may share buckets in several tables; the ranking reuses this partitioning.
     return found.repartition("query_id").groupBy("query_id", "neighbor_id").agg(F.min("dist").alias("dist"))

@@ -6,6 +6,7 @@ Interactions are ``orders`` joined with ``lineitem``; users ``customer``; songs
 
 from __future__ import annotations
 
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,24 +78,38 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.hash_tag(cleaned(spark, sf_dir))
 
 
+# Per session and data folder: the path of the written split, and the model fitted on it.
+_splits: dict[tuple, str] = {}
+_models: dict[tuple, ALSModel] = {}
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table with its split, written once and read by every later step."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _splits:
+        path = models.fresh_path(spark, "split")
+        tagged(spark, sf_dir).write.partitionBy("is_train").parquet(path)
+        _splits[key] = path
+    # A partition column read back is text.
+    return spark.read.parquet(_splits[key]).withColumn("is_train", F.col("is_train").cast("boolean"))
+
+
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.hash_split(cleaned(spark, sf_dir))[0]
+    return _halves(spark, sf_dir).filter("is_train").drop("is_train")
 
 
-def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.truth_pairs(split.hash_split(cleaned(spark, sf_dir))[1])
+def test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _halves(spark, sf_dir).filter("NOT is_train").drop("is_train")
 
 
-# One fitted model per session and data folder, shared by the queries that read it.
-_models: dict = {}
+def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.truth_pairs(test_rows(spark, sf_dir))
 
 
-def fitted(spark: SparkSession, sf_dir: str):
+def fitted(spark: SparkSession, sf_dir: str) -> ALSModel:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        rows = training_rows(spark, sf_dir).persist()
-        _models[key] = factorize.train(rows, seed=SEED, **FIT)
-        rows.unpersist()
+        _models[key] = factorize.train(training_rows(spark, sf_dir), seed=SEED, **FIT)
     return _models[key]
 
 
@@ -172,7 +187,7 @@ def random_split(spark, sf_dir):
 
 
 def ground_truth(spark, sf_dir):
-    sets = evaluate.ground_truth(split.hash_split(cleaned(spark, sf_dir))[1])
+    sets = evaluate.ground_truth(test_rows(spark, sf_dir))
     return sets.select("user_id", F.explode("items_true").alias("item_true"))
 
 
@@ -212,7 +227,7 @@ def mean_ndcg_popularity(spark, sf_dir):
 
 def eval_frame(spark, sf_dir):
     """The evaluator's input, its arrays opened: hits of each listed song."""
-    truth = evaluate.ground_truth(split.hash_split(cleaned(spark, sf_dir))[1])
+    truth = evaluate.ground_truth(test_rows(spark, sf_dir))
     frame = evaluate.eval_frame(nation_favourites(spark, sf_dir), truth)
     return frame.select(
         "user_id",
@@ -304,9 +319,8 @@ def als_similar_to_one(spark, sf_dir):
 
 
 def grid_metrics(spark, sf_dir):
-    train, test = split.hash_split(cleaned(spark, sf_dir))
     result = training.grid_search(
-        train, test, seed=SEED, ranks=(4, 8), regs=(0.1,), alphas=(1.0,), iterations=(3,)
+        training_rows(spark, sf_dir), test_rows(spark, sf_dir), seed=SEED, ranks=(4, 8), regs=(0.1,), alphas=(1.0,), iterations=(3,)
     )
     return result.metrics
 
