@@ -21,7 +21,8 @@ def top_n(df: DataFrame, user: str, item: str, plays: str, n: int) -> DataFrame:
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > threshold:
         return rank_all(df, user, item, plays).filter(F.col("rank") <= n)
-    return _by_window(df, user, item, plays).filter(F.col("rank") <= n).withColumn(
+    known = df.filter(F.col(user).isNotNull())
+    return _by_window(known, user, item, plays).filter(F.col("rank") <= n).withColumn(
         "rank", F.col("rank").cast("long")
     )
 

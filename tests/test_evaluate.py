@@ -1,0 +1,45 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from earshot.operators import evaluate
+
+PREDICTIONS = "user_id long, prediction array<double>"
+
+
+@pytest.mark.parametrize("k", [1, 5, 10])
+def test_ndcg_equals_the_evaluator(spark, k):
+    rng = random.Random(k)
+    test = [(u, s) for u in range(30) for s in rng.sample(range(25), rng.randint(1, 20))]
+    test += test[:20]
+    listed = [(u, [float(s) for s in rng.sample(range(25), rng.randint(1, 12))]) for u in range(5, 40)]
+    held_out = spark.createDataFrame(test, "user_id long, song_id long")
+    predictions = spark.createDataFrame(listed, PREDICTIONS)
+    frame = evaluate.eval_frame(predictions, evaluate.ground_truth(held_out))
+    score = evaluate.mean_ndcg(evaluate.ndcg_per_user(predictions, evaluate.truth_pairs(held_out), k)).head()
+    assert score.users == frame.count() == 25
+    assert score.ndcg == pytest.approx(evaluate.ndcg_evaluator(k).evaluate(frame), abs=1e-12)
+
+
+def test_ground_truth(spark):
+    test = spark.createDataFrame([(0, 3), (0, 1), (0, 3), (1, None), (None, 1)], "user_id long, song_id long")
+    assert [tuple(r) for r in evaluate.ground_truth(test).collect()] == [(0, [1.0, 3.0])]
+    with pytest.raises(ValueError, match="2 distinct"):
+        evaluate.ground_truth(test, max_items=1)
+
+
+def test_nobody_scored(spark):
+    none = evaluate.ndcg_per_user(
+        spark.createDataFrame([(1, [1.0])], PREDICTIONS),
+        spark.createDataFrame([(2, 1)], "user_id long, song_id long"),
+    )
+    assert tuple(evaluate.mean_ndcg(none).head()) == (0, 0.0)
+
+
+def test_no_hit_scores_zero(spark):
+    scored = evaluate.ndcg_per_user(
+        spark.createDataFrame([(1, [1.0, 2.0])], PREDICTIONS),
+        spark.createDataFrame([(1, 3)], "user_id long, song_id long"),
+    )
+    assert [tuple(r) for r in scored.collect()] == [(1, 0.0)]

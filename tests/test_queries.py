@@ -1,0 +1,46 @@
+"""Every registered query against its SQL on the same tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_module
+
+QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for name in os.listdir(sf_dir):
+        con.execute(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM '{sf_dir}/{name}'")
+    return con
+
+
+def _sorted(frame):
+    columns = sorted(frame.columns)
+    return frame[columns].sort_values(columns).reset_index(drop=True)
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, sf_dir, duck, name):
+    got = _sorted(QUERIES[name](spark, sf_dir).toPandas())
+    want = _sorted(duck.execute(ORACLE[name]).df())
+    assert list(got.columns) == list(want.columns)
+    assert len(got) == len(want)
+    assert [t.kind for t in got.dtypes] == [t.kind for t in want.dtypes]
+    assert (((got == want) | (got.isna() & want.isna())).all()).all()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
+def test_query_without_sql_returns_rows(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).head(1)
+
+
+def test_entry(spark):
+    assert entry_module.entry(spark).head(1)

@@ -1,0 +1,81 @@
+import pytest
+
+from earshot.sources import models, schemas, tables
+
+PLAYS = "user_id long, song_id long, play_count int"
+
+
+def test_csv_is_read_by_column_name(spark, tmp_path):
+    path = tmp_path / "plays.csv"
+    path.write_text("when,play_count,song_id,user_id\nx,3,10,0\ny,many,11,1\nz,5,,2\nw,1,12,9999999999\n")
+    df = tables.read_interactions(spark, str(path))
+    assert df.schema == schemas.INTERACTIONS
+    assert [tuple(r) for r in df.collect()] == [(0, 10, 3), (1, 11, None), (2, None, 5), (9999999999, 12, 1)]
+
+
+def test_parquet_and_missing_columns(spark, tmp_path):
+    path = str(tmp_path / "plays.parquet")
+    spark.createDataFrame([(1, 2, 3)], "user_id int, song_id int, play_count long").write.parquet(path)
+    assert tables.read_interactions(spark, path).schema == schemas.INTERACTIONS
+    with pytest.raises(ValueError, match="title"):
+        tables.read_dimension(spark, path, schemas.SONGS)
+
+
+def test_optional_dimension(spark, tmp_path):
+    assert tables.read_dimension(spark, None, schemas.USERS) is None
+    assert tables.read_dimension(spark, str(tmp_path / "none.csv"), schemas.USERS) is None
+    path = tmp_path / "users.csv"
+    path.write_text("user_id,Username,age\n1,ana,30\n")
+    assert [tuple(r) for r in tables.read_dimension(spark, str(path), schemas.USERS).collect()] == [(1, "ana")]
+
+
+def test_validate_inputs(spark, tmp_path):
+    there = tmp_path / "a.csv"
+    there.write_text("user_id\n")
+    got = tables.validate_inputs(
+        spark, {"plays": str(there)}, {"songs": str(tmp_path / "b.csv"), "users": None}
+    )
+    assert got == {"plays": True, "songs": False, "users": False}
+    with pytest.raises(FileNotFoundError, match="model"):
+        tables.validate_inputs(spark, {"model": str(tmp_path / "model")})
+
+
+def test_interaction_faults(spark):
+    df = spark.createDataFrame([(None, 1, 1), (2**40, 1, 0), (1, 1, -1), (1, 1, None), (0, 0, 5)], PLAYS)
+    assert schemas.interaction_faults(df).head().asDict() == {
+        "rows": 5, "null_ids": 1, "unusable_ids": 1, "null_plays": 1, "negative_plays": 1,
+    }
+    with pytest.raises(ValueError, match="negative_plays=1"):
+        schemas.require_valid_interactions(df)
+    assert schemas.require_valid_interactions(df.filter("play_count = 5")) == 1
+
+
+@pytest.mark.parametrize(
+    "row, schema, message",
+    [
+        (("a", 1, 1.0), "u string, i long, r double", "numeric"),
+        ((None, 1, 1.0), "u long, i long, r double", "null_ids"),
+        ((2**40, 1, 1.0), "u long, i long, r double", "unusable_ids"),
+        ((1.5, 1, 1.0), "u double, i long, r double", "unusable_ids"),
+        ((1, 1, None), "u long, i long, r double", "null_ratings"),
+        ((1, 1, float("nan")), "u long, i long, r double", "null_ratings"),
+        ((1, 1, -1.0), "u long, i long, r double", "negative_ratings"),
+    ],
+)
+def test_untrainable_ratings(spark, row, schema, message):
+    with pytest.raises(ValueError, match=message):
+        schemas.require_trainable(spark.createDataFrame([row], schema), "u", "i", "r")
+
+
+def test_unique_keys(spark):
+    df = spark.createDataFrame([(1, "b", None), (1, "a", "x"), (2, None, None)], "k long, a string, b string")
+    assert sorted(tuple(r) for r in schemas.one_per_key(df, "k").collect()) == [(1, "a", "x"), (2, None, None)]
+    with pytest.raises(ValueError, match="k=1 appears 2 times"):
+        schemas.require_unique(df, "k")
+    assert schemas.require_unique(df.filter("k = 2"), "k").count() == 1
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert configured in models.ensure_checkpoint_dir(spark)
+    assert models.fresh_path(spark, "m") != models.fresh_path(spark, "m")
