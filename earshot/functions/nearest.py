@@ -14,7 +14,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FOUND = pa.schema([("query_id", pa.int64()), ("neighbor_id", pa.int64()), ("dist", pa.float64())])
 
 # Rows of the distance table held at once: queries x members.
-QUERY_ROWS, MEMBER_ROWS = 512, 4096
+QUERY_ROWS, MEMBER_ROWS = 256, 2048
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -43,6 +43,8 @@ class Nearest:
         self.ids, self.vectors, self.codes = ids, vectors, codes
         self.k, self.digits = k, digits
         self.squares = (vectors**2).sum(axis=1)
+        # One product of [q, 1] and [-2m, m.m] gives the squared distance less q.q.
+        self.left = np.hstack([vectors, np.ones((len(ids), 1))])
         self.query = np.empty(0, np.int64)
         self.member = np.empty(0, np.int64)
         self.dist = np.empty(0)
@@ -54,32 +56,37 @@ class Nearest:
             block = slice(m, m + MEMBER_ROWS)
             part = vectors[block]
             squares = (part**2).sum(axis=1)
+            right = np.hstack([-2.0 * part, squares[:, None]]).T
             for q in range(0, len(self.ids), QUERY_ROWS):
                 self._add_block(
-                    slice(q, q + QUERY_ROWS), ids[block], part, squares,
+                    slice(q, q + QUERY_ROWS), ids[block], part, right, squares.max(initial=0.0),
                     None if codes is None else codes[block],
                 )
             self._keep_best()
 
-    def _add_block(self, rows, ids, vectors, squares, codes):
-        square = self.squares[rows][:, None] + squares[None, :]
-        approx = square - 2.0 * (self.vectors[rows] @ vectors.T)
-        allowed = self.ids[rows][:, None] != ids[None, :]
+    def _add_block(self, rows, ids, vectors, right, largest, codes):
+        score = self.left[rows] @ right
+        own = self.squares[rows]
         if codes is not None:
-            allowed &= (self.codes[rows][:, None, :] == codes[None, :, :]).any(axis=2)
-        approx = np.where(allowed, np.maximum(approx, 0.0), np.inf)
-        nth = min(self.k, len(ids)) - 1
-        if len(ids) > self.k:
-            limit = np.partition(approx, nth, axis=1)[:, nth]
-        else:
-            limit = np.full(len(approx), np.inf)
-        limit = np.minimum(np.sqrt(limit), self.bound[rows])
+            shared = np.zeros(score.shape, bool)
+            for t in range(codes.shape[1]):
+                shared |= self.codes[rows, t][:, None] == codes[:, t][None, :]
+            score[~shared] = np.inf
+        limit = self.bound[rows]
+        if len(ids) > self.k and np.isinf(limit).any():
+            # One place more than k, as the query itself may be among the members.
+            best = np.partition(score, self.k, axis=1)[:, self.k]
+            limit = np.minimum(limit, np.sqrt(np.maximum(best + own, 0.0)))
         # Room for rounding and for the error of the expanded square.
         room = 0.0 if self.digits is None else 10.0**-self.digits
-        error = 1e-12 * (square.max(initial=0.0) + 1.0)
-        limit = (limit + room) ** 2 + error
-        near_q, near_m = np.nonzero(allowed & (approx <= limit[:, None]))
+        error = 1e-12 * (own + largest + 1.0)
+        near = score <= ((limit + room) ** 2 + error - own)[:, None]
+        if codes is not None:
+            near &= shared
+        near_q, near_m = np.divmod(np.flatnonzero(near), len(ids))
         query = near_q + rows.start
+        other = self.ids[query] != ids[near_m]
+        query, near_m = query[other], near_m[other]
         for start in range(0, len(query), 65536):
             piece = slice(start, start + 65536)
             gap = self.vectors[query[piece]] - vectors[near_m[piece]]

@@ -8,16 +8,18 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.sources import models, schemas
+from earshot.sources import schemas, storage
 
-# Ratings that one user or item block should hold, and the range of the block count.
-RATINGS_PER_BLOCK = 2_000_000
-MIN_BLOCKS, MAX_BLOCKS = 10, 2_000
+# Ratings a block should hold at most and at least, and the most blocks the pairwise
+# exchange between user and item blocks allows.
+MAX_RATINGS_PER_BLOCK, MIN_RATINGS_PER_BLOCK = 2_000_000, 25_000
+MAX_BLOCKS = 2_000
 
 
-def block_count(ratings: int) -> int:
-    """Blocks on either side: more with the data, within what the pairwise exchange allows."""
-    return min(MAX_BLOCKS, max(MIN_BLOCKS, math.ceil(ratings / RATINGS_PER_BLOCK)))
+def block_count(ratings: int, parallelism: int) -> int:
+    """Blocks on either side: one per core, fewer for little data, more for much."""
+    spread = min(parallelism, math.ceil(ratings / MIN_RATINGS_PER_BLOCK))
+    return max(1, min(MAX_BLOCKS, max(spread, math.ceil(ratings / MAX_RATINGS_PER_BLOCK))))
 
 
 def train(
@@ -37,10 +39,11 @@ def train(
     checkpoint_interval: int = 5,
 ) -> ALSModel:
     """Fit on (user, item, rating) rows; repeated pairs count as separate rows."""
-    models.ensure_checkpoint_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    storage.ensure_checkpoint_dir(spark)
     rows = ratings.select(user, item, rating)
     n = schemas.require_trainable(rows, user, item, rating)
-    blocks = blocks or block_count(n)
+    blocks = blocks or block_count(n, spark.sparkContext.defaultParallelism)
     return ALS(
         rank=rank,
         maxIter=iterations,

@@ -18,8 +18,10 @@ from earshot.sources import schemas
 
 # Most query vectors that are broadcast; more go through the cells of _by_cells.
 MAX_BROADCAST_QUERIES = 8192
-# Queries and members that meet in one cell.
-ROWS_PER_CELL = 8192
+# Queries and members that meet in one cell: small enough to keep every core busy
+# and to fit in memory, large enough not to copy vectors around for little work.
+MIN_ROWS_PER_CELL, MAX_ROWS_PER_CELL = 1024, 32768
+CELLS_PER_CORE = 4
 
 _FOUND = "query_id long, neighbor_id long, dist double"
 
@@ -103,7 +105,7 @@ def similar_users(
     users: DataFrame | None = None,
     digits: int | None = None,
     max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
-    rows_per_cell: int = ROWS_PER_CELL,
+    rows_per_cell: int | None = None,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``neighbor_id``, ``dist``, ``username``.
 
@@ -161,41 +163,65 @@ def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | N
 
 
 def _by_cells(
-    members: DataFrame, queries: DataFrame, k: int, digits: int | None, rows_per_cell: int
+    members: DataFrame, queries: DataFrame, k: int, digits: int | None, rows_per_cell: int | None
 ) -> DataFrame:
     """Many queries: bounded cells in which some queries meet some members.
 
-    A bucket (all vectors are one bucket in the exact search) is cut into query
-    blocks and member slices. Each block meets each slice in one cell, so a bucket
-    of any size is spread over many tasks, and a cell passes on ``k`` rows per query
-    instead of its pairs.
+    A bucket is cut into query blocks and member slices. Each block meets each slice
+    in one cell, so a bucket of any size is spread over many tasks, and a cell passes
+    on ``k`` rows per query instead of its pairs. The exact search is one bucket that
+    holds everything. So is an LSH search whose buckets overlap so much that it would
+    compare more than all pairs once; its cells then check the codes themselves.
     """
     bucket, hashed = ["table", "bucket"], "codes" in members.columns
 
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        rows = df.select(F.posexplode("codes").alias(*bucket))
+        return rows.groupBy(*bucket).agg(F.count("*").alias(name))
+
+    if hashed:
+        asked, offered = sizes(queries, "_asked"), sizes(members, "_offered")
+        first = F.col("table") == 0
+        n_queries, n_members, shared = asked.join(offered, bucket, "full").agg(
+            F.sum(F.when(first, F.col("_asked"))),
+            F.sum(F.when(first, F.col("_offered"))),
+            F.sum(F.col("_asked").cast("double") * F.col("_offered")),
+        ).head()
+        by_bucket = shared < n_queries * n_members
+    else:
+        n_queries, n_members, by_bucket = queries.count(), members.count(), False
+    compared = shared if by_bucket else n_queries * n_members
+    spark = members.sparkSession
+    tasks = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
+    if rows_per_cell is None:
+        even = math.ceil(math.sqrt(compared / tasks))
+        rows_per_cell = min(MAX_ROWS_PER_CELL, max(MIN_ROWS_PER_CELL, even))
+    # A cell is much work for few bytes: the partitions are numbered by work, so that
+    # adaptive execution does not merge them by size.
+    tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(1, min(tasks, math.ceil(compared / rows_per_cell**2)))
+
     def cut(df: DataFrame) -> DataFrame:
         """Adds the bucket, and into how many blocks and slices it is cut."""
-        if not hashed:
-            return df.select(
-                "id", "features", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"),
-                F.lit(one_blocks).alias("_blocks"), F.lit(one_slices).alias("_slices"),
-            )
-        rows = df.select("id", "features", F.posexplode("codes").alias(*bucket))
-        return (
-            rows.join(blocks, bucket, "left").join(slices, bucket, "left").fillna(1, ["_blocks", "_slices"])
+        if by_bucket:
+            rows = df.select("id", "features", F.posexplode("codes").alias(*bucket))
+            for counts, rows_name, name in ((asked, "_asked", "_blocks"), (offered, "_offered", "_slices")):
+                hot = skew.hot_keys(counts, bucket, rows_name, rows_per_cell, name)
+                rows = rows.join(F.broadcast(hot), bucket, "left")
+            return rows.fillna(1, ["_blocks", "_slices"])
+        return df.select(
+            "*", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"),
+            F.lit(max(1, math.ceil(n_queries / rows_per_cell))).alias("_blocks"),
+            F.lit(max(1, math.ceil(n_members / rows_per_cell))).alias("_slices"),
         )
 
-    def hot(df: DataFrame, name: str) -> DataFrame:
-        sizes = df.select(F.posexplode("codes").alias(*bucket)).groupBy(*bucket).agg(F.count("*").alias("_n"))
-        return F.broadcast(skew.hot_keys(sizes, bucket, "_n", rows_per_cell, name))
-
-    if hashed:
-        blocks, slices = hot(queries, "_blocks"), hot(members, "_slices")
-    else:
-        one_blocks, one_slices = (max(1, math.ceil(df.count() / rows_per_cell)) for df in (queries, members))
+    # Cells of one bucket know that their rows share it; otherwise the codes travel along.
+    check = hashed and not by_bucket
+    payload = ["id", "features", "codes"] if check else ["id", "features"]
 
     def placed(df: DataFrame, own: str, own_cut: str, other: str, other_cut: str) -> DataFrame:
         return cut(df).select(
-            *bucket, "id", "features",
+            *bucket, *payload,
             F.pmod(F.xxhash64("id"), F.col(own_cut)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.col(other_cut) - 1)).alias(other),
         )
@@ -205,16 +231,18 @@ def _by_cells(
     right = placed(members, "slice", "_slices", "block", "_blocks")
     # Both sides come from the same table: give one its own column identities.
     right = right.toDF(*right.columns)
+    left, right = (df.repartition(partitions, *cell) for df in (left, right))
 
-    def search(asked: pa.Table, offered: pa.Table) -> pa.Table:
-        if not asked.num_rows or not offered.num_rows:
+    def search(asking: pa.Table, offering: pa.Table) -> pa.Table:
+        if not asking.num_rows or not offering.num_rows:
             return FOUND.empty_table()
-        best = Nearest(id_array(asked["id"]), matrix(asked["features"]), k, digits)
-        best.add(id_array(offered["id"]), matrix(offered["features"]))
+        codes = [matrix(t["codes"]).astype("int64") if check else None for t in (asking, offering)]
+        best = Nearest(id_array(asking["id"]), matrix(asking["features"]), k, digits, codes[0])
+        best.add(id_array(offering["id"]), matrix(offering["features"]), codes[1])
         return pa.Table.from_arrays(best.result(), schema=FOUND)
 
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(search, _FOUND)
-    if not hashed:
+    if not by_bucket:
         return found
     # A pair may share buckets in several tables; the ranking reuses this partitioning.
     return found.repartition("query_id").groupBy("query_id", "neighbor_id").agg(F.min("dist").alias("dist"))

@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import columns
-from earshot.sources import models
+from earshot.sources import storage
 
 
-def random_split(df: DataFrame, seed: int, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Row sample; repeated (user, song) rows may land on both sides.
+def random_tag(df: DataFrame, seed: int, train_share: float = 0.8) -> DataFrame:
+    """Adds ``is_train``, drawn row by row: repeated (user, song) rows may land on both sides.
 
-    Which rows a seed picks depends on how they are partitioned, so the input is
-    written to the checkpoint folder first: both halves then see the same partitions,
-    also when an executor is lost between them.
+    The draw is written to the shared folder, one directory per side, so that every
+    reader sees the same one. Rows are ordered within their partition first: the same
+    seed on the same partitions draws the same rows.
     """
-    models.ensure_checkpoint_dir(df.sparkSession)
-    train, test = df.checkpoint().randomSplit([train_share, 1.0 - train_share], seed)
-    return train, test
+    drawn = df.sortWithinPartitions(*df.columns).withColumn("is_train", F.rand(seed) < train_share)
+    return storage.written(drawn, "random-split", "is_train")
 
 
 def hash_tag(
@@ -28,11 +27,19 @@ def hash_tag(
     return df.withColumn("is_train", columns.pair_bucket(user, item) < train_tenths)
 
 
-def hash_split(
-    df: DataFrame, train_tenths: int = 8, user: str = "user_id", item: str = "song_id"
-) -> tuple[DataFrame, DataFrame]:
-    tagged = hash_tag(df, train_tenths, user, item)
+def halves(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training rows and test rows of a tagged table."""
     return (
         tagged.filter("is_train").drop("is_train"),
         tagged.filter("NOT is_train").drop("is_train"),
     )
+
+
+def random_split(df: DataFrame, seed: int, train_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    return halves(random_tag(df, seed, train_share))
+
+
+def hash_split(
+    df: DataFrame, train_tenths: int = 8, user: str = "user_id", item: str = "song_id"
+) -> tuple[DataFrame, DataFrame]:
+    return halves(hash_tag(df, train_tenths, user, item))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
@@ -23,6 +23,7 @@ class GridResult:
     best: ALSModel
     best_params: dict
     best_ndcg: float
+    report: DataFrame | None = None
 
 
 def grid_search(
@@ -76,10 +77,15 @@ def train_and_save(
     overwrite: bool = False,
     **grid_args,
 ) -> GridResult:
-    """Check, clean, split by rows, search the grid, save the best model."""
+    """Check, clean, split by rows, search the grid, save the best model.
+
+    Each row of ``raw`` is read for the check, for either count and for the cleaned
+    rows: stage a CSV with :func:`earshot.sources.storage.written` first.
+    """
     schemas.require_valid_interactions(raw)
-    cleaned = interactions.clean(raw, min_user, min_item)
-    train, test = split.random_split(cleaned, seed)
+    tagged = split.random_tag(interactions.clean(raw, min_user, min_item), seed)
+    report = interactions.cleaning_report(raw, tagged)
+    train, test = split.halves(tagged)
     result = grid_search(train, test, seed=seed, **grid_args)
     models.save(result.best, path, overwrite)
-    return result
+    return replace(result, report=report)

@@ -1,37 +1,12 @@
-"""Saved models and the shared folder used for checkpoints."""
+"""Saved models."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder.
-
-    ``spark.checkpoint.dir`` decides. Only a local session without it gets a
-    temporary folder; on a cluster an unset folder is an error.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-            configured = tempfile.mkdtemp(prefix="earshot-")
-        sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has written to, below the checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def save(model: ALSModel, path: str, overwrite: bool = False) -> str:
     """Write metadata and both factor tables; fails on an existing path unless told to overwrite."""
     writer = model.write()

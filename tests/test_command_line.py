@@ -1,0 +1,21 @@
+from earshot.__main__ import main
+from earshot.sources import storage
+
+
+def test_train_then_query(spark, plays, tmp_path, capsys):
+    csv, model, out = (str(tmp_path / name) for name in ("plays", "model", "near"))
+    plays.write.csv(csv, header=True)
+    users = tmp_path / "users.csv"
+    users.write_text("user_id,Username\n0,ana\n1,bea\n")
+    main(["train", csv, model, "--seed", "1", "--ranks", "3", "--iterations", "2", "--min-user", "5"])
+    assert "rows_before" in capsys.readouterr().out
+    main(["similar", model, "--ids", "0", "9999", "--top", "3", "--users", str(users), "--out", out])
+    assert "user 9999 is not known" in capsys.readouterr().out
+    near = spark.read.parquet(out)
+    assert {(r.query_id, r["rank"]) for r in near.collect()} == {(0, 1), (0, 2), (0, 3)}
+    main(["history", csv, "--ids", "0", "--limit", "2"])
+    assert "Desconocida" in capsys.readouterr().out
+    main(["stats", csv, "--ids", "0", "9999"])
+    assert "total_plays" in capsys.readouterr().out
+    main(["describe", model])
+    assert "users" in capsys.readouterr().out

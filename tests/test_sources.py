@@ -1,6 +1,6 @@
 import pytest
 
-from earshot.sources import models, schemas, tables
+from earshot.sources import schemas, storage, tables
 
 PLAYS = "user_id long, song_id long, play_count int"
 
@@ -77,5 +77,13 @@ def test_unique_keys(spark):
 
 def test_checkpoint_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
-    assert configured in models.ensure_checkpoint_dir(spark)
-    assert models.fresh_path(spark, "m") != models.fresh_path(spark, "m")
+    assert configured in storage.ensure_checkpoint_dir(spark)
+    assert storage.fresh_path(spark, "m") != storage.fresh_path(spark, "m")
+
+
+def test_written_table_keeps_its_schema(spark):
+    df = spark.createDataFrame([(1, True, "x"), (2, False, None)], "k long, flag boolean, name string")
+    again = storage.written(df, "table", "flag")
+    assert again.schema == df.schema
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
+    assert "PartitionFilters: [" in again.filter("flag")._jdf.queryExecution().toString()

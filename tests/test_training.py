@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from earshot.operators import evaluate, factorize, interactions, recommend, split
 from earshot.plans import training
-from earshot.sources import models
+from earshot.sources import models, storage
 
 REG, ALPHA = 0.1, 2.0
 
@@ -84,15 +84,17 @@ def test_untrainable_rows_are_named(spark):
         factorize.train(df, seed=1)
 
 
-def test_blocks_grow_with_the_data():
-    assert factorize.block_count(10) == 10
-    assert factorize.block_count(100_000_000) == 50
-    assert factorize.block_count(10**12) == 2000
+def test_blocks_follow_data_and_cores():
+    assert factorize.block_count(0, 8) == 1
+    assert factorize.block_count(60_000, 8) == 3
+    assert factorize.block_count(600_000, 8) == 8
+    assert factorize.block_count(100_000_000, 8) == 50
+    assert factorize.block_count(10**12, 8000) == 2000
 
 
 def test_save_load_describe(spark, fitted):
     _, model = fitted
-    path = models.fresh_path(spark, "test-model")
+    path = storage.fresh_path(spark, "test-model")
     models.save(model, path)
     again = models.load(path)
     before, after = table(model.userFactors), table(again.userFactors)
@@ -130,9 +132,12 @@ def test_grid_search_when_every_score_is_zero(spark, ratings):
 
 
 def test_train_and_save(spark, plays):
-    path = models.fresh_path(spark, "pipeline")
+    path = storage.fresh_path(spark, "pipeline")
     result = training.train_and_save(
         plays, path, seed=3, min_user=30, min_item=25, ranks=(3,), iterations=(2,)
     )
     assert models.load(path).rank == 3
     assert result.metrics.count() == 1
+    report = result.report.head()
+    assert (report.rows_before, report.rows_after) == (6000, 4641)
+    assert report.train_rows + report.test_rows == 4641

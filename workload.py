@@ -21,7 +21,7 @@ from earshot.operators import (
     split,
 )
 from earshot.plans import training
-from earshot.sources import models, schemas, tables
+from earshot.sources import models, schemas, storage, tables
 
 SEED = 42
 # Support thresholds that tell a one-pass filter from a filter applied in two steps.
@@ -78,28 +78,25 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.hash_tag(cleaned(spark, sf_dir))
 
 
-# Per session and data folder: the path of the written split, and the model fitted on it.
-_splits: dict[tuple, str] = {}
+# Per session and data folder: the written split, and the model fitted on it.
+_splits: dict[tuple, DataFrame] = {}
 _models: dict[tuple, ALSModel] = {}
 
 
-def _halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The cleaned table with its split, written once and read by every later step."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _splits:
-        path = models.fresh_path(spark, "split")
-        tagged(spark, sf_dir).write.partitionBy("is_train").parquet(path)
-        _splits[key] = path
-    # A partition column read back is text.
-    return spark.read.parquet(_splits[key]).withColumn("is_train", F.col("is_train").cast("boolean"))
+        _splits[key] = storage.written(tagged(spark, sf_dir), "split", "is_train")
+    return split.halves(_splits[key])
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _halves(spark, sf_dir).filter("is_train").drop("is_train")
+    return _halves(spark, sf_dir)[0]
 
 
 def test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _halves(spark, sf_dir).filter("NOT is_train").drop("is_train")
+    return _halves(spark, sf_dir)[1]
 
 
 def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +325,7 @@ def grid_metrics(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """Users whose vector is the same after saving and loading."""
     model = fitted(spark, sf_dir)
-    again = models.load(models.save(model, models.fresh_path(spark, "model")))
+    again = models.load(models.save(model, storage.fresh_path(spark, "model")))
     before = factorize.user_vectors(model)
     after = factorize.user_vectors(again).withColumnRenamed("features", "loaded")
     return before.join(after, "id").select(
