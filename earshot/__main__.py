@@ -105,7 +105,7 @@ def _similar(spark: SparkSession, args) -> None:
         )
     found = similar.similar_users(
         vectors, wanted, args.top, args.method, index,
-        users=tables.read_dimension(spark, args.users, schemas.USERS),
+        users=tables.read_dimension(spark, args.users, schemas.USERS), display=args.out is None,
     )
     _deliver(found, args.out, ["query_id", "rank"])
 

@@ -8,11 +8,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Display texts for missing names, and the display width.
+# Display texts for missing names, width of a text, decimals of a distance.
 UNKNOWN_TITLE = "Desconocida"
 UNKNOWN_ARTIST = "Desconocido"
 UNKNOWN_USERNAME = "N/A"
 DISPLAY_WIDTH = 33
+DISTANCE_DIGITS = 4
 
 
 def log_rating(plays: str = "play_count") -> Column:

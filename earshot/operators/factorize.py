@@ -38,7 +38,11 @@ def train(
     block_size: int = 4096,
     checkpoint_interval: int = 5,
 ) -> ALSModel:
-    """Fit on (user, item, rating) rows; repeated pairs count as separate rows."""
+    """Fit on (user, item, rating) rows; repeated pairs count as separate rows.
+
+    The start of the search depends on ``seed`` and ``blocks``: fix both to get the
+    same factors from clusters of different size.
+    """
     spark = ratings.sparkSession
     storage.ensure_checkpoint_dir(spark)
     rows = ratings.select(user, item, rating)

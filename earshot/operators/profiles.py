@@ -74,11 +74,14 @@ def history(
     else:
         unique = schemas.one_per_key(songs.select(item, "title", "artist_name"), item)
         named = skew.lookup(ranked, unique, item, [user])
-    title, artist = F.col("title"), F.col("artist_name")
+    title, artist, count = F.col("title"), F.col("artist_name"), F.col(plays)
     if display:
+        count = F.coalesce(count, F.lit(0))
         title = columns.display_text(title, columns.UNKNOWN_TITLE)
         artist = columns.display_text(artist, columns.UNKNOWN_ARTIST)
-    return named.select(user, "rank", item, plays, title.alias("title"), artist.alias("artist_name"))
+    return named.select(
+        user, "rank", item, count.alias(plays), title.alias("title"), artist.alias("artist_name")
+    )
 
 
 def history_totals(

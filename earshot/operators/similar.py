@@ -77,6 +77,7 @@ def similar_to(
     index: BucketedRandomProjectionLSHModel,
     k: int = 10,
     users: DataFrame | None = None,
+    display: bool = False,
 ) -> DataFrame:
     """One user's neighbours through MLlib's own search; no rows for an unknown user.
 
@@ -93,7 +94,7 @@ def similar_to(
             F.col("id").cast("long").alias("neighbor_id"),
             F.col("distCol").alias("dist"),
         )
-    return _named(_ranked(found, k), users)
+    return _named(_ranked(found, k), users, display)
 
 
 def similar_users(
@@ -104,6 +105,7 @@ def similar_users(
     index: BucketedRandomProjectionLSHModel | None = None,
     users: DataFrame | None = None,
     digits: int | None = None,
+    display: bool = False,
     max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
     rows_per_cell: int | None = None,
 ) -> DataFrame:
@@ -113,7 +115,8 @@ def similar_users(
     when left out). ``method="exact"`` compares with all vectors, ``"lsh"`` with
     those that share a bucket of ``index`` and may return fewer than ``k``. Nobody is
     their own neighbour; equal distances are ordered by id. With ``digits`` the
-    distance is rounded before it is ranked.
+    distance is rounded before it is ranked; ``display`` rounds it afterwards and
+    fills in missing names.
     """
     members = vectors.select(F.col("id").cast("long").alias("id"), "features")
     if method == "lsh":
@@ -133,7 +136,7 @@ def similar_users(
         found = _by_broadcast(members, head, k, digits)
     else:
         found = _by_cells(members, wanted, k, digits, rows_per_cell)
-    return _named(_ranked(found, k), users)
+    return _named(_ranked(found, k), users, display)
 
 
 def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | None) -> DataFrame:
@@ -258,15 +261,21 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _named(found: DataFrame, users: DataFrame | None) -> DataFrame:
+def _named(found: DataFrame, users: DataFrame | None, display: bool) -> DataFrame:
     """Adds ``username``: NULL for a user the dimension lacks, and without a dimension."""
     if users is None:
-        return found.withColumn("username", F.lit(None).cast("string"))
-    names = schemas.one_per_key(
-        users.select(F.col("user_id").cast("long").alias("neighbor_id"), F.col("Username").alias("username")),
-        "neighbor_id",
-    )
-    return skew.lookup(found, names, "neighbor_id", ["query_id"]).select(*found.columns, "username")
+        named = found.withColumn("username", F.lit(None).cast("string"))
+    else:
+        names = schemas.one_per_key(
+            users.select(F.col("user_id").cast("long").alias("neighbor_id"), F.col("Username").alias("username")),
+            "neighbor_id",
+        )
+        named = skew.lookup(found, names, "neighbor_id", ["query_id"])
+    dist, username = F.col("dist"), F.col("username")
+    if display:
+        dist = F.round(dist, columns.DISTANCE_DIGITS)
+        username = F.coalesce(username, F.lit(columns.UNKNOWN_USERNAME))
+    return named.select("query_id", "rank", "neighbor_id", dist.alias("dist"), username.alias("username"))
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

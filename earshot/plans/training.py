@@ -77,13 +77,14 @@ def train_and_save(
     overwrite: bool = False,
     **grid_args,
 ) -> GridResult:
-    """Check, clean, split by rows, search the grid, save the best model.
+    """Clean, split by rows, check, search the grid, save the best model.
 
-    Each row of ``raw`` is read for the check, for either count and for the cleaned
-    rows: stage a CSV with :func:`earshot.sources.storage.written` first.
+    ``raw`` is read for either support count and for the cleaned rows: stage a CSV
+    with :func:`earshot.sources.storage.written` first. Rows without a user or a song
+    drop out in the cleaning; any other fault in the rows kept is an error.
     """
-    schemas.require_valid_interactions(raw)
     tagged = split.random_tag(interactions.clean(raw, min_user, min_item), seed)
+    schemas.require_valid_interactions(tagged)
     report = interactions.cleaning_report(raw, tagged)
     train, test = split.halves(tagged)
     result = grid_search(train, test, seed=seed, **grid_args)

@@ -77,9 +77,10 @@ def test_exact_equals_brute_force(vectors, data, way, digits):
         assert [d for d, _ in got[a]] == pytest.approx([d for d, _ in want[a]], abs=1e-9)
 
 
+@pytest.mark.parametrize("tables, length", [(2, 0.7), (2, 0.1), (6, 2.0)])
 @pytest.mark.parametrize("way", [{}, {"max_broadcast_queries": 0, "rows_per_cell": 16}])
-def test_lsh_equals_a_plain_bucket_join(spark, vectors, data, way):
-    index = similar.fit_index(vectors, seed=3, tables=2, bucket_length=0.7)
+def test_lsh_equals_a_plain_bucket_join(spark, vectors, data, way, tables, length):
+    index = similar.fit_index(vectors, seed=3, tables=tables, bucket_length=length)
     rows = similar.signatures(vectors, index).select("id", F.posexplode("codes").alias("table", "bucket"))
     pairs = (
         rows.alias("a").join(rows.withColumnRenamed("id", "other"), ["table", "bucket"])
@@ -114,6 +115,13 @@ def test_copies_give_exactly_k_neighbours(spark):
     assert found_of(similar.similar_users(same, k=2))[3] == [(0.0, 0), (0.0, 1)]
 
 
+def test_display(spark, vectors):
+    users = spark.createDataFrame([(3, "ana")], "user_id long, Username string")
+    shown = similar.similar_users(vectors, k=149, users=users, display=True).filter("query_id = 0")
+    assert {r.username for r in shown.collect()} == {"ana", "N/A"}
+    assert shown.filter("dist <> round(dist, 4)").count() == 0
+
+
 def test_queries_names_and_schema(spark, vectors):
     ids = spark.createDataFrame([(0,), (0,), (1,), (6,)], "id long")
     users = spark.createDataFrame([(3, "ana"), (3, "bea")], "user_id long, Username string")

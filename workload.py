@@ -261,6 +261,23 @@ def knn_lsh(spark, sf_dir):
     return similar.similar_users(vectors, k=10, method="lsh", index=index, digits=6).drop("username")
 
 
+def knn_lsh_wide(spark, sf_dir):
+    """With 40 hash tables a near pair shares a bucket for certain: the answer is the exact one."""
+    vectors = embedding_vectors(spark, sf_dir)
+    index = similar.fit_index(vectors, seed=SEED, tables=40)
+    found = similar.similar_users(
+        vectors, k=10, method="lsh", index=index, digits=6, max_broadcast_queries=0, rows_per_cell=128
+    )
+    return found.drop("username")
+
+
+def knn_display(spark, sf_dir):
+    return similar.similar_users(
+        embedding_vectors(spark, sf_dir), k=5, digits=4,
+        users=users(spark, sf_dir).filter("user_id % 2 = 0"), display=True,
+    )
+
+
 def lsh_recall(spark, sf_dir):
     vectors = embedding_vectors(spark, sf_dir)
     index = similar.fit_index(vectors, seed=SEED, bucket_length=0.25)
@@ -350,7 +367,7 @@ QUERIES = {
         cleaning_report, user_stats, user_stats_lookup, history_top10, history_all,
         history_hot_users, history_totals, users_by_id, unknown_users, hash_split, random_split,
         ground_truth, truth_pairs, ndcg_popularity, mean_ndcg_popularity, eval_frame,
-        knn_exact, knn_exact_cells, knn_named, knn_lsh, lsh_recall, lsh_buckets,
+        knn_exact, knn_exact_cells, knn_named, knn_display, knn_lsh, knn_lsh_wide, lsh_recall, lsh_buckets,
         als_user_factors, als_top_items, als_top_items_subset, als_top_items_shape, als_ndcg,
         als_similar_users, als_similar_to_one, grid_metrics,
         model_roundtrip, model_describe, model_users,
@@ -481,6 +498,10 @@ ORACLE = {
     "knn_named": f"""WITH {_knn(4)} SELECT query_id, rank, neighbor_id, dist, c_name AS username
         FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id
         WHERE query_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+    "knn_lsh_wide": f"WITH {_knn(6)} SELECT * FROM nearest",
+    "knn_display": f"""WITH {_knn(4, 5)} SELECT query_id, rank, neighbor_id, dist,
+        coalesce(c_name, 'N/A') AS username
+        FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id AND c_custkey % 2 = 0""",
     "als_top_items_shape": f"""WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, 10::BIGINT AS n_songs,
         1 AS first_rank, 10 AS last_rank FROM trained""",
     "model_roundtrip": f"WITH {_TRAINED} SELECT DISTINCT user_id, true AS same FROM trained",
