@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions import columns
 from earshot.operators import skew
+from earshot.sources import storage
 
 
 def support_counts(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -20,17 +21,21 @@ def support_filter(
     min_item: int = 5,
     user: str = "user_id",
     item: str = "song_id",
-    rows_per_slice: int = skew.ROWS_PER_SLICE,
+    **join_limits,
 ) -> DataFrame:
     """Rows whose user and song both have enough rows in the table as given.
 
     One pass: both counts come from ``df`` itself, not from a table already
     filtered by the other. Adds ``user_n`` and ``song_n``.
+
+    The two count tables are computed at once and written to the shared folder; their
+    real sizes then decide how they are joined (see :func:`skew.attach_counts`, which
+    takes ``join_limits``). Keys that are too rare are left out of that join.
     """
-    users = support_counts(df, user, "user_n")
-    items = support_counts(df, item, "song_n")
-    kept = skew.attach_counts(df, users, user, "user_n", rows_per_slice).filter(F.col("user_n") >= min_user)
-    kept = skew.attach_counts(kept, items, item, "song_n", rows_per_slice).filter(F.col("song_n") >= min_item)
+    kept = df
+    for key, name, least in ((user, "user_n", min_user), (item, "song_n", min_item)):
+        counts = support_counts(df, key, name).filter(F.col(name) >= least)
+        kept = skew.attach_counts(kept, storage.written(counts, name), key, name, **join_limits)
     return kept.select(*df.columns, "user_n", "song_n")
 
 
@@ -45,9 +50,10 @@ def clean(
     user: str = "user_id",
     item: str = "song_id",
     plays: str = "play_count",
+    **join_limits,
 ) -> DataFrame:
     """Support filter and log rating."""
-    return log_rating(support_filter(df, min_user, min_item, user, item), plays)
+    return log_rating(support_filter(df, min_user, min_item, user, item, **join_limits), plays)
 
 
 def cleaning_report(raw: DataFrame, tagged: DataFrame, user: str = "user_id") -> DataFrame:

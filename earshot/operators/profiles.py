@@ -29,24 +29,29 @@ def user_stats(
     df: DataFrame,
     ids: DataFrame | None = None,
     digits: int | None = None,
+    distinct: bool = True,
     user: str = "user_id",
     item: str = "song_id",
     plays: str = "play_count",
 ) -> DataFrame:
-    """Totals per user. With ``ids``: a row for each id, 0, 0, 0 and NULL for an unknown one."""
+    """Totals per user. With ``ids``: a row for each id, 0, 0, 0 and NULL for an unknown one.
+
+    ``distinct_songs`` needs all (user, song) pairs to be shuffled; without it only
+    one partial row per user and partition is.
+    """
     rows = df.filter(F.col(user).isNotNull())
     if ids is not None:
         ids = ids.select(user).filter(F.col(user).isNotNull()).distinct()
         rows = for_users(rows, ids, user)
     stats = rows.groupBy(user).agg(
         F.count(item).alias("total_songs"),
-        F.countDistinct(item).alias("distinct_songs"),
+        *([F.countDistinct(item).alias("distinct_songs")] if distinct else []),
         F.coalesce(F.sum(plays), F.lit(0)).alias("total_plays"),
         columns.rounded(F.avg(plays), digits).alias("avg_plays"),
     )
     if ids is None:
         return stats
-    return ids.join(stats, user, "left").fillna(0, ["total_songs", "distinct_songs", "total_plays"])
+    return ids.join(stats, user, "left").fillna(0, [c for c in stats.columns if c.startswith(("total", "distinct"))])
 
 
 def history(

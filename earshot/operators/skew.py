@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 ROWS_PER_SLICE = 2_000_000
 # Upper bound of every broadcast hot-key table, in rows of a few bytes each.
 MAX_HOT_KEYS = 100_000
+# Keys of a count table that is broadcast whole, about 100 MB in memory.
+MAX_BROADCAST_KEYS = 2_000_000
 
 
 def slices_of(rows: Column, rows_per_slice: int) -> Column:
@@ -43,19 +45,26 @@ def attach_counts(
     key: str,
     rows: str,
     rows_per_slice: int = ROWS_PER_SLICE,
+    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Inner join of ``df`` with its own row counts per ``key``.
 
-    The rows of a hot key are cut into slices, and its count row is repeated once
-    per slice (at most keys + rows / rows_per_slice count rows in all). The slice
-    depends on the row and on the partition it sits in, so copies of one row spread
-    out too, and a task that runs again after a lost executor cuts the same way.
+    ``counts`` is read several times and should be a written table. Up to
+    ``max_broadcast_keys`` keys it is broadcast and the rows stay where they are.
+
+    Beyond that both sides are shuffled. The rows of a hot key are then cut into
+    slices, and its count row is repeated once per slice (at most
+    keys + rows / rows_per_slice count rows in all). The slice depends on the row and
+    on the partition it sits in, so copies of one row spread out too, and a task that
+    runs again after a lost executor cuts the same way.
     """
+    known = df.filter(F.col(key).isNotNull())
+    if counts.count() <= max_broadcast_keys:
+        return known.join(F.broadcast(counts), key)
     hot = F.broadcast(hot_keys(counts, [key], rows, rows_per_slice))
     cut = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.col("_slices"))
     left = (
-        df.filter(F.col(key).isNotNull())
-        .join(hot, key, "left")
+        known.join(hot, key, "left")
         .withColumn("_slice", F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(cut.cast("int")))
         .drop("_slices")
     )

@@ -23,12 +23,15 @@ def brute_clean(rows, min_user, min_item):
     )
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 7, 1000])
-def test_support_filter_with_hot_keys_and_copies(spark, rows_per_slice):
+@pytest.mark.parametrize(
+    "limits",
+    [{}, *({"max_broadcast_keys": 0, "rows_per_slice": n} for n in (1, 7, 1000)), {"max_broadcast_keys": 41, "rows_per_slice": 3}],
+)
+def test_support_filter_with_hot_keys_and_copies(spark, limits):
     rows = [(0, 0, 3)] * 200 + [(0, s, 1) for s in range(50)] + [(u, 1, u) for u in range(40)]
     rows += [(u, s, 2) for u in range(5) for s in range(u + 3)] + [(None, 1, 1), (1, None, 1)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    got = interactions.support_filter(df, 5, 4, rows_per_slice=rows_per_slice)
+    got = interactions.support_filter(df, 5, 4, **limits)
     assert got.columns == ["user_id", "song_id", "play_count", "user_n", "song_n"]
     assert rows_of(got) == brute_clean(rows, 5, 4)
 
@@ -39,17 +42,26 @@ def test_support_is_counted_once_on_the_table_as_given(spark, plays):
     assert sum(brute_clean(rows, 30, 25).values()) == 4641
 
 
-def test_hot_rows_spread_over_slices(spark):
+def test_copies_of_one_row_spread_over_slices(spark):
     df = spark.range(0, 20_000, 1, 20).select(
         F.lit(0).cast("long").alias("user_id"), F.lit(1).cast("long").alias("song_id"), F.lit(1).alias("play_count")
     )
     counts = interactions.support_counts(df, "user_id", "user_n")
-    assert skew.hot_keys(counts, ["user_id"], "user_n", 1000).collect() == [(0, 20)]
-    joined = skew.attach_counts(df, counts, "user_id", "user_n", 1000)
-    assert joined.count() == 20_000
-    # Twenty copies-only partitions land on more than one slice.
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "SPARK_PARTITION_ID" in plan
+    assert [tuple(r) for r in skew.hot_keys(counts, ["user_id"], "user_n", 1000).collect()] == [(0, 20)]
+    joined = skew.attach_counts(df, counts, "user_id", "user_n", 1000, max_broadcast_keys=0)
+    per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 20_000
+    assert len(per_task) > 1
+
+
+def test_few_counts_are_broadcast(spark, plays):
+    def plan(**limits):
+        cleaned = interactions.support_filter(plays, 30, 25, **limits)
+        return cleaned._jdf.queryExecution().optimizedPlan().toString()
+
+    assert plan().count("strategy=broadcast") == 2
+    assert plan(max_broadcast_keys=180).count("strategy=broadcast") >= 1
+    assert "SPARK_PARTITION_ID" in plan(max_broadcast_keys=0)
 
 
 def test_log_rating_edges(spark):

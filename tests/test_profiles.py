@@ -103,6 +103,8 @@ def test_stats(spark):
     df = spark.createDataFrame([(0, 1, 2), (0, 1, 3), (0, 2, 6), (3, None, 1), (None, 1, 1)], PLAYS)
     stats = {r.user_id: tuple(r)[1:] for r in profiles.user_stats(df, digits=2).collect()}
     assert stats == {0: (3, 2, 11, 3.67), 3: (0, 0, 1, 1.0)}
+    totals = profiles.user_stats(df, spark.createDataFrame([(0,), (9,)], "user_id long"), digits=1, distinct=False)
+    assert {tuple(r) for r in totals.collect()} == {(0, 3, 11, 3.7), (9, 0, 0, None)}
 
 
 def test_stats_of_an_unknown_user(spark):

@@ -129,6 +129,14 @@ def clean_interactions(spark, sf_dir):
     return cleaned(spark, sf_dir).withColumn("rating_log", F.round("rating_log", 9))
 
 
+def clean_interactions_shuffled(spark, sf_dir):
+    """The same cleaning by the way taken when the counts are too many to broadcast."""
+    kept = interactions.clean(
+        plays(spark, sf_dir), MIN_USER, MIN_ITEM, max_broadcast_keys=0, rows_per_slice=20
+    )
+    return kept.withColumn("rating_log", F.round("rating_log", 9))
+
+
 def cleaning_report(spark, sf_dir):
     return interactions.cleaning_report(plays(spark, sf_dir), tagged(spark, sf_dir))
 
@@ -137,6 +145,10 @@ def user_stats(spark, sf_dir):
     return profiles.user_stats(plays(spark, sf_dir), digits=6)
 
 
+def user_totals(spark, sf_dir):
+    return profiles.user_stats(plays(spark, sf_dir), digits=6, distinct=False)
+
+
 def user_stats_lookup(spark, sf_dir):
     kept = interactions.support_filter(plays(spark, sf_dir), MIN_USER, MIN_ITEM)
     return profiles.user_stats(kept, ids=debtors(spark, sf_dir), digits=2)
@@ -364,7 +376,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         interaction_faults, support_counts_user, support_counts_song, clean_interactions,
-        cleaning_report, user_stats, user_stats_lookup, history_top10, history_all,
+        clean_interactions_shuffled, cleaning_report, user_stats, user_totals, user_stats_lookup, history_top10, history_all,
         history_hot_users, history_totals, users_by_id, unknown_users, hash_split, random_split,
         ground_truth, truth_pairs, ndcg_popularity, mean_ndcg_popularity, eval_frame,
         knn_exact, knn_exact_cells, knn_named, knn_display, knn_lsh, knn_lsh_wide, lsh_recall, lsh_buckets,
@@ -445,6 +457,9 @@ nearest AS (
 _TRAINED = f"{_KEPT}, trained AS (SELECT user_id, song_id FROM tagged WHERE is_train)"
 _RANK_ALL = f"WITH {_RANKED} SELECT user_id, song_id, play_count, rank FROM ranked"
 
+_CLEAN = f"""WITH {_KEPT} SELECT user_id, song_id, play_count, user_n, song_n,
+        round(ln(1 + play_count), 9) AS rating_log FROM kept"""
+
 ORACLE = {
     "interaction_faults": f"""WITH {_PLAYS} SELECT count(*) AS rows,
         count(*) FILTER (user_id IS NULL OR song_id IS NULL) AS null_ids,
@@ -453,8 +468,8 @@ ORACLE = {
         count(*) FILTER (play_count < 0) AS negative_plays FROM plays""",
     "support_counts_user": f"WITH {_PLAYS} SELECT user_id, count(*) AS user_n FROM plays GROUP BY user_id",
     "support_counts_song": f"WITH {_PLAYS} SELECT song_id, count(*) AS song_n FROM plays GROUP BY song_id",
-    "clean_interactions": f"""WITH {_KEPT} SELECT user_id, song_id, play_count, user_n, song_n,
-        round(ln(1 + play_count), 9) AS rating_log FROM kept""",
+    "clean_interactions": _CLEAN,
+    "clean_interactions_shuffled": _CLEAN,
     "cleaning_report": f"""WITH {_KEPT} SELECT (SELECT count(*) FROM plays) AS rows_before,
         count(*) AS rows_after, count(*) FILTER (is_train) AS train_rows,
         count(*) FILTER (NOT is_train) AS test_rows,
@@ -462,6 +477,9 @@ ORACLE = {
     "user_stats": f"""WITH {_PLAYS} SELECT user_id, count(song_id) AS total_songs,
         count(DISTINCT song_id) AS distinct_songs, sum(play_count)::BIGINT AS total_plays,
         round(avg(play_count), 6) AS avg_plays FROM plays GROUP BY user_id""",
+    "user_totals": f"""WITH {_PLAYS} SELECT user_id, count(song_id) AS total_songs,
+        sum(play_count)::BIGINT AS total_plays, round(avg(play_count), 6) AS avg_plays
+        FROM plays GROUP BY user_id""",
     "user_stats_lookup": f"""WITH {_KEPT} SELECT c_custkey::BIGINT AS user_id, count(song_id) AS total_songs,
         count(DISTINCT song_id) AS distinct_songs, coalesce(sum(play_count), 0)::BIGINT AS total_plays,
         round(avg(play_count), 2) AS avg_plays
