@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from earshot.functions import columns
 from earshot.functions.nearest import FOUND, Nearest, id_array, matrix
 from earshot.operators import skew
-from earshot.sources import schemas
+from earshot.sources import schemas, storage
 
 # Most query vectors that are broadcast; more go through the cells of _by_cells.
 MAX_BROADCAST_QUERIES = 8192
@@ -113,29 +113,36 @@ def similar_users(
 
     ``vectors`` has ``id`` and ``features``; ``queries`` a column ``id`` (everyone
     when left out). ``method="exact"`` compares with all vectors, ``"lsh"`` with
-    those that share a bucket of ``index`` and may return fewer than ``k``. Nobody is
+    those that share a bucket of ``index`` and may return fewer than ``k``; vectors
+    that :func:`signatures` has already hashed need no index. Nobody is
     their own neighbour; equal distances are ordered by id. With ``digits`` the
     distance is rounded before it is ranked; ``display`` rounds it afterwards and
     fills in missing names.
     """
-    members = vectors.select(F.col("id").cast("long").alias("id"), "features")
-    if method == "lsh":
-        members = signatures(members, index)
-    elif method != "exact":
+    if method not in ("exact", "lsh"):
         raise ValueError(f"method must be 'exact' or 'lsh', is {method!r}")
-    wanted = members
-    if queries is not None:
-        ids = queries.select(F.col("id").cast("long").alias("id"))
-        wanted = members.join(ids, "id", "left_semi")
+    hashed = method == "lsh"
+    if hashed and "codes" not in vectors.columns:
+        vectors = signatures(vectors, index)
+    members = vectors.select(
+        F.col("id").cast("long").alias("id"), "features", *(["codes"] if hashed else [])
+    )
+    ids = None if queries is None else queries.select(F.col("id").cast("long").alias("id"))
+
+    def wanted(members: DataFrame) -> DataFrame:
+        return members if ids is None else members.join(ids, "id", "left_semi")
 
     # At most one row above the bound comes to the driver.
-    head = wanted.limit(max_broadcast_queries + 1).toArrow()
+    head = wanted(members).limit(max_broadcast_queries + 1).toArrow()
     if head.num_rows == 0:
         found = vectors.sparkSession.createDataFrame([], _FOUND)
     elif head.num_rows <= max_broadcast_queries:
         found = _by_broadcast(members, head, k, digits)
     else:
-        found = _by_cells(members, wanted, k, digits, rows_per_cell)
+        # Read several times from here on, and not to be computed again when an executor is lost.
+        members = storage.written(members, "vectors")
+        asked = members if ids is None else storage.written(wanted(members), "queries")
+        found = _by_cells(members, asked, k, digits, rows_per_cell)
     return _named(_ranked(found, k), users, display)
 
 

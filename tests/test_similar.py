@@ -91,6 +91,10 @@ def test_lsh_equals_a_plain_bucket_join(spark, vectors, data, way, tables, lengt
     want = {a: near for a, near in brute(data, 5, 6, lambda a, b: (a, b) in shares).items() if near}
     got = found_of(similar.similar_users(vectors, k=5, method="lsh", index=index, digits=6, **way))
     assert got == want
+    some = spark.createDataFrame([(i,) for i in range(0, 300, 9)], "id long")
+    hashed = similar.signatures(vectors, index).cache()
+    got = found_of(similar.similar_users(hashed, some, k=5, method="lsh", digits=6, **way))
+    assert got == {a: near for a, near in want.items() if a % 9 == 0 and a < 300}
 
 
 def test_search_for_one_user_equals_the_batch(vectors):

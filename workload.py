@@ -106,7 +106,9 @@ def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fitted(spark: SparkSession, sf_dir: str) -> ALSModel:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        _models[key] = factorize.train(training_rows(spark, sf_dir), seed=SEED, **FIT)
+        model = factorize.train(training_rows(spark, sf_dir), seed=SEED, **FIT)
+        # From here on the factors are read from files, whatever happens to the executors.
+        _models[key] = models.load(models.save(model, storage.fresh_path(spark, "fitted")))
     return _models[key]
 
 
