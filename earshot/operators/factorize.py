@@ -62,7 +62,8 @@ def train(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
         blockSize=block_size,
-        checkpointInterval=checkpoint_interval,
+        # A checkpoint after the last iteration would cut no lineage.
+        checkpointInterval=checkpoint_interval if iterations > checkpoint_interval else -1,
         seed=seed,
     ).fit(rows)
 

@@ -63,6 +63,13 @@ def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def solvent_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user dimension that lacks some users."""
+    return _table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(
+        F.col("c_custkey").cast("long").alias("user_id"), F.col("c_name").alias("Username")
+    )
+
+
 def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of requested ids: the customers in debt."""
     return _table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(
@@ -161,9 +168,7 @@ def history_top10(spark, sf_dir):
 
 
 def history_all(spark, sf_dir):
-    return profiles.history(
-        plays(spark, sf_dir), songs(spark, sf_dir), n=None, ids=debtors(spark, sf_dir)
-    )
+    return profiles.history(plays(spark, sf_dir), songs(spark, sf_dir), n=None)
 
 
 def history_hot_users(spark, sf_dir):
@@ -263,9 +268,7 @@ def knn_exact_cells(spark, sf_dir):
 
 def knn_named(spark, sf_dir):
     return similar.similar_users(
-        embedding_vectors(spark, sf_dir),
-        queries=debtors(spark, sf_dir).withColumnRenamed("user_id", "id"),
-        k=10, digits=4, users=users(spark, sf_dir),
+        embedding_vectors(spark, sf_dir), k=10, digits=4, users=users(spark, sf_dir)
     )
 
 
@@ -288,7 +291,7 @@ def knn_lsh_wide(spark, sf_dir):
 def knn_display(spark, sf_dir):
     return similar.similar_users(
         embedding_vectors(spark, sf_dir), k=5, digits=4,
-        users=users(spark, sf_dir).filter("user_id % 2 = 0"), display=True,
+        users=solvent_users(spark, sf_dir), display=True,
     )
 
 
@@ -491,8 +494,7 @@ ORACLE = {
         substr(coalesce(nullif(artist_name, ''), 'Desconocido'), 1, 33) AS artist_name
         FROM ranked LEFT JOIN songs USING (song_id) WHERE rank <= 10""",
     "history_all": f"""WITH {_RANKED} SELECT user_id, rank, song_id, play_count, title, artist_name
-        FROM ranked LEFT JOIN songs USING (song_id)
-        WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+        FROM ranked LEFT JOIN songs USING (song_id)""",
     "history_hot_users": _RANK_ALL,
     "history_totals": f"""WITH {_RANKED} SELECT user_id, count(*) AS songs_shown,
         sum(play_count)::BIGINT AS plays_shown FROM ranked WHERE rank <= 10 GROUP BY user_id""",
@@ -516,12 +518,11 @@ ORACLE = {
     "knn_exact": f"WITH {_knn(6)} SELECT * FROM nearest",
     "knn_exact_cells": f"WITH {_knn(6)} SELECT * FROM nearest",
     "knn_named": f"""WITH {_knn(4)} SELECT query_id, rank, neighbor_id, dist, c_name AS username
-        FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id
-        WHERE query_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+        FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id""",
     "knn_lsh_wide": f"WITH {_knn(6)} SELECT * FROM nearest",
     "knn_display": f"""WITH {_knn(4, 5)} SELECT query_id, rank, neighbor_id, dist,
         coalesce(c_name, 'N/A') AS username
-        FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id AND c_custkey % 2 = 0""",
+        FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id AND c_acctbal >= 0""",
     "als_top_items_shape": f"""WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, 10::BIGINT AS n_songs,
         1 AS first_rank, 10 AS last_rank FROM trained""",
     "model_roundtrip": f"WITH {_TRAINED} SELECT DISTINCT user_id, true AS same FROM trained",
