@@ -52,6 +52,9 @@ class Nearest:
         self.bound = np.full(len(ids), np.inf)
 
     def add(self, ids, vectors, codes=None):
+        few = self._few_copies(ids, vectors)
+        ids, vectors = ids[few], vectors[few]
+        codes = None if codes is None else codes[few]
         for m in range(0, len(ids), MEMBER_ROWS):
             block = slice(m, m + MEMBER_ROWS)
             part = vectors[block]
@@ -64,6 +67,17 @@ class Nearest:
                 )
             self._keep_best()
 
+    def _few_copies(self, ids, vectors):
+        """Rows to look at: of equal members the k + 1 with the smallest ids, as no query can use more."""
+        row = np.dtype((np.void, vectors.itemsize * vectors.shape[1]))
+        kinds, kind = np.unique(np.ascontiguousarray(vectors).view(row).ravel(), return_inverse=True)
+        if len(kinds) == len(ids):
+            return slice(None)
+        order = np.lexsort((ids, kind))
+        kind = kind[order]
+        place = np.arange(len(kind)) - np.searchsorted(kind, kind, side="left")
+        return order[place <= self.k]
+
     def _add_block(self, rows, ids, vectors, right, largest, codes):
         score = self.left[rows] @ right
         own = self.squares[rows]

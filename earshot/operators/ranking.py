@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.operators import skew
+from earshot.sources import storage
 
 # Identical rows numbered by one task in one go.
 COPIES_PER_CHUNK = 100_000
@@ -22,14 +23,12 @@ def top_n(df: DataFrame, user: str, item: str, plays: str, n: int) -> DataFrame:
     if n > threshold:
         return rank_all(df, user, item, plays).filter(F.col("rank") <= n)
     known = df.filter(F.col(user).isNotNull())
-    return _by_window(known, user, item, plays).filter(F.col("rank") <= n).withColumn(
-        "rank", F.col("rank").cast("long")
-    )
+    return _by_window(known, user, item, plays).filter(F.col("rank") <= n)
 
 
 def _by_window(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
     order = Window.partitionBy(user).orderBy(F.col(plays).desc(), F.col(item))
-    return df.withColumn("rank", F.row_number().over(order))
+    return df.withColumn("rank", F.row_number().over(order).cast("long"))
 
 
 def rank_all(
@@ -39,13 +38,19 @@ def rank_all(
     plays: str,
     rows_per_task: int = skew.ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Adds ``rank`` to every row, without ever sorting one hot user in one task."""
+    """Adds ``rank`` to every row, without ever sorting one hot user in one task.
+
+    The users with more than ``rows_per_task`` rows are counted out first; mostly
+    there are none, and one window does.
+    """
     rows = df.filter(F.col(user).isNotNull()).select(user, item, plays)
     counts = rows.groupBy(user).agg(F.count("*").alias("_n"))
-    hot = F.broadcast(skew.hot_keys(counts, [user], "_n", rows_per_task).select(user))
-    light = _by_window(rows.join(hot, user, "left_anti"), user, item, plays)
-    heavy = _by_digits(rows.join(hot, user, "left_semi"), user, item, plays)
-    return light.withColumn("rank", F.col("rank").cast("long")).unionByName(heavy)
+    hot = storage.written(skew.hot_keys(counts, [user], "_n", rows_per_task), "hot-users").select(user)
+    if hot.isEmpty():
+        return _by_window(rows, user, item, plays)
+    light = _by_window(rows.join(F.broadcast(hot), user, "left_anti"), user, item, plays)
+    heavy = _by_digits(rows.join(F.broadcast(hot), user, "left_semi"), user, item, plays)
+    return light.unionByName(heavy)
 
 
 def _by_digits(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
@@ -82,9 +87,11 @@ def _by_digits(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
 
     # Every cell has a full digit key of its own by now.
     placed = cells.join(starts, prefix)
-    chunks = placed.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_PER_CHUNK).cast("long")))
-    ).repartition(user, item, plays, "_chunk")
+    steps = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_PER_CHUNK).cast("long"))
+    # A chunk is few bytes that become many rows: a fixed number of partitions, so that
+    # adaptive execution does not merge them by size.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = placed.withColumn("_chunk", F.explode(steps)).repartition(tasks, user, item, plays, "_chunk")
     end = F.least(F.col("_chunk") + COPIES_PER_CHUNK, F.col("_copies"))
     return chunks.select(
         user, item, plays,

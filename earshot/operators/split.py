@@ -13,10 +13,11 @@ def random_tag(df: DataFrame, seed: int, train_share: float = 0.8) -> DataFrame:
     """Adds ``is_train``, drawn row by row: repeated (user, song) rows may land on both sides.
 
     The draw is written to the shared folder, one directory per side, so that every
-    reader sees the same one. Rows are ordered within their partition first: the same
-    seed on the same partitions draws the same rows.
+    reader sees the same one. Rows are ordered within their partition first, by their
+    content: the same seed on the same partitions draws the same rows.
     """
-    drawn = df.sortWithinPartitions(*df.columns).withColumn("is_train", F.rand(seed) < train_share)
+    ordered = df.sortWithinPartitions(F.xxhash64(*df.columns))
+    drawn = ordered.withColumn("is_train", F.rand(seed) < train_share)
     return storage.written(drawn, "random-split", "is_train")
 
 

@@ -35,5 +35,7 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     again = df.sparkSession.read.parquet(path)
-    # Partition columns come back as text or numbers.
-    return again.select(*[again[f.name].cast(f.dataType).alias(f.name) for f in df.schema])
+    # Partition columns come back as text or numbers, and last.
+    return again.select(
+        *[again[f.name].cast(f.dataType).alias(f.name) if f.name in partition_by else f.name for f in df.schema]
+    )

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from earshot.sources import schemas, storage, tables
 
@@ -86,4 +87,6 @@ def test_written_table_keeps_its_schema(spark):
     again = storage.written(df, "table", "flag")
     assert again.schema == df.schema
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
+    fixed = df.select("k", F.array(F.lit(1.5)).alias("values"))
+    assert storage.written(fixed, "table").orderBy("k").head() == (1, [1.5])
     assert "PartitionFilters: [" in again.filter("flag")._jdf.queryExecution().toString()

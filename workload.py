@@ -329,6 +329,20 @@ def als_top_items_shape(spark, sf_dir):
     )
 
 
+def als_top_items_scores(spark, sf_dir):
+    """Whether each recommendation's score is the product of the two factors."""
+    model = fitted(spark, sf_dir)
+    own = factorize.user_vectors(model).select(F.col("id").alias("user_id"), F.col("features").alias("x"))
+    other = factorize.item_vectors(model).select(F.col("id").alias("song_id"), F.col("features").alias("y"))
+    product = F.aggregate(
+        F.zip_with("x", "y", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda total, v: total + v
+    )
+    recs = recommend.ranked_items(recommend.top_items(model, 10))
+    return recs.join(own, "user_id").join(other, "song_id").select(
+        "user_id", "rank", (F.abs(product - F.col("score")) < 1e-5).alias("same")
+    )
+
+
 def als_ndcg(spark, sf_dir):
     listed = recommend.predictions(recommend.top_items(fitted(spark, sf_dir), 10))
     return evaluate.mean_ndcg(evaluate.ndcg_per_user(listed, test_pairs(spark, sf_dir)))
@@ -381,13 +395,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         interaction_faults, support_counts_user, support_counts_song, clean_interactions,
-        clean_interactions_shuffled, cleaning_report, user_stats, user_totals, user_stats_lookup, history_top10, history_all,
-        history_hot_users, history_totals, users_by_id, unknown_users, hash_split, random_split,
-        ground_truth, truth_pairs, ndcg_popularity, mean_ndcg_popularity, eval_frame,
-        knn_exact, knn_exact_cells, knn_named, knn_display, knn_lsh, knn_lsh_wide, lsh_recall, lsh_buckets,
-        als_user_factors, als_top_items, als_top_items_subset, als_top_items_shape, als_ndcg,
-        als_similar_users, als_similar_to_one, grid_metrics,
-        model_roundtrip, model_describe, model_users,
+        clean_interactions_shuffled, cleaning_report, user_stats, user_totals, user_stats_lookup,
+        history_top10, history_all, history_hot_users, history_totals, users_by_id, unknown_users,
+        hash_split, random_split, ground_truth, truth_pairs, ndcg_popularity, mean_ndcg_popularity,
+        eval_frame, knn_exact, knn_exact_cells, knn_named, knn_display, knn_lsh, knn_lsh_wide,
+        lsh_recall, lsh_buckets, als_user_factors, als_top_items, als_top_items_subset,
+        als_top_items_shape, als_top_items_scores, als_ndcg, als_similar_users, als_similar_to_one,
+        grid_metrics, model_roundtrip, model_describe, model_users,
     )
 }
 
@@ -525,6 +539,8 @@ ORACLE = {
         FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id AND c_acctbal >= 0""",
     "als_top_items_shape": f"""WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, 10::BIGINT AS n_songs,
         1 AS first_rank, 10 AS last_rank FROM trained""",
+    "als_top_items_scores": f"""WITH {_TRAINED}, ranks AS (SELECT unnest(range(1, 11))::INT AS rank)
+        SELECT DISTINCT user_id::INT AS user_id, rank, true AS same FROM trained, ranks""",
     "model_roundtrip": f"WITH {_TRAINED} SELECT DISTINCT user_id, true AS same FROM trained",
     "model_describe": f"""WITH {_TRAINED} SELECT {FIT['rank']} AS rank,
         count(DISTINCT user_id) AS users, count(DISTINCT song_id) AS items FROM trained""",
