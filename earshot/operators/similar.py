@@ -17,7 +17,7 @@ from earshot.operators import skew
 from earshot.sources import schemas, storage
 
 # Most query vectors that are broadcast; more go through the cells of _by_cells.
-MAX_BROADCAST_QUERIES = 8192
+MAX_BROADCAST_QUERIES = 16384
 # Queries and members that meet in one cell: small enough to keep every core busy
 # and to fit in memory, large enough not to copy vectors around for little work.
 MIN_ROWS_PER_CELL, MAX_ROWS_PER_CELL = 1024, 32768
@@ -132,12 +132,11 @@ def similar_users(
     def wanted(members: DataFrame) -> DataFrame:
         return members if ids is None else members.join(ids, "id", "left_semi")
 
-    # At most one row above the bound comes to the driver.
-    head = wanted(members).limit(max_broadcast_queries + 1).toArrow()
-    if head.num_rows == 0:
+    n_queries = wanted(members).count()
+    if n_queries == 0:
         found = vectors.sparkSession.createDataFrame([], _FOUND)
-    elif head.num_rows <= max_broadcast_queries:
-        found = _by_broadcast(members, head, k, digits)
+    elif n_queries <= max_broadcast_queries:
+        found = _by_broadcast(members, wanted(members).toArrow(), k, digits)
     else:
         # Read several times from here on, and not to be computed again when an executor is lost.
         members = storage.written(members, "vectors")
@@ -207,9 +206,11 @@ def _by_cells(
         even = math.ceil(math.sqrt(compared / tasks))
         rows_per_cell = min(MAX_ROWS_PER_CELL, max(MIN_ROWS_PER_CELL, even))
     # A cell is much work for few bytes: the partitions are numbered by work, so that
-    # adaptive execution does not merge them by size.
+    # adaptive execution does not merge them by size. Few cells get more partitions than
+    # there are cells, as hashing would put several of them into one.
     tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    partitions = max(1, min(tasks, math.ceil(compared / rows_per_cell**2)))
+    cells = math.ceil(compared / rows_per_cell**2)
+    partitions = max(1, min(4 * tasks, 4 * cells))
 
     def cut(df: DataFrame) -> DataFrame:
         """Adds the bucket, and into how many blocks and slices it is cut."""
