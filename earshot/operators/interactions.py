@@ -28,14 +28,21 @@ def support_filter(
     One pass: both counts come from ``df`` itself, not from a table already
     filtered by the other. Adds ``user_n`` and ``song_n``.
 
-    The two count tables are computed at once and written to the shared folder; their
-    real sizes then decide how they are joined (see :func:`skew.attach_counts`, which
-    takes ``join_limits``). Keys that are too rare are left out of that join.
+    Both counts are taken in one pass, run at once, and written to the shared folder;
+    their real sizes then decide how they are joined (see :func:`skew.attach_counts`,
+    which takes ``join_limits``). Keys that are too rare are left out of that join.
     """
+    ids = df.select(user, item).unpivot([], [user, item], "_key", "_id").filter(F.col("_id").isNotNull())
+    least = F.when(F.col("_key") == user, F.lit(min_user)).otherwise(F.lit(min_item))
+    counts = ids.groupBy("_key", "_id").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
+    counts = storage.written(counts, "support", "_key")
+    sizes = {row["_key"]: row["count"] for row in counts.groupBy("_key").count().collect()}
     kept = df
-    for key, name, least in ((user, "user_n", min_user), (item, "song_n", min_item)):
-        counts = support_counts(df, key, name).filter(F.col(name) >= least)
-        kept = skew.attach_counts(kept, storage.written(counts, name), key, name, **join_limits)
+    for key, name in ((user, "user_n"), (item, "song_n")):
+        own = counts.filter(F.col("_key") == key).select(
+            F.col("_id").cast(df.schema[key].dataType).alias(key), F.col("_n").alias(name)
+        )
+        kept = skew.attach_counts(kept, own, key, name, sizes.get(key, 0), **join_limits)
     return kept.select(*df.columns, "user_n", "song_n")
 
 

@@ -44,13 +44,14 @@ def attach_counts(
     counts: DataFrame,
     key: str,
     rows: str,
+    n_keys: int,
     rows_per_slice: int = ROWS_PER_SLICE,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Inner join of ``df`` with its own row counts per ``key``.
 
-    ``counts`` is read several times and should be a written table. Up to
-    ``max_broadcast_keys`` keys it is broadcast and the rows stay where they are.
+    ``counts`` has ``n_keys`` rows; it is read several times and should be a written
+    table. Up to ``max_broadcast_keys`` it is broadcast and the rows stay where they are.
 
     Beyond that both sides are shuffled. The rows of a hot key are then cut into
     slices, and its count row is repeated once per slice (at most
@@ -59,7 +60,7 @@ def attach_counts(
     runs again after a lost executor cuts the same way.
     """
     known = df.filter(F.col(key).isNotNull())
-    if counts.count() <= max_broadcast_keys:
+    if n_keys <= max_broadcast_keys:
         return known.join(F.broadcast(counts), key)
     hot = F.broadcast(hot_keys(counts, [key], rows, rows_per_slice))
     cut = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.col("_slices"))

@@ -34,8 +34,5 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, read by column, safe from lost executors."""
     path = fresh_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    again = df.sparkSession.read.parquet(path)
-    # Partition columns come back as text or numbers, and last.
-    return again.select(
-        *[again[f.name].cast(f.dataType).alias(f.name) if f.name in partition_by else f.name for f in df.schema]
-    )
+    # The schema is known: no job to find it, and partition columns keep their type.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -36,6 +36,13 @@ def test_support_filter_with_hot_keys_and_copies(spark, limits):
     assert rows_of(got) == brute_clean(rows, 5, 4)
 
 
+def test_support_filter_keeps_id_types(spark):
+    df = spark.createDataFrame([(1, 7, 2)] * 3 + [(2, 7, 1)], "user_id int, song_id long, play_count int")
+    got = interactions.support_filter(df, 2, 2)
+    assert dict(got.dtypes)["user_id"] == "int" and dict(got.dtypes)["song_id"] == "bigint"
+    assert rows_of(got) == Counter({(1, 7, 2, 3, 4): 3})
+
+
 def test_support_is_counted_once_on_the_table_as_given(spark, plays):
     rows = [tuple(r) for r in plays.collect()]
     assert rows_of(interactions.support_filter(plays, 30, 25)) == brute_clean(rows, 30, 25)
@@ -48,7 +55,7 @@ def test_copies_of_one_row_spread_over_slices(spark):
     )
     counts = interactions.support_counts(df, "user_id", "user_n")
     assert [tuple(r) for r in skew.hot_keys(counts, ["user_id"], "user_n", 1000).collect()] == [(0, 20)]
-    joined = skew.attach_counts(df, counts, "user_id", "user_n", 1000, max_broadcast_keys=0)
+    joined = skew.attach_counts(df, counts, "user_id", "user_n", 1, 1000, max_broadcast_keys=0)
     per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in per_task) == 20_000
     assert len(per_task) > 1
