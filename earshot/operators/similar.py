@@ -123,6 +123,8 @@ def similar_users(
         raise ValueError(f"method must be 'exact' or 'lsh', is {method!r}")
     hashed = method == "lsh"
     if hashed and "codes" not in vectors.columns:
+        if index is None:
+            raise ValueError("method 'lsh' needs an index, or vectors with codes")
         vectors = signatures(vectors, index)
     members = vectors.select(
         F.col("id").cast("long").alias("id"), "features", *(["codes"] if hashed else [])

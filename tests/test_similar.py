@@ -138,6 +138,8 @@ def test_queries_names_and_schema(spark, vectors):
     assert plain.columns == named.columns and plain.count() == 0
     with pytest.raises(ValueError, match="method"):
         similar.similar_users(vectors, method="guess")
+    with pytest.raises(ValueError, match="index"):
+        similar.similar_users(vectors, method="lsh")
 
 
 def test_index_is_repeatable(vectors):
