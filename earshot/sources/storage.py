@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
             configured = tempfile.mkdtemp(prefix="earshot-")
         sc.setCheckpointDir(configured)
@@ -26,8 +27,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has written to, below the checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path nobody has written to, below the checkpoint folder; removed when the session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
