@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A word is a run of anything but these six characters.
@@ -13,7 +14,14 @@ BLANK = r"[\x20\x09-\x0D]"
 MAX_BROADCAST_ROWS = 200_000
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers that have the driver's folders import this package from there; ``--py-files`` serves others."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", home)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,3 +53,30 @@ def unwrapped(df: DataFrame) -> DataFrame:
 def at_most(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is counted to have at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+# Rows that one step of a running sum goes over.
+SUM_BLOCK = 4096
+
+
+def prefix_sums(df: DataFrame, group: list[str], at: str, value: str, name: str, block: int = SUM_BLOCK) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the rows of the group with a smaller ``at``.
+
+    ``at`` is a whole number, not null and mostly without large gaps, one row per group and
+    number. Runs of ``block`` numbers are summed first, the sums of those runs are added up
+    in the same way, and only then the rows within each run: no task ever orders a whole
+    group, however large.
+    """
+    placed = df.withColumn("_run", F.floor(F.col(at) / block).cast("long"))
+    within = Window.partitionBy(*group, "_run").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    inner = placed.withColumn("_inner", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    runs = placed.groupBy(*group, "_run").agg(F.sum(value).alias("_total"))
+    upper = Window.partitionBy(*group, F.floor(F.col("_run") / block)).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_block", F.floor(F.col("_run") / block)).withColumn("_before", F.coalesce(F.sum("_total").over(upper), F.lit(0)))
+    # Runs of runs: a 16-millionth of the rows.
+    top = runs.groupBy(*group, "_block").agg(F.sum("_total").alias("_sum"))
+    keys = [F.col(g) for g in group] or [F.lit(0)]
+    order = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    top = top.withColumn("_above", F.coalesce(F.sum("_sum").over(order), F.lit(0))).drop("_sum")
+    bases = runs.join(top, [*group, "_block"]).select(*group, "_run", (F.col("_before") + F.col("_above")).alias("_base"))
+    return inner.join(bases, [*group, "_run"]).withColumn(name, F.col("_inner") + F.col("_base")).drop("_run", "_inner", "_base")

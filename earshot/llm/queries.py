@@ -5,23 +5,75 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import hosts, packing, pseudonyms, simhash
+from earshot.llm import (
+    backoff,
+    differencing,
+    hosts,
+    merges,
+    packing,
+    perspectives,
+    pseudonyms,
+    records,
+    simhash,
+    threshold,
+)
 from earshot.llm.common import table
 
 # Of the test tables only; a caller brings a secret of their own.
 KEY = "key-of-the-test-tables"
 
 
+# Of the public vocabulary that the token queries use.
+VOCABULARY = "word_bpe_49k.json"
+END_ID = 2
+
+
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return backoff.score(docs, held_out, backoff.file_block(docs))
+
+
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pseudonyms.pseudonymized(table(spark, sf_dir, "documents"), KEY)
     return done.select(F.col("row.doc_id").alias("doc_id"), "text", "n_found", "n_replaced")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merges.digests(table(spark, sf_dir, "documents"), _vocabulary())
+
+
+def op4_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = threshold.whole_numbers(table(spark, sf_dir, "embeddings"))
+    return threshold.top_products(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = records.write(table(spark, sf_dir, "documents"), _vocabulary(), END_ID)
+    found = records.read(spark, path).select("file", "offset", F.crc32("ids").alias("ids_crc32"))
+    return records.index(spark, path).join(found, ["file", "offset"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = perspectives.render(table(spark, sf_dir, "conversations"))
+    return told.withColumn("masks", perspectives.spans(F.col("masks")))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = hosts.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select("row.doc_id", *hosts.MEASURES, "base_failed", "kept")
 
 
+def op8_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.shard(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -31,9 +83,51 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_pseudonyms, op7_host_rules, op9_best_fit, op10_simhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_backoff, op2_pseudonyms, op3_bpe, op4_threshold, op5_records, op6_perspectives, op7_host_rules,
+        op8_differencing, op9_best_fit, op10_simhash,
+    )
+}
 
 ORACLE = {
+    "op4_threshold": f"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({threshold.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= {threshold.K}""",
+    "op6_perspectives": f"""
+WITH turns AS (
+  SELECT conv_id, turn, replace(coalesce(role, '{perspectives.NOBODY}'), '<|', '< |') AS name,
+    replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations
+),
+speakers AS (SELECT DISTINCT conv_id, name AS perspective FROM turns),
+heads AS (
+  SELECT t.*, perspective, name = perspective AS own,
+    CASE WHEN name = perspective THEN '<|assistant|>' ELSE '<|user ' || name || '|>' END || chr(10) AS head
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+),
+placed AS (
+  SELECT *, head || text || '<|end|>' || chr(10) AS segment, length(segment) AS n,
+    sum(n) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, name, text ROWS UNBOUNDED PRECEDING) - n AS start
+  FROM heads
+),
+chunked AS (
+  SELECT *, (start // {perspectives.CHUNK})::BIGINT AS chunk, min(start) OVER (PARTITION BY conv_id, perspective, chunk) AS first
+  FROM placed
+)
+SELECT conv_id, perspective, chunk, min(start)::BIGINT AS start, count(*) AS n_turns,
+  string_agg(segment, '' ORDER BY start) AS text,
+  string_agg((start - first + length(head))::VARCHAR || '-' || (start - first + n)::VARCHAR, ',' ORDER BY start) FILTER (own) AS masks
+FROM chunked GROUP BY conv_id, perspective, chunk""",
     "op7_host_rules": f"""
 WITH cut AS (
   SELECT doc_id, source, coalesce(text, '') AS text,

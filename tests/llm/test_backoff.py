@@ -1,0 +1,105 @@
+import math
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from earshot.llm import backoff
+from earshot.llm.queries import op1_backoff
+
+
+def tokens(text):
+    return (text or "").encode().lower().split() + [b"\n"]
+
+
+def brute(docs, order):
+    """``docs``: (id, text, held out). Scores by plain dictionaries."""
+    grams = [Counter() for _ in range(order)]
+    trained = 0
+    for _, text, held_out in docs:
+        if not held_out:
+            trained += 1
+            padded = [b" "] * (order - 1) + tokens(text)
+            for n in range(order):
+                for t in range(order - 1, len(padded)):
+                    grams[n][tuple(padded[t - n : t + 1])] += 1
+    total, seen = sum(grams[0].values()), len(grams[0])
+    floors = [sum(v == 1 for v in g.values()) / sum(g.values()) if g else 1.0 for g in grams]
+
+    def probability(gram):
+        if len(gram) == 1:
+            return (grams[0][gram] + 1) / (total + seen + 1)
+        level, before = grams[len(gram) - 1], gram[:-1]
+        history = trained if set(before) == {b" "} else grams[len(before) - 1][before]
+        left = (floors[len(gram) - 1] * history + backoff.PSEUDO_COUNT) / (history + backoff.PSEUDO_COUNT)
+        return (1 - left) * level[gram] / max(history, 1) + left * probability(gram[1:])
+
+    out = {}
+    for doc_id, text, held_out in docs:
+        padded = [b" "] * (order - 1) + tokens(text)
+        own = padded[order - 1 :]
+        out[doc_id] = (
+            held_out, len(own), sum(grams[0][(t,)] > 0 for t in own), total,
+            sum(math.log10((grams[0][(t,)] + 1) / (total + seen + 1)) for t in own),
+            sum(math.log10(probability(tuple(padded[t - order + 1 : t + 1]))) for t in range(order - 1, len(padded))),
+        )
+    return out, probability, grams
+
+
+def same(rows, want):
+    assert {r.doc_id for r in rows} == set(want)
+    for r in rows:
+        held_out, n, known, total, base, score = want[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held_out, n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9, abs=1e-9) and r.score == pytest.approx(score, rel=1e-9, abs=1e-9)
+
+
+def test_query_equals_brute_force(spark, sf_dir, doc_rows):
+    docs = [(i, r.text, zlib.crc32(str(i).encode()) % 7 == 2) for i, r in doc_rows.items()]
+    rows = op1_backoff(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    same(rows, brute(docs, backoff.ORDER)[0])
+    # What was learnt helps on what was not seen.
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_orders_and_many_small_blocks(spark, docs, doc_rows, order, monkeypatch):
+    monkeypatch.setattr(backoff, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(backoff, "RANGE_BYTES", 50_000)
+    monkeypatch.setattr(backoff, "GATHERED", 3000)
+    rows = backoff.score(docs, F.col("doc_id") % 3 == 0, order=order).collect()
+    same(rows, brute([(i, r.text, i % 3 == 0) for i, r in doc_rows.items()], order)[0])
+
+
+def test_probabilities_add_up_to_one():
+    _, probability, grams = brute([(1, "a b a c a b", False), (2, "b b a", False)], 3)
+    words = [g[0] for g in grams[0]] + [b"never seen"]
+    for before in ([b" ", b" "], [b" ", b"a"], [b"a", b"b"], [b"c", b"c"], [b"never seen", b"a"]):
+        assert sum(probability((*before, w)) for w in words) == pytest.approx(1)
+
+
+def test_traverse_takes_arcs_then_failures():
+    root, arcs, fails = [-1.0, -2.0], [[-0.5, None], [None, -0.25]], [[-9.0, -3.0], [-4.0, -9.0]]
+    automaton = backoff.Automaton(root, arcs, fails)
+    assert automaton.traverse([(0, 0, 0)]) == -4.5  # no longest arc: fail, then the next
+    assert automaton.traverse([(1, 1, 1), (1, 1, 0)]) == -0.25 + (-4.0 - 3.0 - 2.0)
+    assert backoff.Automaton(root, arcs[:1], fails[:1]).traverse([(0, 0), (1, 1)]) == -0.5 + (-3.0 - 2.0)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = backoff.score(odd_docs, F.lit(False)).collect()
+    assert len(rows) == odd_docs.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[1].n_tokens == by_id[2].n_tokens == by_id[3].n_tokens == 1
+    assert by_id[4].n_tokens == 60_001
+    assert all(r.n_known == r.n_tokens and r.train_tokens == by_id[1].train_tokens for r in rows)
+    unseen = backoff.score(odd_docs, F.lit(True)).collect()
+    assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in unseen} == {(0, 0, 0.0, 0.0)}
+    assert backoff.score(no_docs, F.lit(True)).count() == 0
+
+
+def test_settings():
+    assert backoff._bytes("134217728b") == 1 << 27 and backoff._bytes("16m") == backoff._bytes("16MB") == 1 << 24

@@ -1,0 +1,102 @@
+import hashlib
+import random
+import unicodedata
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from earshot.llm import merges
+from earshot.llm.queries import VOCABULARY, op3_bpe
+
+PATH = public_tokenizers.path(VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def own():
+    return merges.load(PATH)
+
+
+def test_query_equals_library(spark, sf_dir, doc_rows, library):
+    found = {r.doc_id: r for r in op3_bpe(spark, sf_dir).collect()}
+    assert found.keys() == doc_rows.keys()
+    for doc_id, row in doc_rows.items():
+        ids = library.encode(row.text or "", add_special_tokens=False).ids
+        got = found[doc_id]
+        assert got.n_tokens == len(ids)
+        assert got.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        text = library.decode(ids, skip_special_tokens=False)
+        assert got.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_every_character_as_the_library_has_it(library, own):
+    # All that both sides' versions of Unicode know.
+    letters = [c for c in map(chr, range(0x11_0000)) if unicodedata.category(c) not in ("Cn", "Cs")]
+    for at in range(0, len(letters), 4096):
+        texts = [f"a{c}b {c}9" for c in letters[at : at + 4096]]
+        for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert own.encoded(text).tolist() == want.ids, repr(text)
+
+
+def test_random_texts_as_the_library_has_them(library, own):
+    rng = random.Random(3)
+    parts = [
+        "the", "Then", "'s", "'LL", "don't", "é", "é", "ß", "ΟΔΟΣ", "Σ", "漢字", "🙂", "123", "4", "!!", "...", " ", "  ", "\n",
+        "\t", "\x1c", "\x85", "　", "<|endoftext|>", "<|startoftext|>", "<|end", "İ", "ﬁ", "​", "\x00", "_", "a" * 40, "'", "re",
+    ]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        want = library.encode(text, add_special_tokens=False).ids
+        ids = own.encoded(text)
+        assert ids.tolist() == want, repr(text)
+        assert own.decoded(ids.tolist()) == library.decode(want, skip_special_tokens=False)
+
+
+def test_merges_take_the_lowest_rank_first_and_skip_stale_ones():
+    vocab = {c: i for i, c in enumerate(["a", "b", "c", "ab", "bc", "abc", "aa", "aaa"])}
+    own = merges.Merges(vocab, [("b", "c"), ("a", "b"), ("a", "bc"), ("a", "a"), ("aa", "a")], r"\S+", "", {})
+
+    def strings(text):
+        return [own.strings[i] for i in own.merged([vocab[c] for c in text])]
+
+    assert strings("abc") == ["abc"] and strings("abab") == ["ab", "ab"]
+    assert strings("aaaa") == ["aa", "aa"] and strings("aaa") == ["aaa"] and strings("a") == ["a"] and strings("") == []
+
+
+def test_long_text_and_digest_slices(library, own, monkeypatch):
+    text = " ".join(f"word{i} thing" for i in range(30_000))
+    ids = own.encoded(text)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    want = merges.spoken(own, ids)
+    monkeypatch.setattr(merges, "SLICE", 1000)
+    assert merges.spoken(own, ids) == want
+    assert merges.spoken(own, ids[:0]) == (hashlib.sha256(b"").hexdigest(),) * 2
+
+
+def test_a_full_memory_changes_nothing(own, monkeypatch):
+    fresh = merges.load.__wrapped__(PATH)
+    monkeypatch.setattr(merges, "REMEMBERED", 3)
+    text = "one two three four five one six four two"
+    assert fresh.encoded(text).tolist() == own.encoded(text).tolist() and len(fresh.chunks) == 3
+
+
+def test_round_trip(spark, docs, doc_rows, own):
+    ids = merges.encoded(docs, PATH)
+    back = {r.doc_id: r.text for r in merges.decoded(ids, PATH).collect()}
+    for doc_id, text in back.items():
+        assert text == own.decoded(own.encoded(doc_rows[doc_id].text).tolist())
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = merges.digests(odd_docs, PATH).collect()
+    assert len(rows) == odd_docs.count()
+    assert {r.n_tokens for r in rows if r.doc_id in (1, 2, 3)} == {0}
+    assert merges.digests(no_docs, PATH).count() == 0
+    end = merges.encoded(odd_docs, PATH, end_id=2).filter("doc_id = 1").first().ids
+    assert np.frombuffer(end, "<u4").tolist() == [2]

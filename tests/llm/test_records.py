@@ -1,0 +1,68 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from earshot.llm import records
+from earshot.llm.queries import END_ID, VOCABULARY, op5_records
+
+PATH = public_tokenizers.path(VOCABULARY)
+
+
+def test_query_equals_library(spark, sf_dir, doc_rows):
+    library, start = Tokenizer.from_file(PATH), 0
+    found = {r.doc_id: r for r in op5_records(spark, sf_dir).collect()}
+    assert found.keys() == doc_rows.keys()
+    for doc_id in sorted(doc_rows):
+        ids = np.array(library.encode(doc_rows[doc_id].text or "", add_special_tokens=False).ids + [END_ID], "<u4")
+        got = found[doc_id]
+        assert (got.start, got.n_tokens, got.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_record_round_trip_and_damage():
+    payloads = [
+        records.payload_of(5, np.array([1, 2, 3], "<u4")), records.payload_of(None, np.array([70_000], "<u4")),
+        records.payload_of(-7, np.zeros(0, "<u4")), records.payload_of(0, np.arange(100_000, dtype="<u4")),
+    ]
+    data = b"".join(records.framed(p) + records.END for p in payloads)
+    places = list(records.offsets(data))
+    assert [records.payload_at(data, at) for at in places] == payloads
+    doc_id, ids = records.read_payload(payloads[3])
+    assert doc_id == 0 and ids.tolist() == list(range(100_000))
+    assert records.read_payload(payloads[1])[0] is None
+    for at in (0, 9, places[1] + 13, places[2] - 2, places[2] - 1):
+        broken = data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :]
+        with pytest.raises(ValueError):
+            [records.payload_at(broken, p) for p in records.offsets(broken)]
+    with pytest.raises(ValueError):
+        [records.payload_at(data[:-1], p) for p in places]
+
+
+def test_files_index_and_shuffled_reads(spark, docs):
+    path = records.write(docs, PATH, END_ID, file_bytes=40_000)
+    entries = records.index(spark, path).orderBy("file", "offset").collect()
+    assert len({r.file for r in entries}) > 3
+    assert [r.doc_id for r in entries] == sorted(r.doc_id for r in docs.collect())
+    start = 0
+    for r in entries:
+        assert r.start == start
+        start += r.n_tokens
+    read = {(r.file, r.offset): r for r in records.read(spark, path).collect()}
+    assert {(r.file, r.offset) for r in entries} == set(read)
+    assert all(len(read[r.file, r.offset].ids) == 4 * r.n_tokens for r in entries)
+    one, again = (records.read_shuffled(spark, path, 1).collect() for _ in range(2))
+    other = records.read_shuffled(spark, path, 2).collect()
+    assert one == again and [r.doc_id for r in one] != [r.doc_id for r in other]
+    assert sorted(r.doc_id for r in one) == sorted(r.doc_id for r in other) == [r.doc_id for r in entries]
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    path = records.write(odd_docs, PATH, END_ID)
+    entries = records.index(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in entries] == [None, None, 1, 2, 3, 4, 5, 6, 6, 8, 9, 10]
+    assert [r.n_tokens for r in entries if r.doc_id in (1, 2, 3)] == [1, 1, 1]
+    path = records.write(no_docs, PATH, END_ID)
+    assert records.read(spark, path).count() == 0 and records.index(spark, path).count() == 0

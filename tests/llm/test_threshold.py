@@ -1,0 +1,62 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from earshot.llm import threshold
+
+
+def brute(ids, vectors, query, own, k):
+    scores = sorted(((-int(v @ query), int(i)) for i, v in zip(ids, vectors) if i != own))
+    return [(i, -s) for s, i in scores[:k]]
+
+
+@pytest.mark.parametrize("kind", ["random", "ties", "clusters", "huge"])
+def test_walk_equals_brute_force(kind):
+    rng = np.random.default_rng(5)
+    n, width = 700, 12
+    vectors = rng.integers(-1000, 1000, (n, width))
+    if kind == "ties":
+        vectors = rng.integers(-1, 2, (n, width))
+    elif kind == "clusters":
+        vectors = rng.integers(-1000, 1000, (10, width))[rng.integers(0, 10, n)] + rng.integers(-20, 20, (n, width))
+    elif kind == "huge":
+        vectors = vectors * (1 << 17)
+    ids = rng.permutation(n) * 3
+    lists, depths = threshold.SortedLists(ids, vectors.astype(np.int64)), []
+    for q in range(0, n, 40):
+        found, scores, depth = lists.top(vectors[q].astype(np.int64), 10, int(ids[q]))
+        assert list(zip(found.tolist(), scores.tolist())) == brute(ids, vectors.astype(object), vectors[q].astype(object), ids[q], 10)
+        depths.append(depth)
+    if kind == "clusters":
+        assert np.mean(depths) < n / 2  # the bound ends the walk
+    zero = lists.top(np.zeros(width, np.int64), 3, -1)
+    assert zero[0].tolist() == sorted(ids.tolist())[:3]
+
+
+def test_small_blocks_equal_one(spark, sf_dir):
+    vectors = threshold.whole_numbers(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    some = F.col("vec_id") % 20 == 0
+    one = threshold.top_products(vectors, some)
+    many = threshold.top_products(vectors, some, block=64, query_block=7)
+    assert sorted(one.collect()) == sorted(many.collect())
+
+
+def test_odd_rows(spark):
+    rows = [
+        (0, [1.0, 0.5]), (100, [0.25, -1.0]), (100, [0.25, -1.0]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []),
+        (5, [1.0, None]), (6, [math.nan, 1.0]), (7, [math.inf, 1.0]), (None, [1.0, 1.0]), (8, [1.0, 2.0, 3.0]), (200, [0.0, 0.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = threshold.whole_numbers(df)
+    assert vectors.count() == 7
+    out = threshold.top_products(vectors, F.col("vec_id") % 100 == 0, k=3)
+    found = {}
+    for r in out.orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    exact = 1024 * 1024 + 512 * 512
+    assert found[0] == [(1, 1, exact), (2, 2, exact), (3, 200, 0)]
+    assert found[200] == [(1, 0, 0), (2, 1, 0), (3, 2, 0)]
+    assert len(found[100]) == 3 and set(found) == {0, 100, 200}
+    assert threshold.top_products(threshold.whole_numbers(df.limit(0)), F.col("vec_id") == 0).count() == 0
