@@ -9,6 +9,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from earshot.functions import columns
 from earshot.operators import factorize, profiles, similar
 from earshot.plans import training
 from earshot.sources import models, schemas, storage, tables
@@ -30,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
         for path in needed:
             sub.add_argument(path)
         sub.add_argument("--out", help="write Parquet here instead of printing")
+        sub.add_argument("--display", action="store_true", help="short texts, rounded figures, names for the unknown")
         return sub
 
     train = command("train", _train, "interactions", "model")
@@ -74,14 +76,28 @@ def _warn_unknown(wanted: DataFrame | None, known: DataFrame) -> None:
 
 
 def _deliver(df: DataFrame, out: str | None, order: list[str]) -> None:
+    """All rows, to files or printed with tabs; the values are the same either way.
+
+    Printed rows come to the driver one partition at a time.
+    """
     if out:
         df.write.parquet(out)
-    else:
-        df.orderBy(*order).show(1000, truncate=False)
+        return
+    print(*df.columns, sep="\t")
+    for row in df.orderBy(*order).toLocalIterator(prefetchPartitions=True):
+        print(*("" if value is None else value for value in row), sep="\t")
+
+
+def _warn_unreadable(spark: SparkSession, path: str, schema) -> None:
+    lost = tables.unreadable_cells(spark, path, schema).head().asDict()
+    for name, n in lost.items():
+        if n:
+            print(f"{n} cells of {name} in {path} cannot be read and count as missing")
 
 
 def _train(spark: SparkSession, args) -> None:
     tables.validate_inputs(spark, {"interactions": args.interactions})
+    _warn_unreadable(spark, args.interactions, schemas.INTERACTIONS)
     # Parsed once; every later pass reads columns.
     plays = storage.written(tables.read_interactions(spark, args.interactions), "plays")
     result = training.train_and_save(
@@ -89,7 +105,7 @@ def _train(spark: SparkSession, args) -> None:
         overwrite=args.overwrite, ranks=args.ranks, regs=args.regs, alphas=args.alphas,
         iterations=args.iterations,
     )
-    result.report.show()
+    _deliver(result.report, None, ["rows_before"])
     _deliver(result.metrics, args.out, ["rank", "reg", "alpha", "iterations"])
 
 
@@ -105,23 +121,26 @@ def _similar(spark: SparkSession, args) -> None:
         )
     found = similar.similar_users(
         vectors, wanted, args.top, args.method, index,
-        users=tables.read_dimension(spark, args.users, schemas.USERS), display=args.out is None,
+        users=tables.read_dimension(spark, args.users, schemas.USERS), display=args.display,
     )
     _deliver(found, args.out, ["query_id", "rank"])
 
 
 def _history(spark: SparkSession, args) -> None:
+    _warn_unreadable(spark, args.interactions, schemas.INTERACTIONS)
     plays = tables.read_interactions(spark, args.interactions)
     wanted = _ids(spark, args.ids, "user_id")
     _warn_unknown(wanted, plays)
     songs = tables.read_dimension(spark, args.songs, schemas.SONGS)
-    shown = profiles.history(plays, songs, args.limit, wanted, display=args.out is None)
+    shown = profiles.history(plays, songs, args.limit, wanted, display=args.display)
     _deliver(shown, args.out, ["user_id", "rank"])
 
 
 def _stats(spark: SparkSession, args) -> None:
+    _warn_unreadable(spark, args.interactions, schemas.INTERACTIONS)
     plays = tables.read_interactions(spark, args.interactions)
-    _deliver(profiles.user_stats(plays, _ids(spark, args.ids, "user_id")), args.out, ["user_id"])
+    digits = columns.AVERAGE_DIGITS if args.display else None
+    _deliver(profiles.user_stats(plays, _ids(spark, args.ids, "user_id"), digits), args.out, ["user_id"])
 
 
 def _describe(spark: SparkSession, args) -> None:

@@ -8,12 +8,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Display texts for missing names, width of a text, decimals of a distance.
+# Display texts for missing names, width of a text, decimals of a distance and of an average.
 UNKNOWN_TITLE = "Desconocida"
 UNKNOWN_ARTIST = "Desconocido"
 UNKNOWN_USERNAME = "N/A"
 DISPLAY_WIDTH = 33
 DISTANCE_DIGITS = 4
+AVERAGE_DIGITS = 2
 
 
 def log_rating(plays: str = "play_count") -> Column:

@@ -22,8 +22,16 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
+    if not rows:
+        return np.empty((0, 0))
+    lengths = column.value_lengths()
+    if column.null_count or len(lengths.unique()) != 1:
+        raise ValueError("vectors must be there and of one length")
+    values = column.flatten()
+    flat = values.to_numpy(zero_copy_only=False).astype(np.float64)
+    if values.null_count or np.isnan(flat).any():
+        raise ValueError("vectors must not have missing or NaN entries")
+    return flat.reshape(rows, -1)
 
 
 def id_array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -52,6 +60,16 @@ class Nearest:
         self.bound = np.full(len(ids), np.inf)
 
     def add(self, ids, vectors, codes=None):
+        if len(ids) and vectors.shape[1] != self.vectors.shape[1]:
+            raise ValueError("vectors must be of one length")
+        if codes is not None:
+            # Members that share no bucket with any query are not compared at all.
+            reach = np.zeros(len(ids), bool)
+            for t in range(codes.shape[1]):
+                reach |= np.isin(codes[:, t], self.codes[:, t])
+            ids, vectors, codes = ids[reach], vectors[reach], codes[reach]
+        if not len(ids):
+            return
         few = self._few_copies(ids, vectors)
         ids, vectors = ids[few], vectors[few]
         codes = None if codes is None else codes[few]

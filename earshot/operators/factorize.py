@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 
 from earshot.sources import schemas, storage
 
-# Ratings a block should hold at most and at least, and the most blocks the pairwise
-# exchange between user and item blocks allows.
+# Ratings a block should hold at most and at least.
 MAX_RATINGS_PER_BLOCK, MIN_RATINGS_PER_BLOCK = 2_000_000, 25_000
-MAX_BLOCKS = 2_000
 
 
 def block_count(ratings: int, parallelism: int) -> int:
     """Blocks on either side: one per core, fewer for little data, more for much."""
     spread = min(parallelism, math.ceil(ratings / MIN_RATINGS_PER_BLOCK))
-    return max(1, min(MAX_BLOCKS, max(spread, math.ceil(ratings / MAX_RATINGS_PER_BLOCK))))
+    return max(1, spread, math.ceil(ratings / MAX_RATINGS_PER_BLOCK))
 
 
 def train(
@@ -37,16 +35,20 @@ def train(
     blocks: int | None = None,
     block_size: int = 4096,
     checkpoint_interval: int = 5,
+    checked_rows: int | None = None,
 ) -> ALSModel:
     """Fit on (user, item, rating) rows; repeated pairs count as separate rows.
 
+    The rows are checked and counted first; ``checked_rows`` is the count of rows that
+    :func:`schemas.require_trainable` has passed already.
+
     The start of the search depends on ``seed`` and ``blocks``: fix both to get the
     same factors from clusters of different size.
     """
     spark = ratings.sparkSession
     storage.ensure_checkpoint_dir(spark)
     rows = ratings.select(user, item, rating)
-    n = schemas.require_trainable(rows, user, item, rating)
+    n = schemas.require_trainable(rows, user, item, rating) if checked_rows is None else checked_rows
     blocks = blocks or block_count(n, spark.sparkContext.defaultParallelism)
     return ALS(
         rank=rank,

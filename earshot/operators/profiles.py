@@ -8,12 +8,29 @@ from pyspark.sql import types as T
 
 from earshot.functions import columns
 from earshot.operators import ranking, skew
-from earshot.sources import schemas
+from earshot.sources import schemas, storage
 
 
-def for_users(df: DataFrame, ids: DataFrame, user: str = "user_id") -> DataFrame:
-    """Rows of the requested users; ``ids`` has a column of the same name."""
-    return df.join(ids.select(user), user, "left_semi")
+def for_users(
+    df: DataFrame,
+    ids: DataFrame,
+    user: str = "user_id",
+    max_broadcast_keys: int = skew.MAX_BROADCAST_KEYS,
+    rows_per_slice: int = skew.ROWS_PER_SLICE,
+) -> DataFrame:
+    """Rows of the requested users; ``ids`` has a column of the same name.
+
+    Counts the ids when called. Up to ``max_broadcast_keys`` they are broadcast and no row
+    moves; beyond, the rows are counted per requested user, and those of a hot one are cut into slices.
+    """
+    wanted = storage.written(ids.select(user).filter(F.col(user).isNotNull()).distinct(), "wanted")
+    n = wanted.count()
+    if n <= max_broadcast_keys:
+        return df.join(F.broadcast(wanted), user, "left_semi")
+    counts = df.groupBy(user).agg(F.count("*").alias("_user_rows")).join(wanted, user, "left_semi")
+    counts = storage.written(counts, "wanted-counts")
+    kept = skew.attach_counts(df, counts, user, "_user_rows", n, rows_per_slice, max_broadcast_keys)
+    return kept.select(*df.columns)
 
 
 def unknown_users(ids: DataFrame, known: DataFrame, user: str = "user_id") -> DataFrame:
@@ -78,7 +95,7 @@ def history(
         named = ranked.withColumn("title", text).withColumn("artist_name", text)
     else:
         unique = schemas.one_per_key(songs.select(item, "title", "artist_name"), item)
-        named = skew.lookup(ranked, unique, item, [user])
+        named = skew.lookup(ranked, unique, item)
     title, artist, count = F.col("title"), F.col("artist_name"), F.col(plays)
     if display:
         count = F.coalesce(count, F.lit(0))

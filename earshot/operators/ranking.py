@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from earshot.operators import skew
 from earshot.sources import storage
 
-# Identical rows numbered by one task in one go.
-COPIES_PER_CHUNK = 100_000
+
+def _order(df: DataFrame, item: str, plays: str) -> list[Column]:
+    """Plays descending (missing last), song ascending (missing first), then whatever else the row holds."""
+    return [F.col(plays).desc(), F.col(item).asc(), F.xxhash64(*df.columns).asc()]
 
 
 def top_n(df: DataFrame, user: str, item: str, plays: str, n: int) -> DataFrame:
-    """Adds ``rank`` and keeps ``rank <= n``.
+    """Adds ``rank`` and keeps ``rank <= n``; all other columns stay.
 
-    Spark drops rows beyond ``n`` in each partition before the shuffle, up to a
-    threshold on ``n``; beyond it the ranking that cuts up hot users is used.
+    Spark drops rows beyond ``n`` in each partition before the shuffle, up to a threshold
+    on ``n``; beyond it every row is ranked, hot users apart.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > threshold:
@@ -27,7 +28,7 @@ def top_n(df: DataFrame, user: str, item: str, plays: str, n: int) -> DataFrame:
 
 
 def _by_window(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
-    order = Window.partitionBy(user).orderBy(F.col(plays).desc(), F.col(item))
+    order = Window.partitionBy(user).orderBy(*_order(df, item, plays))
     return df.withColumn("rank", F.row_number().over(order).cast("long"))
 
 
@@ -38,62 +39,38 @@ def rank_all(
     plays: str,
     rows_per_task: int = skew.ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Adds ``rank`` to every row, without ever sorting one hot user in one task.
+    """Adds ``rank`` to every row with a user, without ever sorting one hot user in one task.
 
-    The users with more than ``rows_per_task`` rows are counted out first; mostly
-    there are none, and one window does.
+    Runs a count when called: the users with more than ``rows_per_task`` rows are ranked
+    by ranges, the others by a window. Both give the same ranks.
     """
-    rows = df.filter(F.col(user).isNotNull()).select(user, item, plays)
+    rows = df.filter(F.col(user).isNotNull())
     counts = rows.groupBy(user).agg(F.count("*").alias("_n"))
-    hot = storage.written(skew.hot_keys(counts, [user], "_n", rows_per_task), "hot-users").select(user)
+    hot = skew.hot_keys(counts, [user], "_n", rows_per_task).select(user)
     if hot.isEmpty():
         return _by_window(rows, user, item, plays)
-    light = _by_window(rows.join(F.broadcast(hot), user, "left_anti"), user, item, plays)
-    heavy = _by_digits(rows.join(F.broadcast(hot), user, "left_semi"), user, item, plays)
+    light = _by_window(rows.join(hot, user, "left_anti"), user, item, plays)
+    heavy = _by_ranges(rows.join(hot, user, "left_semi"), user, item, plays)
     return light.unionByName(heavy)
 
 
-def _by_digits(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
-    """Rank as a sum of "rows before mine", one digit of the sort key at a time.
+def _by_ranges(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
+    """Rank as the place in a sorted range plus the user's rows in the ranges before.
 
-    The first digit is the play count, the others are 16-bit pieces of the song id,
-    high to low, so a running sum never spans more than 65,536 entries below one
-    play count. Identical rows travel as one row with a number of copies.
+    The rows are dealt out by ranges of the whole order, which any number of tasks sort
+    side by side; copies of one row are told apart by where they were read. The sorted
+    rows are written, as their numbers must not change when a task runs again.
     """
-    cells = df.groupBy(user, item, plays).agg(F.count("*").alias("_copies"))
-    bits = 32 if isinstance(df.schema[item].dataType, T.IntegerType) else 64
-    # Descending, NULL last.
-    cells = cells.withColumn("_d0", -F.coalesce(F.col(plays).cast("long"), F.lit(-(2**62))))
-    names = ["_d0"]
-    for i, shift in enumerate(range(bits - 16, -1, -16), start=1):
-        piece = F.shiftright(F.col(item), shift)
-        # The highest piece keeps its sign, NULL sorts first.
-        digit = piece if i == 1 else piece.bitwiseAND(F.lit(0xFFFF))
-        cells = cells.withColumn(f"_d{i}", F.coalesce(digit.cast("long"), F.lit(-(2**62))))
-        names.append(f"_d{i}")
-
-    prefix, starts = [user], None
-    for name in names:
-        before = Window.partitionBy(*prefix).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-        level = (
-            cells.groupBy(*prefix, name)
-            .agg(F.sum("_copies").alias("_rows"))
-            .select(*prefix, name, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-        )
-        if starts is not None:
-            level = level.join(starts, prefix).withColumn("_before", F.col("_before") + F.col("_start"))
-        starts = level.select(*prefix, name, F.col("_before").alias("_start"))
-        prefix = [*prefix, name]
-
-    # Every cell has a full digit key of its own by now.
-    placed = cells.join(starts, prefix)
-    steps = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_PER_CHUNK).cast("long"))
-    # A chunk is few bytes that become many rows: a fixed number of partitions, so that
-    # adaptive execution does not merge them by size.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = placed.withColumn("_chunk", F.explode(steps)).repartition(tasks, user, item, plays, "_chunk")
-    end = F.least(F.col("_chunk") + COPIES_PER_CHUNK, F.col("_copies"))
-    return chunks.select(
-        user, item, plays,
-        F.explode(F.sequence(F.col("_start") + F.col("_chunk") + 1, F.col("_start") + end)).alias("rank"),
+    copy = df.withColumn("_copy", F.monotonically_increasing_id())
+    order = [F.col(user).asc(), *_order(df, item, plays), F.col("_copy").asc()]
+    placed = copy.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    placed = storage.written(placed.drop("_copy"), "ranges")
+    # Few rows: one per user and range.
+    shares = placed.groupBy(user, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(user).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shares.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    ranked = placed.join(starts, [user, "_range"]).withColumn(
+        "rank", F.col("_at") - F.col("_first") + F.col("_before") + 1
     )
+    return ranked.select(*df.columns, "rank")

@@ -16,11 +16,11 @@ from earshot.functions.nearest import FOUND, Nearest, id_array, matrix
 from earshot.operators import skew
 from earshot.sources import schemas, storage
 
-# Most query vectors that are broadcast; more go through the cells of _by_cells.
-MAX_BROADCAST_QUERIES = 16384
-# Queries and members that meet in one cell: small enough to keep every core busy
-# and to fit in memory, large enough not to copy vectors around for little work.
-MIN_ROWS_PER_CELL, MAX_ROWS_PER_CELL = 1024, 32768
+# Query vectors that are collected and broadcast, in bytes; more go through the cells of _by_cells.
+MAX_BROADCAST_BYTES = 16 << 20
+# Vectors of either side that meet in one cell, in bytes: they fit in memory, and their
+# comparing takes longer than their moving. A cell is made smaller to keep every core busy.
+MIN_CELL_BYTES, MAX_CELL_BYTES = 1 << 19, 16 << 20
 CELLS_PER_CORE = 4
 
 _FOUND = "query_id long, neighbor_id long, dist double"
@@ -54,7 +54,7 @@ def signatures(vectors: DataFrame, index: BucketedRandomProjectionLSHModel) -> D
 
 
 def bucket_profile(vectors: DataFrame, index: BucketedRandomProjectionLSHModel) -> DataFrame:
-    """Per hash table: buckets, largest bucket, and comparisons a search for everyone makes.
+    """Per hash table: buckets, largest bucket, vectors in all, and comparisons a search for everyone makes.
 
     Shows whether a bucket length prunes anything before a search is started.
     """
@@ -67,6 +67,7 @@ def bucket_profile(vectors: DataFrame, index: BucketedRandomProjectionLSHModel)
     return sizes.groupBy("table").agg(
         F.count("*").alias("buckets"),
         F.max("count").alias("largest"),
+        F.sum("count").alias("vectors"),
         F.sum(F.col("count").cast("decimal(38,0)") * (F.col("count") - 1)).alias("comparisons"),
     )
 
@@ -79,49 +80,45 @@ def similar_to(
     users: DataFrame | None = None,
     display: bool = False,
 ) -> DataFrame:
-    """One user's neighbours through MLlib's own search; no rows for an unknown user.
+    """One user's neighbours among those that share a bucket; no rows for an unknown user.
 
-    The user is taken out before the search, so equal vectors cannot push the
-    result above or below ``k``.
+    The same search as for many, so equal distances are ordered by id here too.
     """
-    key = _with_vector(vectors.filter(F.col("id") == user_id)).select("features_vec").head()
-    if key is None:
-        found = vectors.sparkSession.createDataFrame([], _FOUND)
-    else:
-        others = _with_vector(vectors.filter(F.col("id") != user_id))
-        found = index.approxNearestNeighbors(others, key["features_vec"], k).select(
-            F.lit(user_id).cast("long").alias("query_id"),
-            F.col("id").cast("long").alias("neighbor_id"),
-            F.col("distCol").alias("dist"),
-        )
-    return _named(_ranked(found, k), users, display)
+    asked = vectors.sparkSession.createDataFrame([(user_id,)], "id long")
+    return similar_users(vectors, asked, k, "lsh", index, users=users, display=display)
 
 
 def similar_users(
     vectors: DataFrame,
     queries: DataFrame | None = None,
     k: int = 10,
-    method: str = "exact",
+    method: str | None = None,
     index: BucketedRandomProjectionLSHModel | None = None,
     users: DataFrame | None = None,
     digits: int | None = None,
     display: bool = False,
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     rows_per_cell: int | None = None,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``neighbor_id``, ``dist``, ``username``.
 
     ``vectors`` has ``id`` and ``features``; ``queries`` a column ``id`` (everyone
-    when left out). ``method="exact"`` compares with all vectors, ``"lsh"`` with
-    those that share a bucket of ``index`` and may return fewer than ``k``; vectors
-    that :func:`signatures` has already hashed need no index. Nobody is
-    their own neighbour; equal distances are ordered by id. With ``digits`` the
-    distance is rounded before it is ranked; ``display`` rounds it afterwards and
-    fills in missing names.
+    when left out). ``method="exact"`` compares with all vectors, ``"lsh"`` (the default
+    where an index is given or the vectors are hashed) with those that share a bucket of
+    ``index`` and may return fewer than ``k``; vectors that :func:`signatures` has already
+    hashed need no index. Nobody is their own neighbour; equal distances are ordered by
+    id. With ``digits`` the distance is rounded before it is ranked; ``display`` rounds it
+    afterwards and fills in missing names.
+
+    Users without a vector neither ask nor answer. Vectors of different lengths, or with
+    missing or NaN entries, are an error. Counts the queries when called.
     """
+    if method is None:
+        method = "lsh" if index is not None or "codes" in vectors.columns else "exact"
     if method not in ("exact", "lsh"):
         raise ValueError(f"method must be 'exact' or 'lsh', is {method!r}")
     hashed = method == "lsh"
+    vectors = vectors.filter(F.col("features").isNotNull())
     if hashed and "codes" not in vectors.columns:
         if index is None:
             raise ValueError("method 'lsh' needs an index, or vectors with codes")
@@ -134,10 +131,13 @@ def similar_users(
     def wanted(members: DataFrame) -> DataFrame:
         return members if ids is None else members.join(ids, "id", "left_semi")
 
-    n_queries = wanted(members).count()
-    if n_queries == 0:
+    asked = wanted(members).agg(
+        F.count("*").alias("n"), F.max(F.size("features")).alias("width"),
+        *([F.max(F.size("codes")).alias("tables")] if hashed else [F.lit(0).alias("tables")]),
+    ).head()
+    if asked.n == 0:
         found = vectors.sparkSession.createDataFrame([], _FOUND)
-    elif n_queries <= max_broadcast_queries:
+    elif asked.n * (asked.width + asked.tables + 1) * 8 <= max_broadcast_bytes:
         found = _by_broadcast(members, wanted(members).toArrow(), k, digits)
     else:
         # Read several times from here on, and not to be computed again when an executor is lost.
@@ -206,13 +206,14 @@ def _by_cells(
     tasks = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
     if rows_per_cell is None:
         even = math.ceil(math.sqrt(compared / tasks))
-        rows_per_cell = min(MAX_ROWS_PER_CELL, max(MIN_ROWS_PER_CELL, even))
+        width = 8 * (members.select(F.max(F.size("features"))).head()[0] + 1)
+        rows_per_cell = max(1, min(MAX_CELL_BYTES // width, max(MIN_CELL_BYTES // width, even)))
     # A cell is much work for few bytes: the partitions are numbered by work, so that
     # adaptive execution does not merge them by size. Few cells get more partitions than
     # there are cells, as hashing would put several of them into one.
     tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cells = math.ceil(compared / rows_per_cell**2)
-    partitions = max(1, min(4 * tasks, 4 * cells))
+    partitions = max(1, min(4 * cells, max(4 * tasks, cells)))
 
     def cut(df: DataFrame) -> DataFrame:
         """Adds the bucket, and into how many blocks and slices it is cut."""
@@ -220,7 +221,7 @@ def _by_cells(
             rows = df.select("id", "features", F.posexplode("codes").alias(*bucket))
             for counts, rows_name, name in ((asked, "_asked", "_blocks"), (offered, "_offered", "_slices")):
                 hot = skew.hot_keys(counts, bucket, rows_name, rows_per_cell, name)
-                rows = rows.join(F.broadcast(hot), bucket, "left")
+                rows = rows.join(hot, bucket, "left")
             return rows.fillna(1, ["_blocks", "_slices"])
         return df.select(
             "*", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"),
@@ -280,7 +281,7 @@ def _named(found: DataFrame, users: DataFrame | None, display: bool) -> DataFram
             users.select(F.col("user_id").cast("long").alias("neighbor_id"), F.col("Username").alias("username")),
             "neighbor_id",
         )
-        named = skew.lookup(found, names, "neighbor_id", ["query_id"])
+        named = skew.lookup(found, names, "neighbor_id")
     dist, username = F.col("dist"), F.col("username")
     if display:
         dist = F.round(dist, columns.DISTANCE_DIGITS)

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earshot.sources import storage
+
 # Rows of one key that a single task is given.
 ROWS_PER_SLICE = 2_000_000
-# Upper bound of every broadcast hot-key table, in rows of a few bytes each.
-MAX_HOT_KEYS = 100_000
 # Keys of a count table that is broadcast whole, about 100 MB in memory.
 MAX_BROADCAST_KEYS = 2_000_000
+# Rows with texts that are broadcast, about as much.
+MAX_BROADCAST_NAMES = 500_000
 
 
 def slices_of(rows: Column, rows_per_slice: int) -> Column:
@@ -25,18 +27,19 @@ def hot_keys(
     rows: str,
     rows_per_slice: int = ROWS_PER_SLICE,
     slices: str = "_slices",
+    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows and the slices each is cut into.
+    """All keys with more than ``rows_per_slice`` rows and the slices each is cut into.
 
-    Safe to broadcast: the limit bounds it whatever the data, and a key beyond
-    the limit holds less than one ``MAX_HOT_KEYS``-th of all rows.
+    There is at most one for every ``rows_per_slice`` rows. The table is written and
+    counted, and marked for broadcast if it is small enough; a larger one is joined, and
+    adaptive execution splits what is too large for a task of that join.
     """
-    return (
-        counts.filter(F.col(rows) > rows_per_slice)
-        .orderBy(F.col(rows).desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, slices_of(F.col(rows), rows_per_slice).alias(slices))
+    hot = storage.written(
+        counts.filter(F.col(rows) > rows_per_slice).select(*keys, slices_of(F.col(rows), rows_per_slice).alias(slices)),
+        "hot-keys",
     )
+    return F.broadcast(hot) if hot.count() <= max_broadcast_keys else hot
 
 
 def attach_counts(
@@ -62,7 +65,7 @@ def attach_counts(
     known = df.filter(F.col(key).isNotNull())
     if n_keys <= max_broadcast_keys:
         return known.join(F.broadcast(counts), key)
-    hot = F.broadcast(hot_keys(counts, [key], rows, rows_per_slice))
+    hot = hot_keys(counts, [key], rows, rows_per_slice, max_broadcast_keys=max(max_broadcast_keys, 1))
     cut = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.col("_slices"))
     left = (
         known.join(hot, key, "left")
@@ -76,18 +79,14 @@ def attach_counts(
 
 
 def lookup(
-    facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    spread: Sequence[str],
-    slices: int = 8,
+    facts: DataFrame, dimension: DataFrame, key: str, max_broadcast_names: int = MAX_BROADCAST_NAMES
 ) -> DataFrame:
     """Left join with a dimension of one row per key.
 
-    Facts of one key go to ``slices`` places by the ``spread`` columns and the
-    dimension is repeated that often. Both sides are shuffled for this join alone,
-    which is what lets adaptive execution split a slice that is still too large.
+    The dimension is counted: a small one is broadcast. A larger one is shuffled with the
+    facts, each once and for this join alone, which is what lets adaptive execution cut
+    the facts of a frequent key into as many pieces as they need.
     """
-    left = facts.withColumn("_slice", F.pmod(F.xxhash64(*spread), F.lit(slices)).cast("int"))
-    right = dimension.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return left.join(right, [key, "_slice"], "left").drop("_slice")
+    if dimension.count() <= max_broadcast_names:
+        return facts.join(F.broadcast(dimension), key, "left")
+    return facts.join(dimension.hint("merge"), key, "left")

@@ -6,19 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import columns
-from earshot.sources import storage
+
+# Copies of one row dealt out in one go, and the numbers a draw has.
+COPIES_PER_STEP = 100_000
+DRAWS = 1 << 40
 
 
 def random_tag(df: DataFrame, seed: int, train_share: float = 0.8) -> DataFrame:
     """Adds ``is_train``, drawn row by row: repeated (user, song) rows may land on both sides.
 
-    The draw is written to the shared folder, one directory per side, so that every
-    reader sees the same one. Rows are ordered within their partition first, by their
-    content: the same seed on the same partitions draws the same rows.
+    The draw is a hash of the row, of which of its copies it is, and of the seed: the same
+    rows and seed give the same split, however the rows are stored and whatever the
+    cluster. Copies are counted, with partial counts before the shuffle, and dealt out again.
     """
-    ordered = df.sortWithinPartitions(F.xxhash64(*df.columns))
-    drawn = ordered.withColumn("is_train", F.rand(seed) < train_share)
-    return storage.written(drawn, "random-split", "is_train")
+    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    # Two steps, so that no row of many copies becomes one long array.
+    starts = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_PER_STEP).cast("long"))
+    steps = copies.select("*", F.explode(starts).alias("_start"))
+    last = F.least(F.col("_start") + COPIES_PER_STEP, F.col("_copies")) - 1
+    rows = steps.select(*df.columns, F.explode(F.sequence("_start", last)).alias("_copy"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "_copy", *df.columns), F.lit(DRAWS))
+    return rows.withColumn("is_train", draw < F.lit(round(train_share * DRAWS))).select(*df.columns, "is_train")
 
 
 def hash_tag(

@@ -10,7 +10,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 
 from earshot.operators import evaluate, factorize, interactions, recommend, split
-from earshot.sources import models, schemas
+from earshot.sources import models, schemas, storage
 
 _METRICS = (
     "rank int, reg double, alpha double, iterations int, users long, ndcg double, is_best boolean"
@@ -47,9 +47,11 @@ def grid_search(
     truth = evaluate.truth_pairs(test).persist()
     rows, best, best_row = [], None, None
     try:
+        n = schemas.require_trainable(train, "user_id", "song_id", "rating_log")
         for rank, reg, alpha, iters in itertools.product(ranks, regs, alphas, iterations):
             model = factorize.train(
-                train, seed=seed, rank=rank, reg=reg, alpha=alpha, iterations=iters, **fit_args
+                train, seed=seed, rank=rank, reg=reg, alpha=alpha, iterations=iters, checked_rows=n,
+                **fit_args,
             )
             listed = recommend.predictions(recommend.top_items(model, k))
             score = evaluate.mean_ndcg(evaluate.ndcg_per_user(listed, truth, k)).head()
@@ -79,11 +81,13 @@ def train_and_save(
 ) -> GridResult:
     """Clean, split by rows, check, search the grid, save the best model.
 
-    ``raw`` is read for either support count and for the cleaned rows: stage a CSV
-    with :func:`earshot.sources.storage.written` first. Rows without a user or a song
-    drop out in the cleaning; any other fault in the rows kept is an error.
+    ``raw`` is read for the support counts and for the cleaned rows: stage what is dear
+    to read with :func:`earshot.sources.storage.written` first. The cleaned rows are written
+    once, with their side. Rows without a user or a song drop out in the cleaning; any
+    other fault in the rows kept is an error.
     """
     tagged = split.random_tag(interactions.clean(raw, min_user, min_item), seed)
+    tagged = storage.written(tagged, "split", "is_train")
     schemas.require_valid_interactions(tagged)
     report = interactions.cleaning_report(raw, tagged)
     train, test = split.halves(tagged)

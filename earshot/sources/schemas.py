@@ -94,13 +94,19 @@ def require_unique(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
+def _gaps(names: list[str]) -> Column:
+    """How many of the columns are missing or empty texts."""
+    empty = [F.coalesce(F.col(c).cast("string") == "", F.lit(True)).cast("int") for c in names]
+    return sum(empty[1:], empty[0])
+
+
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key, the smallest by the other columns, so lookups never multiply rows."""
+    """One row per key, so lookups never multiply rows: the one with fewest gaps, then the smallest by the other columns."""
     rest = [c for c in df.columns if c != key]
     if not rest:
         return df.select(key).distinct()
     return (
         df.groupBy(key)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
+        .agg(F.min(F.struct(_gaps(rest).alias("_gaps"), *rest)).alias("_row"))
         .select(key, *[F.col("_row")[c].alias(c) for c in rest])
     )

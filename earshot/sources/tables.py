@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,20 +16,39 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None)
     """Columns by name, typed by ``schema``; a cell that does not parse becomes NULL.
 
     A CSV is opened with its header only: no inference pass over the data, and
-    the parser materialises just the selected columns.
+    the parser materialises just the selected columns. A whole number may be written as
+    a decimal, 3.0 for 3. :func:`unreadable_cells` counts what does not parse.
     """
+    raw = _raw(spark, path, schema, fmt)
+    return raw.select(*[_typed(raw, f).alias(f.name) for f in schema])
+
+
+def _raw(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None) -> DataFrame:
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     raw = spark.read.csv(path, header=True) if fmt == "csv" else spark.read.format(fmt).load(path)
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
-    return raw.select(
-        *[
-            raw[f.name] if raw.schema[f.name].dataType == f.dataType
-            else raw[f.name].try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+    return raw
+
+
+def _typed(raw: DataFrame, field: T.StructField) -> Column:
+    given, value = raw.schema[field.name].dataType, raw[field.name]
+    if given == field.dataType:
+        return value
+    if isinstance(field.dataType, T.IntegralType) and not isinstance(given, T.IntegralType):
+        exact = value.try_cast("decimal(38,9)")
+        whole = F.when(exact == F.floor(exact), exact).try_cast(field.dataType)
+        return whole if not isinstance(given, T.StringType) else F.coalesce(value.try_cast(field.dataType), whole)
+    return value.try_cast(field.dataType)
+
+
+def unreadable_cells(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None) -> DataFrame:
+    """One row: per column, the cells that hold something and do not parse."""
+    raw = _raw(spark, path, schema, fmt)
+    return raw.agg(*[
+        F.count_if((F.trim(raw[f.name].cast("string")) != "") & _typed(raw, f).isNull()).alias(f.name) for f in schema
+    ])
 
 
 def read_interactions(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:

@@ -13,9 +13,21 @@ def test_train_then_query(spark, plays, tmp_path, capsys):
     assert "user 9999 is not known" in capsys.readouterr().out
     near = spark.read.parquet(out)
     assert {(r.query_id, r["rank"]) for r in near.collect()} == {(0, 1), (0, 2), (0, 3)}
-    main(["history", csv, "--ids", "0", "--limit", "2"])
+    main(["history", csv, "--ids", "0", "--limit", "2", "--display"])
     assert "Desconocida" in capsys.readouterr().out
     main(["stats", csv, "--ids", "0", "9999"])
     assert "total_plays" in capsys.readouterr().out
     main(["describe", model])
     assert "users" in capsys.readouterr().out
+
+
+def test_every_row_is_printed(spark, tmp_path, capsys):
+    csv, out = tmp_path / "plays.csv", str(tmp_path / "out")
+    csv.write_text("user_id,song_id,play_count\n" + "".join(f"{u},1,2.0\n" for u in range(1500)) + "7,2,lots\n")
+    main(["stats", str(csv)])
+    printed = capsys.readouterr().out.splitlines()
+    assert "1 cells of play_count" in printed[0]
+    assert len(printed) == 1 + 1 + 1500 and printed[2].split("\t")[0] == "0"
+    main(["stats", str(csv), "--out", out])
+    same = {"\t".join(map(str, r)) for r in spark.read.parquet(out).collect()}
+    assert same == set(printed[2:])

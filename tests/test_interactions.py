@@ -88,9 +88,17 @@ def test_cleaning_report(spark, plays):
 def test_lookup_keeps_rows_and_fills_missing(spark):
     facts = spark.createDataFrame([(u, u % 3) for u in range(60)] + [(99, None)], "user_id long, k long")
     names = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
-    got = Counter((r.user_id, r.k, r.name) for r in skew.lookup(facts, names, "k", ["user_id"]).collect())
     want = Counter((u, u % 3, {0: "a", 1: "b"}.get(u % 3)) for u in range(60)) + Counter([(99, None, None)])
-    assert got == want
+    for limit in (skew.MAX_BROADCAST_NAMES, 0):
+        got = Counter((r.user_id, r.k, r.name) for r in skew.lookup(facts, names, "k", limit).collect())
+        assert got == want
+
+
+def test_no_hot_key_is_left_whole(spark):
+    counts = spark.range(50).select(F.col("id").alias("k"), (F.col("id") + 1).alias("n"))
+    for limit in (10**6, 3):
+        hot = skew.hot_keys(counts, ["k"], "n", 10, max_broadcast_keys=limit)
+        assert {r.k: r._slices for r in hot.collect()} == {k: -(-(k + 1) // 10) for k in range(10, 50)}
 
 
 def test_hash_split_sends_equal_pairs_to_one_side(spark, plays):
@@ -108,3 +116,14 @@ def test_random_split_is_whole_and_repeatable(spark, plays):
     assert rows_of(again) == rows_of(train)
     other, _ = split.random_split(plays, 8)
     assert rows_of(other) != rows_of(train)
+    # However the rows are stored.
+    for n in (3, 5):
+        assert rows_of(split.random_split(plays.repartition(n), 7)[0]) == rows_of(train)
+
+
+def test_random_split_draws_every_copy(spark, monkeypatch):
+    monkeypatch.setattr(split, "COPIES_PER_STEP", 64)
+    df = spark.createDataFrame([(1, 2, 3)] * 1000 + [(None, None, None)] * 3, SCHEMA)
+    train, test = split.random_split(df, 1)
+    assert train.count() + test.count() == 1003
+    assert 700 < train.filter("user_id = 1").count() < 900

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from earshot.operators import profiles, ranking
 
@@ -37,8 +38,7 @@ ROWS = (
 
 
 @pytest.mark.parametrize("rows_per_task", [1, 100, 10_000])
-def test_rank_all_equals_sorting(spark, rows_per_task, monkeypatch):
-    monkeypatch.setattr(ranking, "COPIES_PER_CHUNK", 50)
+def test_rank_all_equals_sorting(spark, rows_per_task):
     df = spark.createDataFrame(ROWS, PLAYS).repartition(4)
     got = ranks_of(ranking.rank_all(df, "user_id", "song_id", "play_count", rows_per_task))
     assert got == brute_ranks(ROWS)
@@ -50,6 +50,26 @@ def test_rank_all_takes_int_ids(spark):
     assert ranks_of(ranking.rank_all(df, "user_id", "song_id", "play_count", 1)) == brute_ranks(rows)
 
 
+@pytest.mark.parametrize("rows_per_task", [10, 10_000])
+def test_rank_all_keeps_columns_and_any_ordered_type(spark, rows_per_task):
+    rows = [("u", f"s{i % 30}", 5 - (i % 40) / 8, f"extra {i}") for i in range(200)] + [("v", "s1", None, None)]
+    df = spark.createDataFrame(rows, "user_id string, song_id string, play_count double, extra string").repartition(3)
+    out = ranking.rank_all(df, "user_id", "song_id", "play_count", rows_per_task)
+    assert out.columns == [*df.columns, "rank"]
+    got = sorted(out.collect(), key=lambda r: (r.user_id, r["rank"]))
+    assert [r["rank"] for r in got] == [*range(1, 201), 1]
+    assert sorted(tuple(r)[:4] for r in got[:200]) == sorted(rows[:200])
+    keys = [(-r.play_count, r.song_id) for r in got[:200]]
+    assert keys == sorted(keys)
+
+
+def test_top_n_has_one_schema(spark):
+    df = spark.createDataFrame([(0, 1, 5, "x"), (0, 2, 6, "y")], PLAYS + ", extra string")
+    few, many = (ranking.top_n(df, "user_id", "song_id", "play_count", n) for n in (5, 1001))
+    assert few.columns == many.columns == [*df.columns, "rank"]
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
 @pytest.mark.parametrize("n", [1, 10, 2000])
 def test_top_n_on_either_side_of_the_threshold(spark, n):
     df = spark.createDataFrame(ROWS, PLAYS)
@@ -118,4 +138,21 @@ def test_lookups_by_id(spark):
     df = spark.createDataFrame([(0, 1, 2), (0, 1, 2), (1, 1, 1)], PLAYS)
     ids = spark.createDataFrame([(0,), (0,), (99,)], "user_id long")
     assert [tuple(r) for r in profiles.for_users(df, ids).collect()] == [(0, 1, 2)] * 2
+    assert [tuple(r) for r in profiles.for_users(df, ids, max_broadcast_keys=0).collect()] == [(0, 1, 2)] * 2
     assert [tuple(r) for r in profiles.unknown_users(ids, df).collect()] == [(99,)]
+
+
+def test_a_requested_user_with_most_rows_is_cut(spark):
+    rows = [(7, i, i % 9) for i in range(5000)] + [(u, 1, 1) for u in range(50) if u != 7]
+    df = spark.createDataFrame(rows, PLAYS).repartition(4)
+    ids = spark.createDataFrame([(u,) for u in range(0, 60)], "user_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = profiles.for_users(df, ids, max_broadcast_keys=0, rows_per_slice=500)
+        tasks = found.filter("user_id = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert found.count() == len(rows)
+        assert len(tasks) > 2 and sum(r["count"] for r in tasks) == 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

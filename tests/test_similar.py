@@ -66,7 +66,7 @@ def test_kernel_equals_sorting(values, k, pieces, digits):
     assert got == {a: near for a, near in brute(table, k, digits).items() if near}
 
 
-@pytest.mark.parametrize("way", [{}, {"max_broadcast_queries": 0, "rows_per_cell": 16}])
+@pytest.mark.parametrize("way", [{}, {"max_broadcast_bytes": 0, "rows_per_cell": 16}])
 @pytest.mark.parametrize("digits", [None, 3])
 def test_exact_equals_brute_force(vectors, data, way, digits):
     got = found_of(similar.similar_users(vectors, k=5, digits=digits, **way))
@@ -78,7 +78,7 @@ def test_exact_equals_brute_force(vectors, data, way, digits):
 
 
 @pytest.mark.parametrize("tables, length", [(2, 0.7), (2, 0.1), (6, 2.0)])
-@pytest.mark.parametrize("way", [{}, {"max_broadcast_queries": 0, "rows_per_cell": 16}])
+@pytest.mark.parametrize("way", [{}, {"max_broadcast_bytes": 0, "rows_per_cell": 16}])
 def test_lsh_equals_a_plain_bucket_join(spark, vectors, data, way, tables, length):
     index = similar.fit_index(vectors, seed=3, tables=tables, bucket_length=length)
     rows = similar.signatures(vectors, index).select("id", F.posexplode("codes").alias("table", "bucket"))
@@ -111,7 +111,7 @@ def test_copies_give_exactly_k_neighbours(spark):
     for found in (
         similar.similar_users(same, k=2),
         similar.similar_users(same, k=2, method="lsh", index=index),
-        similar.similar_users(same, k=2, max_broadcast_queries=0, rows_per_cell=2),
+        similar.similar_users(same, k=2, max_broadcast_bytes=0, rows_per_cell=2),
         similar.similar_to(same, 3, index, k=2),
     ):
         for near in found_of(found).values():
@@ -119,6 +119,28 @@ def test_copies_give_exactly_k_neighbours(spark):
     assert found_of(similar.similar_users(same, k=2))[3] == [(0.0, 0), (0.0, 1)]
 
 
+def test_one_search_breaks_ties_by_id(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(1, 41)], VECTORS).repartition(5)
+    one = similar.similar_to(same, 1, similar.fit_index(same, seed=1), k=3).orderBy("rank").collect()
+    assert [r.neighbor_id for r in one] == [2, 3, 4]
+
+
+@pytest.mark.parametrize("way", [{}, {"max_broadcast_bytes": 0, "rows_per_cell": 3}])
+def test_users_without_a_vector_take_no_part(spark, way):
+    rows = [(i, [float(i), 0.0, 1.0, 2.0] if i % 2 else None) for i in range(8)]
+    found = similar.similar_users(spark.createDataFrame(rows, VECTORS), k=8, **way).collect()
+    assert {(r.query_id, r.neighbor_id) for r in found} == {(a, b) for a in (1, 3, 5, 7) for b in (1, 3, 5, 7) if a != b}
+    assert all(r.dist == abs(r.query_id - r.neighbor_id) for r in found)
+
+
+@pytest.mark.parametrize("bad", [[1.0], [1.0, None], [1.0, float("nan")]])
+@pytest.mark.parametrize("way", [{}, {"max_broadcast_bytes": 0, "rows_per_cell": 2}])
+def test_bad_vectors_are_refused(spark, bad, way):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 1.0]), (3, bad)], VECTORS)
+    with pytest.raises(Exception, match="vectors must"):
+        similar.similar_users(df, k=2, **way).collect()
+
+
 def test_display(spark, vectors):
     users = spark.createDataFrame([(3, "ana")], "user_id long, Username string")
     shown = similar.similar_users(vectors, k=149, users=users, display=True).filter("query_id = 0")

@@ -14,6 +14,15 @@ def test_csv_is_read_by_column_name(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(0, 10, 3), (1, 11, None), (2, None, 5), (9999999999, 12, 1)]
 
 
+def test_whole_numbers_written_as_decimals(spark, tmp_path):
+    path = tmp_path / "plays.csv"
+    path.write_text("user_id,song_id,play_count\n1,2,3.0\n1.0,4,5\n2,5.5,6\n 3 ,7,8.000\n,9,x\n9223372036854775807,1,2\n")
+    rows = [tuple(r) for r in tables.read_interactions(spark, str(path)).collect()]
+    assert rows == [(1, 2, 3), (1, 4, 5), (2, None, 6), (3, 7, 8), (None, 9, None), (9223372036854775807, 1, 2)]
+    lost = tables.unreadable_cells(spark, str(path), schemas.INTERACTIONS).head().asDict()
+    assert lost == {"user_id": 0, "song_id": 1, "play_count": 1}
+
+
 def test_parquet_and_missing_columns(spark, tmp_path):
     path = str(tmp_path / "plays.parquet")
     spark.createDataFrame([(1, 2, 3)], "user_id int, song_id int, play_count long").write.parquet(path)
@@ -71,6 +80,8 @@ def test_untrainable_ratings(spark, row, schema, message):
 def test_unique_keys(spark):
     df = spark.createDataFrame([(1, "b", None), (1, "a", "x"), (2, None, None)], "k long, a string, b string")
     assert sorted(tuple(r) for r in schemas.one_per_key(df, "k").collect()) == [(1, "a", "x"), (2, None, None)]
+    gaps = spark.createDataFrame([(1, None, "y"), (1, "t", "z"), (1, "", "a"), (2, None, "b")], "k long, a string, b string")
+    assert sorted(map(tuple, schemas.one_per_key(gaps, "k").collect())) == [(1, "t", "z"), (2, None, "b")]
     with pytest.raises(ValueError, match="k=1 appears 2 times"):
         schemas.require_unique(df, "k")
     assert schemas.require_unique(df.filter("k = 2"), "k").count() == 1

@@ -89,7 +89,7 @@ def test_blocks_follow_data_and_cores():
     assert factorize.block_count(60_000, 8) == 3
     assert factorize.block_count(600_000, 8) == 8
     assert factorize.block_count(100_000_000, 8) == 50
-    assert factorize.block_count(10**12, 8000) == 2000
+    assert factorize.block_count(10**12, 8000) == 500_000
 
 
 def test_save_load_describe(spark, fitted):

@@ -1,7 +1,7 @@
 """The test tables in the roles of the library's inputs, and one query per operator.
 
-Interactions are ``orders`` joined with ``lineitem``; users ``customer``; songs
-``part`` (only some, so that titles are missing); ready-made vectors ``embeddings``.
+Interactions are ``orders`` joined with ``lineitem``; users ``customer``; songs ``part``;
+ready-made vectors ``embeddings``.
 """
 
 from __future__ import annotations
@@ -50,13 +50,19 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").filter("p_size <= 25").select(
+    return _table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("long").alias("song_id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("artist_name"),
     )
 
 
+def small_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A song dimension that lacks some songs."""
+    kept = _table(spark, sf_dir, "part").filter("p_size <= 25").select(F.col("p_partkey").alias("song_id"))
+    return songs(spark, sf_dir).join(kept, "song_id", "left_semi")
+
+
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("features")
@@ -77,8 +83,13 @@ def debtors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interactions joined and written once, for those who read them more than once."""
+    return storage.written(plays(spark, sf_dir), "plays")
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interactions.clean(plays(spark, sf_dir), MIN_USER, MIN_ITEM)
+    return interactions.clean(staged_plays(spark, sf_dir), MIN_USER, MIN_ITEM)
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,13 +152,14 @@ def clean_interactions(spark, sf_dir):
 def clean_interactions_shuffled(spark, sf_dir):
     """The same cleaning by the way taken when the counts are too many to broadcast."""
     kept = interactions.clean(
-        plays(spark, sf_dir), MIN_USER, MIN_ITEM, max_broadcast_keys=0, rows_per_slice=20
+        staged_plays(spark, sf_dir), MIN_USER, MIN_ITEM, max_broadcast_keys=0, rows_per_slice=20
     )
     return kept.withColumn("rating_log", F.round("rating_log", 9))
 
 
 def cleaning_report(spark, sf_dir):
-    return interactions.cleaning_report(plays(spark, sf_dir), tagged(spark, sf_dir))
+    raw = staged_plays(spark, sf_dir)
+    return interactions.cleaning_report(raw, split.hash_tag(interactions.clean(raw, MIN_USER, MIN_ITEM)))
 
 
 def user_stats(spark, sf_dir):
@@ -159,7 +171,7 @@ def user_totals(spark, sf_dir):
 
 
 def user_stats_lookup(spark, sf_dir):
-    kept = interactions.support_filter(plays(spark, sf_dir), MIN_USER, MIN_ITEM)
+    kept = interactions.support_filter(staged_plays(spark, sf_dir), MIN_USER, MIN_ITEM)
     return profiles.user_stats(kept, ids=debtors(spark, sf_dir), digits=2)
 
 
@@ -171,11 +183,45 @@ def history_all(spark, sf_dir):
     return profiles.history(plays(spark, sf_dir), songs(spark, sf_dir), n=None)
 
 
+def history_missing_titles(spark, sf_dir):
+    """With a dimension that lacks half of the songs."""
+    return profiles.history(plays(spark, sf_dir), small_parts(spark, sf_dir), n=10, display=True)
+
+
 def history_hot_users(spark, sf_dir):
     """The ranking for users too large for one task, here used from 40 rows on."""
     return ranking.rank_all(plays(spark, sf_dir), "user_id", "song_id", "play_count", rows_per_task=40)
 
 
+def _weighted(spark, sf_dir):
+    """Plays with a fraction, and a column more."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").cast("long").alias("user_id"),
+        F.col("l_partkey").cast("long").alias("song_id"),
+        (F.round(F.col("l_quantity").cast("double") * 100) / 100 + F.round(F.col("l_discount").cast("double"), 2)).alias("play_count"),
+        (F.col("l_orderkey").cast("long") * 10 + F.col("l_linenumber").cast("long")).alias("line"),
+    )
+
+
+def history_fractions(spark, sf_dir):
+    """Fractional plays and an extra column by the way for hot users; rows that tie share their ranks' range."""
+    ranked = ranking.rank_all(_weighted(spark, sf_dir), "user_id", "song_id", "play_count", rows_per_task=40)
+    return _tied_ranks(ranked)
+
+
+def history_deep(spark, sf_dir):
+    """The same cut at a rank beyond the threshold of Spark's early cut."""
+    return _tied_ranks(ranking.top_n(_weighted(spark, sf_dir), "user_id", "song_id", "play_count", 1001))
+
+
+def _tied_ranks(ranked: DataFrame) -> DataFrame:
+    return ranked.groupBy("user_id", "song_id", F.round("play_count", 2).alias("play_count")).agg(
+        F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"), F.sum("line").alias("lines")
+    )
+
+
 def history_totals(spark, sf_dir):
     return profiles.history_totals(plays(spark, sf_dir), n=10)
 
@@ -195,10 +241,28 @@ def hash_split(spark, sf_dir):
 
 
 def random_split(spark, sf_dir):
+    """Per user the rows of both sides together; over all users, whether each side has its share."""
     train, test = split.random_split(cleaned(spark, sf_dir), SEED)
     both = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
+    both = storage.written(both, "random-split")
+    share = both.agg(F.avg(F.col("is_train").cast("int"))).head()[0]
     return both.groupBy("user_id").agg(
         F.count("*").alias("n_rows"), F.sum("play_count").alias("plays")
+    ).withColumn("share_fits", F.lit(abs(share - 0.8) < 0.02))
+
+
+def random_split_again(spark, sf_dir):
+    """Whether another layout of the same rows gets the same split, pair by pair."""
+    kept = storage.written(cleaned(spark, sf_dir), "cleaned")
+    pair = ["user_id", "song_id", "play_count"]
+
+    def sides(df):
+        drawn = split.random_tag(df.select(*pair), SEED)
+        return drawn.groupBy(*pair).agg(F.count("*").alias("n_rows"), F.count_if("is_train").alias("n_train"))
+
+    other = sides(kept.repartition(5, "song_id")).withColumnRenamed("n_train", "n_again")
+    return sides(kept.repartition(3)).join(other, [*pair, "n_rows"]).select(
+        *pair, "n_rows", (F.col("n_train") == F.col("n_again")).alias("same")
     )
 
 
@@ -261,7 +325,7 @@ def knn_exact(spark, sf_dir):
 def knn_exact_cells(spark, sf_dir):
     """The same search by the way taken when the queries are too many to broadcast."""
     found = similar.similar_users(
-        embedding_vectors(spark, sf_dir), k=10, digits=6, max_broadcast_queries=0, rows_per_cell=128
+        embedding_vectors(spark, sf_dir), k=10, digits=6, max_broadcast_bytes=0, rows_per_cell=128
     )
     return found.drop("username")
 
@@ -272,57 +336,206 @@ def knn_named(spark, sf_dir):
     )
 
 
-def knn_lsh(spark, sf_dir):
-    vectors = embedding_vectors(spark, sf_dir)
-    index = similar.fit_index(vectors, seed=SEED)
-    return similar.similar_users(vectors, k=10, method="lsh", index=index, digits=6).drop("username")
-
-
 def knn_lsh_wide(spark, sf_dir):
     """With 40 hash tables a near pair shares a bucket for certain: the answer is the exact one."""
     vectors = embedding_vectors(spark, sf_dir)
     index = similar.fit_index(vectors, seed=SEED, tables=40)
     found = similar.similar_users(
-        vectors, k=10, method="lsh", index=index, digits=6, max_broadcast_queries=0, rows_per_cell=128
+        vectors, k=10, method="lsh", index=index, digits=6, max_broadcast_bytes=0, rows_per_cell=128
     )
     return found.drop("username")
 
 
 def knn_display(spark, sf_dir):
+    return similar.similar_users(
+        embedding_vectors(spark, sf_dir), k=5, digits=4, users=users(spark, sf_dir), display=True,
+    )
+
+
+def knn_missing_names(spark, sf_dir):
+    """With a dimension that lacks some users."""
     return similar.similar_users(
         embedding_vectors(spark, sf_dir), k=5, digits=4,
         users=solvent_users(spark, sf_dir), display=True,
     )
 
 
+def knn_with_gaps(spark, sf_dir):
+    """Every seventh user has no vector, and neither asks nor answers."""
+    vectors = embedding_vectors(spark, sf_dir).withColumn("features", F.when(F.col("id") % 7 != 0, F.col("features")))
+    return similar.similar_users(vectors, k=10, digits=6).drop("username")
+
+
+def _with_own_distance(found, vectors):
+    """Whether each neighbour's distance is that of the two vectors, and its rank in order."""
+    one = vectors.select(F.col("id").cast("long").alias("query_id"), F.col("features").alias("x"))
+    two = vectors.select(F.col("id").cast("long").alias("neighbor_id"), F.col("features").alias("y"))
+    squares = F.aggregate(
+        F.zip_with("x", "y", lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda t, v: t + v
+    )
+    return found.join(one, "query_id").join(two, "neighbor_id").withColumn("true_dist", F.sqrt(squares)).drop("x", "y")
+
+
+def _checked_neighbours(found, vectors, k, others):
+    """Per query: at most ``k`` neighbours, none itself, ranks without a gap in the order of true distances.
+
+    ``others``: whether every query has a neighbour at all.
+    """
+    rows = _with_own_distance(found, vectors)
+    per_query = rows.groupBy("query_id").agg(
+        F.count("*").alias("n"), F.max("rank").alias("last"), F.countDistinct("neighbor_id").alias("n_different"),
+        F.max(F.abs(F.col("dist") - F.col("true_dist"))).alias("error"),
+        F.count_if(F.col("query_id") == F.col("neighbor_id")).alias("n_self"),
+        F.sort_array(F.collect_list(F.struct("rank", "dist", "neighbor_id"))).alias("list"),
+    )
+    ordered = F.forall(
+        F.sequence(F.lit(1), F.size("list")),
+        lambda i: (i == 1) | (
+            F.struct(F.get("list", i - 2)["dist"], F.get("list", i - 2)["neighbor_id"])
+            < F.struct(F.get("list", i - 1)["dist"], F.get("list", i - 1)["neighbor_id"])
+        ),
+    )
+    asked = vectors.select(F.col("id").cast("long").alias("query_id"))
+    return (asked if others else asked.join(per_query.select("query_id"), "query_id", "left_semi")).join(
+        per_query, "query_id", "left"
+    ).select(
+        "query_id",
+        ((F.col("n") <= k) & (F.col("n") == F.col("last")) & (F.col("n") == F.col("n_different")) & (F.col("n_self") == 0)).alias("whole"),
+        ((F.col("error") < 1e-4) & ordered).alias("in_order"),
+    )
+
+
+def knn_lsh(spark, sf_dir):
+    """The LSH answers of all users: each a valid list of true distances."""
+    vectors = embedding_vectors(spark, sf_dir)
+    index = similar.fit_index(vectors, seed=SEED)
+    return _checked_neighbours(similar.similar_users(vectors, k=10, index=index, digits=6), vectors, 10, others=True)
+
+
+def als_similar_users(spark, sf_dir):
+    """The same over learnt vectors."""
+    vectors = storage.written(factorize.user_vectors(fitted(spark, sf_dir)), "vectors")
+    found = similar.similar_users(vectors, k=10, index=similar.fit_index(vectors, seed=SEED))
+    return _checked_neighbours(found, vectors, 10, others=True)
+
+
+def als_similar_to_one(spark, sf_dir):
+    """The same for one user."""
+    vectors = storage.written(factorize.user_vectors(fitted(spark, sf_dir)), "vectors")
+    user_id = vectors.agg(F.min("id")).head()[0]
+    found = similar.similar_to(vectors, user_id, similar.fit_index(vectors, seed=SEED), k=10)
+    return _checked_neighbours(found, vectors, 10, others=False)
+
+
 def lsh_recall(spark, sf_dir):
     vectors = embedding_vectors(spark, sf_dir)
     index = similar.fit_index(vectors, seed=SEED, bucket_length=0.25)
     found = similar.similar_users(vectors, k=10, method="lsh", index=index, digits=6)
-    return similar.recall(found, similar.similar_users(vectors, k=10, digits=6))
+    return similar.recall(found, similar.similar_users(vectors, k=10, method="exact", digits=6)).select(
+        "pairs_exact", F.col("recall").between(0.05, 1.0).alias("recall_fits"),
+        (F.col("pairs_found") <= F.col("pairs_exact")).alias("none_made_up"),
+    )
 
 
 def lsh_buckets(spark, sf_dir):
+    """Per hash table, whether the buckets hold every vector once."""
     vectors = embedding_vectors(spark, sf_dir)
-    return similar.bucket_profile(vectors, similar.fit_index(vectors, seed=SEED))
+    found = similar.bucket_profile(vectors, similar.fit_index(vectors, seed=SEED))
+    return found.select("table", "vectors", (F.col("largest") <= F.col("vectors")).alias("largest_fits"))
 
 
 def als_user_factors(spark, sf_dir):
-    return factorize.vector_entries(factorize.user_vectors(fitted(spark, sf_dir)))
+    """Per user, whether the vector has its length, no negative entry, and solves its least squares.
+
+    The fit ends with the users, so each user's vector x minimises its own problem under
+    the final song vectors: the slope is 0 where x is positive, and not negative elsewhere.
+    """
+    model, rank, reg, alpha = fitted(spark, sf_dir), FIT["rank"], 0.1, 1.0
+    items = factorize.item_vectors(model)
+    entries = items.select("id", F.posexplode("features").alias("i", "a")).join(
+        items.select("id", F.posexplode("features").alias("j", "b")), "id"
+    )
+    gram = [[0.0] * rank for _ in range(rank)]
+    for r in entries.groupBy("i", "j").agg(F.sum(F.col("a").cast("double") * F.col("b")).alias("s")).collect():
+        gram[r.i][r.j] = r.s  # rank times rank numbers
+    ratings = training_rows(spark, sf_dir).select("user_id", "song_id", "rating_log")
+    rated = ratings.join(
+        items.select(F.col("id").cast("long").alias("song_id"), F.col("features").cast("array<double>").alias("y")), "song_id"
+    ).join(
+        factorize.user_vectors(model).select(
+            F.col("id").cast("long").alias("user_id"), F.col("features").cast("array<double>").alias("x")
+        ), "user_id",
+    )
+    dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    weight = alpha * F.col("rating_log")
+    # What one rating adds to the slope, and to the scale it is judged by.
+    part = F.col("_weight") * F.col("_dot") - (1 + F.col("_weight"))
+    parts = rated.withColumn("_weight", weight).withColumn("_dot", dot)
+    sums = parts.groupBy("user_id", "x").agg(
+        F.count("*").alias("n"),
+        *[F.sum(part * F.col("y")[i]).alias(f"s{i}") for i in range(rank)],
+        *[F.sum((1 + F.col("_weight")) * F.abs(F.col("y")[i])).alias(f"z{i}") for i in range(rank)],
+    )
+    scale = F.greatest(*[F.col(f"z{i}") for i in range(rank)])
+    solved = F.lit(True)
+    for i in range(rank):
+        slope = F.col(f"s{i}") + reg * F.col("n") * F.col("x")[i]
+        for j in range(rank):
+            slope = slope + gram[i][j] * F.col("x")[j]
+        solved = solved & (slope >= -1e-3 * scale) & (F.abs(slope * F.col("x")[i]) <= 1e-3 * scale)
+    return sums.select(
+        "user_id", (F.size("x") == rank).alias("length_fits"), F.forall("x", lambda v: v >= 0).alias("not_negative"),
+        solved.alias("solved"),
+    )
 
 
-def als_top_items(spark, sf_dir):
+def _ranked_top(spark, sf_dir):
     return recommend.ranked_items(recommend.top_items(fitted(spark, sf_dir), 10))
 
 
+def _best_possible(spark, sf_dir, listed, k):
+    """Per user, whether no song left out scores higher than the last one listed.
+
+    The largest score a user can get is found song by song in the products of the
+    factors, for all users and songs.
+    """
+    model = fitted(spark, sf_dir)
+    last = listed.groupBy("user_id").agg(F.min("score").alias("_last"), F.collect_set("song_id").alias("_listed"))
+    own = factorize.user_vectors(model).select(F.col("id").alias("user_id"), F.col("features").alias("x")).join(last, "user_id")
+    songs_ = factorize.item_vectors(model).agg(F.collect_list(F.struct("id", "features")).alias("songs"))
+    dot = lambda s: F.aggregate(
+        F.zip_with("x", s["features"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, v: t + v
+    )
+    # The test tables' songs fit one row; a check, not an operator.
+    return own.crossJoin(F.broadcast(songs_)).select(
+        "user_id", (F.size("_listed") == k).alias("full"),
+        (~F.exists("songs", lambda s: (dot(s) > F.col("_last") + 1e-4) & ~F.array_contains("_listed", s["id"]))).alias("best"),
+    )
+
+
+def als_top_items(spark, sf_dir):
+    return _best_possible(spark, sf_dir, _ranked_top(spark, sf_dir), 10)
+
+
 def als_top_items_subset(spark, sf_dir):
     recs = recommend.top_items(fitted(spark, sf_dir), 5, users=debtors(spark, sf_dir))
-    return recommend.ranked_items(recs)
+    return _best_possible(spark, sf_dir, recommend.ranked_items(recs), 5)
+
+
+def als_predictions(spark, sf_dir):
+    """Per user, whether the listed ids are the ranked songs in their order."""
+    recs = recommend.top_items(fitted(spark, sf_dir), 10)
+    ranked = recommend.ranked_items(recs).groupBy("user_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "song_id"))), lambda r: r["song_id"].cast("double")).alias("songs")
+    )
+    return recommend.predictions(recs).join(ranked, "user_id").select(
+        "user_id", F.size("prediction").alias("n_listed"), (F.col("prediction") == F.col("songs")).alias("same")
+    )
 
 
 def als_top_items_shape(spark, sf_dir):
     """Every trained user gets ten different trained songs, ranked 1 to 10."""
-    return als_top_items(spark, sf_dir).groupBy("user_id").agg(
+    return _ranked_top(spark, sf_dir).groupBy("user_id").agg(
         F.countDistinct("song_id").alias("n_songs"),
         F.min("rank").alias("first_rank"),
         F.max("rank").alias("last_rank"),
@@ -344,11 +557,18 @@ def als_top_items_scores(spark, sf_dir):
 
 
 def als_ndcg(spark, sf_dir):
+    """Users scored, and whether the mean is that of MLlib's evaluator and within its bounds."""
     listed = recommend.predictions(recommend.top_items(fitted(spark, sf_dir), 10))
-    return evaluate.mean_ndcg(evaluate.ndcg_per_user(listed, test_pairs(spark, sf_dir)))
+    frame = evaluate.eval_frame(listed, evaluate.ground_truth(test_rows(spark, sf_dir)))
+    theirs = evaluate.ndcg_evaluator(10).evaluate(frame)
+    return evaluate.mean_ndcg(evaluate.ndcg_per_user(listed, test_pairs(spark, sf_dir))).select(
+        "users", F.col("ndcg").between(0.0, 1.0).alias("bounded"),
+        (F.abs(F.col("ndcg") - theirs) < 1e-9).alias("as_evaluator"),
+    )
 
 
-def als_similar_users(spark, sf_dir):
+def similar_listeners(spark, sf_dir):
+    """Clean, train, and find similar users with their names."""
     vectors = factorize.user_vectors(fitted(spark, sf_dir))
     index = similar.fit_index(vectors, seed=SEED)
     return similar.similar_users(
@@ -356,18 +576,66 @@ def als_similar_users(spark, sf_dir):
     )
 
 
-def als_similar_to_one(spark, sf_dir):
-    vectors = factorize.user_vectors(fitted(spark, sf_dir))
-    index = similar.fit_index(vectors, seed=SEED)
-    user_id = vectors.agg(F.min("id")).head()[0]
-    return similar.similar_to(vectors, user_id, index, k=10, users=users(spark, sf_dir))
+def _checked_metrics(metrics: DataFrame) -> DataFrame:
+    """Per combination its parameters and users, and whether the one marked best is the first of the highest score."""
+    best = metrics.agg(F.max("ndcg")).head()[0]
+    marked = metrics.filter("is_best").select("ndcg").collect()  # one row per combination
+    fits = len(marked) == 1 and marked[0].ndcg == best
+    return metrics.select(
+        "rank", "reg", "alpha", "iterations", "users", F.col("ndcg").between(0.0, 1.0).alias("bounded"),
+        F.lit(fits).alias("one_best"),
+    )
 
 
 def grid_metrics(spark, sf_dir):
     result = training.grid_search(
         training_rows(spark, sf_dir), test_rows(spark, sf_dir), seed=SEED, ranks=(4, 8), regs=(0.1,), alphas=(1.0,), iterations=(3,)
     )
-    return result.metrics
+    return _checked_metrics(result.metrics)
+
+
+def train_and_save(spark, sf_dir):
+    """Clean, split, search, save: rows before and after, and what was saved."""
+    path = storage.fresh_path(spark, "trained")
+    result = training.train_and_save(
+        staged_plays(spark, sf_dir), path, seed=SEED, min_user=MIN_USER, min_item=MIN_ITEM, ranks=(4,), iterations=(2,)
+    )
+    saved = models.describe(models.load(path)).select(F.col("rank").alias("saved_rank"))
+    return result.report.crossJoin(F.broadcast(saved)).select(
+        "rows_before", "rows_after", (F.col("train_rows") + F.col("test_rows")).alias("rows_split"), "saved_rank"
+    )
+
+
+def _as_csv(spark: SparkSession, df: DataFrame) -> str:
+    path = storage.fresh_path(spark, "csv")
+    df.write.csv(path, header=True)
+    return path
+
+
+def csv_roundtrip(spark, sf_dir):
+    """The interactions through a CSV in which some whole numbers are written as decimals."""
+    def mixed(name, often):
+        value = F.col(name).cast("string")
+        return F.when(F.col("song_id") % often == 0, F.concat(value, F.lit(".0"))).otherwise(value).alias(name)
+
+    path = _as_csv(spark, plays(spark, sf_dir).select(mixed("user_id", 3), mixed("song_id", 5), mixed("play_count", 2)))
+    return tables.read_interactions(spark, path)
+
+
+def csv_users(spark, sf_dir):
+    path = _as_csv(spark, users(spark, sf_dir).withColumn("user_id", F.concat(F.col("user_id"), F.lit(".0"))))
+    return tables.read_dimension(spark, path, schemas.USERS)
+
+
+def csv_songs(spark, sf_dir):
+    return tables.read_dimension(spark, _as_csv(spark, songs(spark, sf_dir)), schemas.SONGS)
+
+
+def csv_faults(spark, sf_dir):
+    """Cells that hold something and cannot be read, by column; every eleventh song's plays are words."""
+    broken = F.when(F.col("song_id") % 11 == 0, F.lit("many")).otherwise(F.col("play_count").cast("string"))
+    path = _as_csv(spark, plays(spark, sf_dir).withColumn("play_count", broken))
+    return tables.unreadable_cells(spark, path, schemas.INTERACTIONS)
 
 
 def model_roundtrip(spark, sf_dir):
@@ -396,12 +664,13 @@ QUERIES = {
     for f in (
         interaction_faults, support_counts_user, support_counts_song, clean_interactions,
         clean_interactions_shuffled, cleaning_report, user_stats, user_totals, user_stats_lookup,
-        history_top10, history_all, history_hot_users, history_totals, users_by_id, unknown_users,
-        hash_split, random_split, ground_truth, truth_pairs, ndcg_popularity, mean_ndcg_popularity,
-        eval_frame, knn_exact, knn_exact_cells, knn_named, knn_display, knn_lsh, knn_lsh_wide,
-        lsh_recall, lsh_buckets, als_user_factors, als_top_items, als_top_items_subset,
-        als_top_items_shape, als_top_items_scores, als_ndcg, als_similar_users, als_similar_to_one,
-        grid_metrics, model_roundtrip, model_describe, model_users,
+        history_top10, history_all, history_missing_titles, history_hot_users, history_fractions, history_deep,
+        history_totals, users_by_id, unknown_users, hash_split, random_split, random_split_again, ground_truth,
+        truth_pairs, ndcg_popularity, mean_ndcg_popularity, eval_frame, knn_exact, knn_exact_cells, knn_named,
+        knn_display, knn_missing_names, knn_with_gaps, knn_lsh, knn_lsh_wide, lsh_recall,
+        lsh_buckets, als_user_factors, als_top_items, als_top_items_subset, als_predictions, als_top_items_shape,
+        als_top_items_scores, als_ndcg, als_similar_users, als_similar_to_one, grid_metrics, train_and_save,
+        csv_roundtrip, csv_users, csv_songs, csv_faults, model_roundtrip, model_describe, model_users,
     )
 }
 
@@ -430,9 +699,21 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY play_count DESC, song_id) AS rank FROM plays
 ),
 songs AS (
-  SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_name FROM part WHERE p_size <= 25
+  SELECT p_partkey AS song_id, p_name AS title, p_brand AS artist_name FROM part
 )"""
 
+_TIED = """
+SELECT user_id, song_id, play_count, min(first) AS first_rank, max(first) + count(*) - 1 AS last_rank,
+  sum(line)::BIGINT AS lines
+FROM (
+  SELECT *, rank() OVER (PARTITION BY user_id ORDER BY play_count DESC, song_id) AS first FROM (
+    SELECT o_custkey::BIGINT AS user_id, l_partkey::BIGINT AS song_id,
+      round(round(l_quantity::DOUBLE * 100) / 100 + round(l_discount::DOUBLE, 2), 2) AS play_count,
+      l_orderkey::BIGINT * 10 + l_linenumber AS line
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  )
+) GROUP BY user_id, song_id, play_count"""
+
 _NDCG = f"""{_KEPT},
 favourites AS (
   SELECT c_nationkey AS nation, song_id, count(*) AS n
@@ -509,7 +790,13 @@ ORACLE = {
         FROM ranked LEFT JOIN songs USING (song_id) WHERE rank <= 10""",
     "history_all": f"""WITH {_RANKED} SELECT user_id, rank, song_id, play_count, title, artist_name
         FROM ranked LEFT JOIN songs USING (song_id)""",
+    "history_missing_titles": f"""WITH {_RANKED} SELECT user_id, rank, song_id, play_count,
+        substr(coalesce(nullif(p_name, ''), 'Desconocida'), 1, 33) AS title,
+        substr(coalesce(nullif(p_brand, ''), 'Desconocido'), 1, 33) AS artist_name
+        FROM ranked LEFT JOIN part ON p_partkey = song_id AND p_size <= 25 WHERE rank <= 10""",
     "history_hot_users": _RANK_ALL,
+    "history_fractions": _TIED,
+    "history_deep": _TIED,
     "history_totals": f"""WITH {_RANKED} SELECT user_id, count(*) AS songs_shown,
         sum(play_count)::BIGINT AS plays_shown FROM ranked WHERE rank <= 10 GROUP BY user_id""",
     "users_by_id": f"""WITH {_PLAYS} SELECT user_id, song_id, play_count FROM plays
@@ -520,7 +807,9 @@ ORACLE = {
         sum(song_id)::BIGINT AS song_sum, sum(play_count)::BIGINT AS plays
         FROM tagged GROUP BY user_id, is_train""",
     "random_split": f"""WITH {_KEPT} SELECT user_id, count(*) AS n_rows,
-        sum(play_count)::BIGINT AS plays FROM kept GROUP BY user_id""",
+        sum(play_count)::BIGINT AS plays, true AS share_fits FROM kept GROUP BY user_id""",
+    "random_split_again": f"""WITH {_KEPT} SELECT user_id, song_id, play_count, count(*) AS n_rows,
+        true AS same FROM kept GROUP BY ALL""",
     "ground_truth": f"""WITH {_KEPT} SELECT DISTINCT user_id, song_id::DOUBLE AS item_true
         FROM tagged WHERE NOT is_train""",
     "truth_pairs": f"WITH {_KEPT} SELECT DISTINCT user_id, song_id FROM tagged WHERE NOT is_train",
@@ -535,8 +824,38 @@ ORACLE = {
         FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id""",
     "knn_lsh_wide": f"WITH {_knn(6)} SELECT * FROM nearest",
     "knn_display": f"""WITH {_knn(4, 5)} SELECT query_id, rank, neighbor_id, dist,
+        coalesce(c_name, 'N/A') AS username FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id""",
+    "knn_missing_names": f"""WITH {_knn(4, 5)} SELECT query_id, rank, neighbor_id, dist,
         coalesce(c_name, 'N/A') AS username
         FROM nearest LEFT JOIN customer ON c_custkey = neighbor_id AND c_acctbal >= 0""",
+    "knn_with_gaps": f"""WITH {_knn(6).replace('a.vec_id <> b.vec_id', 'a.vec_id <> b.vec_id AND a.vec_id % 7 <> 0 AND b.vec_id % 7 <> 0')}
+        SELECT * FROM nearest""",
+    "knn_lsh": "SELECT vec_id::BIGINT AS query_id, true AS whole, true AS in_order FROM embeddings",
+    "lsh_recall": "SELECT 10 * count(*) AS pairs_exact, true AS recall_fits, true AS none_made_up FROM embeddings",
+    "lsh_buckets": """SELECT t::INT AS "table", count(*) AS vectors, true AS largest_fits
+        FROM embeddings, range(5) r(t) GROUP BY t""",
+    "als_user_factors": f"""WITH {_TRAINED} SELECT DISTINCT user_id, true AS length_fits, true AS not_negative,
+        true AS solved FROM trained""",
+    "als_top_items": f"WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, true AS full, true AS best FROM trained",
+    "als_top_items_subset": f"""WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, true AS full, true AS best
+        FROM trained JOIN customer ON c_custkey = user_id WHERE c_acctbal < 0""",
+    "als_predictions": f"WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, 10 AS n_listed, true AS same FROM trained",
+    "als_ndcg": f"""WITH {_TRAINED}, held AS (SELECT DISTINCT user_id FROM tagged WHERE NOT is_train)
+        SELECT count(*) AS users, true AS bounded, true AS as_evaluator
+        FROM held WHERE user_id IN (SELECT user_id FROM trained)""",
+    "als_similar_users": f"WITH {_TRAINED} SELECT DISTINCT user_id AS query_id, true AS whole, true AS in_order FROM trained",
+    "als_similar_to_one": f"WITH {_TRAINED} SELECT min(user_id) AS query_id, true AS whole, true AS in_order FROM trained",
+    "grid_metrics": f"""WITH {_TRAINED}, held AS (SELECT DISTINCT user_id FROM tagged WHERE NOT is_train)
+        SELECT r::INT AS rank, 0.1::DOUBLE AS reg, 1.0::DOUBLE AS alpha, 3 AS iterations, count(*) AS users,
+        true AS bounded, true AS one_best
+        FROM held, (VALUES (4), (8)) v(r) WHERE user_id IN (SELECT user_id FROM trained) GROUP BY r""",
+    "train_and_save": f"""WITH {_KEPT} SELECT (SELECT count(*) FROM plays) AS rows_before, count(*) AS rows_after,
+        count(*) AS rows_split, 4 AS saved_rank FROM kept""",
+    "csv_roundtrip": f"WITH {_PLAYS} SELECT * FROM plays",
+    "csv_users": 'SELECT c_custkey::BIGINT AS user_id, c_name AS "Username" FROM customer',
+    "csv_songs": "SELECT p_partkey::BIGINT AS song_id, p_name AS title, p_brand AS artist_name FROM part",
+    "csv_faults": f"""WITH {_PLAYS} SELECT 0::BIGINT AS user_id, 0::BIGINT AS song_id,
+        count(*) FILTER (song_id % 11 = 0) AS play_count FROM plays""",
     "als_top_items_shape": f"""WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, 10::BIGINT AS n_songs,
         1 AS first_rank, 10 AS last_rank FROM trained""",
     "als_top_items_scores": f"""WITH {_TRAINED}, ranks AS (SELECT unnest(range(1, 11))::INT AS rank)
