@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import text_of
+from earshot.llm.common import sliced, text_of
 from earshot.sources import storage
 
 ORDER = 2
@@ -30,9 +30,9 @@ ORDER = 2
 PSEUDO_COUNT = 5.0
 # Text whose n-grams go into one key range, and text of a block, in bytes.
 RANGE_BYTES = 8 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Tokens a task gathers before it lists their n-grams.
-GATHERED = 10_000_000
+GATHERED = 4_500_000
 
 _MASK = (1 << 64) - 1
 # No word has a blank in it.
@@ -80,13 +80,28 @@ def _bytes(setting: str) -> int:
     return int(digits) << units.get(unit[:1], 0)
 
 
-_RUN = "range int, block long, order int, keys array<long>, counts array<int>"
-_TOTAL = "range int, block long, order int, totals array<long>"
+# Numbers travel as bytes, as many for each as the largest needs.
+_RUN = "range int, block long, order int, n int, keys binary, counts binary"
+_TOTAL = "range int, block long, order int, n int, totals binary"
 _SUMS = -1
 
 
-def _lists(values: np.ndarray, bounds: np.ndarray, kind) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers, not negative, each in as many low bytes as the largest has."""
+    width = -(-int(values.max(initial=0)).bit_length() // 8)
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    wide = np.zeros((n, 8), np.uint8)
+    if n:
+        wide[:, : len(data) // n] = np.frombuffer(data, np.uint8).reshape(n, -1)
+    return wide.view("<u8").ravel()
+
+
+def steps_of(keys: np.ndarray) -> np.ndarray:
+    """Ascending keys as the first and the steps to the next: smaller numbers."""
+    return np.diff(keys, prepend=np.uint64(0))
 
 
 def runs(docs: DataFrame, order: int, ranges: int) -> DataFrame:
@@ -94,7 +109,8 @@ def runs(docs: DataFrame, order: int, ranges: int) -> DataFrame:
 
     ``docs`` has ``block``, ``held_out`` and ``text``. A block may come in several runs.
     """
-    edges = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
+    starts = (np.arange(ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
+    edges = starts[1:]
 
     def listed(block: int, gathered: list) -> list[pa.RecordBatch]:
         out = []
@@ -105,20 +121,23 @@ def runs(docs: DataFrame, order: int, ranges: int) -> DataFrame:
             if trained:
                 keys, times = np.unique(np.concatenate(trained), return_counts=True)
                 counts[np.searchsorted(every, keys)] = times
-            bounds = np.concatenate(([0], np.searchsorted(every, edges), [len(every)]))
+            bounds = [0, *np.searchsorted(every, edges).tolist(), len(every)]
+            full = [(r, a, b) for r, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
             out.append(pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(ranges), pa.int32()), pa.array(np.full(ranges, block), pa.int64()),
-                    pa.array(np.full(ranges, n + 1), pa.int32()),
-                    _lists(every.view(np.int64), bounds, pa.int64()), _lists(counts, bounds, pa.int32()),
+                    pa.array([r for r, _, _ in full], pa.int32()), pa.array([block] * len(full), pa.int64()),
+                    pa.array([n + 1] * len(full), pa.int32()), pa.array([b - a for _, a, b in full], pa.int32()),
+                    # The first key of a range counts from where the range begins.
+                    pa.array([packed(steps_of(every[a:b] - starts[r])) for r, a, b in full], pa.binary()),
+                    pa.array([packed(counts[a:b]) for _, a, b in full], pa.binary()),
                 ],
-                names=["range", "block", "order", "keys", "counts"],
+                names=["range", "block", "order", "n", "keys", "counts"],
             ))
         return out
 
     def run(batches):
         gathered, tokens = {}, 0
-        for batch in batches:
+        for batch in sliced(batches):
             for block, held_out, text in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()
             ):
@@ -132,7 +151,7 @@ def runs(docs: DataFrame, order: int, ranges: int) -> DataFrame:
         for b in list(gathered):
             yield from listed(b, gathered.pop(b))
 
-    return docs.select("block", "held_out", "text").mapInArrow(run, _RUN).filter(F.size("keys") > 0)
+    return docs.select("block", "held_out", "text").mapInArrow(run, _RUN)
 
 
 def totals(listed: DataFrame) -> DataFrame:
@@ -144,19 +163,22 @@ def totals(listed: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         number = table["range"][0].as_py()
-        rows = {"range": [], "block": [], "order": [], "totals": []}
+        rows = {"range": [], "block": [], "order": [], "n": [], "totals": []}
 
         def add(block: int, n: int, values: np.ndarray) -> None:
-            for name, value in zip(rows, (number, block, n, pa.array(values, pa.int64()))):
+            for name, value in zip(rows, (number, block, n, len(values), packed(values))):
                 rows[name].append(value)
 
         orders = np.array(table["order"])
         for n in np.unique(orders).tolist():
             own = table.take(np.flatnonzero(orders == n))
-            keys = own["keys"].combine_chunks()
-            flat, counts = np.array(keys.flatten()).view(np.uint64), np.array(own["counts"].combine_chunks().flatten())
-            bounds = np.concatenate(([0], np.cumsum(np.array(keys.value_lengths()))))
-            distinct, place = np.unique(flat, return_inverse=True)
+            lengths = own["n"].to_pylist()
+            # Places of keys count from where the range begins, which orders them alike.
+            keys = np.concatenate([np.cumsum(unpacked(k, m), dtype=np.uint64) for k, m in zip(own["keys"].to_pylist(), lengths)])
+            counts = np.concatenate([unpacked(c, m) for c, m in zip(own["counts"].to_pylist(), lengths)])
+            bounds = np.concatenate(([0], np.cumsum(lengths)))
+            distinct, place = np.unique(keys, return_inverse=True)
+            del keys
             sums = np.bincount(place, counts, len(distinct)).astype(np.int64)
             add(_SUMS, n, np.array([np.count_nonzero(sums), sums.sum(), np.count_nonzero(sums == 1)]))
             of_block: dict[int, list[int]] = {}
@@ -165,12 +187,8 @@ def totals(listed: DataFrame) -> DataFrame:
             for block, those in of_block.items():
                 places = [place[bounds[i] : bounds[i + 1]] for i in those]
                 add(block, n, sums[places[0] if len(places) == 1 else np.unique(np.concatenate(places))])
-        lengths = np.concatenate(([0], np.cumsum([len(t) for t in rows["totals"]])))
-        return pa.table({
-            "range": pa.array(rows["range"], pa.int32()), "block": pa.array(rows["block"], pa.int64()),
-            "order": pa.array(rows["order"], pa.int32()),
-            "totals": pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.concat_arrays(rows["totals"])),
-        })
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(rows.items(), kinds)})
 
     return listed.groupBy("range").applyInArrow(run, _TOTAL)
 
@@ -178,37 +196,39 @@ def totals(listed: DataFrame) -> DataFrame:
 class Automaton:
     """The part of the automaton that some texts can reach.
 
-    ``root`` is the weight of each token at the root. For every longer history, ``arc`` is
-    the weight of each n-gram and ``fail`` the weight of the failure arc of its history; an
-    n-gram that training lacks has no arc (``None``).
+    ``root`` has the weight of each token at the root. For every longer history, ``arcs``
+    has the weight of each n-gram and ``fails`` that of the failure arc of its history; an
+    n-gram that training lacks has no arc (NaN).
     """
 
-    def __init__(self, root: list[float], arcs: list[list[float | None]], fails: list[list[float]]) -> None:
+    def __init__(self, root: np.ndarray, arcs: list[np.ndarray], fails: list[np.ndarray]) -> None:
         self.root, self.arcs, self.fails = root, arcs, fails
 
-    def traverse(self, steps) -> float:
-        """The sum of weights along a text. A step names its n-grams, shortest first, as they number arcs."""
-        total, root = 0.0, self.root
-        levels = [*zip(self.arcs, self.fails)][::-1]
+    def traverse(self, grams: list[np.ndarray]) -> float:
+        """The sum of weights along a text, given the numbers of its n-grams for each length, shortest first.
+
+        At each token the state is the longest history; where it has no arc for the token,
+        its failure arc is taken, and so on down to the root.
+        """
+        total, roots = 0.0, self.root[grams[0]].tolist()
+        levels = [(arc[g].tolist(), fail[g].tolist()) for arc, fail, g in zip(self.arcs, self.fails, grams[1:])][::-1]
         if len(levels) == 1:  # the usual case, without the loop over lengths
-            (arc, fail), = levels
-            for token, gram in steps:
-                weight = arc[gram]
-                total += fail[gram] + root[token] if weight is None else weight
+            for root, weight, fail in zip(roots, *levels[0]):
+                total += weight if weight == weight else fail + root
             return total
-        for token, *grams in steps:
-            for (arc, fail), gram in zip(levels, reversed(grams)):
-                weight = arc[gram]
-                if weight is not None:
+        for t, root in enumerate(roots):
+            for arc, fail in levels:
+                weight = arc[t]
+                if weight == weight:
                     total += weight
                     break
-                total += fail[gram]
+                total += fail[t]
             else:
-                total += root[token]
+                total += root
         return total
 
 
-def smoothing(seen: int, tokens: int, once: int, history: np.ndarray) -> np.ndarray:
+def smoothing(tokens: int, once: int, history: np.ndarray) -> np.ndarray:
     """Share of the probability that a history leaves to the shorter one.
 
     In the long run it is what Good and Turing give to the unseen, the n-grams seen once; a
@@ -227,14 +247,13 @@ def weigh(counts: list[np.ndarray], histories: list[np.ndarray], shorter: list[n
     """
     seen, tokens, _ = model[1]
     probability = (counts[0] + 1) / (tokens + seen + 1)
-    root, arcs, fails = np.log10(probability).tolist(), [], []
+    root, arcs, fails = np.log10(probability), [], []
     for n, (count, history, less) in enumerate(zip(counts[1:], histories, shorter), 2):
-        left = smoothing(*model.get(n, (0, 0, 0)), history)
+        left = smoothing(*model.get(n, (0, 0, 0))[1:], history)
         known = np.maximum(history, 1)
         probability = (1 - left) * count / known + left * probability[less]
-        weights = np.log10(probability).tolist()
-        arcs.append([w if has else None for w, has in zip(weights, (count > 0).tolist())])
-        fails.append(np.log10(left).tolist())
+        arcs.append(np.where(count > 0, np.log10(probability), np.nan))
+        fails.append(np.log10(left))
     return Automaton(root, arcs, fails)
 
 
@@ -261,8 +280,10 @@ def scores(docs: DataFrame, answered: DataFrame, order: int, model: dict, traine
             keys = np.concatenate(of_order[n]) if lengths else np.zeros(0, np.uint64)
             of_order[n] = None
             distinct, first, number = np.unique(keys, return_index=True, return_inverse=True)
-            own = answers["totals"].take(np.flatnonzero(orders == n + 1)).combine_chunks()
-            count = np.array(own.flatten(), np.int64)
+            del keys
+            own = answers.take(np.flatnonzero(orders == n + 1))
+            parts = [unpacked(t, m) for t, m in zip(own["totals"].to_pylist(), own["n"].to_pylist())]
+            count = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
             if len(count) != len(distinct):
                 raise RuntimeError("a block changed between counting and scoring")
             if n:
@@ -278,10 +299,11 @@ def scores(docs: DataFrame, answered: DataFrame, order: int, model: dict, traine
             counts.append(count)
             numbers.append(number)
         automaton = weigh(counts, histories, shorter, model)
-        root, base, total = np.array(automaton.root), [], []
+        base, total = [], []
         for start, end in zip(starts.tolist(), ends.tolist()):
-            base.append(float(root[numbers[0][start:end]].sum()))
-            total.append(automaton.traverse(zip(*(of[start:end].tolist() for of in numbers))))
+            grams = [of[start:end] for of in numbers]
+            base.append(float(automaton.root[grams[0]].sum()))
+            total.append(automaton.traverse(grams))
         return pa.table({
             "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(lengths, pa.int64()),
             "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
@@ -292,6 +314,25 @@ def scores(docs: DataFrame, answered: DataFrame, order: int, model: dict, traine
     return docs.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, _SCORED.format(kind))
 
 
+def _sums(answered: DataFrame) -> dict[int, tuple[int, int, int]]:
+    """Per order what :func:`totals` has in the rows of block -1, added up over the ranges."""
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for n, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[n] = sums.get(n, 0) + unpacked(values, 3).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), *(pa.array([int(s[i]) for s in sums.values()], pa.int64()) for i in range(3))],
+            names=["order", "seen", "tokens", "once"],
+        )
+
+    parts = answered.filter(F.col("block") == _SUMS).select("order", "totals").mapInArrow(
+        run, "order int, seen long, tokens long, once long"
+    )
+    added = parts.groupBy("order").agg(*[F.sum(c) for c in ("seen", "tokens", "once")])
+    return {r[0]: tuple(r[1:]) for r in added.collect()}  # one row per order
+
+
 def score(docs: DataFrame, held_out: Column, block: Column | None = None, order: int = ORDER) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row.
 
@@ -319,10 +360,7 @@ def score(docs: DataFrame, held_out: Column, block: Column | None = None, order:
     )
     ranges = max(1, -(-n_bytes // RANGE_BYTES))
     answered = storage.written(totals(runs(rows, order, ranges)), "totals")
-    sums = answered.filter(F.col("block") == _SUMS).groupBy("order").agg(
-        *[F.sum(F.col("totals")[i]) for i in range(3)]
-    ).collect()  # one row per order
-    model = {r[0]: tuple(r[1:]) for r in sums}
+    model = _sums(answered)
     model.setdefault(1, (0, 0, 0))
     scored = scores(rows, answered.filter(F.col("block") != _SUMS), order, model, trained)
     return scored.select(

@@ -55,6 +55,17 @@ def at_most(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+# Rows of a batch that are held as Python objects at once.
+SLICE_ROWS = 500
+
+
+def sliced(batches):
+    """The rows of Arrow batches in batches of at most :data:`SLICE_ROWS`."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 # Rows that one step of a running sum goes over.
 SUM_BLOCK = 4096
 

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,11 +83,23 @@ def test_probabilities_add_up_to_one():
 
 
 def test_traverse_takes_arcs_then_failures():
-    root, arcs, fails = [-1.0, -2.0], [[-0.5, None], [None, -0.25]], [[-9.0, -3.0], [-4.0, -9.0]]
+    none, array = math.nan, np.array
+    root, arcs = array([-1.0, -2.0]), [array([-0.5, none]), array([none, -0.25])]
+    fails = [array([-9.0, -3.0]), array([-4.0, -9.0])]
     automaton = backoff.Automaton(root, arcs, fails)
-    assert automaton.traverse([(0, 0, 0)]) == -4.5  # no longest arc: fail, then the next
-    assert automaton.traverse([(1, 1, 1), (1, 1, 0)]) == -0.25 + (-4.0 - 3.0 - 2.0)
-    assert backoff.Automaton(root, arcs[:1], fails[:1]).traverse([(0, 0), (1, 1)]) == -0.5 + (-3.0 - 2.0)
+    assert automaton.traverse([array([0]), array([0]), array([0])]) == -4.5  # no longest arc: fail, then the next
+    assert automaton.traverse([array([1, 1]), array([1, 1]), array([1, 0])]) == -0.25 + (-4.0 - 3.0 - 2.0)
+    assert backoff.Automaton(root, arcs[:1], fails[:1]).traverse([array([0, 1]), array([0, 1])]) == -0.5 + (-3.0 - 2.0)
+
+
+def test_packed_numbers():
+    for values in ([], [0], [0, 0, 0], [1, 255], [256], [2**40, 3], [2**64 - 1, 0]):
+        values = np.array(values, np.uint64)
+        data = backoff.packed(values)
+        assert backoff.unpacked(data, len(values)).tolist() == values.tolist()
+        ascending = np.sort(values)
+        assert np.cumsum(backoff.steps_of(ascending), dtype=np.uint64).tolist() == ascending.tolist()
+    assert len(backoff.packed(np.array([1, 255], np.uint64))) == 2
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
