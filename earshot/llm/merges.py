@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import text_of
+from earshot.llm.common import sliced, text_of
 
-# Pieces a task remembers the ids of; more are encoded again when they come back. About 100 MB.
-REMEMBERED = 400_000
+# Pieces of a generation whose ids a worker remembers, at about 170 bytes each; two generations
+# are kept. What is forgotten is encoded again when it comes back.
+REMEMBERED = 450_000
 # Longer pieces are rarely seen twice.
 LONGEST_REMEMBERED = 64
 # Ids that are put into words at once.
@@ -40,24 +41,32 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-# The white space of Unicode, as a character class. Four control characters that
-# str.split() takes for blanks are not in it.
+# The white space of Unicode, as a character class.
 BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
 @lru_cache
-def _class_of(category: str) -> str:
+def _class_of(category: str, below: int = 0x110000) -> str:
     """All characters of a general category, as ranges for a character class.
 
     They are those of Python's own database; characters younger than it count as neither
     letters nor numbers.
     """
-    points = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == category]
+    points = [c for c in range(below) if unicodedata.category(chr(c))[0] == category]
     starts = [c for c, before in zip(points, [-2, *points]) if c != before + 1]
     ends = [c for c, after in zip(points, [*points[1:], -2]) if c + 1 != after]
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
 
 
+def _with_classes(pattern: str, below: int) -> str:
+    """The pattern for texts of characters below a number; its classes for blanks, letters and numbers stand in brackets."""
+    blanks = BLANKS if below > 256 else BLANKS[: BLANKS.index("\\u")]
+    pattern = pattern.replace(r"[^\s", f"[^{blanks}")
+    for category in "LN":
+        pattern = pattern.replace(f"\\p{{{category}}}", _class_of(category, below))
+    return pattern
+
+
 class Merges:
     """A vocabulary with ranked merges.
 
@@ -67,78 +76,83 @@ class Merges:
     """
 
     def __init__(self, vocab: dict[str, int], merges: list, pieces: str, word_end: str, special: dict[str, int]) -> None:
-        self.vocab, self.word_end = vocab, word_end
+        self.vocab = vocab
         self.strings = {i: s for s, i in [*vocab.items(), *special.items()]}
-        self.ranks = {}
+        # A pair of ids as one number, and what the merge of a rank makes.
+        self.width = 1 + max(vocab.values(), default=0)
+        self.ranks, self.made = {}, []
         for rank, (a, b) in enumerate(merges):
-            self.ranks[vocab[a], vocab[b]] = (rank, vocab[a + b])
-        self.pieces = re.compile(pieces)
-        self.blank = re.compile(f"[{BLANKS}]+")
+            self.ranks[vocab[a] * self.width + vocab[b]] = rank
+            self.made.append(vocab[a + b])
+        self.decimals = {i: str(i) for i in self.strings}
+        # Texts of Latin letters only are cut by a pattern that knows no others, which is quicker.
+        self.pieces, self.latin_pieces = (re.compile(_with_classes(pieces, n)) for n in (0x110000, 256))
         self.special = special
-        self.letters = _byte_letters()
+        letters = _byte_letters()
+        self.byte_ids = [vocab.get(c) for c in letters]
+        self.end_ids = [vocab.get(c + word_end) for c in letters]
         longest_first = sorted(special, key=len, reverse=True)
         self.special_pattern = re.compile("|".join(map(re.escape, longest_first))) if special else None
-        self.chunks = _Chunks(self)
+        self.known = _Known(self)
 
     def merged(self, symbols: list[int]) -> list[int]:
         """The ids that are left when no two neighbours have a merge, lowest rank first, leftmost of equal ones."""
         ids, n = list(symbols), len(symbols)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        rank_of, width = self.ranks.get, self.width
+        # A rank and a place in one number, which orders them so.
         queue = []
         for i in range(n - 1):
-            if (merge := self.ranks.get((ids[i], ids[i + 1]))) is not None:
-                queue.append((merge[0], i, merge[1], ids[i], ids[i + 1]))
+            rank = rank_of(ids[i] * width + ids[i + 1])
+            if rank is not None:
+                queue.append(rank * n + i)
         heapq.heapify(queue)
         while queue:
-            _, i, new, left, right = heapq.heappop(queue)
+            rank, i = divmod(heapq.heappop(queue), n)
             j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
+            if ids[i] < 0 or j >= n or rank_of(ids[i] * width + ids[j]) != rank:
                 continue  # stale: one of the two has been merged since
-            ids[i], ids[j] = new, -1
+            ids[i] = new = self.made[rank]
+            ids[j] = -1
             after[i] = k = after[j]
-            if k >= 0:
+            if k < n:
                 before[k] = i
-                if (merge := self.ranks.get((new, ids[k]))) is not None:
-                    heapq.heappush(queue, (merge[0], i, merge[1], new, ids[k]))
+                rank = rank_of(new * width + ids[k])
+                if rank is not None:
+                    heapq.heappush(queue, rank * n + i)
             h = before[i]
-            if h >= 0 and (merge := self.ranks.get((ids[h], new))) is not None:
-                heapq.heappush(queue, (merge[0], h, merge[1], ids[h], new))
-        out, i = [], 0 if n else -1
-        while i >= 0:
-            out.append(ids[i])
-            i = after[i]
-        return out
-
-    def of_piece(self, piece: str) -> list[int]:
-        letters = [self.letters[b] for b in piece.encode()]
-        letters[-1] += self.word_end
-        return self.merged([self.vocab[c] for c in letters])
-
-    def of_chunk(self, chunk: str) -> np.ndarray:
-        """Ids of a text without blanks, as it stands in the raw text."""
-        ids = []
-        for piece in self.pieces.findall(lowered(unicodedata.normalize("NFC", chunk))):
-            ids += self.of_piece(piece)
-        return np.array(ids, "<u4")
-
-    def _plain(self, text: str) -> list[bytes]:
-        # The two ways of cutting differ in four control characters only.
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            chunks = [c for c in self.blank.split(text) if c]
-        else:
-            chunks = text.split()
-        return list(map(self.chunks.__getitem__, chunks))
+            if h >= 0:
+                rank = rank_of(ids[h] * width + new)
+                if rank is not None:
+                    heapq.heappush(queue, rank * n + h)
+        return [symbol for symbol in ids if symbol >= 0]
+
+    def of_piece(self, piece: str) -> bytes:
+        """Ids of a normalized piece, little-endian."""
+        data = piece.encode()
+        ids = [self.byte_ids[b] for b in data]
+        ids[-1] = self.end_ids[data[-1]]
+        return np.array(self.merged(ids), "<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        text = lowered(unicodedata.normalize("NFC", text))
+        try:
+            text.encode("latin-1")
+            pieces = self.latin_pieces
+        except UnicodeEncodeError:
+            pieces = self.pieces
+        return b"".join(map(self.known.__getitem__, pieces.findall(text)))
 
     def encoded(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
         if self.special_pattern is None or not any(s in text for s in self.special):
-            return np.frombuffer(b"".join(self._plain(text)), "<u4")
+            return np.frombuffer(self._plain(text), "<u4")
         out, at = [], 0
         for found in self.special_pattern.finditer(text):
-            out += self._plain(text[at : found.start()])
+            out.append(self._plain(text[at : found.start()]))
             out.append(np.array([self.special[found.group()]], "<u4").tobytes())
             at = found.end()
-        out += self._plain(text[at:])
+        out.append(self._plain(text[at:]))
         return np.frombuffer(b"".join(out), "<u4")
 
     def decoded(self, ids) -> str:
@@ -146,16 +160,22 @@ class Merges:
         return " ".join(map(self.strings.__getitem__, ids))
 
 
-class _Chunks(dict):
-    """Ids of chunks met before, as little-endian bytes; bounded, and complete without the bound."""
+class _Known(dict):
+    """Ids of pieces met lately: two generations, the older forgotten when the younger is full."""
 
     def __init__(self, merges: Merges) -> None:
-        self.merges = merges
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.merges.of_chunk(chunk).tobytes()
-        if len(self) < REMEMBERED and len(chunk) <= LONGEST_REMEMBERED:
-            self[chunk] = ids
+        self.merges, self.older = merges, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.merges.of_piece(piece)
+            if len(piece) > LONGEST_REMEMBERED:
+                return ids
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
 
@@ -181,10 +201,7 @@ def from_form(form: dict) -> Merges:
     known = [n["type"] for n in form["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
     if model["type"] != "BPE" or not known or form["decoder"] is not None or not split["invert"]:
         raise ValueError("the file is not a lower-casing byte-pair vocabulary with pieces by pattern")
-    # The classes stand in brackets there.
-    pieces = split["pattern"]["Regex"].replace(r"\s", BLANKS)
-    for category in "LN":
-        pieces = pieces.replace(f"\\p{{{category}}}", _class_of(category))
+    pieces = split["pattern"]["Regex"]
     special = {t["content"]: t["id"] for t in form["added_tokens"]}
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     return Merges(model["vocab"], merges, pieces, model["end_of_word_suffix"] or "", special)
@@ -196,7 +213,7 @@ def spoken(merges: Merges, ids: np.ndarray) -> tuple[str, str]:
     for at in range(0, len(ids), SLICE):
         some = ids[at : at + SLICE].tolist()
         joint = b" " if at else b""
-        numbers.update(joint + " ".join(map(str, some)).encode())
+        numbers.update(joint + " ".join(map(merges.decimals.__getitem__, some)).encode())
         text.update(joint + merges.decoded(some).encode())
     return numbers.hexdigest(), text.hexdigest()
 
@@ -210,7 +227,7 @@ def digests(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str =
 
     def run(batches):
         merges = load(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             counts, numbers, texts = [], [], []
             for text in batch.column(1).to_pylist():
                 ids = merges.encoded(text)
@@ -235,7 +252,7 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int | None = None, text: s
     def run(batches):
         merges = load(vocabulary)
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [merges.encoded(t).tobytes() + end for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
@@ -250,7 +267,7 @@ def decoded(rows: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches):
         merges = load(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [
                 None if ids is None else merges.decoded(np.frombuffer(ids, "<u4").tolist())
                 for ids in batch.column(1).to_pylist()

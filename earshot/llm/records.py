@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import merges
-from earshot.llm.common import prefix_sums, text_of
+from earshot.llm.common import prefix_sums, sliced, text_of
 from earshot.sources import storage
 
 # Of the record format: the constant of the mask, and the bytes around a payload.
@@ -99,7 +99,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
     def run(batches):
         vocab = merges.load(vocabulary)
         end = np.array([end_id], "<u4")
-        for batch in batches:
+        for batch in sliced(batches):
             records = [
                 framed(payload_of(doc_id, np.concatenate((vocab.encoded(text), end))))
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
