@@ -1,5 +1,4 @@
 from earshot.__main__ import main
-from earshot.sources import storage
 
 
 def test_train_then_query(spark, plays, tmp_path, capsys):

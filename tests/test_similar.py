@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from earshot.functions.nearest import Nearest
