@@ -14,8 +14,6 @@ the whole. Key ranges are even whatever the texts say: a frequent word is one ke
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash

@@ -2,7 +2,6 @@ import datetime
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from earshot.llm import pseudonyms
 
