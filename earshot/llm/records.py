@@ -32,7 +32,7 @@ END = b"\n"
 _LEAD = "<q??"
 _LEAD_BYTES = struct.calcsize(_LEAD)
 # Text that goes into one file, in bytes; a file is read whole by one task.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 
 
 def masked(data: bytes) -> int:
