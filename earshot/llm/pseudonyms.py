@@ -30,11 +30,13 @@ _START, _END = r"(?<![0-9A-Za-z_])(?<![0-9][.,+-])", r"(?![0-9A-Za-z_]|[.,-][0-9
 class Kind:
     """Forms of a value: what stands before it, the value, what stands after it.
 
-    No value of one kind has the form of another, so a found value tells its kind.
+    A found value is of the first kind whose form it has; ``told`` is that form where it
+    is simpler than the values.
     """
 
     name: str
     forms: tuple[tuple[str, str, str], ...]
+    told: str = ""
 
     @property
     def pattern(self) -> str:
@@ -42,11 +44,11 @@ class Kind:
 
     @property
     def bare(self) -> str:
-        return "|".join(value for _, value, _ in self.forms)
+        return self.told or "|".join(value for _, value, _ in self.forms)
 
 
 # Earlier kinds win where two begin at one place.
-KINDS = (
+_OTHERS = (
     Kind("email", (
         (r"(?<![0-9A-Za-z._%+-])", r"[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}@(?:[0-9A-Za-z-]{1,63}[.]){1,8}[A-Za-z]{2,24}", ""),
     )),
@@ -61,11 +63,24 @@ KINDS = (
     )),
     Kind("address", ((_START, r"[0-9]{1,3}(?:[.][0-9]{1,3}){3}", _END),)),
     Kind("phone", (
+        # Of eleven digits on a number is whole and takes no more groups; a shorter one takes what follows it.
+        (r"(?<![0-9A-Za-z])",
+         r"[+][0-9]{1,3}[ .-]?[(]?[0-9]{2,4}[)]?(?:[ .-]?[0-9]{2,4}){2,3}?(?<=[0-9]" + 10 * "[ .()-]{0,3}[0-9]" + ")", _END),
         (r"(?<![0-9A-Za-z])", r"[+][0-9]{1,3}[ .-]?[(]?[0-9]{2,4}[)]?(?:[ .-]?[0-9]{2,4}){2,3}", _END),
         (r"(?<![0-9A-Za-z+])", r"[(][0-9]{3}[)] ?[0-9]{3}[ .-][0-9]{4}", _END),
         (_START, r"[0-9]{3}-[0-9]{3}-[0-9]{4}", _END),
     )),
-    Kind("card", ((_START, r"[0-9](?:[ -]?[0-9]){12,18}", _END),)),
+)
+# A card is looked for in the whole run of digit groups it stands in, up to where another kind begins: which
+# groups are the card's, only the check digit tells.
+_NEXT = f"[ -](?!{'|'.join(k.pattern for k in _OTHERS)})"
+_GROUP = "[0-9]++(?![0-9A-Za-z_]|[.,][0-9])"
+_RUN = f"(?=[0-9](?:(?:{_NEXT})?[0-9]){{12}}){_GROUP}(?:{_NEXT}{_GROUP})*+"
+KINDS = _OTHERS + (Kind("card", ((_START, _RUN, ""),), told="[0-9][0-9 -]{12,}"),)
+# Groups of digits in the usual printings of a card number, the likelier first.
+PRINTED = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 5, 6), (4, 4, 5), (8, 8), (6, 13))
+CARD_FORMS = ("[0-9]{13,19}",) + tuple(
+    mark.join(f"[0-9]{{{n}}}" for n in groups) for groups in PRINTED for mark in (" ", "-")
 )
 # Java's matcher and its split find the same places: gaps and values alternate.
 ANY = "|".join(f"(?:{k.pattern})" for k in KINDS)
@@ -167,16 +182,62 @@ def _poured(template: Column, digits: Column) -> Column:
     )
 
 
-def _card(value: Column, key: str) -> Column:
-    def valid(d: Column) -> Column:
+def _valid_card(value: Column) -> Column:
+    return let(
+        _digits(value),
+        lambda d: _check_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.substring(d, F.length(d), F.lit(1)),
+    )
+
+
+def _one_card(value: Column, key: str) -> Column:
+    def moved(d: Column) -> Column:
         payload = F.substring(d, F.lit(1), F.length(d) - 1)
-        moved = let(payload, lambda p: _permuted_text(p, key, "card"))
-        return F.when(
-            _check_digit(payload) == F.substring(d, F.length(d), F.lit(1)),
-            let(moved, lambda m: _poured(value, F.concat(m, _check_digit(m)))),
+        return let(_permuted_text(payload, key, "card"), lambda m: _poured(value, F.concat(m, _check_digit(m))))
+
+    return let(_digits(value), moved)
+
+
+def _any_of(values: Column) -> Column:
+    """Pattern of the given spans; without any, one that is in no run of digits."""
+    return F.concat(F.lit("(?:"), F.array_join(F.concat(values, F.array(F.lit("x"))), "|"), F.lit(")(?![0-9])"))
+
+
+def _cards_pattern(run: Column) -> Column:
+    """Pattern of the valid cards of a run of digit groups.
+
+    Those printed as usual come first; other groupings are looked for in what they leave,
+    from the left and as wide as can be.
+    """
+    def spans(form: str) -> Column:
+        return F.regexp_extract_all(run, F.lit(f"(?<![0-9])(?=({form})(?![0-9]))"), F.lit(1))
+
+    def both(printed: Column) -> Column:
+        taken = _any_of(printed)
+        wide = F.concat(
+            F.lit("(?<![0-9])(?!"), taken, F.lit(")[0-9](?:(?:[ -](?!"), taken, F.lit("))?[0-9]){12,18}(?![0-9])")
+        )
+        others = F.filter(F.regexp_extract_all(run, wide, F.lit(0)), _valid_card)
+        return F.concat(F.lit("(?<![0-9])"), _any_of(F.array_distinct(F.concat(printed, others))))
+
+    found = F.array_distinct(F.concat(*[spans(form) for form in CARD_FORMS]))
+    return let(F.filter(found, _valid_card), both)
+
+
+def _card(run: Column, key: str) -> Column:
+    """The run with its valid cards replaced."""
+    def done(pattern: Column) -> Column:
+        made = F.transform(F.regexp_extract_all(run, pattern, F.lit(0)), lambda v: _one_card(v, key))
+        return let(
+            F.struct(F.split(run, pattern, -1).alias("gaps"), made.alias("made")),
+            lambda x: _interleaved(x["gaps"], x["made"]),
         )
 
-    return let(_digits(value), valid)
+    return let(_cards_pattern(run), done)
+
+
+def _interleaved(gaps: Column, made: Column) -> Column:
+    """A gap, a pseudonym, a gap, ..., a gap."""
+    return F.array_join(F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.get(made, i), F.lit("")))), "")
 
 
 def _address(value: Column, key: str) -> Column:
@@ -261,8 +322,8 @@ def pseudonym(value: Column, key: str) -> Column:
 def pseudonymized(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``df`` wrapped as ``row``, with ``text`` rewritten, and ``n_found``, ``n_replaced`` (long).
 
-    A value that looks like one of the kinds and does not validate stays as it is. A
-    missing text stays missing and has none; an empty one stays empty. Rows are changed
+    A value that looks like one of the kinds and does not validate stays as it is. Digit
+    groups that a card may stand in count as one value, replaced if any card was. A missing text stays missing and has none; an empty one stays empty. Rows are changed
     one by one where they lie, so repeated rows come out repeated.
     """
     if not key:
@@ -276,14 +337,8 @@ def pseudonymized(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     made = found.withColumn(
         "_made", F.when(F.size("_found") > 0, F.transform("_found", lambda v: pseudonym(v, key))).otherwise(F.col("_found"))
     )
-    # A gap, a pseudonym, a gap, ..., a gap.
     gaps = F.split(F.col("_text"), ANY, -1)
-    joined = let(
-        F.struct(gaps.alias("gaps"), F.col("_made").alias("made")),
-        lambda x: F.array_join(
-            F.transform(x["gaps"], lambda gap, i: F.concat(gap, F.coalesce(F.get(x["made"], i), F.lit("")))), ""
-        ),
-    )
+    joined = let(F.struct(gaps.alias("gaps"), F.col("_made").alias("made")), lambda x: _interleaved(x["gaps"], x["made"]))
     changed = F.size(F.filter(F.arrays_zip("_found", "_made"), lambda p: p["_found"] != p["_made"]))
     return made.select(
         "row",

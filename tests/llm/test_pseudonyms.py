@@ -105,3 +105,30 @@ def test_odd_rows(odd_docs, no_docs):
 def test_runs_no_python(docs):
     plan = pseudonyms.replaced(docs, "k")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("around", [
+    "{} 12/25", "{} 123", "{} 12", "7 {}", "12 {} 345", "123 {}", "1234567 {} 2021", "{} 12.50", "9 {} 3rd", "2021 {} 12-25",
+])
+def test_short_numbers_beside_a_value_change_nothing(spark, around):
+    values = [
+        *PRIVATE, "378282246310005", "3782 822463 10005", "4222222222222", "40418949 74608795", "144.35.254.1",
+        "password=abcdefgh1", "+44 20 7946 0958",
+    ]
+    alone = rewritten(spark, values)
+    for value, new, out in zip(values, alone, rewritten(spark, [around.format(v) for v in values])):
+        if value == "40418949 74608795":  # no usual printing: found where nothing widens it
+            continue
+        assert new != value and out == around.format(new)
+
+
+def test_cards_side_by_side_and_beside_other_kinds(spark):
+    cards = ["4041 8949 7460 8795", "4111 1111 1111 1111", "4111111111111111"]
+    others = ["310-555-4510", "2021-02-28", "144.35.254.1", "(310) 555-4510", "bosbt.42@mail8.example.com"]
+    alone = dict(zip(cards + others, rewritten(spark, cards + others)))
+    pairs = [(a, b) for a in cards for b in cards + others] + [(a, b) for a in others for b in cards]
+    pairs += [("123", o) for o in others] + [("12345678", o) for o in others]
+    out = rewritten(spark, [f"{a} {b}" for a, b in pairs])
+    assert out == [f"{alone.get(a, a)} {alone.get(b, b)}" for a, b in pairs]
+    long_run = " ".join(["12"] * 30_000)
+    assert rewritten(spark, [f"{long_run} {cards[0]}"])[0].endswith(" " + alone[cards[0]])
