@@ -84,8 +84,8 @@ CARD_FORMS = ("[0-9]{13,19}",) + tuple(
 )
 # Java's matcher and its split find the same places: gaps and values alternate.
 ANY = "|".join(f"(?:{k.pattern})" for k in KINDS)
-# Every kind has one of these characters; most texts have none.
-HINT = "[0-9@]"
+# Every kind has one of these; most texts have none.
+HINT = '[0-9@]|AKIA|(?i:password)[=:]|(?i:token) = "'
 
 
 def _prf(key: str, tweak: Column, half: Column, size: Column | int) -> Column:
