@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm import components
-from earshot.llm.common import text_of
+from earshot.llm.common import text_of, unwrapped, wrapped
 from earshot.sources import storage
 
 SHINGLE = 3
@@ -68,6 +68,21 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, text: str = "text", doc_
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
+def _keyed_fingerprints(rows: DataFrame, width: int) -> DataFrame:
+    """The other columns of ``rows`` and ``fp``, the fingerprint of the text in ``row``."""
+    kept = rows.drop("row")
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
+            fps = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], names=[*names, "fp"])
+
+    names = kept.columns
+    schema = ", ".join(f"{c} {kind}" for c, kind in kept.dtypes) + ", fp long"
+    return rows.select(*names, text_of("row.text").alias("text")).mapInArrow(run, schema)
+
+
 def _kept_positions(distance: int) -> list[tuple[int, ...]]:
     if not 0 <= distance < BYTES:
         raise ValueError(f"the distance must be 0 to {BYTES - 1}, is {distance}")
@@ -157,6 +172,13 @@ def links(lists: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     return lists.select("list", "members").mapInArrow(run, "u long, v long")
 
 
+def _rooted(firsts: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``firsts``, which hold each ``fp`` once, with the ``root`` of its component; the links of those not alone."""
+    stars = components.roots(links(postings(firsts.select("fp"), distance), distance))
+    labelled = firsts.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
+    return labelled.withColumn("root", F.coalesce("root", "fp")), stars
+
+
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, distance: int = MAX_DISTANCE, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -169,10 +191,7 @@ def near_duplicates(
     """
     found = storage.written(fingerprints(docs, width, text, doc_id), "fingerprints")
     firsts = storage.written(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    stars = components.roots(links(postings(firsts.select("fp"), distance), distance))
-    labelled = firsts.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
+    labelled, stars = _rooted(firsts, distance)
     # Only components of two fingerprints or more need naming again.
     names = (
         labelled.join(stars.select(F.col("v").alias("root")).distinct(), "root", "left_semi")
@@ -185,15 +204,28 @@ def near_duplicates(
 
 
 def first_of_each(docs: DataFrame, width: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents without those whose component has a smaller id; columns as given.
+    """The first document of each component; columns as given.
 
-    Of repeated rows with one id one stays. A row without an id cannot be told from
-    others and stays.
+    The order is by id, rows without one last, then by fingerprint, then by hashes of the
+    text and of the other columns: rows with one id and different texts are each judged by
+    their own component, and of equal rows one stays. Rows with neither an id nor a word
+    are copies of each other only.
     """
-    classes = near_duplicates(docs, width, distance)
-    firsts = classes.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull())
-    stay = named.join(firsts.withColumnRenamed("doc_id", "_first"), F.col("doc_id").cast("long") == F.col("_first"))
-    # Already placed by id: no shuffle.
-    stay = stay.drop("_first").dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    # Maps have no hash; rows that differ in nothing else count as equal.
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    key = {
+        "_unnamed": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+        "_text_hash": F.xxhash64(text_of()), "_row_hash": F.xxhash64(*hashed),
+    }
+    rows = wrapped(docs, **key)
+    found = storage.written(_keyed_fingerprints(rows, width), "fingerprints")
+    apart, first = F.col("_unnamed") & (F.col("fp") == 0), F.struct("_unnamed", "_id", "fp", "_text_hash", "_row_hash")
+    # By fingerprint first: any number of copies is one row of the index.
+    firsts = storage.written(
+        found.groupBy("fp").agg(F.min(F.when(~apart, first)).alias("first"), F.min(F.when(apart, first)).alias("apart")),
+        "distinct-fingerprints",
+    )
+    per_root = _rooted(firsts, distance)[0].groupBy("root").agg(F.min("first").alias("first")).select("first")
+    chosen = per_root.unionByName(firsts.select(F.col("apart").alias("first"))).filter("first is not null")
+    # Equal rows meet before the join, which then needs no shuffle of its own for them.
+    return unwrapped(rows.dropDuplicates(list(key)).join(chosen.select("first.*").drop("fp"), list(key)))

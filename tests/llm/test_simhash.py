@@ -90,3 +90,15 @@ def test_fingerprint_edges():
         assert simhash.fingerprint(text.encode()) == brute_fp(text)
     many = " ".join(str(i * i % 9973) for i in range(70_000))
     assert simhash.fingerprint(many.encode()) == brute_fp(many)
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(60)) for name in "abcd")
+    rows = [(1, a), (7, a), (7, b), (8, b), (7, c), (9, d), (9, d), (None, a), (None, "x y z"), (None, "x y z"), (None, None), (None, "")]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        kept = sorted(map(tuple, simhash.first_of_each(docs).collect()), key=str)
+        wordless = [r for r in kept if r[0] is None and not r[1]]
+        assert len(wordless) == 1
+        kept.remove(wordless[0])
+        assert kept == sorted([(1, a), (7, b), (7, c), (9, d), (None, "x y z")], key=str)
