@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each component."""
+    """One document, the first by id, of each component."""
     return simhash.first_of_each(docs)
 
 
@@ -32,7 +32,7 @@ def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
+    """The pieces of each document, with their rewritten text, where they lie in the training sequences."""
     return packing.packed_documents(docs)
 
 

@@ -24,6 +24,8 @@ from earshot.sources import storage
 CAPACITY = 2048
 # Pieces of one task: at most a few MB, with bins enough that the last ones hardly count.
 BLOCK = 4096
+# Bytes of text of one task on average.
+BLOCK_BYTES = 64 << 20
 
 
 class _Bins:
@@ -76,10 +78,14 @@ def pack_block(pieces, capacity: int) -> list[tuple[int, int]]:
 
 def pack(
     df: DataFrame, size: Column, source: Column, cluster: Column, doc_id: str = "doc_id",
-    capacity: int = CAPACITY, block: int = BLOCK,
+    capacity: int = CAPACITY, block: int = BLOCK, tokens: Column | None = None,
 ) -> DataFrame:
     """``doc_id``, ``piece``, ``size`` (long), ``source``, ``cluster``, ``block``, ``bin``, ``start`` (long).
 
+    With ``tokens``, an array of strings as long as ``size`` says, also ``text``: those of
+    the piece, with a blank between them. The rows of one bin in the order of ``start`` are
+    a training sequence.
+
     A row of more than ``capacity`` is cut into pieces of that length and a rest; the pieces
     of one row share its source, so they lie in different bins. Rows of size 0 or less take
     no place and have null ``bin`` and ``start``, in one piece. A missing source or cluster
@@ -90,25 +96,34 @@ def pack(
     if capacity < 1 or block < 1:
         raise ValueError("capacity and block must be positive")
     length = F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0))
-    rows = wrapped(df, doc_id=F.col(f"`{doc_id}`"), _length=length, source=source.cast("string"), cluster=cluster.cast("string"))
+    rows = wrapped(df, doc_id=F.col(f"`{doc_id}`"), _length=length, source=source.cast("string"), cluster=cluster.cast("string"),
+                   _tokens=F.lit(None).cast("array<string>") if tokens is None else tokens)
     whole = F.greatest(F.ceil(F.col("_length") / capacity), F.lit(1))
-    cut = rows.drop("row").select(
-        "doc_id", "_length", "source", "cluster",
-        F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("piece"),
+    numbers = F.sequence(F.lit(0).cast("long"), whole - 1)
+    # Cut before the explode, which would copy all the tokens for each piece.
+    texts = F.transform(
+        numbers, lambda i: F.array_join(F.slice("_tokens", (i * capacity + 1).cast("int"), F.lit(capacity)), " ")
     )
+    cut = rows.drop("row").select("doc_id", "_length", "source", "cluster", F.posexplode(texts).alias("piece", "text"))
+    carried = [] if tokens is None else ["text"]
     pieces = storage.written(
-        cut.select(
+        cut.withColumn("piece", F.col("piece").cast("long")).select(
             "doc_id", "piece",
             F.least(F.col("_length") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("size"),
-            "source", "cluster",
+            "source", "cluster", *carried,
         ),
         "pieces",
     )
-    blocks = max(1, -(-pieces.filter("size > 0").count() // block))
+    n_bytes = F.sum(F.octet_length("text")) if carried else F.lit(0)
+    n, total = pieces.filter("size > 0").agg(F.count("*"), n_bytes).head()
+    blocks = max(1, -(-n // block), -(-(total or 0) // BLOCK_BYTES))
     place = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(blocks)).cast("long")
     dealt = pieces.filter("size > 0").withColumn("block", place)
 
+    names = ["doc_id", "piece", "size", "source", "cluster", *carried, "block"]
+
     def packed(table: pa.Table) -> pa.Table:
+        table = table.select(names)
         table = table.sort_by([("size", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         placed = pack_block(zip(*(table[c].to_pylist() for c in ("size", "source", "cluster"))), capacity)
         for i, name in enumerate(("bin", "start")):
@@ -116,16 +131,20 @@ def pack(
         return table
 
     kind = dict(df.dtypes)[doc_id]
-    schema = f"doc_id {kind}, piece long, size long, source string, cluster string, block long, bin long, start long"
+    text_kind = ", text string" if carried else ""
+    schema = f"doc_id {kind}, piece long, size long, source string, cluster string{text_kind}, block long, bin long, start long"
+    order = ["doc_id", "piece", "size", "source", "cluster", "block", "bin", "start", *carried]
     filled = dealt.groupBy("block").applyInArrow(packed, schema)
     empty = pieces.filter("size <= 0").select(
-        "doc_id", "piece", "size", "source", "cluster", F.lit(None).cast("long").alias("block"),
+        "doc_id", "piece", "size", "source", "cluster", *carried, F.lit(None).cast("long").alias("block"),
         F.lit(None).cast("long").alias("bin"), F.lit(None).cast("long").alias("start"),
     )
-    return filled.unionByName(empty)
+    return filled.unionByName(empty).select(*order)
 
 
 def packed_documents(docs: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
-    """:func:`pack` for documents: a word is a token, ``source`` the source, equal texts a cluster."""
-    words = F.size(words_of(text_of()))
-    return pack(docs, words, F.col("source"), F.sha2(text_of(), 256), capacity=capacity, block=block)
+    """:func:`pack` for documents, with their text: a word is a token, ``source`` the source, equal texts a cluster."""
+    words = words_of(text_of())
+    return pack(
+        docs, F.size(words), F.col("source"), F.sha2(text_of(), 256), capacity=capacity, block=block, tokens=words
+    )

@@ -91,3 +91,18 @@ def test_same_bins_however_the_rows_are_stored(docs):
     a = packing.packed_documents(docs.repartition(3), capacity=300, block=64)
     b = packing.packed_documents(docs.orderBy(F.desc("doc_id")), capacity=300, block=64)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_sequences_hold_every_word(spark, odd_docs):
+    rows = [r.asDict() for r in packing.packed_documents(odd_docs, capacity=1000).collect()]
+    assert all(len(r["text"].encode().split()) == r["size"] for r in rows)
+    pieces = sorted((r for r in rows if r["doc_id"] == 4), key=lambda r: r["piece"])
+    assert " ".join(r["text"] for r in pieces) == " ".join(f"word{i % 5000}" for i in range(60_000))
+    assert [r["text"] for r in rows if r["doc_id"] is None and r["size"]] == ["no id at all"]
+    bins = defaultdict(list)
+    for r in rows:
+        if r["bin"] is not None:
+            bins[r["block"], r["bin"]].append(r)
+    for members in bins.values():
+        words = " ".join(r["text"] for r in sorted(members, key=lambda r: r["start"])).encode().split()
+        assert len(words) == sum(r["size"] for r in members) <= 1000
