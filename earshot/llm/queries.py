@@ -9,12 +9,15 @@ from earshot.llm import (
     backoff,
     differencing,
     hosts,
+    infill,
+    kernel,
     merges,
     packing,
     perspectives,
     pseudonyms,
     records,
     simhash,
+    survival,
     threshold,
 )
 from earshot.llm.common import table
@@ -83,11 +86,35 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _remainder(n: int):
+    """Of the checksum of the id in decimals."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+def op11_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _remainder(3) == 1
+    scores = kernel.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op12_survival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survival.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    return told.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_backoff, op2_pseudonyms, op3_bpe, op4_threshold, op5_records, op6_perspectives, op7_host_rules,
-        op8_differencing, op9_best_fit, op10_simhash,
+        op8_differencing, op9_best_fit, op10_simhash, op11_kernel, op12_survival, op13_infill,
     )
 }
 
@@ -165,4 +192,66 @@ rejected AS (SELECT source FROM per_host, prior WHERE (f + mean * strength) / (n
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(source NOT IN (SELECT source FROM rejected), true) AS kept
 FROM judged""",
+    "op12_survival": f"""
+WITH cut AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+marked AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(words) < {survival.MIN_WORDS})::INT + 2 * (100 * len(list_distinct(words)) < {survival.MIN_DISTINCT} * len(words))::INT
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {survival.MAX_CAPITALS} * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS failed
+  FROM cut LEFT JOIN known USING (doc_id)
+),
+counted AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM marked GROUP BY part, failed
+),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, bit)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+steps AS (
+  SELECT filter_order, step::INT AS step, bit,
+    (SELECT coalesce(sum(x.bit), 0)::INT FROM letters x WHERE contains(substr(filter_order, 1, step - 1), x.l)) AS before
+  FROM orders, range(1, 6) r(step), letters WHERE l = substr(filter_order, step, 1)
+),
+placed AS (
+  SELECT part, filter_order, step, s.bit, n, good, toxic, failed & before = 0 AS reached, failed & s.bit <> 0 AS fails, failed = s.bit AS alone
+  FROM counted, steps s
+),
+summed AS (
+  SELECT part, filter_order, step, any_value(bit) AS bit,
+    coalesce(sum(n) FILTER (reached AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (reached AND fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails AND NOT reached), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (reached AND fails), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (reached AND fails), 0)::BIGINT AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step
+)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM summed""",
+    "op13_infill": f"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+),
+numbered AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || h[17:24])::BIGINT % 100 >= {infill.CUT} THEN 'plain'
+      WHEN ('0x' || h[25:32])::BIGINT % 100 < {infill.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+),
+cut AS (
+  SELECT *, substr(text, 1, least(a, b)) AS prefix, substr(text, 1 + least(a, b), abs(a - b)) AS middle, substr(text, 1 + greatest(a, b)) AS suffix
+  FROM numbered
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars, CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut""",
 }
