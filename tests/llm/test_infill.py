@@ -1,0 +1,101 @@
+import hashlib
+import random
+import time
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from earshot.llm import infill
+
+
+def by_hand(doc_id, text):
+    text, digest = text or "", hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in (0, 8, 16, 24)]
+    n = len(text)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = text[:a], text[a:b], text[b:]
+    if h[3] % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"
+
+
+def mixed_texts(count, seed=5):
+    rng = random.Random(seed)
+    letters = "abc déß漢字🙂\n\t<S>PM"
+    shared = "".join(rng.choice(letters[:-5]) for _ in range(40_000))
+    for i in range(count):
+        own = "".join(rng.choice(letters) for _ in range(rng.choice((0, 1, 3, 40, 900))))
+        at = rng.randrange(20_000)
+        yield i, own.replace("<", "< ") + (shared[at : at + rng.randrange(15_000)] if i % 2 else "")
+
+
+def test_every_row_is_that_by_hand(spark):
+    rows = [*mixed_texts(300), (7, "x<P>y"), (8, "a<S>"), (9, "<M>"), (None, None), (None, "no id here"), (12, None), (13, ""), (13, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = infill.fill_in_middle(df).withColumn("back", infill.restored(F.col("output"), F.col("form"))).collect()
+    want = sorted(((d, t or "", *by_hand(d, t)) for d, t in rows), key=repr)
+    assert sorted(((r.doc_id, r.back, r.n, r.form, r.prefix_units, r.middle_units, r.output) for r in got), key=repr) == want
+    assert {r.form for r in got} == {"plain", "psm", "spm"}
+
+
+def test_odd_rows_and_no_rows(spark, odd_docs, no_docs):
+    got = infill.fill_in_middle(odd_docs).collect()
+    want = [(r.doc_id, *by_hand(r.doc_id, r.text)) for r in odd_docs.collect()]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert infill.fill_in_middle(no_docs).collect() == []
+    with pytest.raises(ValueError, match="unit"):
+        infill.fill_in_middle(no_docs, unit="lines")
+
+
+def test_markers_that_the_cut_makes_do_not_mislead(spark):
+    rows = [(i, "<" * (i % 7) + "S><P" + "<S" * (i % 5) + "<M" + "P>" * (i % 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = infill.fill_in_middle(df).withColumn("back", infill.restored(F.col("output"), F.col("form"))).collect()
+    assert {(r.doc_id, r.back) for r in got} == set(rows)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="ab é漢🙂 \n\t", max_size=3000), st.integers(1, 40))
+def test_offsets_of_both_units(text, times):
+    text = text * times
+    data = text.encode()
+    cuts = infill.Cuts(data, infill.ChunkCache(infill.Chars))
+    assert cuts.n == len(text)
+    for units in {0, 1, len(text) // 3, len(text) - 1, len(text), len(text) + 5}:
+        assert cuts.offset(units) == len(text[: max(0, units)].encode())
+    words = infill.Cuts(data, infill.ChunkCache(infill.Words))
+    assert words.n == len(data.split())
+    for units in {0, 1, words.n // 2, words.n}:
+        assert data[: words.offset(units)].split() == data.split()[:units]
+
+
+def test_shared_passages_come_from_the_cache():
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(60_000)).encode()
+    cache = infill.ChunkCache(infill.Chars)
+    infill.Cuts(b"one head " * 50 + passage, cache)
+    before, chunks = cache.hits, len(cache.known)
+    second = infill.Cuts(b"quite another head " * 70 + passage, cache)
+    # All but the chunks around the heads are found again.
+    assert cache.hits - before >= len(second.ends) - 8 and len(cache.known) <= chunks + 8
+
+
+def test_cache_tells_chunks_apart_and_forgets():
+    cache = infill.ChunkCache(infill.Chars, limit=1000)
+    for i in range(200):
+        chunk = f"{i}é".encode() * 9
+        assert cache[chunk] == (len(chunk.decode()), False, False)
+    assert sum(map(len, cache.known)) <= 1000 and sum(map(len, cache.older)) <= 1100
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "a" * 3_000_000, "漢" * 1_000_000, "2016 2017 " * 300_000])
+def test_monotonous_texts_take_little_time(text):
+    start = time.time()
+    cuts = infill.Cuts(text.encode(), infill.ChunkCache(infill.Chars))
+    assert cuts.n == len(text) and cuts.offset(len(text) // 2) == len(text[: len(text) // 2].encode())
+    assert max(np.diff([0, *cuts.ends])) <= infill.MOST and time.time() - start < 10
