@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A word is a run of anything but these six characters.
-BLANK = r"[\x20\x09-\x0D]"
+BLANK, LETTER = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
 # Rows of a lookup table that is broadcast after it was counted: under 50 MB at 100 bytes each.
 MAX_BROADCAST_ROWS = 200_000
 
@@ -32,7 +33,7 @@ def text_of(name: str = "text") -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text in order; none for an empty or blank one."""
-    trimmed = F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    trimmed = F.btrim(text, F.lit(BLANKS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{BLANK}+", -1))
 
 

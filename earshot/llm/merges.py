@@ -26,6 +26,8 @@ from earshot.llm.common import sliced, text_of
 REMEMBERED = 450_000
 # Longer pieces are rarely seen twice.
 LONGEST_REMEMBERED = 64
+# Bytes of a piece that is merged together with others, and pieces merged together at most.
+SHORT, TOGETHER = 24, 1 << 15
 # Ids that are put into words at once.
 SLICE = 1 << 18
 
@@ -91,6 +93,12 @@ class Merges:
         letters = _byte_letters()
         self.byte_ids = [vocab.get(c) for c in letters]
         self.end_ids = [vocab.get(c + word_end) for c in letters]
+        # The same merges for many pieces at once: pairs ascending, with their ranks.
+        pairs = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        ranks = np.fromiter(self.ranks.values(), np.int32, len(self.ranks))
+        by_pair = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[by_pair], ranks[by_pair]
+        self.made_ids = np.array(self.made, np.int32)
         longest_first = sorted(special, key=len, reverse=True)
         self.special_pattern = re.compile("|".join(map(re.escape, longest_first))) if special else None
         self.known = _Known(self)
@@ -127,6 +135,53 @@ class Merges:
                     heapq.heappush(queue, rank * n + h)
         return [symbol for symbol in ids if symbol >= 0]
 
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; the number of merges where there is no merge, as beside an id of -1."""
+        none, pair = len(self.made), left.astype(np.int64) * self.width + right
+        if not none:
+            return np.zeros(pair.shape, np.int32)
+        at = np.minimum(np.searchsorted(self.pairs, pair), none - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.pair_ranks[at], np.int32(none))
+
+    def merged_together(self, pieces: list[str]) -> list[bytes]:
+        """:meth:`of_piece` of many short pieces: each row of a table makes its lowest merge in every round."""
+        data = [p.encode() for p in pieces]
+        lengths = np.fromiter(map(len, data), np.int64, len(data))
+        row = np.repeat(np.arange(len(data)), lengths)
+        column = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        codes = np.frombuffer(b"".join(data), np.uint8)
+        first, last = (np.array([-1 if i is None else i for i in x], np.int32) for x in (self.byte_ids, self.end_ids))
+        ids = np.full((len(data), int(lengths.max()) + 1), -1, np.int32)
+        ids[row, column] = np.where(column == lengths[row] - 1, last[codes], first[codes])
+        none = len(self.made)
+        ranks = self._ranks_of(ids[:, :-1], ids[:, 1:])
+        active, left = np.arange(len(data)), lengths.copy()
+        while len(active):
+            at = ranks[active].argmin(axis=1)
+            lowest = ranks[active, at]
+            more = lowest < none
+            active, at, lowest = active[more], at[more], lowest[more]
+            if not len(active):
+                break
+            # The rest of the row moves up by one place.
+            places = np.arange(ids.shape[1] - 1)
+            behind = places > at[:, None]
+            some, some_ranks = ids[active], ranks[active]
+            some[:, :-1] = np.where(behind, some[:, 1:], some[:, :-1])
+            some[:, -1] = -1
+            some_ranks[:, :-1] = np.where(behind[:, :-1], some_ranks[:, 1:], some_ranks[:, :-1])
+            some_ranks[:, -1] = none
+            rows = np.arange(len(active))
+            some[rows, at] = new = self.made_ids[lowest]
+            some_ranks[rows, at] = self._ranks_of(new, some[rows, at + 1])
+            has = at > 0
+            some_ranks[rows[has], at[has] - 1] = self._ranks_of(some[rows[has], at[has] - 1], new[has])
+            ids[active], ranks[active] = some, some_ranks
+            left[active] -= 1
+        whole = ids[np.arange(ids.shape[1]) < left[:, None]].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(left)).tolist()
+        return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
     def of_piece(self, piece: str) -> bytes:
         """Ids of a normalized piece, little-endian."""
         data = piece.encode()
@@ -134,14 +189,32 @@ class Merges:
         ids[-1] = self.end_ids[data[-1]]
         return np.array(self.merged(ids), "<u4").tobytes()
 
-    def _plain(self, text: str) -> bytes:
+    def _cut(self, text: str) -> list[str]:
         text = lowered(unicodedata.normalize("NFC", text))
         try:
             text.encode("latin-1")
             pieces = self.latin_pieces
         except UnicodeEncodeError:
             pieces = self.pieces
-        return b"".join(map(self.known.__getitem__, pieces.findall(text)))
+        return pieces.findall(text)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, self._cut(text)))
+
+    def encoded_all(self, texts: list[str]) -> list[np.ndarray]:
+        """:meth:`encoded` of each text; the short pieces that none before had are merged together."""
+        plain = [self.special_pattern is None or not any(s in t for s in self.special) for t in texts]
+        cut = [self._cut(t) if p else [] for t, p in zip(texts, plain)]
+        new = set().union(*cut).difference(self.known, self.known.older)
+        # Those of like length share a table.
+        short = sorted((p for p in new if len(p) <= SHORT and len(p.encode()) <= SHORT), key=len)
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            self.known.learn(zip(some, self.merged_together(some)))
+        return [
+            np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4") if p else self.encoded(t)
+            for t, p, pieces in zip(texts, plain, cut)
+        ]
 
     def encoded(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
@@ -172,11 +245,15 @@ class _Known(dict):
             ids = self.merges.of_piece(piece)
             if len(piece) > LONGEST_REMEMBERED:
                 return ids
+        self.learn([(piece, ids)])
+        return ids
+
+    def learn(self, found) -> None:
+        """Adds pieces with their ids."""
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-        self[piece] = ids
-        return ids
+        self.update(found)
 
 
 def lowered(text: str) -> str:

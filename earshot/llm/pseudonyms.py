@@ -1,9 +1,9 @@
 """Pseudonyms that keep the format: keyed Feistel permutations of private values, in DataFrame functions only.
 
-A value is found by its pattern, validated where it has a rule (the check digit of a card
-number, the ranges of an address or a calendar date), and replaced by another of the same
-format under the key. The same value gets the same pseudonym in every document, different
-values of one format get different ones, and the key's owner can undo it.
+A value is found by its pattern, validated where it has a rule (issuer, length and check
+digit of a card number, the ranges of an address or a calendar date), and replaced by another
+of the same format under the key. The same value gets the same pseudonym in every document,
+and different values of one format get different ones.
 """
 
 from __future__ import annotations
@@ -77,11 +77,26 @@ _NEXT = f"[ -](?!{'|'.join(k.pattern for k in _OTHERS)})"
 _GROUP = "[0-9]++(?![0-9A-Za-z_]|[.,][0-9])"
 _RUN = f"(?=[0-9](?:(?:{_NEXT})?[0-9]){{12}}){_GROUP}(?:{_NEXT}{_GROUP})*+"
 KINDS = _OTHERS + (Kind("card", ((_START, _RUN, ""),), told="[0-9][0-9 -]{12,}"),)
-# Groups of digits in the usual printings of a card number, the likelier first.
-PRINTED = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 5, 6), (4, 4, 5), (8, 8), (6, 13))
+# Groups of digits in the usual printings of a card number, beside the unbroken one; one mark stands between all of them.
+PRINTED = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
 CARD_FORMS = ("[0-9]{13,19}",) + tuple(
     mark.join(f"[0-9]{{{n}}}" for n in groups) for groups in PRINTED for mark in (" ", "-")
 )
+# The digits that a card number of each issuer begins with, and how many follow them.
+ISSUED = "|".join((
+    "4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})",
+    "(?:5[1-5][0-9]{2}|222[1-9]|22[3-9][0-9]|2[3-6][0-9]{2}|27[01][0-9]|2720)[0-9]{12}",
+    "3[47][0-9]{13}",
+    "3(?:0[0-59]|[689][0-9])[0-9]{11,16}",
+    "35(?:2[89]|[3-8][0-9])[0-9]{12,15}",
+    "(?:6011|64[4-9][0-9]|65[0-9]{2}|62[0-9]{2})[0-9]{12,15}",
+    "(?:5018|5020|5038|5893|6304|6759|676[1-3])[0-9]{9,15}",
+))
+# Digits of a card number that say whose it is; they stay.
+ISSUER = 4
+# A group of so many digits that no card takes is a number of its own; a run with more of them
+# than may stand around cards is a table, whose groups are no card.
+NUMBER, NUMBERS_AROUND = 4, 2
 # Java's matcher and its split find the same places: gaps and values alternate.
 ANY = "|".join(f"(?:{k.pattern})" for k in KINDS)
 # Every kind has one of these; most texts have none.
@@ -185,42 +200,41 @@ def _poured(template: Column, digits: Column) -> Column:
 def _valid_card(value: Column) -> Column:
     return let(
         _digits(value),
-        lambda d: _check_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.substring(d, F.length(d), F.lit(1)),
+        lambda d: d.rlike(f"^(?:{ISSUED})$")
+        & (_check_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.substring(d, F.length(d), F.lit(1))),
     )
 
 
 def _one_card(value: Column, key: str) -> Column:
+    """Another number of the same issuer, with its check digit."""
     def moved(d: Column) -> Column:
-        payload = F.substring(d, F.lit(1), F.length(d) - 1)
-        return let(_permuted_text(payload, key, "card"), lambda m: _poured(value, F.concat(m, _check_digit(m))))
+        own = F.substring(d, ISSUER + 1, F.length(d) - ISSUER - 1)
+        whole = F.concat(F.substring(d, 1, ISSUER), _permuted_text(own, key, "card"))
+        return let(whole, lambda m: _poured(value, F.concat(m, _check_digit(m))))
 
     return let(_digits(value), moved)
 
 
 def _any_of(values: Column) -> Column:
-    """Pattern of the given spans; without any, one that is in no run of digits."""
-    return F.concat(F.lit("(?:"), F.array_join(F.concat(values, F.array(F.lit("x"))), "|"), F.lit(")(?![0-9])"))
+    """Pattern of the given spans where no digit stands beside them; without any, one that is in no run of digits."""
+    return F.concat(F.lit("(?<![0-9])(?:"), F.array_join(F.concat(values, F.array(F.lit("x"))), "|"), F.lit(")(?![0-9])"))
 
 
 def _cards_pattern(run: Column) -> Column:
-    """Pattern of the valid cards of a run of digit groups.
-
-    Those printed as usual come first; other groupings are looked for in what they leave,
-    from the left and as wide as can be.
-    """
+    """Pattern of the valid cards of a run of digit groups; in a table of numbers only unbroken ones are."""
     def spans(form: str) -> Column:
-        return F.regexp_extract_all(run, F.lit(f"(?<![0-9])(?=({form})(?![0-9]))"), F.lit(1))
+        found = F.regexp_extract_all(run, F.lit(f"(?<![0-9])(?=({form})(?![0-9]))"), F.lit(1))
+        return F.filter(F.array_distinct(found), _valid_card)
 
-    def both(printed: Column) -> Column:
-        taken = _any_of(printed)
-        wide = F.concat(
-            F.lit("(?<![0-9])(?!"), taken, F.lit(")[0-9](?:(?:[ -](?!"), taken, F.lit("))?[0-9]){12,18}(?![0-9])")
-        )
-        others = F.filter(F.regexp_extract_all(run, wide, F.lit(0)), _valid_card)
-        return F.concat(F.lit("(?<![0-9])"), _any_of(F.array_distinct(F.concat(printed, others))))
+    def sifted(whole: Column) -> Column:
+        def both(printed: Column) -> Column:
+            rest = F.regexp_replace(run, _any_of(F.concat(whole, printed)), F.lit("x"))
+            numbers = F.regexp_count(rest, F.lit(f"(?<![0-9])[0-9]{{{NUMBER},}}"))
+            return _any_of(F.when(numbers <= NUMBERS_AROUND, F.concat(whole, printed)).otherwise(whole))
+
+        return let(F.concat(*[spans(form) for form in CARD_FORMS[1:]]), both)
 
-    found = F.array_distinct(F.concat(*[spans(form) for form in CARD_FORMS]))
-    return let(F.filter(found, _valid_card), both)
+    return let(spans(CARD_FORMS[0]), sifted)
 
 
 def _card(run: Column, key: str) -> Column:

@@ -59,8 +59,7 @@ def op4_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = records.write(table(spark, sf_dir, "documents"), _vocabulary(), END_ID)
-    found = records.read(spark, path).select("file", "offset", F.crc32("ids").alias("ids_crc32"))
-    return records.index(spark, path).join(found, ["file", "offset"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return records.index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,14 +100,17 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
         vocab = merges.load(vocabulary)
         end = np.array([end_id], "<u4")
         for batch in sliced(batches):
+            ids = vocab.encoded_all(batch.column(1).to_pylist())
             records = [
-                framed(payload_of(doc_id, np.concatenate((vocab.encoded(text), end))))
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                framed(payload_of(doc_id, np.concatenate((own, end)))) for doc_id, own in zip(batch.column(0).to_pylist(), ids)
             ]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
     written = dealt.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-    written.write.option("compression", "none").option("lineSep", END.decode()).text(f"{path}/records")
+    # One file per part, whatever the session says: the parts' numbers are the files' order.
+    written.write.option("compression", "none").option("lineSep", END.decode()).option("maxRecordsPerFile", 0).text(
+        f"{path}/records"
+    )
     _write_index(spark, path)
     return path
 
@@ -119,37 +122,37 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write_index(spark: SparkSession, path: str) -> None:
+    """Reads every file back, once: each record is held against its checksums, and its ids get one of their own."""
+
     def run(batches):
         for batch in batches:
             for number, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data, out, start = content.as_buffer().to_pybytes(), [], 0
                 for at in offsets(data):
-                    doc_id, has_id, wide = struct.unpack_from(_LEAD, data, at + HEAD)
-                    length = length_at(data, at)
-                    n = (length - _LEAD_BYTES) // (4 if wide else 2)
-                    out.append((number, at, length, doc_id if has_id else None, n, start))
-                    start += n
-                columns = zip(*out) if out else [[]] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns],
-                    names=["file", "offset", "length", "doc_id", "n_tokens", "start_in_file"],
-                )
-
-    entries = storage.written(
-        _files(spark, path).mapInArrow(
-            run, "file long, offset long, length long, doc_id long, n_tokens long, start_in_file long"
-        ),
-        "entries",
-    )
+                    payload = payload_at(data, at)
+                    doc_id, ids = read_payload(payload)
+                    out.append((number, at, len(payload), doc_id, len(ids), start, zlib.crc32(ids.astype("<u4", copy=False))))
+                    start += len(ids)
+                columns = zip(*out) if out else [[]] * len(_ENTRY)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_ENTRY)
+
+    entries = storage.written(_files(spark, path).mapInArrow(run, ", ".join(f"{c} long" for c in _ENTRY)), "entries")
     totals = entries.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     bases = prefix_sums(totals, [], "file", "n", "base")
     entries.join(bases.select("file", "base"), "file").select(
-        "file", "offset", "length", "doc_id", "n_tokens", (F.col("base") + F.col("start_in_file")).alias("start")
+        "file", "offset", "length", "doc_id", "n_tokens", (F.col("base") + F.col("start_in_file")).alias("start"), "ids_crc32"
     ).write.parquet(f"{path}/index")
 
 
+_ENTRY = ["file", "offset", "length", "doc_id", "n_tokens", "start_in_file", "ids_crc32"]
+
+
 def index(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, ``offset``, ``length``, ``doc_id``, ``n_tokens``, ``start`` (tokens of all records before) per record."""
+    """Per record ``file``, ``offset``, ``length``, ``doc_id``, ``n_tokens``, ``start`` (tokens of all records before), ``ids_crc32``.
+
+    The last is the unsigned CRC-32 of the ids as little-endian unsigned 32-bit numbers, taken
+    from the file.
+    """
     return spark.read.parquet(f"{path}/index")
 
 

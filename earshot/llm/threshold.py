@@ -26,8 +26,12 @@ K = 10
 BLOCK, QUERY_BLOCK = 8192, 2048
 # Rows of each list taken in the first step; each step takes twice as many.
 FIRST_STEP = 8
-# Products up to here are exact in double precision.
-_EXACT = 1 << 53
+# Products up to here are exact in double precision; beyond the second they do not fit a score.
+_EXACT, _WHOLE = 1 << 53, 1 << 63
+
+
+def _largest(numbers: np.ndarray) -> int:
+    return max(int(numbers.max(initial=0)), -int(numbers.min(initial=0)))
 
 
 class SortedLists:
@@ -39,12 +43,14 @@ class SortedLists:
         # Row d has the vectors' numbers by ascending component d.
         self.lists = np.argsort(self.vectors.T, axis=1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(np.ascontiguousarray(self.vectors.T), self.lists, axis=1)
-        self.largest = int(np.abs(self.vectors).max(initial=0))
+        self.largest = _largest(self.vectors)
 
     def top(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Ids and scores of the best ``k`` but ``own``, best first, ties by id; and how deep the walk went."""
         n, used = len(self.ids), np.flatnonzero(query)
-        limit = self.largest * int(np.abs(query).max(initial=0)) * len(query)
+        limit = self.largest * _largest(query) * len(query)
+        if limit >= _WHOLE:
+            raise ValueError(f"products of components up to {self.largest} may not fit 64 bits")
         kind = np.float64 if limit < _EXACT else np.int64
         vectors, weights = self._as(kind), query.astype(kind)
         met, best_ids, best = np.zeros(n, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -83,7 +89,8 @@ def whole_numbers(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "
     """``vec_id`` (long), ``v`` (array<long>): floor of ``scale`` times each component.
 
     Rows without an id or a vector, with an empty vector, or with a component that is
-    missing or not finite, are left out.
+    missing or not finite, are left out. Components whose products may leave 64 bits are an
+    error of the search, whose scores they are too large for.
     """
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").cast("array<double>").alias("e"))
     usable = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))

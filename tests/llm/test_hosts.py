@@ -77,3 +77,13 @@ def test_rejected_hosts_join_the_same_way_when_they_are_many(docs, monkeypatch):
     monkeypatch.setattr(hosts, "MAX_BROADCAST_ROWS", -1)
     assert [r.kept for r in hosts.verdicts(judged).orderBy("row.doc_id").collect()] == some
     assert len(set(some)) == 2
+
+
+def test_a_text_of_blanks_takes_little_time(spark):
+    import time
+
+    texts = ["a" + " " * 1_000_000 + "b", " " * 1_000_000, "a" * 1_000_000, " \n" * 500_000]
+    df = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    start = time.time()
+    assert sorted((r.row.doc_id, r.n_words) for r in hosts.measured(df).collect()) == [(0, 2), (1, 0), (2, 1), (3, 0)]
+    assert time.time() - start < 30

@@ -100,3 +100,22 @@ def test_odd_rows(odd_docs, no_docs):
     assert merges.digests(no_docs, PATH).count() == 0
     end = merges.encoded(odd_docs, PATH, end_id=2).filter("doc_id = 1").first().ids
     assert np.frombuffer(end, "<u4").tolist() == [2]
+
+
+def test_pieces_merged_together_are_those_merged_one_by_one(own, docs):
+    rng = random.Random(8)
+    letters = "abcdehilnorstu\u00e9\u00df'0123!?\u6f22"
+    pieces = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(4000)})
+    pieces = [p for p in pieces if len(p.encode()) <= merges.SHORT]
+    assert own.merged_together(pieces) == [own.of_piece(p) for p in pieces]
+    plain = merges.Merges({c: i for i, c in enumerate(merges._byte_letters())}, [], r"\S+", "", {})
+    assert plain.merged_together(["ab", "c"]) == [plain.of_piece("ab"), plain.of_piece("c")]
+
+
+def test_texts_encoded_together_are_those_encoded_one_by_one(doc_rows, own, monkeypatch):
+    texts = [r.text or "" for r in doc_rows.values()] + ["", "<|endoftext|> x<|endoftext|>", "a" * 500, "\x1c!! \x85", "the the"]
+    want = [own.encoded(t).tolist() for t in texts]
+    assert [x.tolist() for x in merges.load.__wrapped__(PATH).encoded_all(texts)] == want
+    monkeypatch.setattr(merges, "REMEMBERED", 50)
+    monkeypatch.setattr(merges, "TOGETHER", 20)
+    assert [x.tolist() for x in merges.load.__wrapped__(PATH).encoded_all(texts)] == want

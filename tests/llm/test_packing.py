@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -27,8 +28,6 @@ def brute(pieces, capacity):
 
 
 def test_block_equals_brute_force():
-    import random
-
     rng = random.Random(1)
     pieces = sorted(
         ((rng.randint(1, 100), rng.choice(["a"] * 5 + list("bcdefgh") + [None]), rng.choice([None, *range(40)])) for _ in range(700)),
@@ -97,7 +96,7 @@ def test_sequences_hold_every_word(spark, odd_docs):
     rows = [r.asDict() for r in packing.packed_documents(odd_docs, capacity=1000).collect()]
     assert all(len(r["text"].encode().split()) == r["size"] for r in rows)
     pieces = sorted((r for r in rows if r["doc_id"] == 4), key=lambda r: r["piece"])
-    assert " ".join(r["text"] for r in pieces) == " ".join(f"word{i % 5000}" for i in range(60_000))
+    assert "".join(r["text"] for r in pieces) == " ".join(f"word{i % 5000}" for i in range(60_000))
     assert [r["text"] for r in rows if r["doc_id"] is None and r["size"]] == ["no id at all"]
     bins = defaultdict(list)
     for r in rows:
@@ -106,3 +105,41 @@ def test_sequences_hold_every_word(spark, odd_docs):
     for members in bins.values():
         words = " ".join(r["text"] for r in sorted(members, key=lambda r: r["start"])).encode().split()
         assert len(words) == sum(r["size"] for r in members) <= 1000
+
+
+def test_pieces_put_together_are_the_text(spark):
+    rng = random.Random(4)
+    texts = ["", " ", "\n\t ", "one", "first line\n\tsecond  line\n\nthird", "  lead and tail \n", "\u00a0no\u2003blank"]
+    for _ in range(150):
+        texts.append("".join(rng.choice(["a", "bc", "\u6f22", "\U0001f642", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x85"]) for _ in range(rng.randrange(60))))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("s"))
+    back = defaultdict(str)
+    for r in sorted(packing.packed_documents(df, capacity=4, block=16).collect(), key=lambda r: (r.doc_id, r.piece)):
+        assert len(r.text.encode().split()) == r["size"] <= 4
+        back[r.doc_id] += r.text
+    assert [back[i] for i in range(len(texts))] == texts
+
+
+def test_rows_without_ids_and_repeated_rows_do_not_depend_on_storage(spark):
+    rows = [(None, f"{i % 3} words of {i % 5}", f"s{i % 2}") for i in range(60)] + [(7, "same words", "s0")] * 40 + [(None, "x", None)] * 9
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    other = spark.createDataFrame(rows[::-1], df.schema).repartition(7)
+    a, b = (sorted(map(repr, packing.packed_documents(d, capacity=8, block=16).collect())) for d in (df, other))
+    assert len(a) == len(rows) and a == b
+
+
+def test_equal_rows_fill_many_blocks(spark):
+    df = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "'the same text' as text", "'hot' as source")
+    rows = packing.packed_documents(df, capacity=16, block=512)
+    per_block = rows.groupBy("block").count().toPandas()["count"]
+    assert len(per_block) == -(-20_000 // 512) and per_block.max() < 2 * 512 and per_block.sum() == 20_000
+    assert rows.filter("start > 0").count() == 0
+
+
+def test_a_text_of_blanks_takes_little_time(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "a" + " " * 1_000_000 + "b", "s"), (2, " " * 1_000_000, "s")], "doc_id long, text string, source string")
+    start = time.time()
+    assert sorted((r.doc_id, r["size"]) for r in packing.packed_documents(df, capacity=1).collect()) == [(1, 1), (1, 1), (2, 0)]
+    assert time.time() - start < 30

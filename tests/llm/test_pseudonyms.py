@@ -1,4 +1,6 @@
 import datetime
+import hashlib
+import random
 import re
 
 import pytest
@@ -143,3 +145,85 @@ def test_values_in_texts_without_digits(spark):
         assert out != f"the {value} here" and shape(out) == shape(f"the {value} here")
     df = spark.createDataFrame([(1, "the password=abcdefghij here")], "doc_id long, text string")
     assert pseudonyms.pseudonymized(df, "k").select("n_found", "n_replaced").collect() == [(1, 1)]
+
+
+def test_rows_of_ordinary_numbers_stay(spark):
+    rng = random.Random(12)
+
+    def table(width, n, mark=" "):
+        return mark.join(str(rng.randrange(10 ** (width - 1), 10**width)) for _ in range(n))
+
+    texts = ["Sales " + " ".join(map(str, range(2016, 2027))), " ".join(map(str, range(1950, 2030)))]
+    texts += [table(4, n, m) for n in (8, 9, 12, 40, 500, 4000) for m in " -" for _ in range(5)]
+    texts += [table(w, 60) for w in (1, 2, 3, 5, 6, 7, 8, 9) for _ in range(5)]
+    texts += ["prices 1299 1399 1499 1599 1699 1799 and 12.50 9.99", "4041 8949 7460 8795 " + table(4, 3), "1111 2222 3333 4444"]
+    # Of no issuer, of a wrong length, or without its check digit.
+    texts += ["9656005089711094", "0810992847249404", "40418949746087", "4041894974608796", "1232810148878564"]
+    assert rewritten(spark, texts) == texts
+
+
+def test_a_pseudonym_is_of_the_same_issuer_and_found_again(spark):
+    cards = [
+        "4041894974608795", "4222222222222", "5555555555554444", "2223003122003222", "378282246310005", "30569309025904",
+        "3530111333300000", "6011111111111117", "6759649826438453", "3782 822463 10005", "5555-5555-5555-4444",
+    ]
+    once = rewritten(spark, cards)
+    twice = rewritten(spark, once)
+    for card, new, other in zip(cards, once, twice):
+        assert new != card and other != new and shape(new) == shape(card)
+        assert re.sub("[ -]", "", new)[: pseudonyms.ISSUER] == re.sub("[ -]", "", card)[: pseudonyms.ISSUER]
+        assert luhn(re.sub("[^0-9]", "", new))
+
+
+def number(key, tweak, half, size):
+    digest = hashlib.sha256(f"{key}|{tweak}|{half}".encode()).hexdigest()
+    return int(digest[:14], 16) % size
+
+
+def feistel(text, key, name):
+    """The permutation of a string in plain Python: each round moves the characters of one half by digests of the other."""
+    halves = [text[: len(text) // 2], text[len(text) // 2 :]]
+    for i in range(pseudonyms.ROUNDS):
+        mine, other = i % 2, halves[1 - i % 2]
+        moved = ""
+        for j, c in enumerate(halves[mine]):
+            low, size = next(((ord(a), ord(z) - ord(a) + 1) for a, z in ("09", "az", "AZ") if a <= c <= z), (None, 0))
+            moved += c if low is None else chr(low + (ord(c) - low + number(key, f"{name}|{i}|{j}", other, 1 << 40)) % size)
+        halves[mine] = moved
+    return "".join(halves)
+
+
+def feistel_pair(a, b, sizes, key, name):
+    pair = [a, b]
+    for i in range(pseudonyms.ROUNDS):
+        pair[i % 2] = (pair[i % 2] + number(key, f"{name}|{i}", pair[1 - i % 2], sizes[i % 2])) % sizes[i % 2]
+    return pair
+
+
+def test_pseudonyms_equal_a_feistel_network_in_plain_python(spark):
+    rng = random.Random(9)
+    texts, want = [], []
+    for _ in range(60):
+        payload = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        card = next(payload + d for d in "0123456789" if luhn(payload + d))
+        new = card[:4] + feistel(card[4:-1], "k", "card")
+        texts.append(card)
+        want.append(next(new + d for d in "0123456789" if luhn(new + d)))
+        octets = [rng.randrange(256) for _ in range(4)]
+        a, b = feistel_pair(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], (65536, 65536), "k", "address")
+        texts.append(".".join(map(str, octets)))
+        want.append(".".join(map(str, (a >> 8, a & 255, b >> 8, b & 255))))
+        first = datetime.date(1800, 1, 1)
+        day = rng.randrange(146097)
+        a, b = feistel_pair(day // 773, day % 773, (189, 773), "k", "date")
+        texts.append((first + datetime.timedelta(day)).isoformat())
+        want.append((first + datetime.timedelta(a * 773 + b)).isoformat())
+        name = "".join(rng.choice("abcXYZ019._") for _ in range(8)) + "q"
+        name = "a" + name
+        texts.append(f"{name}@mail.example.com")
+        want.append(f"{feistel(name, 'k', 'email')}@mail.example.com")
+        digits = "".join(rng.choice("0123456789") for _ in range(10))
+        new = feistel(digits, "k", "phone")
+        texts.append(f"({digits[:3]}) {digits[3:6]}-{digits[6:]}")
+        want.append(f"({new[:3]}) {new[3:6]}-{new[6:]}")
+    assert rewritten(spark, texts) == want

@@ -53,6 +53,7 @@ def test_files_index_and_shuffled_reads(spark, docs):
     read = {(r.file, r.offset): r for r in records.read(spark, path).collect()}
     assert {(r.file, r.offset) for r in entries} == set(read)
     assert all(len(read[r.file, r.offset].ids) == 4 * r.n_tokens for r in entries)
+    assert all(zlib.crc32(read[r.file, r.offset].ids) == r.ids_crc32 for r in entries)
     one, again = (records.read_shuffled(spark, path, 1).collect() for _ in range(2))
     other = records.read_shuffled(spark, path, 2).collect()
     assert one == again and [r.doc_id for r in one] != [r.doc_id for r in other]
@@ -66,3 +67,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert [r.n_tokens for r in entries if r.doc_id in (1, 2, 3)] == [1, 1, 1]
     path = records.write(no_docs, PATH, END_ID)
     assert records.read(spark, path).count() == 0 and records.index(spark, path).count() == 0
+
+
+def test_a_limit_on_the_rows_of_a_file_does_not_split_a_part(spark, docs):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        path = records.write(docs, PATH, END_ID)
+        entries = records.index(spark, path).orderBy("start").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert [r.doc_id for r in entries] == sorted(r.doc_id for r in docs.collect())

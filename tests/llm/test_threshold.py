@@ -60,3 +60,10 @@ def test_odd_rows(spark):
     assert found[200] == [(1, 0, 0), (2, 1, 0), (3, 2, 0)]
     assert len(found[100]) == 3 and set(found) == {0, 100, 200}
     assert threshold.top_products(threshold.whole_numbers(df.limit(0)), F.col("vec_id") == 0).count() == 0
+
+
+def test_products_beyond_64_bits_are_an_error(spark):
+    rows = [(100, [1e300, 1.0]), (1, [1e300, -1e300]), (2, [0.5, 0.5])]
+    vectors = threshold.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="64 bits"):
+        threshold.top_products(vectors, F.col("vec_id") == 100).collect()
