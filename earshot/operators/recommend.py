@@ -6,16 +6,36 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.operators import best_items, factorize
 
-def top_items(model: ALSModel, k: int = 10, users: DataFrame | None = None) -> DataFrame:
+
+def top_items(model: ALSModel, k: int = 10, users: DataFrame | None = None, exclude_seen: DataFrame | None = None) -> DataFrame:
     """``user_id``, ``recommendations`` array<struct<song_id, rating>>, best first.
 
-    Songs the user already played are not removed. ``users`` limits the work to
-    the requested ids.
+    Songs the user already played stay in unless ``exclude_seen``, a table of ``user_id``
+    and ``song_id``, names them; a user who has fewer than ``k`` others gets those, and one
+    who has none an empty list. ``users`` limits the work to the requested ids.
     """
-    if users is None:
-        return model.recommendForAllUsers(k)
-    return model.recommendForUserSubset(users, k)
+    if exclude_seen is None:
+        if users is None:
+            return model.recommendForAllUsers(k)
+        return model.recommendForUserSubset(users, k)
+    found = best_items.search(factorize.user_vectors(model), factorize.item_vectors(model), k, users, exclude_seen)
+    return listed(found.best, found.asked)
+
+
+def listed(best: DataFrame, users: DataFrame) -> DataFrame:
+    """Rows of :func:`best_items.search` in the form of :func:`top_items`: one row per ``id`` of ``users``."""
+    lists = best.groupBy(F.col("user_id").alias("id")).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("rank", "item_id", "score"))),
+            lambda r: F.struct(r["item_id"].cast("int").alias("song_id"), r["score"].alias("rating")),
+        ).alias("_list")
+    )
+    empty = F.array().cast("array<struct<song_id:int,rating:float>>")
+    return users.select("id").join(lists, "id", "left").select(
+        F.col("id").cast("int").alias("user_id"), F.coalesce("_list", empty).alias("recommendations")
+    )
 
 
 def predictions(recs: DataFrame, user: str = "user_id", item: str = "song_id") -> DataFrame:
