@@ -44,11 +44,14 @@ class Nearest:
     """Keeps the ``k`` nearest members of each query while members stream by.
 
     Order: distance (rounded to ``digits`` if given), then id. With codes, a member
-    counts only for queries that share the code of at least one hash table.
+    counts only for queries that share the code of at least one hash table; queries may
+    have several codes in each.
     """
 
     def __init__(self, ids, vectors, k, digits=None, codes=None):
-        self.ids, self.vectors, self.codes = ids, vectors, codes
+        self.ids, self.vectors = ids, vectors
+        # By row, table and probe.
+        self.codes = codes[:, :, None] if codes is not None and codes.ndim == 2 else codes
         self.k, self.digits = k, digits
         self.squares = (vectors**2).sum(axis=1)
         # One product of [q, 1] and [-2m, m.m] gives the squared distance less q.q.
@@ -102,7 +105,8 @@ class Nearest:
         if codes is not None:
             shared = np.zeros(score.shape, bool)
             for t in range(codes.shape[1]):
-                shared |= self.codes[rows, t][:, None] == codes[:, t][None, :]
+                for p in range(self.codes.shape[2]):
+                    shared |= self.codes[rows, t, p][:, None] == codes[:, t][None, :]
             score[~shared] = np.inf
         limit = self.bound[rows]
         if len(ids) > self.k and np.isinf(limit).any():

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions import columns
@@ -53,6 +54,142 @@ def signatures(vectors: DataFrame, index: BucketedRandomProjectionLSHModel) -> D
     return hashed.select(*vectors.columns, F.array(*codes).alias("codes"))
 
 
+# A bucket of a fine index: so many to a bucket of the index itself.
+_FINE = 1 << 16
+# Buckets on either side of its own that a query may probe in a table.
+REACH = 4
+
+
+def _projections(vectors: DataFrame, index: BucketedRandomProjectionLSHModel) -> DataFrame:
+    """Adds ``places``: per hash table the projection in units of the bucket length, so that its floor is the bucket."""
+    fine = index.copy({index.bucketLength: index.getBucketLength() / _FINE})
+    places = F.transform(F.col("codes"), lambda c: c.cast("double") / _FINE)
+    return signatures(vectors, fine).select(*vectors.columns, places.alias("places"))
+
+
+def _perturbed(places: Column, probes: int | Column, reach: int = REACH) -> Column:
+    """Per hash table the buckets to look into: the own one, and of all tables' others the ``probes`` nearest.
+
+    How near a bucket is tells the distance from the projection to its edge. All tables have
+    lists of one length, filled up with the own bucket.
+    """
+    steps = [d for r in range(1, reach + 1) for d in (-r, r)]
+
+    def of_table(place: Column, t: Column) -> Column:
+        inside = place - F.floor(place)
+        return F.array(*[
+            F.struct((inside + abs(d) - 1 if d < 0 else F.lit(abs(d)) - inside).alias("gap"), t.alias("t"), F.lit(d).alias("d")) for d in steps
+        ])
+
+    ordered = F.array_sort(F.flatten(F.transform(places, of_table)))
+    chosen = F.slice(ordered, F.lit(1), F.least(F.lit(probes), F.size(ordered)))
+
+    def buckets(taken: Column) -> Column:
+        def one(place: Column, t: Column) -> Column:
+            own = F.floor(place)
+            steps_taken = F.transform(F.filter(taken, lambda c: c["t"] == t), lambda c: own + c["d"])
+            filled = F.concat(F.array(own), steps_taken, F.array_repeat(own, len(steps)))
+            return F.slice(filled, 1, 1 + len(steps))
+
+        return F.transform(places, one)
+
+    return F.transform(F.array(chosen), buckets)[0]
+
+
+def multi_probe(vectors: DataFrame, index: BucketedRandomProjectionLSHModel, probes: int, reach: int = REACH) -> DataFrame:
+    """Adds ``codes``, the bucket of every hash table, and ``probes``: per table the buckets a query looks into."""
+    placed = _projections(vectors, index)
+    codes = F.transform("places", lambda x: F.floor(x))
+    return placed.select(*vectors.columns, codes.alias("codes"), _perturbed(F.col("places"), probes, reach).alias("probes"))
+
+
+@dataclass(frozen=True)
+class Calibration:
+    """An index, the probes to search it with, the ``recall`` and the share of pairs ``compared`` of the sample.
+
+    ``table`` has both for every bucket length tried.
+    """
+
+    index: BucketedRandomProjectionLSHModel
+    probes: int
+    recall: float
+    compared: float
+    table: DataFrame
+
+
+# Queries whose true neighbours a calibration looks at, about so many.
+SAMPLE = 300
+# Recall beyond the wanted one that the sample must show, as it is only a sample.
+MARGIN = 0.02
+# Bucket lengths tried, each this many times the one before.
+LENGTHS, GROWTH = 14, math.sqrt(2)
+
+
+def calibrate(
+    vectors: DataFrame, *, seed: int, recall: float = 0.9, k: int = 10, tables: int = 5, probes: int = 0, sample: int = SAMPLE,
+) -> Calibration:
+    """The shortest bucket length with which a search finds the wanted share of the true neighbours.
+
+    About ``sample`` vectors, chosen by a hash of the id, get their ``k`` true neighbours. A
+    sketch of the quantiles of the gap that a query and its neighbour show in the closest of
+    the projections gives the first length: buckets shorter than the gap of the wanted share
+    cannot hold it. From there lengths grow until the sample's neighbours share a bucket that
+    is probed often enough; if none does, the longest is taken, and ``recall`` says what it gives.
+    """
+    rows = vectors.filter("features is not null").select(F.col("id").cast("long").alias("id"), "features")
+    n, steps = rows.count(), 1 << 30
+    if not n:
+        raise ValueError("no vectors to calibrate an index with")
+    share = min(1.0, sample / n)
+    asked = rows.filter(F.pmod(F.xxhash64(F.lit("calibrate"), "id"), F.lit(steps)) < math.ceil(share * steps))
+    if share == 1.0 or not asked.head(1):
+        asked = rows
+    true = storage.written(similar_users(rows, asked.select("id"), k, "exact"), "true-neighbours")
+    near = true.agg(F.percentile_approx("dist", 0.5)).head()[0] or 1.0
+    unit = fit_index(rows, seed=seed, tables=tables, bucket_length=float(near))
+    placed = storage.written(_projections(rows, unit).select("id", "places"), "places")
+    own = placed.join(asked.select("id"), "id", "left_semi").select(F.col("id").alias("query_id"), F.col("places").alias("own"))
+    pairs = storage.written(
+        true.select("query_id", "neighbor_id").join(own, "query_id").join(
+            placed.select(F.col("id").alias("neighbor_id"), F.col("places").alias("other")), "neighbor_id"
+        ), "pairs",
+    )
+    gap = F.array_min(F.zip_with("own", "other", lambda a, b: F.abs(a - b)))
+    first = pairs.agg(F.percentile_approx(gap, recall)).head()[0] or 1e-6
+    lengths = [first * GROWTH**j for j in range(LENGTHS)]
+
+    def probed(own: str, length: Column) -> Column:
+        return _perturbed(F.transform(own, lambda x: x / length), probes)
+
+    def meets(length: Column) -> Column:
+        codes = F.transform("other", lambda x: F.floor(x / length))
+        return F.exists(F.zip_with("_probed", codes, lambda p, c: F.array_contains(p, c)), lambda x: x)
+
+    tried = F.explode(F.array(*[F.lit(float(x)) for x in lengths])).alias("length")
+    length = F.col("length")
+    found = pairs.select("own", "other", tried).withColumn("_probed", probed("own", length))
+    recalls = found.groupBy("length").agg(F.avg(meets(length).cast("int")).alias("recall"))
+    # What a search compares, by the same queries and fewer others: pairs that meet in a bucket.
+    some = placed.filter(F.pmod(F.xxhash64(F.lit("others"), "id"), F.lit(steps)) < math.ceil(share * steps / 3))
+    looking = own.select("query_id", "own", tried).withColumn("_probed", probed("own", length)).select(
+        "query_id", "length", F.posexplode("_probed").alias("table", "_list")
+    ).withColumn("bucket", F.explode(F.array_distinct("_list"))).drop("_list")
+    lying = some.select("id", "places", tried).select(
+        "id", "length", F.posexplode(F.transform("places", lambda x: F.floor(x / length))).alias("table", "bucket")
+    )
+    met = looking.join(lying, ["length", "table", "bucket"]).select("query_id", "id", "length").distinct()
+    costs = met.groupBy("length").agg((F.count("*") / F.lit(max(1, own.count() * some.count()))).alias("compared"))
+    table = storage.written(
+        recalls.join(costs, "length", "left").select(
+            (length * float(near)).alias("bucket_length"), "recall", F.coalesce("compared", F.lit(0.0)).alias("compared")
+        ), "calibration"
+    )
+    rows_found = table.orderBy("bucket_length").collect()  # a row per length tried
+    chosen = next((r for r in rows_found if r.recall >= min(1.0, recall + MARGIN)), rows_found[-1])
+    index = fit_index(rows, seed=seed, tables=tables, bucket_length=chosen.bucket_length)
+    return Calibration(index, probes, chosen.recall, chosen.compared, table)
+
+
 def bucket_profile(vectors: DataFrame, index: BucketedRandomProjectionLSHModel) -> DataFrame:
     """Per hash table: buckets, largest bucket, vectors in all, and comparisons a search for everyone makes.
 
@@ -99,6 +236,7 @@ def similar_users(
     display: bool = False,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     rows_per_cell: int | None = None,
+    probes: int = 0,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``neighbor_id``, ``dist``, ``username``.
 
@@ -106,7 +244,10 @@ def similar_users(
     when left out). ``method="exact"`` compares with all vectors, ``"lsh"`` (the default
     where an index is given or the vectors are hashed) with those that share a bucket of
     ``index`` and may return fewer than ``k``; vectors that :func:`signatures` has already
-    hashed need no index. Nobody is their own neighbour; equal distances are ordered by
+    hashed need no index. With ``probes``, a query also looks into so many neighbouring buckets,
+    the nearest of all tables first; those that still have fewer than ``k`` neighbours look
+    into twice as many, until all have ``k`` or all buckets in :data:`REACH` are probed.
+    Nobody is their own neighbour; equal distances are ordered by
     id. With ``digits`` the distance is rounded before it is ranked; ``display`` rounds it
     afterwards and fills in missing names.
 
@@ -118,6 +259,11 @@ def similar_users(
     if method not in ("exact", "lsh"):
         raise ValueError(f"method must be 'exact' or 'lsh', is {method!r}")
     hashed = method == "lsh"
+    if probes and (not hashed or index is None):
+        raise ValueError("probes need method 'lsh' and an index")
+    if probes:
+        found = _by_rounds(vectors, queries, k, index, digits, max_broadcast_bytes, rows_per_cell, probes)
+        return _named(found, users, display)
     vectors = vectors.filter(F.col("features").isNotNull())
     if hashed and "codes" not in vectors.columns:
         if index is None:
@@ -147,6 +293,50 @@ def similar_users(
     return _named(_ranked(found, k), users, display)
 
 
+def _by_rounds(
+    vectors: DataFrame, queries: DataFrame | None, k: int, index: BucketedRandomProjectionLSHModel, digits: int | None,
+    max_broadcast_bytes: int, rows_per_cell: int | None, probes: int,
+) -> DataFrame:
+    """Ranked neighbours of a search that probes more buckets for the queries with fewer than ``k``, round by round."""
+    rows = vectors.filter("features is not null").select(F.col("id").cast("long").alias("id"), "features")
+    placed = storage.written(_projections(rows, index), "places")
+    members = placed.select("id", "features", F.transform("places", lambda x: F.floor(x)).alias("codes"))
+    asked, width, most = placed, 1 + 2 * REACH, 2 * REACH * index.getNumHashTables()
+    if queries is not None:
+        asked = placed.join(queries.select(F.col("id").cast("long").alias("id")), "id", "left_semi")
+    done = None
+    while True:
+        probing = storage.written(asked.select("id", "features", _perturbed(F.col("places"), probes).alias("codes")), "probing")
+        size = probing.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("width")).head()
+        if size.n == 0:
+            found = rows.sparkSession.createDataFrame([], _FOUND)
+        elif size.n * (size.width + width * index.getNumHashTables() + 1) * 8 <= max_broadcast_bytes:
+            found = _by_broadcast(members, probing.toArrow(), k, digits)
+        else:
+            found = _by_cells(members, probing, k, digits, rows_per_cell)
+        ranked = storage.written(_ranked(found, k), "ranked")
+        if probes >= most:
+            short = None
+        else:
+            full = ranked.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") >= k)
+            short = storage.written(asked.join(full.select("id"), "id", "left_anti"), "short")
+        if short is None or not short.head(1):
+            return ranked if done is None else done.unionByName(ranked)
+        kept = ranked.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
+        done = kept if done is None else done.unionByName(kept)
+        asked, probes = short, min(most, 2 * probes)
+
+
+def _codes(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Buckets by row and table; of probing queries by row, table and probe."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not pa.types.is_list(column.type.value_type):
+        return matrix(column).astype(np.int64)
+    inner = column.flatten()
+    return matrix(inner).astype(np.int64).reshape(len(column), len(inner) // max(1, len(column)), -1)
+
+
 def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | None) -> DataFrame:
     """Few queries: every partition keeps the ``k`` best of its own members, without a shuffle."""
     hashed = "codes" in queries.column_names
@@ -154,7 +344,7 @@ def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | N
         (
             id_array(queries["id"]),
             matrix(queries["features"]),
-            matrix(queries["codes"]).astype(np.int64) if hashed else None,
+            _codes(queries["codes"]) if hashed else None,
         )
     )
 
@@ -166,7 +356,7 @@ def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | N
                 best.add(
                     id_array(batch.column("id")),
                     matrix(batch.column("features")),
-                    matrix(batch.column("codes")).astype(np.int64) if hashed else None,
+                    _codes(batch.column("codes")) if hashed else None,
                 )
         yield pa.RecordBatch.from_arrays(best.result(), schema=FOUND)
 
@@ -186,18 +376,21 @@ def _by_cells(
     """
     bucket, hashed = ["table", "bucket"], "codes" in members.columns
 
+    def opened(df: DataFrame, *kept: str) -> DataFrame:
+        """A row per table and bucket that a vector is in, or that a query probes."""
+        rows = df.select(*kept, F.posexplode("codes").alias(*bucket))
+        if dict(df.dtypes)["codes"] == "array<array<bigint>>":
+            rows = rows.withColumn("bucket", F.explode(F.array_distinct("bucket")))
+        return rows
+
     def sizes(df: DataFrame, name: str) -> DataFrame:
-        rows = df.select(F.posexplode("codes").alias(*bucket))
+        rows = opened(df)
         return rows.groupBy(*bucket).agg(F.count("*").alias(name))
 
     if hashed:
         asked, offered = sizes(queries, "_asked"), sizes(members, "_offered")
-        first = F.col("table") == 0
-        n_queries, n_members, shared = asked.join(offered, bucket, "full").agg(
-            F.sum(F.when(first, F.col("_asked"))),
-            F.sum(F.when(first, F.col("_offered"))),
-            F.sum(F.col("_asked").cast("double") * F.col("_offered")),
-        ).head()
+        n_queries, n_members = queries.count(), members.count()
+        shared = asked.join(offered, bucket).agg(F.sum(F.col("_asked").cast("double") * F.col("_offered"))).head()[0] or 0
         by_bucket = shared < n_queries * n_members
     else:
         n_queries, n_members, by_bucket = queries.count(), members.count(), False
@@ -218,7 +411,7 @@ def _by_cells(
     def cut(df: DataFrame) -> DataFrame:
         """Adds the bucket, and into how many blocks and slices it is cut."""
         if by_bucket:
-            rows = df.select("id", "features", F.posexplode("codes").alias(*bucket))
+            rows = opened(df, "id", "features")
             for counts, rows_name, name in ((asked, "_asked", "_blocks"), (offered, "_offered", "_slices")):
                 hot = skew.hot_keys(counts, bucket, rows_name, rows_per_cell, name)
                 rows = rows.join(hot, bucket, "left")
@@ -250,7 +443,7 @@ def _by_cells(
     def search(asking: pa.Table, offering: pa.Table) -> pa.Table:
         if not asking.num_rows or not offering.num_rows:
             return FOUND.empty_table()
-        codes = [matrix(t["codes"]).astype("int64") if check else None for t in (asking, offering)]
+        codes = [_codes(t["codes"]) if check else None for t in (asking, offering)]
         best = Nearest(id_array(asking["id"]), matrix(asking["features"]), k, digits, codes[0])
         best.add(id_array(offering["id"]), matrix(offering["features"]), codes[1])
         return pa.Table.from_arrays(best.result(), schema=FOUND)

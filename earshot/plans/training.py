@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 
@@ -36,28 +39,40 @@ def grid_search(
     alphas: Sequence[float] = (1.0,),
     iterations: Sequence[int] = (20,),
     k: int = 10,
+    parallelism: int = 2,
     **fit_args,
 ) -> GridResult:
     """Fit every combination, score each by mean nDCG@k, keep the best; the first wins ties.
 
     Training rows and truth pairs are kept for the length of the search. All scores
-    may be 0: there is a best model all the same.
+    may be 0: there is a best model all the same. ``parallelism`` fits run at a time, so one
+    fills the cores that another leaves idle; what is kept does not depend on which ends
+    first. When one fails, the jobs of the others are cancelled and its error is raised.
     """
+    if parallelism < 1:
+        raise ValueError("parallelism must be positive")
+    spark = train.sparkSession
+    storage.ensure_checkpoint_dir(spark)
     train = train.select("user_id", "song_id", "rating_log").persist()
     truth = evaluate.truth_pairs(test).persist()
-    rows, best, best_row = [], None, None
+    grid = list(itertools.product(ranks, regs, alphas, iterations))
+    rows, best, best_row = [None] * len(grid), None, None
     try:
         n = schemas.require_trainable(train, "user_id", "song_id", "rating_log")
-        for rank, reg, alpha, iters in itertools.product(ranks, regs, alphas, iterations):
+
+        def one(i: int) -> tuple[int, ALSModel, tuple]:
+            rank, reg, alpha, iters = grid[i]
             model = factorize.train(
-                train, seed=seed, rank=rank, reg=reg, alpha=alpha, iterations=iters, checked_rows=n,
-                **fit_args,
+                train, seed=seed, rank=rank, reg=reg, alpha=alpha, iterations=iters, checked_rows=n, **fit_args
             )
             listed = recommend.predictions(recommend.top_items(model, k))
             score = evaluate.mean_ndcg(evaluate.ndcg_per_user(listed, truth, k)).head()
-            rows.append((rank, float(reg), float(alpha), iters, score["users"], score["ndcg"]))
-            if best is None or score["ndcg"] > rows[best_row][5]:
-                best, best_row = model, len(rows) - 1
+            return i, model, (rank, float(reg), float(alpha), iters, score["users"], score["ndcg"])
+
+        for i, model, row in _together(spark, one, len(grid), parallelism):
+            rows[i] = row
+            if best is None or (row[5], -i) > (rows[best_row][5], -best_row):
+                best, best_row = model, i
     finally:
         train.unpersist()
         truth.unpersist()
@@ -69,6 +84,36 @@ def grid_search(
     return GridResult(metrics, best, params, ndcg)
 
 
+def _together(spark, one, n: int, parallelism: int):
+    """``one(0)`` to ``one(n - 1)`` as they end, ``parallelism`` at a time, each in a job group of its own.
+
+    The first error cancels the groups that are under way and is raised.
+    """
+    sc, search = spark.sparkContext, uuid.uuid4().hex
+    groups = [f"grid-{search}-{i}" for i in range(n)]
+
+    def grouped(i: int):
+        sc.setJobGroup(groups[i], f"grid search, combination {i + 1} of {n}", interruptOnCancel=True)
+        return one(i)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        waiting, running = list(range(n)), {}
+        try:
+            while waiting or running:
+                while waiting and len(running) < parallelism:
+                    i = waiting.pop(0)
+                    running[pool.submit(inheritable_thread_target(spark)(grouped), i)] = i
+                done, _ = wait(running, return_when=FIRST_COMPLETED)
+                for future in done:
+                    del running[future]
+                for future in done:
+                    yield future.result()
+        except BaseException:
+            for i in running.values():
+                sc.cancelJobGroup(groups[i])
+            raise
+
+
 def train_and_save(
     raw: DataFrame,
     path: str,

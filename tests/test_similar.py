@@ -182,3 +182,84 @@ def test_bucket_profile_and_recall(spark, vectors):
     found = similar.similar_users(vectors, k=5, method="lsh", index=index)
     row = similar.recall(found, exact).head()
     assert 0 < row.recall <= 1 and row.pairs_exact == 750
+
+
+def by_hand_probes(places, probes, reach):
+    """Buckets per table, from the gaps of all tables together."""
+    gaps = []
+    for t, x in enumerate(places):
+        inside = x - np.floor(x)
+        for r in range(1, reach + 1):
+            gaps += [(inside + r - 1, t, -r), (r - inside, t, r)]
+    chosen = sorted(gaps)[:probes]
+    return [{int(np.floor(x))} | {int(np.floor(x)) + d for _, u, d in chosen if u == t} for t, x in enumerate(places)]
+
+
+@pytest.mark.parametrize("probes", [0, 1, 3, 7, 100])
+def test_probes_are_the_nearest_buckets(spark, probes):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.uniform(-3, 3, 4).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, places array<double>")
+    got = {r.id: r.p for r in df.select("id", similar._perturbed(F.col("places"), probes, 2).alias("p")).collect()}
+    for i, places in rows:
+        assert [set(p) for p in got[i]] == by_hand_probes(places, probes, 2)
+        assert len({len(p) for p in got[i]}) == 1
+
+
+@pytest.fixture(scope="module")
+def embeddings(spark, sf_dir):
+    import workload
+
+    return workload.embedding_vectors(spark, sf_dir).cache()
+
+
+def test_projections_have_the_buckets_as_floor(embeddings):
+    index = similar.fit_index(embeddings, seed=3, bucket_length=0.2)
+    rows = similar.multi_probe(embeddings, index, 4).join(
+        similar.signatures(embeddings, index).select("id", F.col("codes").alias("want")), "id"
+    ).collect()
+    assert all(r.codes == r.want for r in rows)
+    assert all(len({*p}) <= 5 and c == p[0] for r in rows for c, p in zip(r.codes, r.probes))
+    assert all(sum(len({*p}) - 1 for p in r.probes) == 4 for r in rows)
+
+
+@pytest.mark.parametrize("bytes_", [similar.MAX_BROADCAST_BYTES, 0])
+def test_probing_finds_what_shares_a_probed_bucket(embeddings, bytes_):
+    index = similar.fit_index(embeddings, seed=3, tables=3, bucket_length=0.05)
+    found = similar.similar_users(embeddings, k=5, index=index, probes=4, max_broadcast_bytes=bytes_, rows_per_cell=64)
+    rows = similar.multi_probe(embeddings, index, 4).collect()
+    vectors = {r.id: np.array(r.features, float) for r in rows}
+    codes = {r.id: r.codes for r in rows}
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.neighbor_id, r.dist))
+    checked = 0
+    for r in rows:
+        near = [j for j in codes if j != r.id and any(c in p for c, p in zip(codes[j], r.probes))]
+        if len(near) < 5:
+            continue  # a later round has probed more for it
+        best = sorted((np.linalg.norm(vectors[r.id] - vectors[j]), j) for j in near)[:5]
+        assert [j for _, j, _ in sorted(got[r.id])] == [j for _, j in best]
+        checked += 1
+    assert checked > 100
+    assert len(got) == len(rows) and all(len(x) == 5 for x in got.values())
+
+
+def test_calibrated_index_finds_the_wanted_share(embeddings):
+    exact = similar.similar_users(embeddings, k=10, method="exact")
+    for wanted, probes in ((0.9, 0), (0.9, 6)):
+        made = similar.calibrate(embeddings, seed=7, recall=wanted, probes=probes)
+        found = similar.similar_users(embeddings, k=10, index=made.index, probes=made.probes)
+        measured = similar.recall(found, exact).head()["recall"]
+        assert measured >= wanted and made.recall >= wanted
+        # It prunes, and no length that is shorter would have done on the sample.
+        assert 0 < made.compared < 1
+        shorter = [r.recall for r in made.table.collect() if r.bucket_length < made.index.getBucketLength() * 0.999]
+        assert all(r < wanted + similar.MARGIN for r in shorter)
+
+
+def test_probes_need_an_index(embeddings):
+    with pytest.raises(ValueError, match="index"):
+        similar.similar_users(embeddings, probes=2)
+    with pytest.raises(ValueError, match="calibrate"):
+        similar.calibrate(embeddings.limit(0), seed=1)

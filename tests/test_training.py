@@ -141,3 +141,53 @@ def test_train_and_save(spark, plays):
     report = result.report.head()
     assert (report.rows_before, report.rows_after) == (6000, 4641)
     assert report.train_rows + report.test_rows == 4641
+
+
+def test_concurrent_fits_give_the_same_table(ratings):
+    train, test = split.hash_split(ratings)
+    grid = {"seed": 3, "ranks": (2, 3), "regs": (0.1, 0.5), "iterations": (1,), "k": 5, "blocks": 2}
+    one = training.grid_search(train, test, parallelism=1, **grid)
+    three = training.grid_search(train, test, parallelism=3, **grid)
+    a, b = (sorted((*r[:5], round(r.ndcg, 6), r.is_best) for r in x.metrics.collect()) for x in (one, three))
+    assert a == b and one.best_params == three.best_params and sum(r[-1] for r in a) == 1
+
+
+def test_equal_scores_keep_the_first_whichever_ends_first():
+    class Spark:
+        class sparkContext:
+            setJobGroup = staticmethod(lambda *a, **b: None)
+
+    import time
+
+    def slow_first(i):
+        time.sleep(0.5 if i == 0 else 0.0)
+        return i
+
+    # The order of the ends is not that of the grid.
+    import earshot.plans.training as plan
+
+    plan_target, plan.inheritable_thread_target = plan.inheritable_thread_target, lambda spark: lambda f: f
+    try:
+        ends = list(plan._together(Spark, slow_first, 4, 2))
+    finally:
+        plan.inheritable_thread_target = plan_target
+    assert sorted(ends) == [0, 1, 2, 3] and ends[0] != 0
+
+
+def test_a_failing_fit_cancels_the_others(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    def one(i):
+        if i == 0:
+            time.sleep(2)
+            raise ValueError("no such rank")
+        # Would run for minutes.
+        slow = F.udf(lambda x: time.sleep(0.05) or x, "long")
+        return spark.range(0, 100_000, 1, 8).select(F.sum(slow("id"))).collect()
+
+    began = time.time()
+    with pytest.raises(ValueError, match="no such rank"):
+        list(training._together(spark, one, 3, 2))
+    assert time.time() - began < 60

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.operators import (
+    best_items,
     evaluate,
     factorize,
+    fold_in,
     interactions,
     profiles,
     ranking,
@@ -427,16 +429,42 @@ def als_similar_to_one(spark, sf_dir):
     return _checked_neighbours(found, vectors, 10, others=False)
 
 
+def _recall_row(found, vectors, wanted=0.9):
+    exact = similar.similar_users(vectors, k=10, method="exact", digits=6)
+    return similar.recall(found, exact).select(
+        "pairs_exact", (F.col("recall") >= wanted).alias("recall_fits"), (F.col("pairs_found") <= F.col("pairs_exact")).alias("none_made_up")
+    )
+
+
 def lsh_recall(spark, sf_dir):
+    """With a bucket length calibrated to a recall of nine tenths, the recall measured over all vectors."""
+    vectors = embedding_vectors(spark, sf_dir)
+    made = similar.calibrate(vectors, seed=SEED, recall=0.9)
+    return _recall_row(similar.similar_users(vectors, k=10, index=made.index, digits=6), vectors).withColumn(
+        "prunes", F.lit(made.compared < 1.0)
+    )
+
+
+def lsh_multi_probe(spark, sf_dir):
+    """The same with six neighbouring buckets probed, and so with shorter buckets."""
     vectors = embedding_vectors(spark, sf_dir)
-    index = similar.fit_index(vectors, seed=SEED, bucket_length=0.25)
-    found = similar.similar_users(vectors, k=10, method="lsh", index=index, digits=6)
-    return similar.recall(found, similar.similar_users(vectors, k=10, method="exact", digits=6)).select(
-        "pairs_exact", F.col("recall").between(0.05, 1.0).alias("recall_fits"),
-        (F.col("pairs_found") <= F.col("pairs_exact")).alias("none_made_up"),
+    plain, made = (similar.calibrate(vectors, seed=SEED, recall=0.9, probes=p) for p in (0, 6))
+    found = similar.similar_users(vectors, k=10, index=made.index, probes=made.probes, digits=6)
+    return _recall_row(found, vectors).withColumn(
+        "shorter", F.lit(made.index.getBucketLength() < plain.index.getBucketLength())
     )
 
 
+def lsh_recall_shipped(spark, sf_dir):
+    """Recall of the default index, over ready-made and over learnt vectors."""
+    learnt = storage.written(factorize.user_vectors(fitted(spark, sf_dir)), "vectors")
+    rows = []
+    for name, vectors in (("embeddings", embedding_vectors(spark, sf_dir)), ("users", learnt)):
+        found = similar.similar_users(vectors, k=10, index=similar.fit_index(vectors, seed=SEED), digits=6)
+        rows.append(_recall_row(found, vectors).withColumn("vectors", F.lit(name)))
+    return rows[0].unionByName(rows[1])
+
+
 def lsh_buckets(spark, sf_dir):
     """Per hash table, whether the buckets hold every vector once."""
     vectors = embedding_vectors(spark, sf_dir)
@@ -494,22 +522,14 @@ def _ranked_top(spark, sf_dir):
 
 
 def _best_possible(spark, sf_dir, listed, k):
-    """Per user, whether no song left out scores higher than the last one listed.
-
-    The largest score a user can get is found song by song in the products of the
-    factors, for all users and songs.
-    """
+    """Per user, whether the songs listed score, rank by rank, what the search by blocks finds best."""
     model = fitted(spark, sf_dir)
-    last = listed.groupBy("user_id").agg(F.min("score").alias("_last"), F.collect_set("song_id").alias("_listed"))
-    own = factorize.user_vectors(model).select(F.col("id").alias("user_id"), F.col("features").alias("x")).join(last, "user_id")
-    songs_ = factorize.item_vectors(model).agg(F.collect_list(F.struct("id", "features")).alias("songs"))
-    dot = lambda s: F.aggregate(
-        F.zip_with("x", s["features"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda t, v: t + v
-    )
-    # The test tables' songs fit one row; a check, not an operator.
-    return own.crossJoin(F.broadcast(songs_)).select(
-        "user_id", (F.size("_listed") == k).alias("full"),
-        (~F.exists("songs", lambda s: (dot(s) > F.col("_last") + 1e-4) & ~F.array_contains("_listed", s["id"]))).alias("best"),
+    asked = listed.select("user_id").distinct()
+    best = best_items.search(factorize.user_vectors(model), factorize.item_vectors(model), k, asked).best
+    both = listed.join(best.select("user_id", "rank", F.col("score").alias("_best")), ["user_id", "rank"], "full")
+    return both.groupBy(F.col("user_id").cast("int").alias("user_id")).agg(
+        (F.count("score") == k).alias("full"),
+        F.coalesce(F.max(F.abs(F.col("score") - F.col("_best"))) < 1e-4, F.lit(False)).alias("best"),
     )
 
 
@@ -522,6 +542,54 @@ def als_top_items_subset(spark, sf_dir):
     return _best_possible(spark, sf_dir, recommend.ranked_items(recs), 5)
 
 
+def als_top_items_unseen(spark, sf_dir):
+    """Recommendations without the songs of the training rows: how many, whether none was played, and whether in order."""
+    model, rows = fitted(spark, sf_dir), training_rows(spark, sf_dir)
+    recs = recommend.top_items(model, 10, exclude_seen=rows.select("user_id", "song_id"))
+    ranked = storage.written(recommend.ranked_items(recs), "unseen")
+    played = rows.select("user_id", "song_id").distinct().withColumn("_played", F.lit(True))
+    return ranked.join(played, ["user_id", "song_id"], "left").groupBy(F.col("user_id").cast("int").alias("user_id")).agg(
+        F.count("*").alias("n_listed"), (F.count("_played") == 0).alias("none_played"),
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "score"))), lambda r: r["score"]).alias("_scores"),
+    ).withColumn("in_order", F.col("_scores") == F.sort_array("_scores", asc=False)).drop("_scores")
+
+
+def als_blocks(spark, sf_dir):
+    """The search in many blocks: whether it gives the trainer's scores, and its count of blocks searched adds up."""
+    model = fitted(spark, sf_dir)
+    found = best_items.search(factorize.user_vectors(model), factorize.item_vectors(model), 10, rows_per_block=256)
+    ranked = _ranked_top(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("long"))
+    same = found.best.join(ranked.withColumnRenamed("score", "_theirs"), ["user_id", "rank"], "full").agg(
+        F.countDistinct("user_id").alias("users"), F.coalesce(F.max(F.abs(F.col("score") - F.col("_theirs"))) < 1e-4, F.lit(False)).alias("same"),
+        (F.count("score") == F.count("_theirs")).alias("as_many"),
+    )
+    sums = found.report.agg(F.sum("searched"), F.sum("pairs")).head()  # a row per wave
+    return same.withColumn("adds_up", F.lit(0 < sums[0] <= sums[1]))
+
+
+def als_fold_in(spark, sf_dir):
+    """Known users folded in from their training rows: whether they get their own vector."""
+    model = fitted(spark, sf_dir)
+    made = fold_in.fold_in(training_rows(spark, sf_dir), factorize.item_vectors(model)).withColumnRenamed("features", "made")
+    gaps = F.zip_with("features", "made", lambda a, b: F.abs(a - b))
+    return factorize.user_vectors(model).withColumn("id", F.col("id").cast("long")).join(made, "id", "left").select(
+        F.col("id").alias("user_id"), F.coalesce(F.array_max(gaps) < 1e-3, F.lit(False)).alias("same")
+    )
+
+
+def als_fold_in_unknown(spark, sf_dir):
+    """Users the model does not know get recommendations from their own plays: how many, none of them played."""
+    model = fitted(spark, sf_dir)
+    known = factorize.user_vectors(model).select(F.col("id").cast("long").alias("user_id"))
+    rows = storage.written(interactions.log_rating(plays(spark, sf_dir).join(known, "user_id", "left_anti")), "unknown-plays")
+    vectors = storage.written(fold_in.fold_in(rows, factorize.item_vectors(model)), "folded")
+    found = best_items.search(vectors, factorize.item_vectors(model), 10, seen=rows.select("user_id", "song_id"))
+    played = rows.select("user_id", F.col("song_id").alias("item_id")).distinct().withColumn("_played", F.lit(True))
+    return found.best.join(played, ["user_id", "item_id"], "left").groupBy("user_id").agg(
+        F.count("*").alias("n_listed"), (F.count("_played") == 0).alias("none_played")
+    )
+
+
 def als_predictions(spark, sf_dir):
     """Per user, whether the listed ids are the ranked songs in their order."""
     recs = recommend.top_items(fitted(spark, sf_dir), 10)
@@ -668,7 +736,8 @@ QUERIES = {
         history_totals, users_by_id, unknown_users, hash_split, random_split, random_split_again, ground_truth,
         truth_pairs, ndcg_popularity, mean_ndcg_popularity, eval_frame, knn_exact, knn_exact_cells, knn_named,
         knn_display, knn_missing_names, knn_with_gaps, knn_lsh, knn_lsh_wide, lsh_recall,
-        lsh_buckets, als_user_factors, als_top_items, als_top_items_subset, als_predictions, als_top_items_shape,
+        lsh_multi_probe, lsh_recall_shipped, lsh_buckets, als_user_factors, als_top_items, als_top_items_subset,
+        als_top_items_unseen, als_blocks, als_fold_in, als_fold_in_unknown, als_predictions, als_top_items_shape,
         als_top_items_scores, als_ndcg, als_similar_users, als_similar_to_one, grid_metrics, train_and_save,
         csv_roundtrip, csv_users, csv_songs, csv_faults, model_roundtrip, model_describe, model_users,
     )
@@ -831,7 +900,11 @@ ORACLE = {
     "knn_with_gaps": f"""WITH {_knn(6).replace('a.vec_id <> b.vec_id', 'a.vec_id <> b.vec_id AND a.vec_id % 7 <> 0 AND b.vec_id % 7 <> 0')}
         SELECT * FROM nearest""",
     "knn_lsh": "SELECT vec_id::BIGINT AS query_id, true AS whole, true AS in_order FROM embeddings",
-    "lsh_recall": "SELECT 10 * count(*) AS pairs_exact, true AS recall_fits, true AS none_made_up FROM embeddings",
+    "lsh_recall": "SELECT 10 * count(*) AS pairs_exact, true AS recall_fits, true AS none_made_up, true AS prunes FROM embeddings",
+    "lsh_multi_probe": "SELECT 10 * count(*) AS pairs_exact, true AS recall_fits, true AS none_made_up, true AS shorter FROM embeddings",
+    "lsh_recall_shipped": f"""WITH {_TRAINED} SELECT 10 * count(*) AS pairs_exact, true AS recall_fits, true AS none_made_up,
+        'embeddings' AS vectors FROM embeddings
+        UNION ALL SELECT 10 * count(DISTINCT user_id), true, true, 'users' FROM trained""",
     "lsh_buckets": """SELECT t::INT AS "table", count(*) AS vectors, true AS largest_fits
         FROM embeddings, range(5) r(t) GROUP BY t""",
     "als_user_factors": f"""WITH {_TRAINED} SELECT DISTINCT user_id, true AS length_fits, true AS not_negative,
@@ -839,6 +912,14 @@ ORACLE = {
     "als_top_items": f"WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, true AS full, true AS best FROM trained",
     "als_top_items_subset": f"""WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, true AS full, true AS best
         FROM trained JOIN customer ON c_custkey = user_id WHERE c_acctbal < 0""",
+    "als_top_items_unseen": f"""WITH {_TRAINED}, n_songs AS (SELECT count(DISTINCT song_id) AS n FROM trained)
+        SELECT user_id::INT AS user_id, least(10, any_value(n) - count(DISTINCT song_id)) AS n_listed, true AS none_played, true AS in_order
+        FROM trained, n_songs GROUP BY user_id""",
+    "als_blocks": f"WITH {_TRAINED} SELECT count(DISTINCT user_id) AS users, true AS same, true AS as_many, true AS adds_up FROM trained",
+    "als_fold_in": f"WITH {_TRAINED} SELECT DISTINCT user_id, true AS same FROM trained",
+    "als_fold_in_unknown": f"""WITH {_TRAINED}, songs AS (SELECT DISTINCT song_id FROM trained),
+        own AS (SELECT DISTINCT user_id, song_id FROM plays JOIN songs USING (song_id) WHERE user_id NOT IN (SELECT user_id FROM trained))
+        SELECT user_id, least(10, (SELECT count(*) FROM songs) - count(*)) AS n_listed, true AS none_played FROM own GROUP BY user_id""",
     "als_predictions": f"WITH {_TRAINED} SELECT DISTINCT user_id::INT AS user_id, 10 AS n_listed, true AS same FROM trained",
     "als_ndcg": f"""WITH {_TRAINED}, held AS (SELECT DISTINCT user_id FROM tagged WHERE NOT is_train)
         SELECT count(*) AS users, true AS bounded, true AS as_evaluator
