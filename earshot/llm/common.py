@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from earshot.sources import storage
+
 # A word is a run of anything but these six characters.
 BLANK, LETTER = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
-# Rows of a lookup table that is broadcast after it was counted: under 50 MB at 100 bytes each.
+# Rows of a lookup table that is broadcast after it was counted, if its bytes allow it too.
 MAX_BROADCAST_ROWS = 200_000
 
 
@@ -52,8 +54,8 @@ def unwrapped(df: DataFrame) -> DataFrame:
 
 
 def at_most(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it is counted to have at most ``rows`` rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+    """``df`` marked for broadcast if it is counted to have at most ``rows`` rows, and not too many bytes."""
+    return F.broadcast(df) if storage.is_small(df, rows) else df
 
 
 # Rows of a batch that are held as Python objects at once.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import MAX_BROADCAST_ROWS, let, text_of, words_of, wrapped
+from earshot.llm.common import MAX_BROADCAST_ROWS, at_most, let, text_of, words_of, wrapped
 from earshot.sources import storage
 
 # Words of a window whose repetition counts.
@@ -112,15 +112,14 @@ def _prior(hosts: int, docs: int, failed: int, squares: float) -> tuple[float, f
 def verdicts(judged: DataFrame, max_failures: float = MAX_FAILURES) -> DataFrame:
     """Adds ``kept`` to rows with ``host`` and ``base_failed``, which should be a written table: it is read twice.
 
-    The rejected hosts are broadcast after they were counted; if they are too many, they
+    The rejected hosts are broadcast after their rows and bytes were counted; if they are too many, they
     are joined, and adaptive execution splits the rows of a large host.
     """
     rejected = storage.written(
         host_rates(judged).filter(F.col("rate") > max_failures).select("host", F.lit(True).alias("_rejected")),
         "rejected-hosts",
     )
-    small = rejected.count() <= MAX_BROADCAST_ROWS
-    joined = judged.join(F.broadcast(rejected) if small else rejected, "host", "left")
+    joined = judged.join(at_most(rejected, MAX_BROADCAST_ROWS), "host", "left")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("_rejected").isNull()).drop("_rejected")
 
 
