@@ -23,7 +23,11 @@ def for_users(
     Counts the ids when called. Up to ``max_broadcast_keys`` they are broadcast and no row
     moves; beyond, the rows are counted per requested user, and those of a hot one are cut into slices.
     """
-    wanted = storage.written(ids.select(user).filter(F.col(user).isNotNull()).distinct(), "wanted")
+    wanted = ids.select(user).filter(F.col(user).isNotNull())
+    if wanted.count() <= max_broadcast_keys:
+        return df.join(F.broadcast(wanted.distinct()), user, "left_semi")
+    # Many rows may still be few ids.
+    wanted = storage.written(wanted.distinct(), "wanted")
     n = wanted.count()
     if n <= max_broadcast_keys:
         return df.join(F.broadcast(wanted), user, "left_semi")

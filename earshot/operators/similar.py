@@ -219,10 +219,27 @@ def similar_to(
 ) -> DataFrame:
     """One user's neighbours among those that share a bucket; no rows for an unknown user.
 
-    The same search as for many, so equal distances are ordered by id here too.
+    The same answer as of the search for many, equal distances ordered by id. One vector is
+    looked up and then part of the query, so all distances are taken where the vectors lie.
     """
-    asked = vectors.sparkSession.createDataFrame([(user_id,)], "id long")
-    return similar_users(vectors, asked, k, "lsh", index, users=users, display=display)
+    rows = vectors.filter(F.col("features").isNotNull()).select(F.col("id").cast("long").alias("id"), "features")
+    hashed = signatures(rows, index)
+    own = hashed.filter(F.col("id") == user_id).select("features", "codes").head()
+    if own is None:
+        found = vectors.sparkSession.createDataFrame([], _FOUND)
+    else:
+        point = F.array(*[F.lit(float(x)) for x in own.features])
+        shares = F.exists(F.zip_with("codes", F.array(*[F.lit(c) for c in own.codes]), lambda a, b: a == b), lambda x: x)
+        fits = (F.size("features") == len(own.features)) & F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x))
+        checked = F.when(fits, F.col("features")).otherwise(F.raise_error(F.lit("vectors must be whole and of one length")))
+        square = F.aggregate(
+            F.zip_with(checked, point, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda t, v: t + v
+        )
+        near = hashed.filter(shares & (F.col("id") != user_id)).select(
+            F.lit(user_id).cast("long").alias("query_id"), F.col("id").alias("neighbor_id"), F.sqrt(square).alias("dist")
+        )
+        found = near.orderBy("dist", "neighbor_id").limit(k)
+    return _named(_ranked(found, k), users, display)
 
 
 def similar_users(

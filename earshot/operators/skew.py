@@ -13,8 +13,8 @@ from earshot.sources import storage
 ROWS_PER_SLICE = 2_000_000
 # Keys of a count table that is broadcast whole, about 100 MB in memory.
 MAX_BROADCAST_KEYS = 2_000_000
-# Rows with texts that are broadcast, about as much.
-MAX_BROADCAST_NAMES = 500_000
+# Rows with texts that are broadcast, if they have no more than so many bytes either.
+MAX_BROADCAST_NAMES, MAX_BROADCAST_BYTES = 500_000, storage.MAX_BROADCAST_BYTES
 
 
 def slices_of(rows: Column, rows_per_slice: int) -> Column:
@@ -79,14 +79,15 @@ def attach_counts(
 
 
 def lookup(
-    facts: DataFrame, dimension: DataFrame, key: str, max_broadcast_names: int = MAX_BROADCAST_NAMES
+    facts: DataFrame, dimension: DataFrame, key: str, max_broadcast_names: int = MAX_BROADCAST_NAMES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join with a dimension of one row per key.
 
-    The dimension is counted: a small one is broadcast. A larger one is shuffled with the
+    The dimension's rows and bytes are counted: a small one is broadcast. A larger one is shuffled with the
     facts, each once and for this join alone, which is what lets adaptive execution cut
     the facts of a frequent key into as many pieces as they need.
     """
-    if dimension.count() <= max_broadcast_names:
+    if storage.is_small(dimension, max_broadcast_names, max_broadcast_bytes):
         return facts.join(F.broadcast(dimension), key, "left")
     return facts.join(dimension.hint("merge"), key, "left")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -40,3 +41,16 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     df.write.partitionBy(*partition_by).parquet(path)
     # The schema is known: no job to find it, and partition columns keep their type.
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+# Bytes of a table that is broadcast after it was measured.
+MAX_BROADCAST_BYTES = 64 << 20
+_ROW_BYTES, _VALUE_BYTES = 32, 8
+
+
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most so many rows, and bytes in memory: texts by their length, other values 8 each. Runs a job."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    per_row = sum(texts, F.lit(_ROW_BYTES + _VALUE_BYTES * len(df.columns)))
+    n, size = df.agg(F.count("*"), F.sum(per_row.cast("long"))).head()
+    return n <= max_rows and (size or 0) <= max_bytes
