@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +83,23 @@ def cleaning_report(raw: DataFrame, tagged: DataFrame, user: str = "user_id") ->
         F.countDistinct(F.when(held_out, F.col(user))).alias("test_users"),
     ).select(zero.alias("rows_before"), "rows_after", "train_rows", "test_rows", "test_users")
     return before.unionByName(after).agg(*[F.sum(c).alias(c) for c in before.columns])
+
+
+# Rows of a bucket of a table that is kept by user.
+ROWS_PER_BUCKET = 4_000_000
+
+
+def by_user(
+    df: DataFrame, user: str = "user_id", item: str = "song_id", buckets: int | None = None, rows_per_slice: int = skew.ROWS_PER_SLICE,
+) -> DataFrame:
+    """``df`` written by user, so that counts, totals and histories per user need no shuffle.
+
+    Counts the rows per user when called. Where one user has more than ``rows_per_slice``,
+    a task could not read all of a bucket's rows in due time: the table is then written as
+    it is, and what reads it shuffles, with the rows of that user cut into slices.
+    """
+    n, largest = df.groupBy(user).count().agg(F.sum("count"), F.max("count")).head()
+    if (largest or 0) > rows_per_slice:
+        return storage.written(df, "by-user")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return storage.bucketed(df, "by-user", user, buckets or max(cores, math.ceil((n or 0) / ROWS_PER_BUCKET)), item)

@@ -20,6 +20,7 @@ from earshot.operators import (
     ranking,
     recommend,
     similar,
+    sketches,
     split,
 )
 from earshot.plans import training
@@ -224,6 +225,34 @@ def _tied_ranks(ranked: DataFrame) -> DataFrame:
     )
 
 
+def plays_by_user(spark, sf_dir):
+    return interactions.by_user(plays(spark, sf_dir))
+
+
+def user_stats_by_user(spark, sf_dir):
+    """The totals from a table kept by user, without a shuffle."""
+    return profiles.user_stats(plays_by_user(spark, sf_dir), digits=6)
+
+
+def history_by_user(spark, sf_dir):
+    """The histories from the same table."""
+    return profiles.history(plays_by_user(spark, sf_dir), n=10).select("user_id", "rank", "song_id", "play_count")
+
+
+def distinct_sketches(spark, sf_dir):
+    """Different songs per user from sketches by year, merged: whether within four standard errors of the exact count."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("long").alias("user_id"), F.year("o_orderdate").alias("year"))
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").cast("long").alias("song_id"))
+    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("user_id", "year", "song_id")
+    by_year = storage.written(sketches.sketched(rows, "user_id", "year"), "sketches")
+    made = sketches.estimated(sketches.merged(by_year, "user_id"), "estimate")
+    exact = rows.groupBy("user_id").agg(F.countDistinct("song_id").alias("distinct_songs"))
+    room = F.greatest(F.lit(1.0), 4 * sketches.relative_error() * F.col("distinct_songs"))
+    return exact.join(made, "user_id", "left").select(
+        "user_id", "distinct_songs", F.coalesce(F.abs(F.col("estimate") - F.col("distinct_songs")) <= room, F.lit(False)).alias("fits")
+    )
+
+
 def history_totals(spark, sf_dir):
     return profiles.history_totals(plays(spark, sf_dir), n=10)
 
@@ -733,7 +762,7 @@ QUERIES = {
         interaction_faults, support_counts_user, support_counts_song, clean_interactions,
         clean_interactions_shuffled, cleaning_report, user_stats, user_totals, user_stats_lookup,
         history_top10, history_all, history_missing_titles, history_hot_users, history_fractions, history_deep,
-        history_totals, users_by_id, unknown_users, hash_split, random_split, random_split_again, ground_truth,
+        history_by_user, user_stats_by_user, distinct_sketches, history_totals, users_by_id, unknown_users, hash_split, random_split, random_split_again, ground_truth,
         truth_pairs, ndcg_popularity, mean_ndcg_popularity, eval_frame, knn_exact, knn_exact_cells, knn_named,
         knn_display, knn_missing_names, knn_with_gaps, knn_lsh, knn_lsh_wide, lsh_recall,
         lsh_multi_probe, lsh_recall_shipped, lsh_buckets, als_user_factors, als_top_items, als_top_items_subset,
@@ -846,6 +875,9 @@ ORACLE = {
     "user_stats": f"""WITH {_PLAYS} SELECT user_id, count(song_id) AS total_songs,
         count(DISTINCT song_id) AS distinct_songs, sum(play_count)::BIGINT AS total_plays,
         round(avg(play_count), 6) AS avg_plays FROM plays GROUP BY user_id""",
+    "user_stats_by_user": f"""WITH {_PLAYS} SELECT user_id, count(song_id) AS total_songs,
+        count(DISTINCT song_id) AS distinct_songs, sum(play_count)::BIGINT AS total_plays,
+        round(avg(play_count), 6) AS avg_plays FROM plays GROUP BY user_id""",
     "user_totals": f"""WITH {_PLAYS} SELECT user_id, count(song_id) AS total_songs,
         sum(play_count)::BIGINT AS total_plays, round(avg(play_count), 6) AS avg_plays
         FROM plays GROUP BY user_id""",
@@ -859,6 +891,9 @@ ORACLE = {
         FROM ranked LEFT JOIN songs USING (song_id) WHERE rank <= 10""",
     "history_all": f"""WITH {_RANKED} SELECT user_id, rank, song_id, play_count, title, artist_name
         FROM ranked LEFT JOIN songs USING (song_id)""",
+    "history_by_user": f"WITH {_RANKED} SELECT user_id, rank, song_id, play_count FROM ranked WHERE rank <= 10",
+    "distinct_sketches": f"""WITH {_PLAYS} SELECT user_id, count(DISTINCT song_id) AS distinct_songs, true AS fits
+        FROM plays GROUP BY user_id""",
     "history_missing_titles": f"""WITH {_RANKED} SELECT user_id, rank, song_id, play_count,
         substr(coalesce(nullif(p_name, ''), 'Desconocida'), 1, 33) AS title,
         substr(coalesce(nullif(p_brand, ''), 'Desconocido'), 1, 33) AS artist_name
