@@ -21,7 +21,8 @@ def for_users(
     """Rows of the requested users; ``ids`` has a column of the same name.
 
     Counts the ids when called. Up to ``max_broadcast_keys`` they are broadcast and no row
-    moves; beyond, the rows are counted per requested user, and those of a hot one are cut into slices.
+    moves; beyond, a Bloom filter of the ids drops other users' rows before the shuffle, the
+    rows are counted per requested user, and those of a hot one are cut into slices.
     """
     wanted = ids.select(user).filter(F.col(user).isNotNull())
     if wanted.count() <= max_broadcast_keys:
@@ -31,6 +32,8 @@ def for_users(
     n = wanted.count()
     if n <= max_broadcast_keys:
         return df.join(F.broadcast(wanted), user, "left_semi")
+    # Rows of other users are dropped where they lie, but for a few; the join drops those.
+    df = skew.pre_filtered(df, wanted, user, n)
     counts = df.groupBy(user).agg(F.count("*").alias("_user_rows")).join(wanted, user, "left_semi")
     counts = storage.written(counts, "wanted-counts")
     kept = skew.attach_counts(df, counts, user, "_user_rows", n, rows_per_slice, max_broadcast_keys)

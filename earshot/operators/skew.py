@@ -91,3 +91,49 @@ def lookup(
     if storage.is_small(dimension, max_broadcast_names, max_broadcast_bytes):
         return facts.join(F.broadcast(dimension), key, "left")
     return facts.join(dimension.hint("merge"), key, "left")
+
+
+# Of a Bloom filter in blocks: bits of a block, bits set per key, bits per key, and the bytes it may have.
+BLOCK_BITS, BITS_SET, BITS_PER_KEY, MAX_FILTER_BYTES = 4096, 4, 12, 48 << 20
+_WORD = 64
+
+
+def _places(key: Column, blocks: int) -> tuple[Column, list[Column]]:
+    """The block of a key, and its bits in the block."""
+    bits = [F.pmod(F.xxhash64(F.lit(i), key), F.lit(BLOCK_BITS)).cast("int") for i in range(1, BITS_SET + 1)]
+    return F.pmod(F.xxhash64(F.lit(0), key), F.lit(blocks)), bits
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place % _WORD)
+
+
+def pre_filtered(df: DataFrame, keys: DataFrame, key: str, n_keys: int, max_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+    """``df`` without most of the rows whose key is not in ``keys``, and with all of the others; no row moves.
+
+    ``keys`` has ``n_keys`` rows. They set bits of a filter whose size is known beforehand;
+    with twelve bits a key about one other row in a hundred passes. All bits of a key are
+    in one block, so a row looks up one block of the broadcast filter. Where the filter
+    would be too large for a use, ``df`` comes back as it is.
+    """
+    bits = min(BITS_PER_KEY, max_bytes * 8 // max(1, n_keys))
+    if bits < BITS_SET:
+        return df
+    blocks = max(1, -(-n_keys * bits // BLOCK_BITS))
+    block, places = _places(F.col("_key"), blocks)
+    # The value alone: a key is told by its text where the two sides have it in different types.
+    told = keys.select(F.col(key).cast("string").alias("_key"))
+    words = (
+        told.select(block.alias("_block"), F.explode(F.array(*places)).alias("_place"))
+        .groupBy("_block", F.floor(F.col("_place") / _WORD).cast("int").alias("_at")).agg(F.bit_or(_bit(F.col("_place"))).alias("_bits"))
+    )
+    entries = F.map_from_entries(F.collect_list(F.struct("_at", "_bits")))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // _WORD - 1)), lambda i: F.coalesce(F.col("_words")[i], F.lit(0).cast("long")))
+    table = words.groupBy("_block").agg(entries.alias("_words")).select("_block", dense.alias("_words"))
+    # The whole row in one column, so that none of its names can clash.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{key}`").cast("string").alias("_key"))
+    holds = F.lit(True)
+    for place in places:
+        word = F.get("_words", F.floor(place / _WORD).cast("int"))
+        holds = holds & (word.bitwiseAND(_bit(place)) != 0)
+    return rows.withColumn("_block", block).join(F.broadcast(table), "_block").filter(holds).select("row.*")

@@ -156,3 +156,20 @@ def test_a_requested_user_with_most_rows_is_cut(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_filter_of_ids_drops_other_rows_and_keeps_all_of_theirs(spark):
+    from earshot.operators import skew
+
+    rows = spark.range(40_000).select((F.col("id") % 20_000).alias("user_id"), F.col("id").alias("song_id"), F.lit("clash").alias("_words"))
+    ids = spark.range(0, 20_000, 10).select(F.col("id").cast("int").alias("user_id"))
+    left = skew.pre_filtered(rows, ids, "user_id", 2000)
+    assert left.columns == rows.columns
+    assert left.filter("user_id % 10 = 0").count() == 4000
+    assert left.filter("user_id % 10 <> 0").count() < 0.03 * 36_000
+    # Too small a filter is of no use, and none is made; an empty one lets nothing pass.
+    assert skew.pre_filtered(rows, ids, "user_id", 2000, max_bytes=100) is rows
+    assert skew.pre_filtered(rows, ids.limit(0), "user_id", 0).count() == 0
+    for limit in (0, 10**6):
+        got = profiles.for_users(rows, ids, max_broadcast_keys=limit, rows_per_slice=1)
+        assert sorted(got.collect()) == sorted(rows.filter("user_id % 10 = 0").collect())
