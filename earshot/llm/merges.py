@@ -299,7 +299,7 @@ def digests(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str =
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of whole texts; a missing one is empty.
 
     ``vocabulary`` is a file that every executor has. Rows are encoded where they lie;
-    repeated rows come out repeated.
+    repeated rows come out repeated, and an empty table gives no rows.
     """
 
     def run(batches):

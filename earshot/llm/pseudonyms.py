@@ -337,8 +337,9 @@ def pseudonymized(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``df`` wrapped as ``row``, with ``text`` rewritten, and ``n_found``, ``n_replaced`` (long).
 
     A value that looks like one of the kinds and does not validate stays as it is. Digit
-    groups that a card may stand in count as one value, replaced if any card was. A missing text stays missing and has none; an empty one stays empty. Rows are changed
-    one by one where they lie, so repeated rows come out repeated.
+    groups that a card may stand in count as one value, replaced if any card was. A missing
+    text stays missing and has none; an empty one stays empty. Rows are changed one by one
+    where they lie, so repeated rows come out repeated, and an empty table stays empty.
     """
     if not key:
         raise ValueError("the pseudonyms need a key")

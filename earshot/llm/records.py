@@ -88,6 +88,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
     ``docs`` has ``doc_id`` and ``text`` (a missing one is empty). Rows without an id come
     first; rows with one id stay in the order of their texts' hashes, each with a record of its own. The
     texts are dealt out by ranges of ids before they are encoded, so ids are never shuffled.
+    An empty table gives files without a record and an empty index.
     """
     spark = docs.sparkSession
     path = path or storage.fresh_path(spark, "records")
