@@ -62,11 +62,11 @@ def at_most(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
 SLICE_ROWS = 500
 
 
-def sliced(batches):
-    """The rows of Arrow batches in batches of at most :data:`SLICE_ROWS`."""
+def sliced(batches, rows: int = SLICE_ROWS):
+    """The rows of Arrow batches in batches of at most ``rows``."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 # Rows that one step of a running sum goes over.

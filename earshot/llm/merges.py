@@ -16,12 +16,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.common import sliced, text_of
 
-# Pieces of a generation whose ids a worker remembers, at about 170 bytes each; two generations
+# Pieces and words of a generation whose ids a worker remembers, at about 170 bytes each; two generations
 # are kept. What is forgotten is encoded again when it comes back.
 REMEMBERED = 450_000
 # Longer pieces are rarely seen twice.
@@ -69,6 +70,10 @@ def _with_classes(pattern: str, below: int) -> str:
     return pattern
 
 
+# Blanks beside and between letters, numbers and other signs.
+_MIXED = " a b\tc  's 1 2\n3 !  ?\r\n_ a! \u00e9 \u6f22\u3000\u5b57 1 a ! \n"
+
+
 class Merges:
     """A vocabulary with ranked merges.
 
@@ -89,6 +94,12 @@ class Merges:
         self.decimals = {i: str(i) for i in self.strings}
         # Texts of Latin letters only are cut by a pattern that knows no others, which is quicker.
         self.pieces, self.latin_pieces = (re.compile(_with_classes(pieces, n)) for n in (0x110000, 256))
+        # Where no piece has a blank in it, words may be cut on their own.
+        self.within_words = not any(c.isspace() for piece in self.pieces.findall(_MIXED) for c in piece)
+        # A run of letters is one piece if no form that is tried before begins with a letter.
+        forms = pieces.split("|")
+        before = forms[: forms.index(r"[\p{L}]+")] if r"[\p{L}]+" in forms else ["a"]
+        self.letters_whole = not any(f[:1].isalpha() or f[:1] in "[\\(." for f in before)
         self.special = special
         letters = _byte_letters()
         self.byte_ids = [vocab.get(c) for c in letters]
@@ -189,8 +200,8 @@ class Merges:
         ids[-1] = self.end_ids[data[-1]]
         return np.array(self.merged(ids), "<u4").tobytes()
 
-    def _cut(self, text: str) -> list[str]:
-        text = lowered(unicodedata.normalize("NFC", text))
+    def _pieces_of(self, text: str) -> list[str]:
+        """The pieces of a normalized text."""
         try:
             text.encode("latin-1")
             pieces = self.latin_pieces
@@ -199,22 +210,55 @@ class Merges:
         return pieces.findall(text)
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.known.__getitem__, self._cut(text)))
-
-    def encoded_all(self, texts: list[str]) -> list[np.ndarray]:
-        """:meth:`encoded` of each text; the short pieces that none before had are merged together."""
-        plain = [self.special_pattern is None or not any(s in t for s in self.special) for t in texts]
-        cut = [self._cut(t) if p else [] for t, p in zip(texts, plain)]
-        new = set().union(*cut).difference(self.known, self.known.older)
+        return b"".join(map(self.known.__getitem__, self._pieces_of(normalized(text))))
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of different normalized words; the short pieces that none before had are merged together."""
+        known = self.known
+        out = [known.get(w) for w in words]
+        found = {w: known.older.get(w) for w, ids in zip(words, out) if ids is None}
+        fresh = [w for w, ids in found.items() if ids is None]
+        # A word of plain letters is a piece.
+        letters = dict.fromkeys(w for w in fresh if w.isascii() and w.isalpha()) if self.letters_whole else {}
+        cut = {w: self._pieces_of(w) for w in fresh if w not in letters}
+        pieces = {p: known.get(p) or known.older.get(p) for p in set().union(*cut.values())}
+        pieces.update(letters)
+        new = [p for p, ids in pieces.items() if ids is None]
         # Those of like length share a table.
         short = sorted((p for p in new if len(p) <= SHORT and len(p.encode()) <= SHORT), key=len)
         for at in range(0, len(short), TOGETHER):
             some = short[at : at + TOGETHER]
-            self.known.learn(zip(some, self.merged_together(some)))
-        return [
-            np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4") if p else self.encoded(t)
-            for t, p, pieces in zip(texts, plain, cut)
-        ]
+            pieces.update(zip(some, self.merged_together(some)))
+        pieces.update((p, self.of_piece(p)) for p in new if pieces[p] is None)
+        found.update((w, pieces[w]) for w in letters)
+        found.update((w, b"".join(map(pieces.__getitem__, parts))) for w, parts in cut.items())
+        out = [found[w] if ids is None else ids for w, ids in zip(words, out)]
+        pieces.update(found)
+        kept = {w: ids for w, ids in pieces.items() if len(w) <= LONGEST_REMEMBERED}
+        if len(kept) <= REMEMBERED:
+            known.learn(kept)
+        return out
+
+    def encoded_all(self, texts: list[str]) -> list[np.ndarray]:
+        """:meth:`encoded` of each text; each different word of them is looked up once."""
+        if not self.within_words:
+            return [self.encoded(t) for t in texts]
+        plain = [self.special_pattern is None or not any(s in t for s in self.special) for t in texts]
+        lines = pa.array([normalized(t) if p else "" for t, p in zip(texts, plain)], pa.large_string())
+        # What other blanks there are stand within a word, and between its pieces.
+        words = pc.ascii_split_whitespace(lines)
+        coded = words.flatten().dictionary_encode()
+        own = self._of_words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lengths = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        begins = np.cumsum(lengths) - lengths
+        index = coded.indices.to_numpy()
+        counts = lengths[index]
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        # Where the ids of each word begin, less the place they go to, and that place again.
+        places = np.repeat(begins[index] - ends[:-1], counts) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(own), "<u4")[places]
+        bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        return [ids[a:b] if p else self.encoded(t) for t, p, a, b in zip(texts, plain, bounds, bounds[1:])]
 
     def encoded(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
@@ -263,6 +307,11 @@ def lowered(text: str) -> str:
     return text.lower()
 
 
+def normalized(text: str) -> str:
+    """The text as its pieces are cut from; blanks are left as they are."""
+    return lowered(unicodedata.normalize("NFC", text))
+
+
 @lru_cache(maxsize=4)
 def load(path: str) -> Merges:
     """The vocabulary in a tokenizer file with byte letters and word ends; read once per process."""

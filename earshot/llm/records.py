@@ -33,6 +33,8 @@ _LEAD = "<q??"
 _LEAD_BYTES = struct.calcsize(_LEAD)
 # Text that goes into one file, in bytes; a file is read whole by one task.
 FILE_BYTES = 8 << 20
+# Rows that are encoded together.
+TOGETHER = 4000
 
 
 def masked(data: bytes) -> int:
@@ -100,7 +102,8 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
     def run(batches):
         vocab = merges.load(vocabulary)
         end = np.array([end_id], "<u4")
-        for batch in sliced(batches):
+        # A task has the text of one file; the more of it at once, the fewer words are looked up again.
+        for batch in sliced(batches, TOGETHER):
             ids = vocab.encoded_all(batch.column(1).to_pylist())
             records = [
                 framed(payload_of(doc_id, np.concatenate((own, end)))) for doc_id, own in zip(batch.column(0).to_pylist(), ids)

@@ -50,10 +50,11 @@ def test_random_texts_as_the_library_has_them(library, own):
         "the", "Then", "'s", "'LL", "don't", "é", "é", "ß", "ΟΔΟΣ", "Σ", "漢字", "🙂", "123", "4", "!!", "...", " ", "  ", "\n",
         "\t", "\x1c", "\x85", "　", "<|endoftext|>", "<|startoftext|>", "<|end", "İ", "ﬁ", "​", "\x00", "_", "a" * 40, "'", "re",
     ]
-    for _ in range(3000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    for text, together in zip(texts, merges.load.__wrapped__(PATH).encoded_all(texts)):
         want = library.encode(text, add_special_tokens=False).ids
         ids = own.encoded(text)
+        assert together.tolist() == want, repr(text)
         assert ids.tolist() == want, repr(text)
         assert own.decoded(ids.tolist()) == library.decode(want, skip_special_tokens=False)
 
@@ -112,6 +113,15 @@ def test_pieces_merged_together_are_those_merged_one_by_one(own, docs):
     assert plain.merged_together(["ab", "c"]) == [plain.of_piece("ab"), plain.of_piece("c")]
 
 
+def test_pieces_with_blanks_in_them_are_not_cut_by_words():
+    vocab = {c: i for i, c in enumerate([*merges._byte_letters(), "Ġa"])}
+    for pattern, within in ((r"\S+", True), (r" ?\S+", False), (r"\p{L}+|[^\p{L}]+", False)):
+        some = merges.Merges(vocab, [("Ġ", "a")], pattern, "", {})
+        assert some.within_words is within
+        texts = [" a a", "", "b  a"]
+        assert [x.tolist() for x in some.encoded_all(texts)] == [some.encoded(t).tolist() for t in texts]
+
+
 def test_texts_encoded_together_are_those_encoded_one_by_one(doc_rows, own, monkeypatch):
     texts = [r.text or "" for r in doc_rows.values()] + ["", "<|endoftext|> x<|endoftext|>", "a" * 500, "\x1c!! \x85", "the the"]
     want = [own.encoded(t).tolist() for t in texts]
