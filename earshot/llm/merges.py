@@ -70,6 +70,9 @@ def _with_classes(pattern: str, below: int) -> str:
     return pattern
 
 
+# A letter before a sign that ends words and clauses; a blank between the two leaves most words free of signs.
+_SIGN_AFTER, _APART = "([a-z\u00df-\u00f6\u00f8-\u00ff])([,.;:!?])", r"\1 \2"
+
 # Blanks beside and between letters, numbers and other signs.
 _MIXED = " a b\tc  's 1 2\n3 !  ?\r\n_ a! \u00e9 \u6f22\u3000\u5b57 1 a ! \n"
 
@@ -96,6 +99,9 @@ class Merges:
         self.pieces, self.latin_pieces = (re.compile(_with_classes(pieces, n)) for n in (0x110000, 256))
         # Where no piece has a blank in it, words may be cut on their own.
         self.within_words = not any(c.isspace() for piece in self.pieces.findall(_MIXED) for c in piece)
+        # Whether such signs are pieces apart from the letter before them anyway.
+        joint = _MIXED + "a, a. ab;c d: \u00e9! e?' 1, f,, g.h i.1 's, 't.a j!? "
+        self.signs_apart = self.pieces.findall(joint) == self.pieces.findall(re.sub(_SIGN_AFTER, _APART, joint))
         # A run of letters is one piece if no form that is tried before begins with a letter.
         forms = pieces.split("|")
         before = forms[: forms.index(r"[\p{L}]+")] if r"[\p{L}]+" in forms else ["a"]
@@ -218,8 +224,8 @@ class Merges:
         out = [known.get(w) for w in words]
         found = {w: known.older.get(w) for w, ids in zip(words, out) if ids is None}
         fresh = [w for w, ids in found.items() if ids is None]
-        # A word of plain letters is a piece.
-        letters = dict.fromkeys(w for w in fresh if w.isascii() and w.isalpha()) if self.letters_whole else {}
+        # A word of letters is a piece.
+        letters = dict.fromkeys(w for w in fresh if w.isalpha()) if self.letters_whole else {}
         cut = {w: self._pieces_of(w) for w in fresh if w not in letters}
         pieces = {p: known.get(p) or known.older.get(p) for p in set().union(*cut.values())}
         pieces.update(letters)
@@ -245,6 +251,8 @@ class Merges:
             return [self.encoded(t) for t in texts]
         plain = [self.special_pattern is None or not any(s in t for s in self.special) for t in texts]
         lines = pa.array([normalized(t) if p else "" for t, p in zip(texts, plain)], pa.large_string())
+        if self.signs_apart:
+            lines = pc.replace_substring_regex(lines, _SIGN_AFTER, _APART)
         # What other blanks there are stand within a word, and between its pieces.
         words = pc.ascii_split_whitespace(lines)
         coded = words.flatten().dictionary_encode()
