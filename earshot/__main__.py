@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from earshot.functions import columns
 from earshot.operators import factorize, profiles, similar
 from earshot.plans import training
-from earshot.sources import models, schemas, storage, tables
+from earshot.sources import models, schemas, sinks, storage, tables
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,7 +30,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         for path in needed:
             sub.add_argument(path)
-        sub.add_argument("--out", help="write Parquet here instead of printing")
+        sub.add_argument("--out", help="write files here instead of printing")
+        sub.add_argument("--format", choices=sinks.FORMATS, default="parquet", help="of the files")
         sub.add_argument("--display", action="store_true", help="short texts, rounded figures, names for the unknown")
         return sub
 
@@ -75,17 +76,17 @@ def _warn_unknown(wanted: DataFrame | None, known: DataFrame) -> None:
             print(f"user {row[0]} is not known")
 
 
-def _deliver(df: DataFrame, out: str | None, order: list[str]) -> None:
-    """All rows, to files or printed with tabs; the values are the same either way.
-
-    Printed rows come to the driver one partition at a time.
-    """
-    if out:
-        df.write.parquet(out)
+def _deliver(df: DataFrame, args, order: list[str]) -> None:
+    """All rows, to files or printed; the values are the same either way."""
+    if args.out:
+        sinks.write(df, args.out, args.format)
         return
-    print(*df.columns, sep="\t")
-    for row in df.orderBy(*order).toLocalIterator(prefetchPartitions=True):
-        print(*("" if value is None else value for value in row), sep="\t")
+    _print(df, order)
+
+
+def _print(df: DataFrame, order: list[str]) -> None:
+    for line in sinks.printed(df, order):
+        print(line)
 
 
 def _warn_unreadable(spark: SparkSession, path: str, schema) -> None:
@@ -105,8 +106,8 @@ def _train(spark: SparkSession, args) -> None:
         overwrite=args.overwrite, ranks=args.ranks, regs=args.regs, alphas=args.alphas,
         iterations=args.iterations,
     )
-    _deliver(result.report, None, ["rows_before"])
-    _deliver(result.metrics, args.out, ["rank", "reg", "alpha", "iterations"])
+    _print(result.report, ["rows_before"])
+    _deliver(result.metrics, args, ["rank", "reg", "alpha", "iterations"])
 
 
 def _similar(spark: SparkSession, args) -> None:
@@ -123,7 +124,7 @@ def _similar(spark: SparkSession, args) -> None:
         vectors, wanted, args.top, args.method, index,
         users=tables.read_dimension(spark, args.users, schemas.USERS), display=args.display,
     )
-    _deliver(found, args.out, ["query_id", "rank"])
+    _deliver(found, args, ["query_id", "rank"])
 
 
 def _history(spark: SparkSession, args) -> None:
@@ -133,18 +134,18 @@ def _history(spark: SparkSession, args) -> None:
     _warn_unknown(wanted, plays)
     songs = tables.read_dimension(spark, args.songs, schemas.SONGS)
     shown = profiles.history(plays, songs, args.limit, wanted, display=args.display)
-    _deliver(shown, args.out, ["user_id", "rank"])
+    _deliver(shown, args, ["user_id", "rank"])
 
 
 def _stats(spark: SparkSession, args) -> None:
     _warn_unreadable(spark, args.interactions, schemas.INTERACTIONS)
     plays = tables.read_interactions(spark, args.interactions)
     digits = columns.AVERAGE_DIGITS if args.display else None
-    _deliver(profiles.user_stats(plays, _ids(spark, args.ids, "user_id"), digits), args.out, ["user_id"])
+    _deliver(profiles.user_stats(plays, _ids(spark, args.ids, "user_id"), digits), args, ["user_id"])
 
 
 def _describe(spark: SparkSession, args) -> None:
-    _deliver(models.describe(models.load(args.model)), args.out, ["rank"])
+    _deliver(models.describe(models.load(args.model)), args, ["rank"])
 
 
 if __name__ == "__main__":

@@ -19,6 +19,8 @@ from earshot.sources import schemas, storage
 
 # Query vectors that are collected and broadcast, in bytes; more go through the cells of _by_cells.
 MAX_BROADCAST_BYTES = 16 << 20
+# Rows that all partitions together may pass on for broadcast queries; with fewer partitions than these they are not counted.
+MAX_SENT_ROWS, MAX_PARTITIONS = 100_000_000, 100_000
 # Vectors of either side that meet in one cell, in bytes: they fit in memory, and their
 # comparing takes longer than their moving. A cell is made smaller to keep every core busy.
 MIN_CELL_BYTES, MAX_CELL_BYTES = 1 << 19, 16 << 20
@@ -254,6 +256,7 @@ def similar_users(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     rows_per_cell: int | None = None,
     probes: int = 0,
+    max_sent_rows: int = MAX_SENT_ROWS,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``neighbor_id``, ``dist``, ``username``.
 
@@ -269,7 +272,8 @@ def similar_users(
     afterwards and fills in missing names.
 
     Users without a vector neither ask nor answer. Vectors of different lengths, or with
-    missing or NaN entries, are an error. Counts the queries when called.
+    missing or NaN entries, are an error. Counts the queries when called. Queries are broadcast up to
+    ``max_broadcast_bytes``, as long as ``k`` rows each from every partition are no more than ``max_sent_rows``.
     """
     if method is None:
         method = "lsh" if index is not None or "codes" in vectors.columns else "exact"
@@ -300,7 +304,7 @@ def similar_users(
     ).head()
     if asked.n == 0:
         found = vectors.sparkSession.createDataFrame([], _FOUND)
-    elif asked.n * (asked.width + asked.tables + 1) * 8 <= max_broadcast_bytes:
+    elif asked.n * (asked.width + asked.tables + 1) * 8 <= max_broadcast_bytes and _sends_little(members, asked.n * k, max_sent_rows):
         found = _by_broadcast(members, wanted(members).toArrow(), k, digits)
     else:
         # Read several times from here on, and not to be computed again when an executor is lost.
@@ -354,6 +358,14 @@ def _codes(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return matrix(inner).astype(np.int64).reshape(len(column), len(inner) // max(1, len(column)), -1)
 
 
+def _sends_little(members: DataFrame, rows: int, most: int) -> bool:
+    """Whether ``rows`` from every partition of the members are few. Runs a job without columns where that depends on the partitions."""
+    if rows * MAX_PARTITIONS <= most:
+        return True
+    partitions = 1 + (members.select(F.spark_partition_id().alias("p")).agg(F.max("p")).head()[0] or 0)
+    return rows * partitions <= most
+
+
 def _by_broadcast(members: DataFrame, queries: pa.Table, k: int, digits: int | None) -> DataFrame:
     """Few queries: every partition keeps the ``k`` best of its own members, without a shuffle."""
     hashed = "codes" in queries.column_names

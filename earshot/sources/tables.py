@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,9 +24,13 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None)
     return raw.select(*[_typed(raw, f).alias(f.name) for f in schema])
 
 
-def _raw(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None) -> DataFrame:
+def _opened(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
-    raw = spark.read.csv(path, header=True) if fmt == "csv" else spark.read.format(fmt).load(path)
+    return spark.read.csv(path, header=True) if fmt == "csv" else spark.read.format(fmt).load(path)
+
+
+def _raw(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None) -> DataFrame:
+    raw = _opened(spark, path, fmt)
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
@@ -91,6 +96,31 @@ def validate_inputs(
     return present
 
 
+def input_report(
+    spark: SparkSession,
+    required: Mapping[str, str],
+    optional: Mapping[str, str | None] | None = None,
+    fmt: str | None = None,
+) -> DataFrame:
+    """Per input ``name``, ``required``, ``present`` and ``n_rows``, NULL where nothing is there; one count a table.
+
+    A missing required input is a row here, not an error, so that one look shows all that is missing.
+    A CSV's header is no row.
+    """
+    rows = []
+    for needed, inputs in ((True, required), (False, optional or {})):
+        for name, path in inputs.items():
+            there = path is not None and path_exists(spark, path)
+            head = [F.lit(name).alias("name"), F.lit(needed).alias("required"), F.lit(there).alias("present")]
+            if there:
+                rows.append(_opened(spark, path, fmt).agg(F.count("*").alias("n_rows")).select(*head, "n_rows"))
+            else:
+                rows.append(spark.range(1).select(*head, F.lit(None).cast("long").alias("n_rows")))
+    if not rows:
+        return spark.createDataFrame([], "name string, required boolean, present boolean, n_rows long")
+    return reduce(DataFrame.unionByName, rows)
+
+
 def user_ids(df: DataFrame, user: str = "user_id") -> DataFrame:
     """The known users: distinct, partially aggregated before the shuffle."""
     return df.select(user).filter(F.col(user).isNotNull()).distinct()

@@ -24,7 +24,7 @@ from earshot.operators import (
     split,
 )
 from earshot.plans import training
-from earshot.sources import models, schemas, storage, tables
+from earshot.sources import models, schemas, sinks, storage, tables
 
 SEED = 42
 # Support thresholds that tell a one-pass filter from a filter applied in two steps.
@@ -735,6 +735,39 @@ def csv_faults(spark, sf_dir):
     return tables.unreadable_cells(spark, path, schemas.INTERACTIONS)
 
 
+def sinks_roundtrip(spark, sf_dir):
+    """The ten most played of everyone, some titles missing, written in every format and read again."""
+    ranked = storage.written(
+        profiles.history(plays(spark, sf_dir), small_parts(spark, sf_dir), 10), "ranked"
+    )
+    again = None
+    for fmt in sinks.FORMATS:
+        path = sinks.write(ranked, storage.fresh_path(spark, fmt), fmt)
+        rows = sinks.read(spark, path, ranked, fmt).select(F.lit(fmt).alias("sink"), "*")
+        again = rows if again is None else again.unionByName(rows)
+    return again
+
+
+def input_presence(spark, sf_dir):
+    """Which inputs are there, and their rows; one optional input is not."""
+    path = f"{sf_dir}/{{}}.parquet".format
+    return tables.input_report(
+        spark, {"orders": path("orders"), "lineitem": path("lineitem")},
+        {"users": path("customer"), "songs": path("part"), "titles": path("no_such_table"), "none": None},
+    )
+
+
+def als_checkpointed(spark, sf_dir):
+    """Users whose vector is the same whether the trainer cuts its lineage in the shared folder or not."""
+    rows = training_rows(spark, sf_dir)
+    fits = [factorize.train(rows, seed=SEED, blocks=4, checkpoint_interval=every, **FIT) for every in (2, FIT["iterations"])]
+    cut, whole = (factorize.user_vectors(m) for m in fits)
+    near = F.forall(F.zip_with("features", "other", lambda a, b: F.abs(a - b) <= 1e-4 * (1 + F.abs(b))), lambda x: x)
+    return cut.join(whole.withColumnRenamed("features", "other"), "id").select(
+        F.col("id").cast("long").alias("user_id"), near.alias("same")
+    )
+
+
 def model_roundtrip(spark, sf_dir):
     """Users whose vector is the same after saving and loading."""
     model = fitted(spark, sf_dir)
@@ -768,7 +801,8 @@ QUERIES = {
         lsh_multi_probe, lsh_recall_shipped, lsh_buckets, als_user_factors, als_top_items, als_top_items_subset,
         als_top_items_unseen, als_blocks, als_fold_in, als_fold_in_unknown, als_predictions, als_top_items_shape,
         als_top_items_scores, als_ndcg, als_similar_users, als_similar_to_one, grid_metrics, train_and_save,
-        csv_roundtrip, csv_users, csv_songs, csv_faults, model_roundtrip, model_describe, model_users,
+        csv_roundtrip, csv_users, csv_songs, csv_faults, sinks_roundtrip, input_presence, als_checkpointed,
+        model_roundtrip, model_describe, model_users,
     )
 }
 
@@ -976,6 +1010,15 @@ ORACLE = {
         1 AS first_rank, 10 AS last_rank FROM trained""",
     "als_top_items_scores": f"""WITH {_TRAINED}, ranks AS (SELECT unnest(range(1, 11))::INT AS rank)
         SELECT DISTINCT user_id::INT AS user_id, rank, true AS same FROM trained, ranks""",
+    "sinks_roundtrip": f"""WITH {_RANKED} SELECT sink, user_id, rank, song_id, play_count, title, artist_name
+        FROM ranked LEFT JOIN (SELECT * FROM songs JOIN part ON p_partkey = song_id WHERE p_size <= 25) USING (song_id)
+        CROSS JOIN (VALUES ('parquet'), ('orc'), ('json'), ('csv')) AS sinks(sink) WHERE rank <= 10""",
+    "input_presence": """SELECT 'orders' AS name, true AS required, true AS present, count(*) AS n_rows FROM orders
+        UNION ALL SELECT 'lineitem', true, true, count(*) FROM lineitem
+        UNION ALL SELECT 'users', false, true, count(*) FROM customer
+        UNION ALL SELECT 'songs', false, true, count(*) FROM part
+        UNION ALL SELECT 'titles', false, false, NULL UNION ALL SELECT 'none', false, false, NULL""",
+    "als_checkpointed": f"WITH {_TRAINED} SELECT DISTINCT user_id, true AS same FROM trained",
     "model_roundtrip": f"WITH {_TRAINED} SELECT DISTINCT user_id, true AS same FROM trained",
     "model_describe": f"""WITH {_TRAINED} SELECT {FIT['rank']} AS rank,
         count(DISTINCT user_id) AS users, count(DISTINCT song_id) AS items FROM trained""",
