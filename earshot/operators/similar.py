@@ -21,8 +21,8 @@ from earshot.sources import schemas, storage
 MAX_BROADCAST_BYTES = 16 << 20
 # Rows that all partitions together may pass on for broadcast queries; with fewer partitions than these they are not counted.
 MAX_SENT_ROWS, MAX_PARTITIONS = 100_000_000, 100_000
-# Vectors of either side that meet in one cell, in bytes: they fit in memory, and their
-# comparing takes longer than their moving. A cell is made smaller to keep every core busy.
+# Vectors of either side that meet in one group of cells, in bytes: they fit in memory, and their
+# comparing takes longer than their moving. A group is made smaller to keep every core busy.
 MIN_CELL_BYTES, MAX_CELL_BYTES = 1 << 19, 16 << 20
 CELLS_PER_CORE = 4
 
@@ -398,8 +398,10 @@ def _by_cells(
     """Many queries: bounded cells in which some queries meet some members.
 
     A bucket is cut into query blocks and member slices. Each block meets each slice
-    in one cell, so a bucket of any size is spread over many tasks, and a cell passes
-    on ``k`` rows per query instead of its pairs. The exact search is one bucket that
+    in one group of cells, so a bucket of any size is spread over many tasks, and a group
+    passes on ``k`` rows per query instead of its pairs. Rows move once per group, whose size
+    follows from the cores and :data:`MAX_CELL_BYTES`; cells of ``rows_per_cell`` rows of either
+    side are compared at a time, however small they are. The exact search is one bucket that
     holds everything. So is an LSH search whose buckets overlap so much that it would
     compare more than all pairs once; its cells then check the codes themselves.
     """
@@ -426,15 +428,15 @@ def _by_cells(
     compared = shared if by_bucket else n_queries * n_members
     spark = members.sparkSession
     tasks = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
-    if rows_per_cell is None:
-        even = math.ceil(math.sqrt(compared / tasks))
-        width = 8 * (members.select(F.max(F.size("features"))).head()[0] + 1)
-        rows_per_cell = max(1, min(MAX_CELL_BYTES // width, max(MIN_CELL_BYTES // width, even)))
-    # A cell is much work for few bytes: the partitions are numbered by work, so that
-    # adaptive execution does not merge them by size. Few cells get more partitions than
-    # there are cells, as hashing would put several of them into one.
+    even = math.ceil(math.sqrt(compared / tasks))
+    width = 8 * (members.select(F.max(F.size("features"))).head()[0] + 1)
+    moved = max(1, rows_per_cell or 1, min(MAX_CELL_BYTES // width, max(MIN_CELL_BYTES // width, even)))
+    at_once = {} if rows_per_cell is None else {"query_rows": rows_per_cell, "member_rows": rows_per_cell}
+    # A group is much work for few bytes: the partitions are numbered by work, so that
+    # adaptive execution does not merge them by size. Few groups get more partitions than
+    # there are groups, as hashing would put several of them into one.
     tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cells = math.ceil(compared / rows_per_cell**2)
+    cells = math.ceil(compared / moved**2)
     partitions = max(1, min(4 * cells, max(4 * tasks, cells)))
 
     def cut(df: DataFrame) -> DataFrame:
@@ -442,13 +444,13 @@ def _by_cells(
         if by_bucket:
             rows = opened(df, "id", "features")
             for counts, rows_name, name in ((asked, "_asked", "_blocks"), (offered, "_offered", "_slices")):
-                hot = skew.hot_keys(counts, bucket, rows_name, rows_per_cell, name)
+                hot = skew.hot_keys(counts, bucket, rows_name, moved, name)
                 rows = rows.join(hot, bucket, "left")
             return rows.fillna(1, ["_blocks", "_slices"])
         return df.select(
             "*", F.lit(0).alias("table"), F.lit(0).cast("long").alias("bucket"),
-            F.lit(max(1, math.ceil(n_queries / rows_per_cell))).alias("_blocks"),
-            F.lit(max(1, math.ceil(n_members / rows_per_cell))).alias("_slices"),
+            F.lit(max(1, math.ceil(n_queries / moved))).alias("_blocks"),
+            F.lit(max(1, math.ceil(n_members / moved))).alias("_slices"),
         )
 
     # Cells of one bucket know that their rows share it; otherwise the codes travel along.
@@ -473,7 +475,7 @@ def _by_cells(
         if not asking.num_rows or not offering.num_rows:
             return FOUND.empty_table()
         codes = [_codes(t["codes"]) if check else None for t in (asking, offering)]
-        best = Nearest(id_array(asking["id"]), matrix(asking["features"]), k, digits, codes[0])
+        best = Nearest(id_array(asking["id"]), matrix(asking["features"]), k, digits, codes[0], **at_once)
         best.add(id_array(offering["id"]), matrix(offering["features"]), codes[1])
         return pa.Table.from_arrays(best.result(), schema=FOUND)
 

@@ -263,3 +263,58 @@ def test_probes_need_an_index(embeddings):
         similar.similar_users(embeddings, probes=2)
     with pytest.raises(ValueError, match="calibrate"):
         similar.calibrate(embeddings.limit(0), seed=1)
+
+
+@pytest.mark.parametrize("method", ["exact", "lsh"])
+def test_small_cells_do_not_move_more_rows(spark, method, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, VECTORS)
+    index = similar.fit_index(df, seed=1, bucket_length=50.0) if method == "lsh" else None
+    moved = []
+
+    def counted(self, *key, real=type(df).groupBy):
+        if key[-2:] == ("block", "slice"):
+            moved.append(self.count())
+        return real(self, *key)
+
+    monkeypatch.setattr(type(df), "groupBy", counted)
+    found = similar.similar_users(df, k=4, method=method, index=index, max_broadcast_bytes=0, rows_per_cell=4)
+    assert moved == [900, 900]
+    monkeypatch.setattr(similar, "MIN_CELL_BYTES", 32 * 100)
+    monkeypatch.setattr(similar, "MAX_CELL_BYTES", 32 * 100)
+    groups = similar.similar_users(df, k=4, method=method, index=index, max_broadcast_bytes=0, rows_per_cell=4)
+    assert moved[2:] == [8100, 8100]
+    want = {a: [b for _, b in near] for a, near in brute({i: np.array(v, np.float32) for i, v in rows}, 4).items()}
+    for df in (found, groups):
+        assert {a: [b for _, b in near] for a, near in found_of(df).items()} == want
+
+
+def test_far_boxes_are_not_compared(monkeypatch):
+    rng = np.random.default_rng(9)
+    rows, cells = rng.random((8192, 2)), []
+    real = Nearest._add_block
+    monkeypatch.setattr(Nearest, "_add_block", lambda self, *a: (cells.append(1), real(self, *a)))
+    best = Nearest(np.arange(8192), rows, 3)
+    best.add(np.arange(8192), rows)
+    assert len(cells) < 0.6 * (8192 // 256) * (8192 // 512)
+    got = sorted(zip(*(c.to_pylist() for c in best.result())))
+    for q in range(0, 8192, 700):
+        near = np.sqrt(((rows - rows[q]) ** 2).sum(axis=1))
+        near[q] = np.inf
+        assert {m for a, m, _ in got if a == q} == {*np.argsort(near)[:3].tolist()}
+
+
+def test_members_of_one_bucket_need_no_check_by_pair(monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = rng.random((1500, 3))
+    codes = np.column_stack([np.zeros(1500, int), np.arange(1500) % 7])
+    cells = []
+    real = Nearest._add_block
+    monkeypatch.setattr(Nearest, "_add_block", lambda self, *a: (cells.append(a[-1]), real(self, *a)))
+    found = []
+    for c in (codes, None):
+        best = Nearest(np.arange(1500), rows, 5, 6, c)
+        best.add(np.arange(1500), rows, c)
+        found.append(sorted(zip(*(x.to_pylist() for x in best.result()))))
+    assert found[0] == found[1] and cells and all(c is None for c in cells)
