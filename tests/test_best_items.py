@@ -100,3 +100,43 @@ def test_trained_factors_against_the_trainer_and_sql(spark, sf_dir):
 def test_waves_double():
     assert best_items.waves(0) == [] and best_items.waves(1) == [(0, 1)]
     assert best_items.waves(10) == [(0, 1), (1, 3), (3, 7), (7, 10)]
+
+
+def test_lists_are_the_trainers_without_computing_all(spark, sf_dir, monkeypatch):
+    import workload
+
+    model = workload.fitted(spark, sf_dir)
+    theirs = recommend.ranked_items(model.recommendForAllUsers(10)).toPandas().sort_values(["user_id", "rank"])
+    some = spark.createDataFrame([(int(theirs.user_id.iloc[0]),), (int(theirs.user_id.iloc[0]),), (10**6,)], "user_id int")
+    subset = recommend.ranked_items(model.recommendForUserSubset(some, 3)).toPandas()
+    for name in ("recommendForAllUsers", "recommendForUserSubset"):
+        monkeypatch.setattr(type(model), name, None)
+    ours = recommend.ranked_items(recommend.top_items(model, 10)).toPandas().sort_values(["user_id", "rank"])
+    assert (ours[["user_id", "rank"]].values == theirs[["user_id", "rank"]].values).all()
+    assert np.abs(ours.score.values - theirs.score.values).max() < 1e-5
+    part = recommend.ranked_items(recommend.top_items(model, 3, users=some)).toPandas()
+    assert len(part) == len(subset) == 3 and np.allclose(part.score, subset.score, atol=1e-5)
+
+
+def test_users_and_items_move_once_per_group(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    users, items = [(i, rng.random(3)) for i in range(300)], [(i, rng.random(3)) for i in range(2000)]
+    moved = []
+
+    def counted(self, *key, real=type(spark.range(1)).groupBy):
+        if key == ("user_group", "item_group"):
+            moved.append(self.count())
+        return real(self, *key)
+
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", counted)
+    monkeypatch.setattr(best_items, "GROUPS_PER_CORE", 0.125)
+    found = best_items.search(vectors(spark, users), vectors(spark, items), 5, rows_per_block=10)
+    assert told(found) == brute(users, items, 5)
+    # A wave moves a user once at most, and an item once, though there are 200 blocks.
+    assert moved and max(moved[::2]) <= 300 and sum(moved[1::2]) <= 2000
+    monkeypatch.setattr(best_items, "MAX_GROUP_BYTES", 56 * 40)
+    assert told(best_items.search(vectors(spark, users), vectors(spark, items), 5, rows_per_block=10)) == brute(users, items, 5)
+
+
+def test_the_first_wave_has_a_sixteenth():
+    assert best_items.waves(64) == [(0, 4), (4, 12), (12, 28), (28, 60), (60, 64)]
