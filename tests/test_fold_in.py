@@ -69,3 +69,24 @@ def test_gram_matrix(spark):
     y = rng.standard_normal((200, 6))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "id long, features array<double>")
     assert np.allclose(fold_in.gram(df.repartition(9)), y.T @ y)
+
+
+def test_many_users_in_one_call(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    half = rng.standard_normal((50, 7, 5))
+    a, b = np.einsum("nij,nik->njk", half, half) + 0.01 * np.eye(5), rng.standard_normal((50, 5)) * 3
+    assert np.allclose(fold_in.non_negative_each(a, b), [fold_in.non_negative(*p) for p in zip(a, b)])
+    items = spark.createDataFrame([(i, rng.random(5).tolist()) for i in range(40)], "id long, features array<double>")
+    rows = [(u, int(i), float(rng.random())) for u in range(300) for i in rng.choice(40, 1 + u % 20)]
+    df = spark.createDataFrame(rows, "user_id long, song_id long, rating_log double").coalesce(1)
+    calls = []
+    monkeypatch.setattr(type(df.groupBy()), "applyInArrow", lambda self, f, s, real=type(df.groupBy()).applyInArrow: (calls.append(s), real(self, f, s))[1])
+    want = collected(fold_in.fold_in(df, items))
+    # No call per user; the one there is adds up the Gram matrix.
+    assert len(calls) == 1 and want.keys() == set(range(300))
+    for products, width in ((60, 24), (1 << 21, 2)):
+        monkeypatch.setattr(fold_in, "PRODUCTS", products)
+        monkeypatch.setattr(fold_in, "MAX_WIDTH", width)
+        for slices in (fold_in.ROWS_PER_TASK, 7):
+            got = collected(fold_in.fold_in(df, items, rows_per_task=slices))
+            assert got.keys() == want.keys() and max(np.abs(got[i] - want[i]).max() for i in got) < 1e-5
