@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from earshot.operators import skew
 from earshot.sources import storage
 
 
+# Rows that one task sorts by a window, about so many.
+ROWS_PER_PARTITION = 250_000
+
+
 def _order(df: DataFrame, item: str, plays: str) -> list[Column]:
     """Plays descending (missing last), song ascending (missing first), then whatever else the row holds."""
     return [F.col(plays).desc(), F.col(item).asc(), F.xxhash64(*df.columns).asc()]
@@ -42,18 +48,26 @@ def rank_all(
     """Adds ``rank`` to every row with a user, without ever sorting one hot user in one task.
 
     Runs a count when called: the users with more than ``rows_per_task`` rows are ranked
-    by ranges, the others by a window. Both give the same ranks.
+    by ranges, the others by a window. Both give the same ranks. Where the session's shuffle
+    partitions would have more than :data:`ROWS_PER_PARTITION` rows each, there are more of them.
     """
     rows = df.filter(F.col(user).isNotNull())
-    counts = rows.groupBy(user).agg(F.count("*").alias("_n"))
+    counts = storage.written(rows.groupBy(user).agg(F.count("*").alias("_n")), "user-counts")
+    parts = math.ceil((counts.agg(F.sum("_n")).head()[0] or 0) / ROWS_PER_PARTITION)
+    if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        parts = None
     hot = skew.hot_keys(counts, [user], "_n", rows_per_task).select(user)
     if hot.isEmpty():
-        return _by_window(rows, user, item, plays)
-    light = _by_window(rows.join(hot, user, "left_anti"), user, item, plays)
+        return _by_window(_spread(rows, user, parts), user, item, plays)
+    light = _by_window(_spread(rows.join(hot, user, "left_anti"), user, parts), user, item, plays)
     heavy = _by_ranges(rows.join(hot, user, "left_semi"), user, item, plays)
     return light.unionByName(heavy)
 
 
+def _spread(df: DataFrame, user: str, parts: int | None) -> DataFrame:
+    return df if parts is None else df.repartition(parts, user)
+
+
 def _by_ranges(df: DataFrame, user: str, item: str, plays: str) -> DataFrame:
     """Rank as the place in a sorted range plus the user's rows in the ranges before.
 

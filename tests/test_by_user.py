@@ -59,3 +59,32 @@ def test_small_tables_are_told_by_rows_and_bytes(spark):
         got = skew.lookup(facts, names, "k", max_broadcast_bytes=limit)
         assert ("SortMergeJoin" in plan(got)) == (limit == 10)
         assert got.filter("name is null").count() == facts.filter("k >= 50").count()
+
+
+def test_buckets_stay_small(spark):
+    rows = spark.range(3_500_000).select((F.col("id") % 90_000).alias("user_id"), (F.col("id") % 77).alias("song_id"), F.lit(1).alias("play_count"))
+    cores = spark.sparkContext.defaultParallelism
+    table = interactions.by_user(rows.unionByName(rows).unionByName(rows))
+    assert len(table.inputFiles()) == max(cores, 21)
+
+
+def test_many_rows_are_ranked_in_more_partitions(spark, plays, monkeypatch):
+    from earshot.operators import ranking
+
+    want = ranking.rank_all(plays, "user_id", "song_id", "play_count")
+    monkeypatch.setattr(ranking, "ROWS_PER_PARTITION", 100)
+    got = ranking.rank_all(plays, "user_id", "song_id", "play_count")
+    assert got.rdd.getNumPartitions() == -(-plays.count() // 100)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_pieces_of_a_layout_grow_with_the_rows(spark, sf_dir, monkeypatch):
+    import workload
+
+    dealt = []
+    real = type(spark.range(1)).repartition
+    monkeypatch.setattr(type(spark.range(1)), "repartition", lambda self, n, *c: (dealt.append(n), real(self, n, *c))[1])
+    assert workload.random_split_again(spark, sf_dir).filter("not same").count() == 0
+    monkeypatch.setattr(workload, "ROWS_PER_PIECE", 100)
+    assert workload.random_split_again(spark, sf_dir).filter("not same").count() == 0
+    assert dealt[0] == 5 and 3 in dealt and max(dealt) == -(-workload.cleaned(spark, sf_dir).count() // 100) > 8
