@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,58 @@ def test_users_and_items_move_once_per_group(spark, monkeypatch):
 
 def test_the_first_wave_has_a_sixteenth():
     assert best_items.waves(64) == [(0, 4), (4, 12), (12, 28), (28, 60), (60, 64)]
+
+
+def test_tiny_scores_prune_as_large_ones(spark):
+    rng = np.random.default_rng(7)
+    users = [(i, rng.random(5) * 1e-6) for i in range(80)]
+    items = [(i, rng.random(5) * (4 if i < 40 else 0.3)) for i in range(1200)]
+    found = best_items.search(vectors(spark, users), vectors(spark, items), 10, rows_per_block=40)
+    assert told(found) == brute(users, items, 10)
+    assert sum(w.searched for w in found.report.collect()) < 0.3 * 80 * 30
+
+
+def test_a_user_meets_only_the_promising_items_of_a_group():
+    rng = np.random.default_rng(8)
+    # Everyone likes one kind of song of eight, and all vectors are about as long.
+    def table(n):
+        features = np.eye(8)[rng.integers(0, 8, n)] * (1 + 0.1 * rng.random((n, 1)))
+        return features, {"id": pa.array(np.arange(n)), "features": pa.array(list(features), pa.list_(pa.float64()))}
+
+    own, asking = table(500)
+    other, offering = table(8000)
+    asking = pa.table({**asking, "last": pa.array(np.full(500, -np.inf))})
+    offering = pa.table({**offering, "block": pa.array(np.zeros(8000, np.int32)), "slot": pa.array(np.arange(8000, dtype=np.int32))})
+    computed = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            out = np.asarray(self) @ np.asarray(other)
+            computed.append(out.size)
+            return out
+
+    real = best_items.matrix
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(best_items, "matrix", lambda c: real(c).view(Counted))
+        found = best_items._best_of_group(asking, offering, 10).to_pandas()
+    found = found.sort_values(["user_id", "score", "item_id"], ascending=[True, False, True])
+    scores = (own @ other.T).astype(np.float32)
+    want = np.array([np.lexsort((np.arange(8000), -s))[:10] for s in scores])
+    assert (found.item_id.values.reshape(500, 10) == want).all()
+    assert sum(computed) < 0.25 * scores.size
+
+
+def test_equal_scores_of_many_items(spark):
+    users = [(i, [0.0, 0.0]) for i in range(40)] + [(50, [1.0, 0.0]), (51, [0.0, 1.0])]
+    items = [(i, [0.0, float(i % 3)]) for i in range(2000, 0, -1)]
+    found = best_items.search(vectors(spark, users), vectors(spark, items), 4)
+    assert told(found) == brute(users, items, 4)
+    seen = [(0, i) for i in range(1, 1990)] + [(50, 1), (51, 2)]
+    found = best_items.search(vectors(spark, users), vectors(spark, items), 4, seen=spark.createDataFrame(seen, "user_id long, song_id long"))
+    assert told(found) == brute(users, items, 4, seen)
+
+
+def test_a_wave_is_dealt_so_that_few_rows_move():
+    many_users, even, many_items = (best_items._groups(u, i, 100, 48, 10**9) for u, i in ((10**6, 10**4), (10**5, 10**5), (10**4, 10**6)))
+    assert many_users == (48, 1) and even == (8, 6) and many_items[1] == 69
+    assert best_items._groups(1000, 1000, 4, 1, 100) == (10, 4)
