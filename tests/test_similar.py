@@ -318,3 +318,49 @@ def test_members_of_one_bucket_need_no_check_by_pair(monkeypatch):
         best.add(np.arange(1500), rows, c)
         found.append(sorted(zip(*(x.to_pylist() for x in best.result()))))
     assert found[0] == found[1] and cells and all(c is None for c in cells)
+
+
+def test_codes_are_looked_at_for_near_pairs_only():
+    rng = np.random.default_rng(3)
+    rows, n = rng.normal(size=(6000, 4)), 6000
+    places = rows @ rng.normal(size=(4, 3))
+    codes = np.floor(places).astype(np.int64)
+    probes = np.stack([codes, codes - 1, codes + 1], axis=2)
+    seen = []
+
+    class Counted(np.ndarray):
+        def __eq__(self, other):
+            out = np.asarray(self) == np.asarray(other)
+            seen.append(out.size)
+            return out
+
+    best = Nearest(np.arange(500), rows[:500], 3, None, probes[:500].view(Counted))
+    best.add(np.arange(n), rows, codes.view(Counted))
+    query, member, dist = (c.to_numpy() for c in best.result())
+    gaps = np.sqrt(((rows[:500, None] - rows[None]) ** 2).sum(axis=2))
+    gaps[~(probes[:500, None] == codes[None, :, :, None]).any(axis=(2, 3))] = np.inf
+    gaps[np.arange(500), np.arange(500)] = np.inf
+    want = np.argsort(gaps, axis=1, kind="stable")[:, :3]
+    order = np.lexsort((member, dist, query))
+    assert (member[order].reshape(500, 3) == want).all()
+    # All pairs, codes and probes would be 500 * n * 9.
+    assert sum(seen) < 0.3 * 500 * n * 9
+
+
+@pytest.mark.parametrize("scale, shift", [(1e-25, 0.0), (1e25, 0.0), (1.0, 1e6), (1e-4, 3.0), (1.0, 0.0)])
+@pytest.mark.parametrize("hashed", [False, True])
+def test_rough_distances_lose_nobody(scale, shift, hashed):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(700, 5)) * scale + shift
+    rows[300:340] = rows[300]
+    codes = rng.integers(0, 3, (700, 2)) if hashed else None
+    best = Nearest(np.arange(700), rows, 4, None, codes, query_rows=64, member_rows=50)
+    for part in np.array_split(rng.permutation(700), 3):
+        best.add(part, rows[part], None if codes is None else codes[part])
+    query, member, dist = (c.to_numpy() for c in best.result())
+    order = np.lexsort((member, dist, query))
+    gaps = np.sqrt(((rows[:, None] - rows[None]) ** 2).sum(axis=2))
+    if hashed:
+        gaps[~(codes[:, None] == codes[None]).any(axis=2)] = np.inf
+    gaps[np.arange(700), np.arange(700)] = np.inf
+    assert (member[order].reshape(700, 4) == np.argsort(gaps, axis=1, kind="stable")[:, :4]).all()
