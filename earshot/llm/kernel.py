@@ -150,7 +150,8 @@ def isotonic(x: np.ndarray, total: np.ndarray, weight: np.ndarray) -> tuple[np.n
     pools: list[list[float]] = []
     for place, t, w in zip(x, total, weight):
         pools.append([place * w, t, w])
-        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+        # Means that differ by rounding alone are equal.
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= (right := pools[-1][1] * pools[-2][2]) - 1e-12 * abs(right):
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
     places, totals, weights = np.array(pools).T

@@ -114,6 +114,12 @@ def test_isotonic_fit(rows):
     assert np.allclose(sorted(set(np.round(want, 9))), values)
 
 
+def test_equal_means_are_one_pool():
+    w = np.array([1.0, 1.0, 5.0, 1.0])
+    places, values = kernel.isotonic(np.arange(4.0), np.array([0.0, 0.2, 0.2, 0.2]) * w, w)
+    assert len(places) == 2 and np.allclose(values, [0.0, 0.2])
+
+
 @pytest.mark.parametrize("text", ["", " " * 100_000, "a" * 2_000_000, "\n" * 100_000, "2016 2017 " * 100_000, "漢字🙂", "| | |"])
 def test_statistics_are_defined(text):
     found = kernel.statistics(text.encode())
