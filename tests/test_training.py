@@ -92,6 +92,19 @@ def test_blocks_follow_data_and_cores():
     assert factorize.block_count(10**12, 8000) == 500_000
 
 
+def test_short_vectors_need_fewer_blocks(ratings, monkeypatch):
+    # 60 and 360 times sf0.1: no more blocks than cores, so that a vector is not sent more often.
+    assert factorize.block_count(22_138_656, 12, 8) == 12
+    assert factorize.block_count(6 * 22_138_656, 12, 8) == 12
+    assert factorize.block_count(10**9, 12, 8) == 70
+    assert factorize.block_count(100_000_000, 8, 300) == factorize.block_count(100_000_000, 8, 150) == 50
+    n = ratings.count()
+    monkeypatch.setattr(factorize, "MAX_RATINGS_PER_BLOCK", n // 40)
+    monkeypatch.setattr(factorize, "MIN_RATINGS_PER_BLOCK", n // 2)
+    model = factorize.train(ratings, seed=1, rank=8, iterations=1)
+    assert model.userFactors.rdd.getNumPartitions() < 40 // 4
+
+
 def test_save_load_describe(spark, fitted):
     _, model = fitted
     path = storage.fresh_path(spark, "test-model")
