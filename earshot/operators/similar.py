@@ -11,9 +11,11 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from earshot.functions import columns
 from earshot.functions.nearest import FOUND, Nearest, id_array, matrix
+from earshot.functions.regions import Regions, boxes
 from earshot.operators import skew
 from earshot.sources import schemas, storage
 
@@ -25,6 +27,10 @@ MAX_SENT_ROWS, MAX_PARTITIONS = 100_000_000, 100_000
 # comparing takes longer than their moving. A group is made smaller to keep every core busy.
 MIN_CELL_BYTES, MAX_CELL_BYTES = 1 << 19, 16 << 20
 CELLS_PER_CORE = 4
+# Vectors of a sample by which a region is cut, and the share of all pairs above which regions are given up.
+SAMPLED_PER_REGION, MAX_VISITED = 64, 0.5
+# Vectors with so few entries lie close together in small runs: queries and members of one.
+NARROW, NARROW_RUNS = 32, {"query_rows": 64, "member_rows": 128}
 
 _FOUND = "query_id long, neighbor_id long, dist double"
 
@@ -404,6 +410,8 @@ def _by_cells(
     side are compared at a time, however small they are. The exact search is one bucket that
     holds everything. So is an LSH search whose buckets overlap so much that it would
     compare more than all pairs once; its cells then check the codes themselves.
+
+    What is one bucket goes by regions first, unless ``rows_per_cell`` says what meets.
     """
     bucket, hashed = ["table", "bucket"], "codes" in members.columns
 
@@ -430,6 +438,13 @@ def _by_cells(
     tasks = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
     even = math.ceil(math.sqrt(compared / tasks))
     width = 8 * (members.select(F.max(F.size("features"))).head()[0] + 1)
+    if not by_bucket and rows_per_cell is None:
+        # Regions are cut again beyond twice these rows.
+        rows = max(1, MIN_CELL_BYTES // width, min(MAX_CELL_BYTES // (2 * width), n_members // tasks))
+        if n_members > 2 * rows:
+            found, queries = _by_regions(members, queries, k, digits, n_queries, n_members, rows, width)
+            if found is not None:
+                return found
     moved = max(1, rows_per_cell or 1, min(MAX_CELL_BYTES // width, max(MIN_CELL_BYTES // width, even)))
     at_once = {} if rows_per_cell is None else {"query_rows": rows_per_cell, "member_rows": rows_per_cell}
     # A group is much work for few bytes: the partitions are numbered by work, so that
@@ -454,12 +469,11 @@ def _by_cells(
         )
 
     # Cells of one bucket know that their rows share it; otherwise the codes travel along.
-    check = hashed and not by_bucket
-    payload = ["id", "features", "codes"] if check else ["id", "features"]
+    payload = ["id", "features", "codes"] if hashed and not by_bucket else ["id", "features"]
 
     def placed(df: DataFrame, own: str, own_cut: str, other: str, other_cut: str) -> DataFrame:
         return cut(df).select(
-            *bucket, *payload,
+            *bucket, *payload, *(["bound"] if "bound" in df.columns else []),
             F.pmod(F.xxhash64("id"), F.col(own_cut)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.col(other_cut) - 1)).alias(other),
         )
@@ -469,21 +483,138 @@ def _by_cells(
     right = placed(members, "slice", "_slices", "block", "_blocks")
     # Both sides come from the same table: give one its own column identities.
     right = right.toDF(*right.columns)
+    found = _met(left, right, cell, partitions, k, digits, at_once)
+    if not by_bucket:
+        return found
+    # A pair may share buckets in several tables; the ranking reuses this partitioning.
+    return found.repartition("query_id").groupBy("query_id", "neighbor_id").agg(F.min("dist").alias("dist"))
+
+
+def _met(left: DataFrame, right: DataFrame, cell: list[str], partitions: int, k: int, digits: int | None, at_once: dict[str, int]) -> DataFrame:
+    """Neighbours of the queries on the left among the members on the right, cell by cell.
+
+    Columns ``codes`` are checked pair by pair; farther than a query's ``bound`` nobody is looked for.
+    """
+    check, bounded = "codes" in left.columns, "bound" in left.columns
     left, right = (df.repartition(partitions, *cell) for df in (left, right))
 
     def search(asking: pa.Table, offering: pa.Table) -> pa.Table:
         if not asking.num_rows or not offering.num_rows:
             return FOUND.empty_table()
         codes = [_codes(t["codes"]) if check else None for t in (asking, offering)]
-        best = Nearest(id_array(asking["id"]), matrix(asking["features"]), k, digits, codes[0], **at_once)
+        bound = asking["bound"].to_numpy() if bounded else None
+        best = Nearest(id_array(asking["id"]), matrix(asking["features"]), k, digits, codes[0], bound=bound, **at_once)
         best.add(id_array(offering["id"]), matrix(offering["features"]), codes[1])
         return pa.Table.from_arrays(best.result(), schema=FOUND)
 
-    found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(search, _FOUND)
-    if not by_bucket:
-        return found
-    # A pair may share buckets in several tables; the ranking reuses this partitioning.
-    return found.repartition("query_id").groupBy("query_id", "neighbor_id").agg(F.min("dist").alias("dist"))
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(search, _FOUND)
+
+
+def _by_regions(
+    members: DataFrame, queries: DataFrame, k: int, digits: int | None, n_queries: int, n_members: int, rows: int, width: int
+) -> tuple[DataFrame | None, DataFrame]:
+    """Neighbours by regions of about ``rows`` members, ``width`` bytes each: first the own one, then those that can be near enough.
+
+    A sample says where space is cut, the members themselves how far each region reaches. The
+    last neighbour a query has from its own region bounds how far it looks: the regions within
+    that get the query too, all others hold nobody nearer. Regions and visitors beyond twice
+    ``rows`` are cut into slices and blocks. Where nearly everything is near, as among many
+    independent entries, there are no neighbours but the queries with their ``bound``, to be compared with all.
+    """
+    spark = members.sparkSession
+    sampled = min(SAMPLED_PER_REGION * math.ceil(n_members / rows), max(2, MAX_BROADCAST_BYTES // width))
+    share = min(1.0, sampled / n_members)
+    sample = matrix(members.filter(F.rand(0) < share).select("features").toArrow()["features"])
+    if not len(sample):
+        return None, queries
+    tree = Regions(sample, max(1, math.floor(share * rows)))
+    room = 0.0 if digits is None else 10.0**-digits
+
+    def placed(df: DataFrame) -> DataFrame:
+        def place(batches):
+            for batch in batches:
+                region = pa.array(tree.of(matrix(batch.column("features"))), pa.int32())
+                yield pa.RecordBatch.from_arrays([*batch.columns, region], names=[*batch.schema.names, "region"])
+
+        return storage.written(df.mapInArrow(place, StructType([*df.schema.fields, StructField("region", IntegerType())])), "regions")
+
+    def reached(batches):
+        """Per region of a partition's members, how many, their smallest and their largest entries."""
+        n = np.zeros(tree.n_regions, np.int64)
+        low, high = np.full((2, tree.n_regions, tree.width), np.inf) * np.array([1.0, -1.0])[:, None, None]
+        for batch in batches:
+            if batch.num_rows:
+                own, counts, least, most = boxes(matrix(batch.column("features")), id_array(batch.column("region")))
+                n[own] += counts
+                low[own], high[own] = np.minimum(low[own], least), np.maximum(high[own], most)
+        own = np.flatnonzero(n)
+        starts = pa.array(np.arange(len(own) + 1) * tree.width, pa.int32())
+        ends = [pa.ListArray.from_arrays(starts, pa.array(x[own].ravel(), pa.float64())) for x in (low, high)]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(n[own], pa.int64()), *ends], names=["region", "n", "low", "high"])
+
+    everyone = queries is members
+    members = placed(members)
+    queries = members if everyone else placed(queries)
+    reach = members.select("features", "region").mapInArrow(reached, "region int, n long, low array<double>, high array<double>").select(
+        "region", "n", F.posexplode(F.arrays_zip("low", "high")).alias("entry", "end")
+    ).groupBy("region", "entry").agg(F.sum("n").alias("n"), F.min("end.low").alias("low"), F.max("end.high").alias("high"))
+    ends = reach.toArrow()  # a row per region and entry
+    at = ends["region"].to_numpy(), ends["entry"].to_numpy()
+    offered = dict(zip(at[0].tolist(), ends["n"].to_pylist()))
+    low, high = np.full((2, tree.n_regions, tree.width), np.inf) * np.array([1.0, -1.0])[:, None, None]
+    low[at], high[at] = ends["low"].to_numpy(), ends["high"].to_numpy()
+    tree.set_boxes(low, high)
+
+    entries = width // 8 - 1
+    at_once = NARROW_RUNS if entries <= NARROW else {}
+    tasks = max(CELLS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    payload = [c for c in ("id", "features", "codes") if c in members.columns]
+    cell = ["region", "block", "slice"]
+
+    def counted(df: DataFrame) -> dict[int, int]:
+        return {r.region: r.n for r in df.groupBy("region").agg(F.count("*").alias("n")).collect()}  # a row per region
+
+    def met(asking: DataFrame, asked: dict[int, int]) -> DataFrame:
+        """Neighbours of the queries among the members of the region they are given with."""
+        cut = [(r, math.ceil(n / (2 * rows)), math.ceil(offered[r] / (2 * rows))) for r, n in asked.items() if r in offered]
+        cuts = F.broadcast(spark.createDataFrame(cut, "region int, _blocks int, _slices int"))
+        cells = sum(blocks * slices for _, blocks, slices in cut)
+        # As in the search by cells, more partitions than cells.
+        partitions = max(1, min(4 * cells, max(4 * tasks, cells)))
+
+        def dealt(df: DataFrame, own: str, own_cut: str, other: str, other_cut: str) -> DataFrame:
+            return df.join(cuts, "region").select(
+                "region", *payload, *(["bound"] if "bound" in df.columns else []),
+                F.pmod(F.xxhash64("id"), F.col(own_cut)).cast("int").alias(own),
+                F.explode(F.sequence(F.lit(0), F.col(other_cut) - 1)).alias(other),
+            )
+
+        right = dealt(members, "slice", "_slices", "block", "_blocks")
+        return _met(dealt(asking, "block", "_blocks", "slice", "_slices"), right.toDF(*right.columns), cell, partitions, k, digits, at_once)
+
+    at_home = storage.written(_ranked(met(queries, counted(queries)), k), "own-region")
+    bounds = at_home.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("dist").alias("bound"))
+
+    def look(batches):
+        for batch in batches:
+            bound = id_array(batch.column("bound"))
+            row, region = np.empty(0, np.int64), np.empty(0, np.int32)
+            if batch.num_rows:
+                row, region = tree.visits(matrix(batch.column("features")), id_array(batch.column("region")), bound + room)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
+            visits = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(region, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, visits], names=[*batch.schema.names, "visits"])
+
+    bounded = queries.join(bounds, "id", "left").select(*payload, "region", F.coalesce("bound", F.lit(math.inf)).alias("bound"))
+    looking = storage.written(
+        bounded.mapInArrow(look, StructType([*bounded.schema.fields, StructField("visits", ArrayType(IntegerType()))])), "visits"
+    )
+    visiting = looking.select(*payload, "bound", F.explode("visits").alias("region"))
+    asked = counted(visiting)
+    if sum(n * offered.get(r, 0) for r, n in asked.items()) > MAX_VISITED * n_queries * n_members:
+        return None, looking.select(*payload, "bound")
+    found = at_home.drop("rank")
+    return (found.unionByName(met(visiting, asked)) if asked else found), queries
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

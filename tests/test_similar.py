@@ -364,3 +364,92 @@ def test_rough_distances_lose_nobody(scale, shift, hashed):
         gaps[~(codes[:, None] == codes[None]).any(axis=2)] = np.inf
     gaps[np.arange(700), np.arange(700)] = np.inf
     assert (member[order].reshape(700, 4) == np.argsort(gaps, axis=1, kind="stable")[:, :4]).all()
+
+
+def clustered(n, width, seed):
+    rng = np.random.default_rng(seed)
+    rows = rng.random((20, width))[rng.integers(0, 20, n)] + rng.normal(size=(n, width)) * 0.01
+    rows[n // 3 : n // 3 + n // 6] = rows[0]  # a group of copies
+    return {i * 2: row for i, row in enumerate(rows.astype(np.float32))}
+
+
+def table(spark, data):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in data.items()], VECTORS).repartition(4)
+
+
+@pytest.fixture
+def small_regions(monkeypatch):
+    monkeypatch.setattr(similar, "MIN_CELL_BYTES", 1 << 10)
+    monkeypatch.setattr(similar, "MAX_CELL_BYTES", 1 << 12)
+
+
+@pytest.mark.parametrize("digits", [None, 2])
+@pytest.mark.parametrize("method", ["exact", "lsh"])
+def test_search_by_regions_equals_brute_force(spark, small_regions, method, digits):
+    data = clustered(300, 3, 4)
+    df = table(spark, data).cache()
+    index, allowed = None, lambda a, b: True
+    if method == "lsh":
+        index = similar.fit_index(df, seed=3, bucket_length=2.0)
+        codes = {r.id: r.codes for r in similar.signatures(df, index).collect()}
+        allowed = lambda a, b: any(x == y for x, y in zip(codes[a], codes[b]))
+    want = {a: near for a, near in brute(data, 4, digits, allowed).items() if near}
+    got = found_of(similar.similar_users(df, k=4, method=method, index=index, digits=digits, max_broadcast_bytes=0))
+    assert {a: [b for _, b in near] for a, near in got.items()} == {a: [b for _, b in near] for a, near in want.items()}
+    for a, near in want.items():
+        assert [d for d, _ in got[a]] == pytest.approx([d for d, _ in near], abs=1e-9)
+    if digits is not None:
+        return
+    some = spark.createDataFrame([(i,) for i in range(0, 300, 3)], "id long")
+    part = found_of(similar.similar_users(df, some, k=4, method=method, index=index, digits=digits, max_broadcast_bytes=0))
+    assert part == {a: near for a, near in got.items() if a % 3 == 0 and a < 300}
+
+
+def pairs_met(monkeypatch, df, **how):
+    """The pairs that meet in cells, over all rounds, and what is found."""
+    sides = []
+
+    def counted(self, *key, real=type(df).groupBy):
+        if [str(c) for c in key[-2:]] == ["block", "slice"]:
+            sides.append({tuple(r[c] for c in key): r.n for r in real(self, *key).agg(F.count("*").alias("n")).collect()})
+        return real(self, *key)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "groupBy", counted)
+        found = found_of(similar.similar_users(df, max_broadcast_bytes=0, **how))
+    return sum(n * right.get(c, 0) for left, right in zip(sides[::2], sides[1::2]) for c, n in left.items()), found
+
+
+@pytest.mark.parametrize("method", ["exact", "lsh"])
+def test_far_regions_do_not_meet(spark, small_regions, monkeypatch, method):
+    data = clustered(500, 3, 6)
+    df = table(spark, data).cache()
+    index = similar.fit_index(df, seed=1, bucket_length=50.0) if method == "lsh" else None
+    pairs, got = pairs_met(monkeypatch, df, k=4, method=method, index=index)
+    assert pairs < 0.4 * 500 * 500
+    assert {a: [b for _, b in near] for a, near in got.items()} == {a: [b for _, b in near] for a, near in brute(data, 4).items()}
+
+
+@pytest.mark.parametrize("probes", [0, 3])
+def test_where_all_is_near_all_pairs_meet_with_a_bound(spark, small_regions, monkeypatch, probes):
+    rng = np.random.default_rng(7)
+    data = {i: row for i, row in enumerate(rng.normal(size=(300, 40)).astype(np.float32))}
+    df = table(spark, data).cache()
+    index = similar.fit_index(df, seed=1, bucket_length=1000.0) if probes else None
+    pairs, got = pairs_met(monkeypatch, df, k=4, index=index, probes=probes)
+    assert 300 * 300 < pairs < 1.5 * 300 * 300
+    assert {a: [b for _, b in near] for a, near in got.items()} == {a: [b for _, b in near] for a, near in brute(data, 4).items()}
+
+
+def test_equal_vectors_and_repeated_ids_are_cut_into_slices(spark, small_regions, monkeypatch):
+    rows = [(i % 150, [1.0, 2.0, 0.5]) for i in range(300)] + [(1000 + i, [float(i), 0.0, 0.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(4).cache()
+    one, two = (similar.similar_users(df, k=3, max_broadcast_bytes=0, rows_per_cell=rows_per_cell) for rows_per_cell in (None, 16))
+    assert sorted(map(tuple, one.drop("username").collect())) == sorted(map(tuple, two.drop("username").collect()))
+
+
+@pytest.mark.parametrize("bad", [[1.0], [1.0, None], [1.0, float("nan")]])
+def test_regions_refuse_bad_vectors(spark, small_regions, bad):
+    rows = [(i, [float(i), 1.0]) for i in range(200)] + [(500, bad)]
+    with pytest.raises(Exception, match="vectors must"):
+        similar.similar_users(spark.createDataFrame(rows, VECTORS).repartition(3), k=2, max_broadcast_bytes=0).collect()
