@@ -31,6 +31,8 @@ CELLS_PER_CORE = 4
 SAMPLED_PER_REGION, MAX_VISITED = 64, 0.5
 # Vectors with so few entries lie close together in small runs: queries and members of one.
 NARROW, NARROW_RUNS = 32, {"query_rows": 64, "member_rows": 128}
+# Runs where nearly everything is near: boxes leave out little there, and products of many rows are faster.
+WIDE_RUNS = {"query_rows": 512, "member_rows": 1024}
 
 _FOUND = "query_id long, neighbor_id long, dist double"
 
@@ -438,6 +440,7 @@ def _by_cells(
     tasks = CELLS_PER_CORE * spark.sparkContext.defaultParallelism
     even = math.ceil(math.sqrt(compared / tasks))
     width = 8 * (members.select(F.max(F.size("features"))).head()[0] + 1)
+    at_once = {} if rows_per_cell is None else {"query_rows": rows_per_cell, "member_rows": rows_per_cell}
     if not by_bucket and rows_per_cell is None:
         # Regions are cut again beyond twice these rows.
         rows = max(1, MIN_CELL_BYTES // width, min(MAX_CELL_BYTES // (2 * width), n_members // tasks))
@@ -445,8 +448,8 @@ def _by_cells(
             found, queries = _by_regions(members, queries, k, digits, n_queries, n_members, rows, width)
             if found is not None:
                 return found
+            at_once = WIDE_RUNS
     moved = max(1, rows_per_cell or 1, min(MAX_CELL_BYTES // width, max(MIN_CELL_BYTES // width, even)))
-    at_once = {} if rows_per_cell is None else {"query_rows": rows_per_cell, "member_rows": rows_per_cell}
     # A group is much work for few bytes: the partitions are numbered by work, so that
     # adaptive execution does not merge them by size. Few groups get more partitions than
     # there are groups, as hashing would put several of them into one.

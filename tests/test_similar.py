@@ -453,3 +453,28 @@ def test_regions_refuse_bad_vectors(spark, small_regions, bad):
     rows = [(i, [float(i), 1.0]) for i in range(200)] + [(500, bad)]
     with pytest.raises(Exception, match="vectors must"):
         similar.similar_users(spark.createDataFrame(rows, VECTORS).repartition(3), k=2, max_broadcast_bytes=0).collect()
+
+
+@pytest.mark.parametrize("hashed", [False, True])
+def test_near_pairs_wait_to_be_ranked_together(monkeypatch, hashed):
+    rng = np.random.default_rng(11)
+    rows, ranked = rng.normal(size=(4000, 12)), []
+    codes = rng.integers(0, 2, (4000, 3)) if hashed else None
+    first = Nearest(np.arange(500), rows[:500], 5, None, None if codes is None else codes[:500])
+    first.add(np.arange(1000), rows[:1000], None if codes is None else codes[:1000])
+    bound = np.empty(500)
+    bound[first.ids] = first.bound
+    real = Nearest._keep_best
+    monkeypatch.setattr(Nearest, "_keep_best", lambda self, *a: (ranked.append(1), real(self, *a)))
+    best = Nearest(np.arange(500), rows[:500], 5, None, None if codes is None else codes[:500], 250, 100, bound=bound)
+    best.add(np.arange(4000), rows, codes)
+    # Two runs of queries meet 40 of members each.
+    assert 0 < len(ranked) < 40
+    query, member, dist = (c.to_numpy() for c in best.result())
+    gaps = np.sqrt(((rows[:500, None] - rows[None]) ** 2).sum(axis=2))
+    if hashed:
+        gaps[~(codes[:500, None] == codes[None]).any(axis=2)] = np.inf
+    gaps[np.arange(500), np.arange(500)] = np.inf
+    order = np.lexsort((member, dist, query))
+    assert (member[order].reshape(500, 5) == np.argsort(gaps, axis=1, kind="stable")[:, :5]).all()
+    assert (dist <= bound[query]).all()
