@@ -455,7 +455,7 @@ def _by_cells(
     # there are groups, as hashing would put several of them into one.
     tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cells = math.ceil(compared / moved**2)
-    partitions = max(1, min(4 * cells, max(4 * tasks, cells)))
+    partitions = max(1, min(4 * cells, max(16 * tasks, cells)))
 
     def cut(df: DataFrame) -> DataFrame:
         """Adds the bucket, and into how many blocks and slices it is cut."""
@@ -583,7 +583,7 @@ def _by_regions(
         cuts = F.broadcast(spark.createDataFrame(cut, "region int, _blocks int, _slices int"))
         cells = sum(blocks * slices for _, blocks, slices in cut)
         # As in the search by cells, more partitions than cells.
-        partitions = max(1, min(4 * cells, max(4 * tasks, cells)))
+        partitions = max(1, min(4 * cells, max(16 * tasks, cells)))
 
         def dealt(df: DataFrame, own: str, own_cut: str, other: str, other_cut: str) -> DataFrame:
             return df.join(cuts, "region").select(
