@@ -2,6 +2,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from earshot.functions.nearest import near_together
 from earshot.functions.regions import Regions, boxes
 
 
@@ -45,3 +46,21 @@ def test_regions_are_about_even_and_few_are_visited():
     assert sizes.max() <= max(2000, 1.2 * zeros.sum())
     at, _ = tree.visits(rows, own, np.full(len(rows), 0.01))
     assert len(at) < 2 * len(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    values=st.lists(st.lists(st.sampled_from([0.0, 0.0, 0.0, 1.0, -2.0]), min_size=2, max_size=2), max_size=60), rows=st.integers(1, 9),
+)
+def test_runs_hold_everyone_once(values, rows):
+    order = near_together(np.array(values).reshape(-1, 2), rows)
+    assert sorted(order.tolist()) == list(range(len(values)))
+
+
+def test_runs_are_cut_where_zeros_end():
+    rng = np.random.default_rng(3)
+    rows = np.eye(5)[rng.integers(0, 5, 4000)] * (1 + 0.1 * rng.random((4000, 1)))
+    order = near_together(rows, 50)
+    kinds = [len({*rows[order[i : i + 50]].argmax(axis=1).tolist()}) for i in range(0, 4000, 50)]
+    # Runs are mixed only where a kind ends, not most of the 80.
+    assert sum(k > 1 for k in kinds) < 12
